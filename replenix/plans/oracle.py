@@ -148,6 +148,34 @@ SELECT exec_year, COUNT(*) AS sku_count, CAST(COALESCE(SUM(final_order_qty), 0)
             AS DECIMAL(18,2)) AS total_cost
 FROM net GROUP BY exec_year""")
 
+q("supplier_order_lines", "SELECT * FROM line")
+
+q("supplier_orders_header", """
+SELECT exec_year, supplier_id, COUNT(*) AS item_count,
+       CAST(SUM(CAST(quantity AS DECIMAL(18,0)) * CAST(unit_cost AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS total,
+       CAST(SUM(quantity) AS BIGINT) AS total_quantity, MIN(sku) AS first_sku, MAX(sku) AS last_sku
+FROM line GROUP BY exec_year, supplier_id""")
+
+q("supplier_orders_doc", """
+SELECT exec_year, supplier_id, supplier_name, sku, product_name, quantity,
+       round(unit_cost, 2) AS unit_cost, round(total_cost, 2) AS total_cost,
+       CAST(SUM(CAST(quantity AS DECIMAL(18,0)) * CAST(unit_cost AS DECIMAL(10,2)))
+            OVER (PARTITION BY exec_year, supplier_id) AS DECIMAL(18,2)) AS order_total_cost
+FROM line""")
+
+q("order_dates_shift", """
+SELECT DISTINCT strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS data_date,
+       strftime(CAST(l_shipdate AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS order_date
+FROM lineitem""")
+
+q("order_dates", "SELECT DISTINCT exec_year FROM line ORDER BY exec_year DESC")
+
+q("parse_order_docs", """
+SELECT CAST(exec_year AS VARCHAR) AS data_date, CAST(supplier_id AS VARCHAR) AS supplier_id,
+       CAST(sku AS VARCHAR) AS sku, quantity,
+       CASE WHEN supplier_id % 2 = 0 THEN round(unit_cost, 2) ELSE CAST(0 AS DOUBLE) END AS unit_cost
+FROM line""")
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: PRELUDE + v for k, v in BODIES.items()}

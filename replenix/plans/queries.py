@@ -14,7 +14,11 @@ from replenix import schemas
 from replenix.operators import demand as dem
 from replenix.operators import master as mst
 from replenix.operators import mrp
+from replenix.operators import orders as ords
 from replenix.operators import suppliers as sup
+from replenix.session import scratch_path
+from replenix.sinks import writers
+from replenix.sources import files
 from replenix.plans.adapters import PERIOD as P, POS_YEAR
 from replenix.plans.views import Views
 
@@ -97,5 +101,58 @@ def run_metrics(v: Views) -> DataFrame:
     return mrp.run_metrics(v.net, P)
 
 
+# --- 2. purchase-order export ------------------------------------------------
+
+def fixed_clock():
+    """Run stamps stay out of compared output."""
+    return F.lit("1970-01-01T00:00:00")
+
+
+@query("supplier_order_lines")
+def supplier_order_lines(v: Views) -> DataFrame:
+    return v.lines
+
+
+@query("supplier_orders_header")
+def supplier_orders_header(v: Views) -> DataFrame:
+    return ords.order_headers(v.lines, P)
+
+
+@query("supplier_orders_doc")
+def supplier_orders_doc(v: Views) -> DataFrame:
+    """Write the nested documents, read them back, flatten: must give the lines again."""
+    path = scratch_path(v.spark, "supplier_orders")
+    writers.write_documents(ords.order_documents(v.lines, P, generated_at=fixed_clock()), path, P)
+    back = files.read_order_documents(v.spark, path)
+    return back.select(
+        F.col("data_date").cast("int").alias(P), F.col("supplier_id").cast("long").alias("supplier_id"),
+        "supplier_name", F.col("sku").cast("long").alias("sku"), "product_name", "quantity", "unit_cost",
+        "total_cost", F.col("order_total_cost").cast("decimal(18,2)").alias("order_total_cost"))
+
+
+@query("order_dates_shift")
+def order_dates_shift(v: Views) -> DataFrame:
+    return ords.order_dates_shift(v.table("lineitem"), "l_shipdate")
+
+
+@query("order_dates")
+def order_dates(v: Views) -> DataFrame:
+    return v.lines.select(P).distinct().orderBy(F.col(P).desc())
+
+
+@query("parse_order_docs")
+def parse_order_docs(v: Views) -> DataFrame:
+    """Document text in both formats (even suppliers: current object, odd: legacy
+    list), parsed back by the dual-format reader."""
+    docs = ords.order_documents(v.lines, P, generated_at=fixed_clock())
+    obj = F.to_json(F.struct("supplier_id", "supplier_name", "contact_email", "order_date", "data_date",
+                             "generated_at", "items", "total_estimated_cost"))
+    legacy = F.to_json(F.transform("items", lambda x: F.struct(x["sku"], x["quantity"])))
+    texts = docs.select(F.when(F.col("supplier_id") % 2 == 0, obj).otherwise(legacy).alias("value"),
+                        F.col("data_date").alias("date_folder"),
+                        F.col("supplier_id").cast("string").alias("file_stem"))
+    return files.parse_order_documents(texts).select("data_date", "supplier_id", "sku", "quantity", "unit_cost")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}
