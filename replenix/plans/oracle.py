@@ -176,6 +176,125 @@ SELECT CAST(exec_year AS VARCHAR) AS data_date, CAST(supplier_id AS VARCHAR) AS
        CASE WHEN supplier_id % 2 = 0 THEN round(unit_cost, 2) ELSE CAST(0 AS DOUBLE) END AS unit_cost
 FROM line""")
 
+STORES = "('STORE_0','STORE_1','STORE_2','STORE_3','STORE_4','STORE_5','STORE_6','STORE_7')"
+
+QC = f"""
+, periods AS (SELECT exec_year FROM years UNION SELECT 1994)
+, found AS (SELECT DISTINCT exec_year, store_id FROM pos)
+, wanted_stores AS (
+  SELECT f.exec_year, s.store_id FROM (SELECT DISTINCT exec_year FROM found) f
+  CROSS JOIN (SELECT unnest(['STORE_0','STORE_1','STORE_2','STORE_3','STORE_4','STORE_5','STORE_6','STORE_7'])
+              AS store_id) s)
+, missing_stores AS (
+  SELECT w.exec_year, w.store_id FROM wanted_stores w
+  WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.exec_year = w.exec_year AND f.store_id = w.store_id))
+, st AS (SELECT exec_year, COUNT(*) FILTER (WHERE store_id IN {STORES}) AS n_found_expected,
+                COUNT(*) FILTER (WHERE store_id NOT IN {STORES}) AS n_extra FROM found GROUP BY exec_year)
+, spikes AS (
+  SELECT exec_year, sku, CAST(SUM(COALESCE(quantity, 0)) AS BIGINT) AS total_demand FROM pos
+  GROUP BY exec_year, sku HAVING SUM(COALESCE(quantity, 0)) > 200)
+, sp AS (SELECT exec_year, COUNT(*) AS n_spikes FROM spikes GROUP BY exec_year)
+, pinv AS (SELECT *, TRY_CAST(trim(available_stock) AS INTEGER) AS a, TRY_CAST(trim(reserved_stock) AS INTEGER) AS r
+           FROM inventory_text)
+, inv AS (
+  SELECT exec_year, COUNT(*) AS n_rows,
+         COUNT(*) FILTER (WHERE a IS NULL OR r IS NULL) AS n_invalid,
+         COUNT(*) FILTER (WHERE a IS NOT NULL AND r IS NOT NULL AND r > a) AS n_reserved_gt,
+         COUNT(*) FILTER (WHERE a IS NOT NULL AND r IS NOT NULL AND (a < 0 OR r < 0)) AS n_negative
+  FROM pinv GROUP BY exec_year)
+, absent_skus AS (
+  SELECT y.exec_year, e.sku FROM (SELECT DISTINCT exec_year FROM inventory) y
+  CROSS JOIN (SELECT DISTINCT p_partkey AS sku FROM part) e
+  WHERE NOT EXISTS (SELECT 1 FROM inventory i WHERE i.exec_year = y.exec_year AND i.sku = e.sku))
+, absent AS (SELECT exec_year, COUNT(*) AS n_sku_absent FROM absent_skus GROUP BY exec_year)
+, unmapped AS (SELECT DISTINCT p_partkey AS sku FROM part WHERE p_partkey NOT IN (SELECT sku FROM products))
+, mfields AS (
+  SELECT sku, missing FROM (
+    SELECT p.sku, concat_ws(',',
+        CASE WHEN p.moq IS NULL THEN 'moq' END, CASE WHEN p.pack_size IS NULL THEN 'pack_size' END,
+        CASE WHEN p.safety_stock IS NULL THEN 'safety_stock' END, CASE WHEN p.sku IS NULL THEN 'sku' END,
+        CASE WHEN r.supplier_id IS NULL THEN 'supplier_id' END) AS missing
+    FROM products p LEFT JOIN preferred r ON p.sku = r.sku) t
+  WHERE missing <> '')
+, counts AS (
+  SELECT p.exec_year, st.exec_year IS NOT NULL AS has_orders,
+         8 - COALESCE(st.n_found_expected, 0) AS n_missing_stores, COALESCE(st.n_extra, 0) AS n_extra,
+         COALESCE(sp.n_spikes, 0) AS n_spikes, COALESCE(inv.n_rows, 0) > 0 AS has_inventory,
+         COALESCE(inv.n_invalid, 0) AS n_invalid, COALESCE(inv.n_reserved_gt, 0) AS n_reserved_gt,
+         COALESCE(inv.n_negative, 0) AS n_negative, COALESCE(absent.n_sku_absent, 0) AS n_sku_absent,
+         (SELECT COUNT(*) FROM unmapped) AS n_unmapped, (SELECT COUNT(*) FROM mfields) AS n_missing_fields
+  FROM periods p LEFT JOIN st ON p.exec_year = st.exec_year LEFT JOIN sp ON p.exec_year = sp.exec_year
+  LEFT JOIN inv ON p.exec_year = inv.exec_year LEFT JOIN absent ON p.exec_year = absent.exec_year)
+"""
+
+q("stores_found", "SELECT exec_year, store_id FROM found")
+q("qc_missing_stores", "SELECT exec_year, store_id FROM missing_stores")
+q("qc_missing_inventory", """
+SELECT p.exec_year, CASE WHEN EXISTS (SELECT 1 FROM inventory i WHERE i.exec_year = p.exec_year)
+                         THEN 'INFO' ELSE 'ERROR' END AS level
+FROM periods p""")
+q("qc_unmapped_skus", "SELECT sku FROM unmapped")
+q("qc_missing_fields", "SELECT sku, missing FROM mfields")
+q("qc_demand_spike", "SELECT exec_year, sku, total_demand FROM spikes")
+q("qc_skus_missing_in_inventory", "SELECT exec_year, sku FROM absent_skus")
+q("qc_inventory_invalid", """
+SELECT exec_year, sku, warehouse, available_stock, reserved_stock FROM pinv WHERE a IS NULL OR r IS NULL""")
+q("qc_inventory_inconsistency", """
+SELECT exec_year, sku, warehouse, 'ERROR' AS level, 'invalid' AS rule FROM pinv WHERE a IS NULL OR r IS NULL
+UNION ALL
+SELECT exec_year, sku, warehouse, 'WARNING', 'reserved_gt_available' FROM pinv
+WHERE a IS NOT NULL AND r IS NOT NULL AND r > a
+UNION ALL
+SELECT exec_year, sku, warehouse, 'ERROR', 'negative' FROM pinv
+WHERE a IS NOT NULL AND r IS NOT NULL AND (a < 0 OR r < 0)""")
+q("qc_report_summary", """
+SELECT exec_year, errors, warnings, infos, errors + warnings + infos AS total FROM (
+  SELECT exec_year,
+    CAST((CASE WHEN has_orders THEN n_missing_stores ELSE 1 END) + (CASE WHEN has_inventory THEN 0 ELSE 1 END)
+         + n_unmapped + n_missing_fields
+         + (CASE WHEN has_inventory THEN n_invalid + n_negative ELSE 0 END) AS INTEGER) AS errors,
+    CAST((CASE WHEN has_orders THEN n_spikes ELSE 0 END)
+         + (CASE WHEN has_inventory THEN n_sku_absent + n_reserved_gt ELSE 0 END) AS INTEGER) AS warnings,
+    CAST((CASE WHEN has_orders AND n_missing_stores = 0 AND n_extra = 0 THEN 1 ELSE 0 END)
+         + (CASE WHEN has_inventory THEN 1 ELSE 0 END)
+         + (CASE WHEN n_unmapped + n_missing_fields = 0 THEN 1 ELSE 0 END)
+         + (CASE WHEN has_orders AND n_spikes = 0 THEN 1 ELSE 0 END)
+         + (CASE WHEN has_inventory AND n_invalid + n_negative + n_sku_absent + n_reserved_gt = 0
+                 THEN 1 ELSE 0 END) AS INTEGER) AS infos
+  FROM counts) t""")
+q("qc_report_entries", """
+SELECT exec_year, 1 AS seq, 'ERROR' AS level, 'missing_pos_files' AS "check", CAST(exec_year AS VARCHAR) AS detail
+FROM counts WHERE NOT has_orders
+UNION ALL SELECT exec_year, 1, 'ERROR', 'missing_pos_files', store_id FROM missing_stores
+UNION ALL SELECT exec_year, 1, 'INFO', 'missing_pos_files', '' FROM counts
+  WHERE has_orders AND n_missing_stores = 0 AND n_extra = 0
+UNION ALL SELECT exec_year, 2, 'ERROR', 'missing_inventory', CAST(exec_year AS VARCHAR) FROM counts
+  WHERE NOT has_inventory
+UNION ALL SELECT exec_year, 2, 'INFO', 'missing_inventory', '' FROM counts WHERE has_inventory
+UNION ALL SELECT p.exec_year, 3, 'ERROR', 'missing_supplier_mapping', CAST(u.sku AS VARCHAR)
+  FROM periods p CROSS JOIN unmapped u
+UNION ALL SELECT p.exec_year, 3, 'ERROR', 'missing_supplier_mapping', m.missing
+  FROM periods p CROSS JOIN mfields m
+UNION ALL SELECT exec_year, 3, 'INFO', 'missing_supplier_mapping', '' FROM counts
+  WHERE n_unmapped + n_missing_fields = 0
+UNION ALL SELECT exec_year, 4, 'WARNING', 'demand_spike', concat('total_demand=', CAST(total_demand AS VARCHAR))
+  FROM spikes
+UNION ALL SELECT exec_year, 4, 'INFO', 'demand_spike', '' FROM counts WHERE has_orders AND n_spikes = 0
+UNION ALL SELECT exec_year, 5, 'WARNING', 'inventory_inconsistency', CAST(sku AS VARCHAR) FROM absent_skus
+UNION ALL SELECT exec_year, 5, 'ERROR', 'inventory_inconsistency', concat(CAST(sku AS VARCHAR), ':', warehouse, ':invalid')
+  FROM pinv WHERE a IS NULL OR r IS NULL
+UNION ALL SELECT exec_year, 5, 'WARNING', 'inventory_inconsistency',
+  concat(CAST(sku AS VARCHAR), ':', warehouse, ':reserved_gt_available')
+  FROM pinv WHERE a IS NOT NULL AND r IS NOT NULL AND r > a
+UNION ALL SELECT exec_year, 5, 'ERROR', 'inventory_inconsistency', concat(CAST(sku AS VARCHAR), ':', warehouse, ':negative')
+  FROM pinv WHERE a IS NOT NULL AND r IS NOT NULL AND (a < 0 OR r < 0)
+UNION ALL SELECT exec_year, 5, 'INFO', 'inventory_inconsistency', '' FROM counts
+  WHERE has_inventory AND n_invalid + n_negative + n_sku_absent + n_reserved_gt = 0""")
+
+QC_KEYS = {"stores_found", "qc_missing_stores", "qc_missing_inventory", "qc_unmapped_skus", "qc_missing_fields",
+           "qc_demand_spike", "qc_skus_missing_in_inventory", "qc_inventory_invalid",
+           "qc_inventory_inconsistency", "qc_report_summary", "qc_report_entries"}
+
 
 def oracle_sql() -> dict[str, str]:
-    return {k: PRELUDE + v for k, v in BODIES.items()}
+    return {k: PRELUDE + (QC if k in QC_KEYS else "") + v for k, v in BODIES.items()}

@@ -15,11 +15,12 @@ from replenix.operators import demand as dem
 from replenix.operators import master as mst
 from replenix.operators import mrp
 from replenix.operators import orders as ords
+from replenix.operators import quality as qc
 from replenix.operators import suppliers as sup
 from replenix.session import scratch_path
 from replenix.sinks import writers
 from replenix.sources import files
-from replenix.plans.adapters import PERIOD as P, POS_YEAR
+from replenix.plans.adapters import PERIOD as P, POS_YEAR, expected_stores
 from replenix.plans.views import Views
 
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {}
@@ -154,5 +155,89 @@ def parse_order_docs(v: Views) -> DataFrame:
     return files.parse_order_documents(texts).select("data_date", "supplier_id", "sku", "quantity", "unit_cost")
 
 
+# --- 3. quality checks ----------------------------------------------------------
+
+NO_DATA_YEAR = 1994   # a period in the calendar without any input
+
+
+def qc_periods(v: Views) -> DataFrame:
+    """The periods the checks run for: the sales calendar plus one empty period."""
+    extra = v.spark.range(1).select(F.lit(NO_DATA_YEAR).cast("int").alias(P))
+    return v.years.unionByName(extra).distinct()
+
+
+def _parsed_inventory(v: Views) -> DataFrame:
+    return qc.parsed_inventory(v.inventory_text)
+
+
+def _product_docs(v: Views) -> DataFrame:
+    return qc.product_documents(v.products, v.preferred)
+
+
+def _counts(v: Views) -> DataFrame:
+    return qc.report_counts(qc_periods(v), v.pos, _parsed_inventory(v), v.expected_skus, v.products,
+                            _product_docs(v), expected_stores(), qc.DEMAND_SPIKE_THRESHOLD, P)
+
+
+@query("stores_found")
+def stores_found(v: Views) -> DataFrame:
+    return qc.stores_found(v.pos, P)
+
+
+@query("qc_missing_stores")
+def qc_missing_stores(v: Views) -> DataFrame:
+    return qc.missing_stores(qc.stores_found(v.pos, P), expected_stores(), P)
+
+
+@query("qc_missing_inventory")
+def qc_missing_inventory(v: Views) -> DataFrame:
+    return qc.missing_inventory(qc_periods(v), v.inventory, P)
+
+
+@query("qc_unmapped_skus")
+def qc_unmapped_skus(v: Views) -> DataFrame:
+    return qc.unmapped_skus(v.expected_skus, v.products)
+
+
+@query("qc_missing_fields")
+def qc_missing_fields(v: Views) -> DataFrame:
+    return qc.missing_fields(_product_docs(v))
+
+
+@query("qc_demand_spike")
+def qc_demand_spike(v: Views) -> DataFrame:
+    return qc.demand_spikes(v.pos_lines, qc.DEMAND_SPIKE_THRESHOLD, P)
+
+
+@query("qc_skus_missing_in_inventory")
+def qc_skus_missing_in_inventory(v: Views) -> DataFrame:
+    return qc.skus_missing_in_inventory(v.expected_skus, v.inventory, P)
+
+
+@query("qc_inventory_invalid")
+def qc_inventory_invalid(v: Views) -> DataFrame:
+    return (_parsed_inventory(v).where(~F.col("valid"))
+            .select(P, "sku", "warehouse", "available_stock", "reserved_stock"))
+
+
+@query("qc_inventory_inconsistency")
+def qc_inventory_inconsistency(v: Views) -> DataFrame:
+    return qc.inventory_findings(_parsed_inventory(v), P)
+
+
+@query("qc_report_summary")
+def qc_report_summary(v: Views) -> DataFrame:
+    return qc.report_summary(_counts(v), P)
+
+
+@query("qc_report_entries")
+def qc_report_entries(v: Views) -> DataFrame:
+    """The report body without run stamps and message text: period, seq, level, check, detail."""
+    d = qc.report_details(qc_periods(v), v.pos, _parsed_inventory(v), v.expected_skus, v.products,
+                          _product_docs(v), expected_stores(), _counts(v), qc.DEMAND_SPIKE_THRESHOLD, P,
+                          clock=fixed_clock())
+    return d.select(P, "seq", "level", "check", "detail")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}
