@@ -291,6 +291,47 @@ UNION ALL SELECT exec_year, 5, 'ERROR', 'inventory_inconsistency', concat(CAST(s
 UNION ALL SELECT exec_year, 5, 'INFO', 'inventory_inconsistency', '' FROM counts
   WHERE has_inventory AND n_invalid + n_negative + n_sku_absent + n_reserved_gt = 0""")
 
+q("products_per_supplier", """
+SELECT r.supplier_id, COUNT(*) AS n_products FROM products p JOIN preferred r ON p.sku = r.sku
+GROUP BY r.supplier_id""")
+q("qty_per_supplier", "SELECT supplier_id, CAST(SUM(quantity) AS BIGINT) AS quantity FROM line GROUP BY supplier_id")
+q("qty_per_sku_date", """
+SELECT exec_year, sku, CAST(SUM(quantity) AS BIGINT) AS quantity FROM line
+WHERE exec_year = (SELECT MAX(exec_year) FROM line) GROUP BY exec_year, sku""")
+q("demand_evolution", """
+SELECT exec_year, sku, CAST(SUM(total_demand) AS BIGINT) AS total_demand FROM net GROUP BY exec_year, sku""")
+q("dashboard_kpis", """
+SELECT (SELECT COUNT(*) FROM products) AS n_products, (SELECT COUNT(*) FROM suppliers) AS n_suppliers,
+       CAST(COALESCE(SUM(quantity), 0) AS BIGINT) AS total_units,
+       CAST(COALESCE(SUM(CAST(quantity AS DECIMAL(18,0)) * CAST(unit_cost AS DECIMAL(10,2))), 0) AS DECIMAL(18,2))
+         AS total_cost
+FROM line""")
+q("orders_for_date", """
+SELECT * FROM (
+  SELECT exec_year, CAST(SUM(quantity) AS BIGINT) AS units,
+         CAST(SUM(CAST(quantity AS DECIMAL(18,0)) * CAST(unit_cost AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS cost,
+         COUNT(DISTINCT supplier_id) AS n_suppliers
+  FROM line GROUP BY exec_year) t WHERE cost > 0""")
+q("latest_net_demand", "SELECT * FROM net WHERE exec_year = (SELECT MAX(exec_year) FROM net)")
+q("latest_per_sku", """
+SELECT n.* FROM net n JOIN (SELECT sku, MAX(exec_year) AS y FROM net GROUP BY sku) m
+  ON n.sku = m.sku AND n.exec_year = m.y""")
+q("safety_vs_demand", """
+SELECT n.sku, n.safety_stock, n.total_demand, n.final_order_qty, n.estimated_cost
+FROM net n JOIN (SELECT sku, MAX(exec_year) AS y FROM net GROUP BY sku) m ON n.sku = m.sku AND n.exec_year = m.y""")
+q("freshness_status", """
+SELECT user_id,
+  CASE WHEN flag_ts IS NOT NULL AND newest IS NOT NULL AND flag_ts + INTERVAL 30 SECOND < newest THEN 'stale'
+       WHEN newest IS NOT NULL AND flag_ts IS NULL THEN 'missing_flag'
+       WHEN newest IS NOT NULL AND flag_ts IS NOT NULL THEN 'ok' END AS status
+FROM (
+  SELECT user_id, flag_ts, greatest(json_ts, nd_ts, ao_ts) AS newest FROM (
+    SELECT user_id, MAX(ts) FILTER (WHERE event_type = 'signup') AS flag_ts,
+           MAX(ts) FILTER (WHERE event_type = 'purchase') AS json_ts,
+           MAX(ts) FILTER (WHERE event_type = 'click') AS nd_ts,
+           MAX(ts) FILTER (WHERE event_type = 'view') AS ao_ts
+    FROM events GROUP BY user_id) a) b""")
+
 QC_KEYS = {"stores_found", "qc_missing_stores", "qc_missing_inventory", "qc_unmapped_skus", "qc_missing_fields",
            "qc_demand_spike", "qc_skus_missing_in_inventory", "qc_inventory_invalid",
            "qc_inventory_inconsistency", "qc_report_summary", "qc_report_entries"}

@@ -16,6 +16,7 @@ from replenix.operators import master as mst
 from replenix.operators import mrp
 from replenix.operators import orders as ords
 from replenix.operators import quality as qc
+from replenix.operators import reports as rep
 from replenix.operators import suppliers as sup
 from replenix.session import scratch_path
 from replenix.sinks import writers
@@ -239,5 +240,70 @@ def qc_report_entries(v: Views) -> DataFrame:
     return d.select(P, "seq", "level", "check", "detail")
 
 
+# --- 4. dashboard reports ----------------------------------------------------------
+
+def _products_with_supplier(v: Views) -> DataFrame:
+    return v.products.join(v.preferred.select("sku", "supplier_id"), "sku", "left")
+
+
+@query("products_per_supplier")
+def products_per_supplier(v: Views) -> DataFrame:
+    return rep.products_per_supplier(_products_with_supplier(v))
+
+
+@query("qty_per_supplier")
+def qty_per_supplier(v: Views) -> DataFrame:
+    return rep.qty_per_supplier(v.lines)
+
+
+@query("qty_per_sku_date")
+def qty_per_sku_date(v: Views) -> DataFrame:
+    return rep.qty_per_sku_on(v.lines, P)
+
+
+@query("demand_evolution")
+def demand_evolution(v: Views) -> DataFrame:
+    return rep.demand_evolution(v.net, P)
+
+
+@query("dashboard_kpis")
+def dashboard_kpis(v: Views) -> DataFrame:
+    return rep.dashboard_kpis(v.products, v.suppliers, v.lines, P)
+
+
+@query("orders_for_date")
+def orders_for_date(v: Views) -> DataFrame:
+    return rep.orders_for_date(v.lines, P)
+
+
+@query("latest_net_demand")
+def latest_net_demand(v: Views) -> DataFrame:
+    return rep.latest_rows(v.net, P)
+
+
+@query("latest_per_sku")
+def latest_per_sku(v: Views) -> DataFrame:
+    return rep.latest_per_sku(v.net, P)
+
+
+@query("safety_vs_demand")
+def safety_vs_demand(v: Views) -> DataFrame:
+    return rep.safety_vs_demand(rep.latest_per_sku(v.net, P))
+
+
+@query("freshness_status")
+def freshness_status(v: Views) -> DataFrame:
+    """Per user of the event log: marker = newest signup, data times = newest
+    purchase / click / view; status of the marker against the data."""
+    ev = v.table("events")
+
+    def newest_of(kind):
+        return F.max(F.when(F.col("event_type") == kind, F.col("ts")))
+
+    t = ev.groupBy("user_id").agg(newest_of("signup").alias("flag_ts"), newest_of("purchase").alias("json_ts"),
+                                  newest_of("click").alias("nd_ts"), newest_of("view").alias("ao_ts"))
+    return t.select("user_id", rep.freshness_status("flag_ts", "json_ts", "nd_ts", "ao_ts").alias("status"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}
