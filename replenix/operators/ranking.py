@@ -39,3 +39,18 @@ def balanced_row_number(df: DataFrame, partition_by: list[str], order_by: list[C
     return (numbered.join(offsets, [*partition_by, "_slice"])
             .withColumn(name, F.col("_local") + F.col("_offset"))
             .drop("_slice", "_local", "_offset"))
+
+
+def split_groups(df: DataFrame, keys: list[str], max_rows: int, by: str, name: str = "chunk") -> DataFrame:
+    """Add a ``chunk`` number so that every (keys, chunk) group holds about
+    ``max_rows`` rows or fewer.
+
+    The number of chunks per group follows the group's size (a count per key,
+    combined map-side); rows are spread over them by a hash of ``by``.  Used to
+    cut files and documents of unbounded groups into bounded pieces.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    n = F.greatest(F.lit(1), F.ceil(F.col("_size") / F.lit(max_rows))).cast("long")
+    return (df.join(sizes, keys)
+            .withColumn(name, F.pmod(F.xxhash64(F.col(by)), n))
+            .drop("_size"))

@@ -332,6 +332,38 @@ FROM (
            MAX(ts) FILTER (WHERE event_type = 'view') AS ao_ts
     FROM events GROUP BY user_id) a) b""")
 
+FEED = """SELECT order_id, store_id, sku, quantity, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS timestamp, exec_year
+FROM pos"""
+q("scan_orders_json", FEED)
+q("ingest_paths", FEED)
+q("ingest_rejects", """
+SELECT exec_year, COUNT(*) FILTER (WHERE quantity <> 13) AS n_rows, COUNT(*) FILTER (WHERE quantity = 13) AS n_rejects
+FROM pos GROUP BY exec_year""")
+q("scan_inventory_csv", "SELECT sku, exec_year, warehouse, available_stock, reserved_stock FROM inventory")
+q("roundtrip_parquet", "SELECT * FROM net")
+q("idempotent_rerun", "SELECT * FROM net")
+q("partition_audit", """
+SELECT 'aggregated_orders' AS table_name, exec_year, COUNT(*) AS row_count FROM demand GROUP BY exec_year
+UNION ALL
+SELECT 'net_demand', exec_year, COUNT(*) FROM net GROUP BY exec_year""")
+q("ensure_tables", "SELECT exec_year, sku, total_demand FROM demand")
+q("ctas_if_absent", "SELECT exec_year, sku, total_demand FROM demand")
+q("master_insert_if_absent", """
+SELECT sku, name, CASE WHEN sku % 2 = 0 THEN pack_size ELSE CAST(pack_size + 1 AS INTEGER) END AS pack_size,
+       moq, safety_stock
+FROM products""")
+q("qc_master_duplicates", """
+SELECT sku, supplier_id, COUNT(*) AS n FROM (
+  SELECT sku, supplier_id FROM product_suppliers
+  UNION ALL SELECT sku, supplier_id FROM product_suppliers WHERE sku % 50 = 0) t
+GROUP BY sku, supplier_id HAVING COUNT(*) > 1""")
+q("qc_master_orphans", """
+SELECT sku, supplier_id, 'unknown_product' AS reason FROM product_suppliers
+WHERE sku NOT IN (SELECT sku FROM products)
+UNION ALL
+SELECT sku, supplier_id, 'unknown_supplier' AS reason FROM product_suppliers
+WHERE supplier_id NOT IN (SELECT supplier_id FROM suppliers)""")
+
 QC_KEYS = {"stores_found", "qc_missing_stores", "qc_missing_inventory", "qc_unmapped_skus", "qc_missing_fields",
            "qc_demand_spike", "qc_skus_missing_in_inventory", "qc_inventory_invalid",
            "qc_inventory_inconsistency", "qc_report_summary", "qc_report_entries"}

@@ -19,7 +19,8 @@ from replenix.operators import quality as qc
 from replenix.operators import reports as rep
 from replenix.operators import suppliers as sup
 from replenix.session import scratch_path
-from replenix.sinks import writers
+from replenix.operators.ranking import split_groups
+from replenix.sinks import catalog, writers
 from replenix.sources import files
 from replenix.plans.adapters import PERIOD as P, POS_YEAR, expected_stores
 from replenix.plans.views import Views
@@ -305,5 +306,161 @@ def freshness_status(v: Views) -> DataFrame:
     return t.select("user_id", rep.freshness_status("flag_ts", "json_ts", "nd_ts", "ao_ts").alias("status"))
 
 
+# --- 5. sources, sinks, catalog, master data ------------------------------------------
+
+FILE_ROWS = 20000   # order lines per JSON array file
+
+
+def _orders_feed(v: Views) -> DataFrame:
+    """The order lines in the stores' delivery shape (ORDERS schema fields)."""
+    return v.pos.select("order_id", "store_id", "sku", "quantity",
+                        F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), P)
+
+
+def _write_json_arrays(v: Views, path: str) -> None:
+    """One JSON array per file, in folders date=<period>/store=<store>, files of
+    at most FILE_ROWS lines (a store-day of any size is cut into several files)."""
+    feed = split_groups(_orders_feed(v), [P, "store_id"], FILE_ROWS, by="order_id")
+    arrays = (feed.groupBy(P, "store_id", "chunk")
+              .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(F.to_json(F.struct(
+                  "order_id", "store_id", "sku", "quantity", "timestamp")))), F.lit("]")).alias("value"))
+              .select(F.col(P).cast("string").alias("date"), F.col("store_id").alias("store"), "value"))
+    (arrays.repartition("date", "store").write.mode("overwrite").option("maxRecordsPerFile", 1)
+     .partitionBy("date", "store").text(path))
+
+
+def _feed_result(df: DataFrame, period_col: str) -> DataFrame:
+    return df.select("order_id", "store_id", F.col("sku").cast("long").alias("sku"), "quantity", "timestamp",
+                     F.col(period_col).cast("int").alias(P))
+
+
+@query("scan_orders_json")
+def scan_orders_json(v: Views) -> DataFrame:
+    path = scratch_path(v.spark, "raw_orders")
+    _write_json_arrays(v, path)
+    back = files.read_json(v.spark, path, schemas.ORDERS, multi_line=True)
+    return _feed_result(back, "date")
+
+
+@query("ingest_paths")
+def ingest_paths(v: Views) -> DataFrame:
+    """Recursive walk over date folders; the period comes from the folder name."""
+    path = scratch_path(v.spark, "landing")
+    feed = _orders_feed(v).withColumn("day", F.concat(F.col(P).cast("string"), F.lit("-01-01")))
+    feed.drop(P).write.mode("overwrite").partitionBy("day").json(path)
+    rows, _ = files.ingest_directory(v.spark, path, schemas.ORDERS, fmt="json", period="exec_date",
+                                     multi_line=False)
+    return _feed_result(rows.withColumn("_y", F.substring("exec_date", 1, 4)), "_y")
+
+
+@query("ingest_rejects")
+def ingest_rejects(v: Views) -> DataFrame:
+    """Lines of quantity 13 arrive truncated; they must land in the rejects, the
+    rest in the rows -> exec_year, n_rows, n_rejects."""
+    path = scratch_path(v.spark, "landing_damaged")
+    feed = _orders_feed(v)
+    js = F.to_json(F.struct("order_id", "store_id", "sku", "quantity", "timestamp"))
+    text = F.when(F.col("quantity") == 13, F.expr("substring(to_json(struct(order_id, store_id, sku, quantity, "
+                                                  "timestamp)), 1, 20)")).otherwise(js)
+    (feed.select(text.alias("value"), F.concat(F.col(P).cast("string"), F.lit("-01-01")).alias("day"))
+     .write.mode("overwrite").partitionBy("day").text(path))
+    rows, rejects = files.ingest_directory(v.spark, path, schemas.ORDERS, fmt="json", period="exec_date",
+                                           multi_line=False, ext=".txt")
+    ok = rows.groupBy("exec_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = rejects.groupBy("exec_date").agg(F.count(F.lit(1)).alias("n_rejects"))
+    return (ok.join(bad, "exec_date", "full")
+            .select(F.substring("exec_date", 1, 4).cast("int").alias(P),
+                    F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_rejects", F.lit(0)).alias("n_rejects")))
+
+
+@query("scan_inventory_csv")
+def scan_inventory_csv(v: Views) -> DataFrame:
+    path = scratch_path(v.spark, "raw_stock")
+    (v.inventory.withColumn("date", F.col(P).cast("string")).drop(P)
+     .select("sku", "available_stock", "reserved_stock", "warehouse", "date")
+     .write.mode("overwrite").option("header", True).partitionBy("date").csv(path))
+    back = files.read_csv(v.spark, path, schemas.INVENTORY)
+    return back.select(F.col("sku").cast("long").alias("sku"), F.col("date").cast("int").alias(P), "warehouse",
+                       "available_stock", "reserved_stock")
+
+
+def _net_back(v: Views, path: str) -> DataFrame:
+    back = v.spark.read.parquet(path)
+    return back.select(*[F.col(c) for c in v.net.columns if c != P], F.col(P).cast("int").alias(P))
+
+
+@query("roundtrip_parquet")
+def roundtrip_parquet(v: Views) -> DataFrame:
+    path = scratch_path(v.spark, "net_demand")
+    writers.write_partitioned(v.net, path, P)
+    return _net_back(v, path)
+
+
+@query("idempotent_rerun")
+def idempotent_rerun(v: Views) -> DataFrame:
+    """Write all periods, then re-run the newest period alone (twice): only that
+    folder is replaced, the table is unchanged."""
+    path = scratch_path(v.spark, "net_demand")
+    writers.write_partitioned(v.net, path, P)
+    last = v.net.where(F.col(P) == rep.newest(v.net, P))
+    writers.write_partitioned(last, path, P)
+    writers.write_partitioned(last, path, P)
+    return _net_back(v, path)
+
+
+@query("partition_audit")
+def partition_audit(v: Views) -> DataFrame:
+    base = scratch_path(v.spark, "processed")
+    writers.write_partitioned(v.demand, f"{base}/aggregated_orders", P)
+    writers.write_partitioned(v.net, f"{base}/net_demand", P)
+    a = writers.partition_audit(v.spark, {"aggregated_orders": f"{base}/aggregated_orders",
+                                          "net_demand": f"{base}/net_demand"}, P)
+    return a.select("table_name", F.col(P).cast("int").alias(P), "row_count")
+
+
+@query("ensure_tables")
+def ensure_tables(v: Views) -> DataFrame:
+    """External partitioned table over written files: created, repaired, read."""
+    from pyspark.sql import types as T
+    path = scratch_path(v.spark, "aggregated_orders")
+    writers.write_partitioned(v.demand, path, P)
+    name = "aggregated_orders_" + path.rsplit("-", 1)[-1]
+    schema = T.StructType([T.StructField("sku", T.LongType()), T.StructField("total_demand", T.LongType()),
+                           T.StructField(P, T.StringType())])
+    catalog.ensure_table(v.spark, "processed", name, schema, path, [P], recreate=True)
+    t = v.spark.table(f"processed.{name}")
+    return t.select(F.col(P).cast("int").alias(P), "sku", "total_demand")
+
+
+@query("ctas_if_absent")
+def ctas_if_absent(v: Views) -> DataFrame:
+    """Create-if-absent twice: the second (different) result is ignored."""
+    path = scratch_path(v.spark, "aggregated_orders")
+    writers.write_if_absent(v.demand, path)
+    writers.write_if_absent(v.demand.withColumn("total_demand", F.col("total_demand") + 1), path)
+    return v.spark.read.parquet(path).select(P, "sku", "total_demand")
+
+
+@query("master_insert_if_absent")
+def master_insert_if_absent(v: Views) -> DataFrame:
+    """Seed with even SKUs, then insert every product with pack_size + 1: existing rows win."""
+    existing = v.products.where(F.col("sku") % 2 == 0)
+    incoming = v.products.withColumn("pack_size", (F.col("pack_size") + 1).cast("int"))
+    return mst.insert_if_absent(existing, incoming, ["sku"], order_by="pack_size")
+
+
+@query("qc_master_duplicates")
+def qc_master_duplicates(v: Views) -> DataFrame:
+    ps = v.product_suppliers
+    return mst.duplicate_keys(ps.unionByName(ps.where(F.col("sku") % 50 == 0)), ["sku", "supplier_id"])
+
+
+@query("qc_master_orphans")
+def qc_master_orphans(v: Views) -> DataFrame:
+    return mst.orphans(v.product_suppliers, [("sku", v.products, "unknown_product"),
+                                             ("supplier_id", v.suppliers, "unknown_supplier")],
+                       ["sku", "supplier_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from replenix import DEFAULT_PERIOD, schemas
 from replenix.functions.exprs import file_stem, parent_folder
+from replenix.session import checkpoint_root
 
 CORRUPT = "_corrupt_record"
 
@@ -46,17 +47,21 @@ def _glob_ci(ext: str) -> str:
 
 def ingest_directory(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "json",
                      period: str = DEFAULT_PERIOD, date_pattern: str = r"(\d{4}-\d{2}-\d{2})",
-                     multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+                     multi_line: bool = True, ext: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Walk ``root`` recursively and read every ``.<fmt>`` file.
 
     Returns (rows, rejects).  Rows carry the period taken from the folder path
     (``date_pattern``'s first group; the folder date, never the event time) and
     ``source_file`` (file stem).  Records that do not parse go to ``rejects``
     with their file instead of failing the run or vanishing.
+
+    The files are parsed once and the parse is checkpointed (shared checkpoint
+    folder): rows and rejects are two reads of the same result, and Spark does
+    not allow a raw scan that only asks for the corrupt-record column.
     """
     reader = (spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
               .option("recursiveFileLookup", True)
-              .option("pathGlobFilter", _glob_ci("." + fmt))
+              .option("pathGlobFilter", _glob_ci(ext or "." + fmt))
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT))
     if fmt == "json":
@@ -68,6 +73,8 @@ def ingest_directory(spark: SparkSession, root: str, schema: T.StructType, fmt:
     path = F.col("_metadata.file_path")
     df = df.select("*", F.regexp_extract(path, date_pattern, 1).alias(period),
                    file_stem(path).alias("source_file"))
+    checkpoint_root(spark)
+    df = df.checkpoint(eager=True)
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.where(F.col(CORRUPT).isNotNull()).select(period, "source_file", F.col(CORRUPT).alias("record"))
     return good, bad
