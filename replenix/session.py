@@ -25,6 +25,7 @@ CORRECTNESS_CONF = {
 # Execution settings for local runs; a cluster sets its own sizes.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -60,11 +60,14 @@ def write_documents(docs: DataFrame, path: str, period: str = DEFAULT_PERIOD,
     out.write.mode("overwrite").partitionBy("date", "supplier").json(path)
 
 
-def partition_audit(spark: SparkSession, tables: dict[str, str], period: str = DEFAULT_PERIOD) -> DataFrame:
-    """Rows and files per (table, period) of written tables (K9)."""
+def partition_audit(spark: SparkSession, tables: dict, period: str = DEFAULT_PERIOD) -> DataFrame:
+    """Rows and files per (table, period) of written tables (K9).
+
+    ``tables`` maps a name to a path or to a file-backed DataFrame (a read with a
+    declared schema, which also works when nothing was written yet)."""
     out = None
-    for name, path in tables.items():
-        df = spark.read.parquet(path)
+    for name, src in tables.items():
+        df = spark.read.parquet(src) if isinstance(src, str) else src
         a = (df.groupBy(F.col(period))
              .agg(F.count(F.lit(1)).alias("row_count"),
                   F.countDistinct(F.col("_metadata.file_path")).alias("file_count"))
