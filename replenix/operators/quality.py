@@ -150,17 +150,26 @@ def inventory_findings(parsed: DataFrame, period: str = DEFAULT_PERIOD) -> DataF
 
 # --- report ----------------------------------------------------------------------
 
+def orders_rollup(orders: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
+    """Quantity per (period, store, sku): the one aggregate checks 1 and 4 need.
+
+    Checks 1 and 4 both read it, so the order scan (and any join behind it) runs
+    once and the shuffle is shared."""
+    return orders.groupBy(period, "store_id", "sku").agg(
+        F.sum(F.coalesce(F.col("quantity").cast("long"), F.lit(0))).alias("quantity"))
+
 def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame, expected_skus: DataFrame,
                   products: DataFrame, product_docs: DataFrame, expected_stores: list[str],
                   threshold: int = DEMAND_SPIKE_THRESHOLD, period: str = DEFAULT_PERIOD) -> DataFrame:
     """Per period: how many findings of each kind (the inputs of the summary)."""
     exp = F.array(*[F.lit(s) for s in expected_stores])
-    found = stores_found(orders, period)
+    rollup = orders_rollup(orders, period)
+    found = stores_found(rollup, period)
     stores = (found.groupBy(period)
               .agg(F.count_if(F.array_contains(exp, F.col("store_id"))).alias("n_found_expected"),
                    F.count_if(~F.array_contains(exp, F.col("store_id"))).alias("n_extra"))
               .withColumn("has_orders", F.lit(True)))
-    spikes = demand_spikes(orders, threshold, period).groupBy(period).agg(F.count(F.lit(1)).alias("n_spikes"))
+    spikes = demand_spikes(rollup, threshold, period).groupBy(period).agg(F.count(F.lit(1)).alias("n_spikes"))
     inv = (parsed_inv.groupBy(period)
            .agg(F.count(F.lit(1)).alias("n_inv_rows"),
                 F.count_if(~F.col("valid")).alias("n_invalid"),
@@ -228,7 +237,8 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                          F.lit(check).alias("check"), message.alias("message"), _s(detail).alias("detail"))
 
     cp = counts
-    found = stores_found(orders, period)
+    rollup = orders_rollup(orders, period)
+    found = stores_found(rollup, period)
     parts = [
         entry(cp.where(~F.col("has_orders")), 1, ERROR, CHECKS[0],
               F.format_string(M["orders_absent"], _s(period)), F.col(period)),
@@ -252,7 +262,7 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
               F.format_string(M["fields_missing"], _s("sku"), F.col("missing")), F.col("missing")),
         entry(cp.where(F.col("n_unmapped") + F.col("n_missing_fields") == 0), 3, INFO, CHECKS[2],
               F.lit(M["mapping_ok"]), F.lit("")),
-        entry(demand_spikes(orders, threshold, period), 4, WARNING, CHECKS[3],
+        entry(demand_spikes(rollup, threshold, period), 4, WARNING, CHECKS[3],
               F.format_string(M["spike"], _s("sku"), _s("total_demand"), F.lit(str(threshold))),
               F.concat(F.lit("total_demand="), _s("total_demand"))),
         entry(cp.where(F.col("has_orders") & (F.col("n_spikes") == 0)), 4, INFO, CHECKS[3],
