@@ -336,6 +336,7 @@ FEED = """SELECT order_id, store_id, sku, quantity, strftime(order_ts, '%Y-%m-%d
 FROM pos"""
 q("scan_orders_json", FEED)
 q("ingest_paths", FEED)
+q("stream_ingest_orders", FEED)
 q("ingest_rejects", """
 SELECT exec_year, COUNT(*) FILTER (WHERE quantity <> 13) AS n_rows, COUNT(*) FILTER (WHERE quantity = 13) AS n_rejects
 FROM pos GROUP BY exec_year""")

@@ -22,6 +22,7 @@ from replenix.session import scratch_path
 from replenix.operators.ranking import split_groups
 from replenix.sinks import catalog, writers
 from replenix.sources import files
+from replenix.streaming import ingest as stream_ingest
 from replenix.plans.adapters import PERIOD as P, POS_YEAR, expected_stores
 from replenix.plans.views import Views
 
@@ -342,6 +343,17 @@ def scan_orders_json(v: Views) -> DataFrame:
     return _feed_result(back, "date")
 
 
+@query("stream_ingest_orders")
+def stream_ingest_orders(v: Views) -> DataFrame:
+    """The JSON array files taken in by the incremental (availableNow) ingest."""
+    src = scratch_path(v.spark, "raw_orders")
+    _write_json_arrays(v, src)
+    table, ckpt = scratch_path(v.spark, "raw_orders_table"), scratch_path(v.spark, "stream_ckpt")
+    stream = stream_ingest.order_file_stream(v.spark, src, schemas.ORDERS, period=P, date_pattern=r"date=(\d+)")
+    stream_ingest.ingest_available(stream, table, ckpt, period=P)
+    return _feed_result(v.spark.read.parquet(table), P)
+
+
 @query("ingest_paths")
 def ingest_paths(v: Views) -> DataFrame:
     """Recursive walk over date folders; the period comes from the folder name."""
