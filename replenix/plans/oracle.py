@@ -102,6 +102,9 @@ def q(key: str, body: str) -> None:
 q("pos_orders", f"""
 SELECT order_id, store_id, sku, quantity FROM pos WHERE exec_year = {POS_YEAR}""")
 
+q("raw_orders_partition", f"""
+SELECT order_id, store_id, sku, quantity FROM pos WHERE exec_year = {POS_YEAR}""")
+
 q("aggregated_demand", "SELECT exec_year, sku, total_demand FROM demand")
 
 q("inventory_by_sku", "SELECT exec_year, sku, available_stock, reserved_stock FROM stock")

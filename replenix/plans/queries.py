@@ -45,6 +45,15 @@ def pos_orders(v: Views) -> DataFrame:
                        args={"year": POS_YEAR}, pos=v.pos)
 
 
+@query("raw_orders_partition")
+def raw_orders_partition(v: Views) -> DataFrame:
+    """The order lines as a raw table partitioned by period; one period read back
+    through partition pruning (only its folder is listed and scanned)."""
+    path = scratch_path(v.spark, "raw_orders")
+    writers.write_partitioned(v.pos.select("order_id", "store_id", "sku", "quantity", P), path, P)
+    return files.read_partition(v.spark, path, P, str(POS_YEAR)).select("order_id", "store_id", "sku", "quantity")
+
+
 @query("aggregated_demand")
 def aggregated_demand(v: Views) -> DataFrame:
     return v.demand
@@ -76,8 +85,12 @@ def master_products(v: Views) -> DataFrame:
              .select("sku", "name", F.col("supplier_id").cast("string").alias("supplier_id"),
                      "pack_size", "moq", "safety_stock"))
     out = mst.apply_defaults(prods, schemas.PRODUCTS, schemas.PRODUCT_DEFAULTS)
+    # snapshot of the master table, replaced whole, then read like any table
+    path = scratch_path(v.spark, "master") + "/products/static=latest"
+    writers.write_snapshot(out, path)
+    back = v.spark.read.schema(schemas.PRODUCTS).parquet(path)
     # the adapter keys are numbers; keep them numeric for comparison
-    return out.withColumn("sku", F.col("sku").cast("long"))
+    return back.withColumn("sku", F.col("sku").cast("long"))
 
 
 @query("mrp_pack_rounding")

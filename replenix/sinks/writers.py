@@ -39,6 +39,11 @@ def write_partitioned(df: DataFrame, path: str, by: str | list[str] = DEFAULT_PE
                 _fs_delete(spark, f"{path.rstrip('/')}/{cols[0]}={v}")
 
 
+def write_snapshot(df: DataFrame, path: str) -> None:
+    """Unpartitioned master snapshot, fully replaced on each load (K3: ``…/static=latest``)."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet", by: list[str] | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS … AS SELECT: a second call changes nothing (K6)."""
     w = df.write.mode("ignore").format(fmt)
