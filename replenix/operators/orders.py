@@ -75,9 +75,14 @@ def order_documents(lines: DataFrame, period: str = DEFAULT_PERIOD, generated_at
                       F.col("item_no"), F.col("sku"), F.col("product_name"), F.col("quantity"),
                       F.round("unit_cost", 2).alias("unit_cost"),
                       F.round("total_cost", 2).alias("total_cost")))).alias("_items")))
-    headers = order_headers(lines, period).select(period, "supplier_id", "item_count", "total")
+    # one header row per part, so the join key includes the part and the parts of
+    # a huge supplier stay spread over tasks
+    n_parts = F.ceil(F.col("item_count") / chunk_size).cast("long")
+    headers = (order_headers(lines, period)
+               .select(period, "supplier_id", "item_count", "total",
+                       F.explode(F.sequence(F.lit(1).cast("long"), n_parts)).alias("part")))
     data_date = F.col(period).cast("string")
-    return (parts.join(headers, [period, "supplier_id"])
+    return (parts.join(headers, [period, "supplier_id", "part"])
             .select(
                 F.col(period), F.col("supplier_id"), F.col("supplier_name"), F.col("contact_email"),
                 plus_days_text(data_date, 1).alias("order_date"),

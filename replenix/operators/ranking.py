@@ -45,12 +45,14 @@ def split_groups(df: DataFrame, keys: list[str], max_rows: int, by: str, name: s
     """Add a ``chunk`` number so that every (keys, chunk) group holds about
     ``max_rows`` rows or fewer.
 
-    The number of chunks per group follows the group's size (a count per key,
-    combined map-side); rows are spread over them by a hash of ``by``.  Used to
-    cut files and documents of unbounded groups into bounded pieces.
+    Only groups larger than ``max_rows`` are split; their chunk counts travel as
+    one map value (a scalar subquery), which has at most rows / max_rows entries
+    whatever the data — no join back on the group key, so a hot group is never
+    routed to one task.  Rows are spread over a group's chunks by a hash of ``by``.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    n = F.greatest(F.lit(1), F.ceil(F.col("_size") / F.lit(max_rows))).cast("long")
-    return (df.join(sizes, keys)
-            .withColumn(name, F.pmod(F.xxhash64(F.col(by)), n))
-            .drop("_size"))
+    gkey = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > max_rows)
+    big = sizes.agg(F.map_from_entries(F.collect_list(F.struct(
+        gkey.alias("k"), F.ceil(F.col("_size") / F.lit(max_rows)).cast("long").alias("v"))))).scalar()
+    n = F.coalesce(F.element_at(big, gkey), F.lit(1).cast("long"))
+    return df.withColumn(name, F.pmod(F.xxhash64(F.col(by)), n))

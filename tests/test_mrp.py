@@ -107,3 +107,16 @@ def test_balanced_row_number_equals_window_on_hot_group(spark):
     want = rows.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     assert got.select("k", "id", "rn").exceptAll(want.select("k", "id", "rn")).count() == 0
     assert got.count() == 30000
+
+
+def test_split_groups_cuts_only_large_groups(spark):
+    from replenix.operators.ranking import split_groups
+    rows = spark.range(0, 20000).select(
+        F.when(F.col("id") < 15000, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+        F.col("id").cast("string").alias("rid"))
+    out = split_groups(rows, ["k"], 1000, by="rid")
+    sizes = out.groupBy("k", "chunk").count()
+    hot = sizes.where("k = 'hot'").collect()
+    assert len(hot) == 15 and max(r["count"] for r in hot) < 1500
+    assert sizes.where("k <> 'hot'").agg(F.max("chunk")).first()[0] == 0
+    assert out.count() == 20000
