@@ -40,6 +40,7 @@ class Config:
     suppliers: DataFrame | None = None
     product_suppliers: DataFrame | None = None
     products_json: str | None = None     # raw product file, for the required-field check
+    products_json_lines: bool = False    # True: one object per line (splittable); False: one JSON array
     expected_stores: list[str] = field(default_factory=list)
     expected_skus: list[str] = field(default_factory=list)
     spike_threshold: int = qc.DEMAND_SPIKE_THRESHOLD
@@ -60,9 +61,13 @@ def _in(dates: list[str]) -> Column:
 
 
 def ingest(spark: SparkSession, cfg: Config, dates: list[str]) -> dict:
-    """Raw files of the dates -> raw/orders, raw/inventory (+ rejects)."""
-    orders, rejects = files.ingest_directory(spark, cfg.orders_root, schemas.ORDERS, fmt="json", period=P)
-    stock, stock_rejects = files.ingest_directory(spark, cfg.stock_root, schemas.INVENTORY_TEXT, fmt="csv",
+    """Raw files of the dates -> raw/orders, raw/inventory (+ rejects).
+
+    Only the date folders of the run are listed and read, not the whole history."""
+    order_dirs = writers.existing_folders(spark, cfg.orders_root, dates)
+    stock_dirs = writers.existing_folders(spark, cfg.stock_root, dates)
+    orders, rejects = files.ingest_directory(spark, order_dirs, schemas.ORDERS, fmt="json", period=P)
+    stock, stock_rejects = files.ingest_directory(spark, stock_dirs, schemas.INVENTORY_TEXT, fmt="csv",
                                                   period=P)
     orders = orders.where(_in(dates))
     stock = stock.where(_in(dates))
@@ -115,8 +120,12 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
     # quality report
     periods = _periods(spark, dates)
     expected_skus = spark.createDataFrame([(s,) for s in cfg.expected_skus], "sku string")
-    if cfg.products_json:
-        raw = spark.read.option("wholetext", True).text(cfg.products_json)
+    if cfg.products_json and cfg.products_json_lines:
+        raw = spark.read.text(cfg.products_json).where(F.length(F.trim("value")) > 0)
+        pdocs = raw.select(F.get_json_object("value", "$.sku").alias("sku"), "value")
+    elif cfg.products_json:
+        # a single JSON array (the master export): each element kept as its own JSON text
+        raw = spark.read.text(cfg.products_json, wholetext=True)
         pdocs = (raw.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
                  .select(F.get_json_object("value", "$.sku").alias("sku"), "value"))
     else:

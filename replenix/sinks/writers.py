@@ -6,7 +6,7 @@ executor's task is simply re-run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from replenix import DEFAULT_PERIOD
 from replenix.session import apply_correctness_conf
@@ -31,11 +31,16 @@ def write_partitioned(df: DataFrame, path: str, by: str | list[str] = DEFAULT_PE
     spark = df.sparkSession
     apply_correctness_conf(spark)
     cols = [by] if isinstance(by, str) else list(by)
+    if touched and len(cols) == 1:
+        # the written periods are observed during the write itself (one pass; the
+        # set is bounded by the number of periods, not by the data)
+        obs = Observation("written_periods")
+        df = df.observe(obs, F.collect_set(F.col(cols[0]).cast("string")).alias("periods"))
     df.write.mode("overwrite").partitionBy(*cols).format(fmt).save(path)
     if touched and len(cols) == 1:
-        present = {r[0] for r in df.select(cols[0]).distinct().collect()}  # bounded: periods only
+        present = set(obs.get["periods"] or [])
         for v in touched:
-            if v not in present and str(v) not in {str(x) for x in present}:
+            if str(v) not in present:
                 _fs_delete(spark, f"{path.rstrip('/')}/{cols[0]}={v}")
 
 
@@ -44,6 +49,17 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def existing_folders(spark: SparkSession, root: str, names: list[str]) -> list[str]:
+    """The sub-folders ``root/<name>`` that exist (a listing, no data read)."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    have = {st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory()}
+    return [f"{root.rstrip('/')}/{n}" for n in names if n in have]
+
+
 def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet", by: list[str] | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS … AS SELECT: a second call changes nothing (K6)."""
     w = df.write.mode("ignore").format(fmt)

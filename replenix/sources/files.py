@@ -45,7 +45,7 @@ def _glob_ci(ext: str) -> str:
     return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext.lstrip("."))
 
 
-def ingest_directory(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "json",
+def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.StructType, fmt: str = "json",
                      period: str = DEFAULT_PERIOD, date_pattern: str = r"(\d{4}-\d{2}-\d{2})",
                      multi_line: bool = True, ext: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Walk ``root`` recursively and read every ``.<fmt>`` file.
@@ -64,10 +64,16 @@ def ingest_directory(spark: SparkSession, root: str, schema: T.StructType, fmt:
               .option("pathGlobFilter", _glob_ci(ext or "." + fmt))
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT))
+    roots = [root] if isinstance(root, str) else list(root)
+    if not roots:
+        empty = spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(period, T.StringType()),
+                                                                        T.StructField("source_file", T.StringType())]))
+        rej = spark.createDataFrame([], f"`{period}` string, source_file string, record string")
+        return empty, rej
     if fmt == "json":
-        df = reader.option("multiLine", multi_line).json(root)
+        df = reader.option("multiLine", multi_line).json(roots)
     elif fmt == "csv":
-        df = reader.option("header", True).csv(root)
+        df = reader.option("header", True).csv(roots)
     else:
         raise ValueError(f"unsupported input format: {fmt}")
     path = F.col("_metadata.file_path")
@@ -171,8 +177,9 @@ def read_order_documents(spark: SparkSession, path: str, one_per_file: bool = Fa
     exported one file per supplier; otherwise each line is a document (the
     layout Spark's JSON writer produces).
     """
+    # note: text()'s own wholetext argument would override an .option("wholetext")
     t = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _glob_ci(".json"))
-         .option("wholetext", one_per_file).text(path))
+         .text(path, wholetext=one_per_file))
     p = F.col("_metadata.file_path")
     t = t.select("value", parent_folder(p).alias("date_folder"), file_stem(p).alias("file_stem"))
     if not one_per_file:

@@ -142,3 +142,47 @@ def test_missing_keys_counts_null_value_as_present(spark):
     df = spark.createDataFrame([('{"a":null,"b":1}',), ('{"b":2}',), ("[1]",)], "v string")
     got = [r.m for r in df.select(missing_keys("v", ["a", "b"]).alias("m")).collect()]
     assert got == ["", "a", "a,b"]
+
+
+def test_document_reader_both_formats_one_per_file(spark, tmp_dir):
+    d = f"{tmp_dir}/output/2026-01-14"
+    os.makedirs(d)
+    with open(f"{d}/SUP_001.json", "w") as f:      # legacy list, supplier from the file name
+        json.dump([{"sku": "SKU_1001", "quantity": 216}, {"sku": "SKU_1002"}], f, indent=2)
+    with open(f"{d}/SUP_002.json", "w") as f:      # current format, pretty-printed
+        json.dump({"supplier_id": "SUP_002", "supplier_name": "DairyMax Ltd", "order_date": "2026-01-15",
+                   "data_date": "2026-01-14", "items": [{"sku": "SKU_1002", "product_name": "Milk 1L",
+                                                         "quantity": 48, "unit_cost": 0.85, "total_cost": 40.8}],
+                   "total_estimated_cost": 40.8}, f, indent=2)
+    with open(f"{d}/notes.txt", "w") as f:
+        f.write("not a document")
+    rows = sorted(tuple(r) for r in files.read_order_documents(spark, f"{tmp_dir}/output", one_per_file=True)
+                  .select("date", "data_date", "supplier_id", "supplier_name", "sku", "product_name", "quantity",
+                          "unit_cost", "order_total_cost").collect())
+    assert rows == [
+        ("2026-01-14", "2026-01-14", "SUP_001", "SUP_001", "SKU_1001", "SKU_1001", 216, 0.0, 0.0),
+        ("2026-01-14", "2026-01-14", "SUP_001", "SUP_001", "SKU_1002", "SKU_1002", 0, 0.0, 0.0),
+        ("2026-01-15", "2026-01-14", "SUP_002", "DairyMax Ltd", "SKU_1002", "Milk 1L", 48, 0.85, 40.8),
+    ]
+
+
+def test_iso_timestamp_parse(spark):
+    from replenix.functions.exprs import parse_iso_ts
+    df = spark.createDataFrame([("2026-01-14T22:05:12.483000Z",), ("2026-01-14T22:05:12",), ("garbage",), (None,)],
+                               "t string")
+    got = [r.ts for r in df.select(parse_iso_ts("t").alias("ts")).collect()]
+    assert got[0] is not None and got[1] is not None and got[2] is None and got[3] is None
+
+
+def test_product_file_with_missing_field(spark, tmp_dir):
+    _write_inputs(tmp_dir)
+    prods = [dict(zip(["sku", "name", "supplier_id", "pack_size", "moq", "lead_time_days", "safety_stock"], p))
+             for p in PRODUCTS]
+    del prods[2]["safety_stock"]                   # key absent, not null
+    prods[1]["moq"] = None                         # key present with null: not reported
+    with open(f"{tmp_dir}/products.json", "w") as f:
+        json.dump(prods, f, indent=2)
+    out = pipeline.run(spark, _cfg(spark, tmp_dir), "2026-01-14", clock=F.lit(CLOCK_TEXT))
+    assert _summary(out, "2026-01-14") == (1, 0, 4, 5)
+    rep = {(r.check, r.level, r.detail) for r in out["report"].collect()}
+    assert ("missing_supplier_mapping", "ERROR", "safety_stock") in rep
