@@ -55,6 +55,15 @@ def dashboard_kpis(products: DataFrame, suppliers: DataFrame, lines: DataFrame,
             .select(n_p.alias("n_products"), n_s.alias("n_suppliers"), "total_units", "total_cost"))
 
 
+def kpi_text(kpis: DataFrame, currency: str = "€") -> DataFrame:
+    """The KPI tiles as display text: thousands separators, two decimals for money."""
+    return kpis.select(
+        F.format_number(F.col("n_products"), 0).alias("products_text"),
+        F.format_number(F.col("n_suppliers"), 0).alias("suppliers_text"),
+        F.format_number(F.col("total_units"), 0).alias("units_text"),
+        F.concat(F.format_number(F.col("total_cost"), 2), F.lit(" " + currency)).alias("cost_text"))
+
+
 def orders_for_date(lines: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
     """Per period: units, cost, distinct suppliers; shown only when the cost is positive."""
     return (lines.groupBy(period)

@@ -346,6 +346,18 @@ FROM pos GROUP BY exec_year""")
 q("scan_inventory_csv", "SELECT sku, exec_year, warehouse, available_stock, reserved_stock FROM inventory")
 q("roundtrip_parquet", "SELECT * FROM net")
 q("idempotent_rerun", "SELECT * FROM net")
+q("archive_partition", "SELECT * FROM net WHERE exec_year = (SELECT MAX(exec_year) FROM net)")
+
+q("dashboard_kpi_text", """
+SELECT format('{:,}', n_products) AS products_text, format('{:,}', n_suppliers) AS suppliers_text,
+       format('{:,}', total_units) AS units_text, format('{:,.2f}', CAST(total_cost AS DOUBLE)) || ' €' AS cost_text
+FROM (
+  SELECT (SELECT COUNT(*) FROM products) AS n_products, (SELECT COUNT(*) FROM suppliers) AS n_suppliers,
+         CAST(COALESCE(SUM(quantity), 0) AS BIGINT) AS total_units,
+         CAST(COALESCE(SUM(CAST(quantity AS DECIMAL(18,0)) * CAST(unit_cost AS DECIMAL(10,2))), 0)
+              AS DECIMAL(18,2)) AS total_cost
+  FROM line) k""")
+
 q("partition_audit", """
 SELECT 'aggregated_orders' AS table_name, exec_year, COUNT(*) AS row_count FROM demand GROUP BY exec_year
 UNION ALL

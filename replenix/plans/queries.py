@@ -286,6 +286,11 @@ def dashboard_kpis(v: Views) -> DataFrame:
     return rep.dashboard_kpis(v.products, v.suppliers, v.lines, P)
 
 
+@query("dashboard_kpi_text")
+def dashboard_kpi_text(v: Views) -> DataFrame:
+    return rep.kpi_text(rep.dashboard_kpis(v.products, v.suppliers, v.lines, P))
+
+
 @query("orders_for_date")
 def orders_for_date(v: Views) -> DataFrame:
     return rep.orders_for_date(v.lines, P)
@@ -433,6 +438,16 @@ def idempotent_rerun(v: Views) -> DataFrame:
     return _net_back(v, path)
 
 
+@query("archive_partition")
+def archive_partition(v: Views) -> DataFrame:
+    """Archive the newest period of the net-demand table into a second table."""
+    base = scratch_path(v.spark, "processed")
+    writers.write_partitioned(v.net, f"{base}/net_demand", P)
+    newest = v.net.agg(F.max(P)).first()[0]   # one value
+    back = writers.archive(v.spark, f"{base}/net_demand", f"{base}/archive/net_demand", [newest], P)
+    return back.select(*[F.col(c) for c in v.net.columns if c != P], F.col(P).cast("int").alias(P))
+
+
 @query("partition_audit")
 def partition_audit(v: Views) -> DataFrame:
     base = scratch_path(v.spark, "processed")

@@ -20,6 +20,8 @@ CORRECTNESS_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # exec_date folders stay strings, as declared
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # time-zone-less Parquet timestamps stay zone-less (year/day never shift with the session zone)
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
 }
 
 # Execution settings for local runs; a cluster sets its own sizes.

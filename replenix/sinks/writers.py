@@ -81,6 +81,15 @@ def write_documents(docs: DataFrame, path: str, period: str = DEFAULT_PERIOD,
     out.write.mode("overwrite").partitionBy("date", "supplier").json(path)
 
 
+def archive(spark: SparkSession, src: str, dst: str, dates: list, period: str = DEFAULT_PERIOD,
+            fmt: str = "parquet") -> DataFrame:
+    """Copy the partitions of ``dates`` from one table to another (K9): a
+    partition-pruned read and a per-partition replacing write; returns the copy."""
+    part = spark.read.format(fmt).load(src).where(F.col(period).isin(*[str(d) for d in dates]))
+    write_partitioned(part, dst, period, fmt=fmt, touched=list(dates))
+    return spark.read.format(fmt).load(dst).where(F.col(period).isin(*[str(d) for d in dates]))
+
+
 def partition_audit(spark: SparkSession, tables: dict, period: str = DEFAULT_PERIOD) -> DataFrame:
     """Rows and files per (table, period) of written tables (K9).
 

@@ -73,6 +73,13 @@ def test_daily_run_goldens(spark, tmp_dir):
     assert got == {("SUP_001", "SKU_1001"): (120, 144.0, "2026-01-15", 144.0),
                    ("SUP_002", "SKU_1002"): (96, 81.6, "2026-01-15", 108.0),
                    ("SUP_002", "SKU_1003"): (24, 26.4, "2026-01-15", 108.0)}
+    # report entries and summary written per date; run log appended; audit of the written partitions
+    assert spark.read.json(f"{tmp_dir}/out/logs/exceptions").count() == 5
+    log = spark.read.parquet(f"{tmp_dir}/out/run_log").collect()
+    assert [(r.start_date, r.end_date, r.dates_with_orders, r.sku_count) for r in log] == \
+        [("2026-01-14", "2026-01-14", 1, 3)]
+    audit = {(r.table_name, r[P]): r.row_count for r in out["audit"].collect()}
+    assert audit == {("aggregated_orders", "2026-01-14"): 3, ("net_demand", "2026-01-14"): 3}
 
 
 def test_report_without_inputs(spark, tmp_dir):
