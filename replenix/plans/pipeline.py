@@ -42,7 +42,7 @@ class Config:
     products_json: str | None = None     # raw product file, for the required-field check
     products_json_lines: bool = False    # True: one object per line (splittable); False: one JSON array
     expected_stores: list[str] = field(default_factory=list)
-    expected_skus: list[str] = field(default_factory=list)
+    expected_skus: list[str] | DataFrame = field(default_factory=list)   # a list or a one-column table
     spike_threshold: int = qc.DEMAND_SPIKE_THRESHOLD
     chunk_size: int = ords.DEFAULT_CHUNK
 
@@ -119,7 +119,9 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
 
     # quality report
     periods = _periods(spark, dates)
-    expected_skus = spark.createDataFrame([(s,) for s in cfg.expected_skus], "sku string")
+    expected_skus = (cfg.expected_skus.select(F.col(cfg.expected_skus.columns[0]).cast("string").alias("sku"))
+                     if isinstance(cfg.expected_skus, DataFrame)
+                     else spark.createDataFrame([(s,) for s in cfg.expected_skus], "sku string"))
     if cfg.products_json and cfg.products_json_lines:
         raw = spark.read.text(cfg.products_json).where(F.length(F.trim("value")) > 0)
         pdocs = raw.select(F.get_json_object("value", "$.sku").alias("sku"), "value")
@@ -149,3 +151,59 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
     writers.append_run_log(spark, f"{base}/run_log", run_row)
     return {"orders": orders, "demand": demand, "net_demand": net, "lines": lines, "documents": docs,
             "report": details, "summary": summary, "audit": audit, "metrics": metrics}
+
+
+def _master_table(spark: SparkSession, path: str, schema, defaults: dict) -> DataFrame:
+    """A master table from a JSON (array or lines) / CSV / Parquet file, columns
+    absent from the file filled with their defaults."""
+    from pyspark.sql import types as T
+    low = path.lower()
+    if low.endswith(".parquet"):
+        df = spark.read.parquet(path)
+    elif low.endswith(".csv"):
+        df = spark.read.option("header", True).csv(path)
+    else:
+        df = spark.read.option("multiLine", True).json(path)
+    present = [f for f in schema.fields if f.name in df.columns]
+    df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present])
+    return mst.apply_defaults(df, T.StructType(schema.fields), defaults)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: run one date or a range over a data folder laid out as
+    raw/orders/<date>/<STORE>.json, raw/stock/<date>/inventory.csv plus master files."""
+    import argparse
+
+    from replenix.session import build_session
+    ap = argparse.ArgumentParser(prog="python -m replenix.plans.pipeline")
+    ap.add_argument("--data", required=True, help="folder with raw/orders and raw/stock")
+    ap.add_argument("--out", required=True, help="output base (tables, documents, reports)")
+    ap.add_argument("--products", required=True)
+    ap.add_argument("--suppliers", required=True)
+    ap.add_argument("--product-suppliers", required=True)
+    ap.add_argument("--start", required=True)
+    ap.add_argument("--end")
+    ap.add_argument("--stores", default="", help="expected stores, comma separated")
+    ap.add_argument("--skus", default="", help="expected SKUs, comma separated (default: all products)")
+    ap.add_argument("--spike-threshold", type=int, default=qc.DEMAND_SPIKE_THRESHOLD)
+    ap.add_argument("--master", default=None, help="Spark master (default: the cluster's, or local)")
+    a = ap.parse_args(argv)
+    spark = build_session(master=a.master) if a.master else build_session()
+    products = _master_table(spark, a.products, schemas.PRODUCTS, schemas.PRODUCT_DEFAULTS)
+    cfg = Config(
+        orders_root=f"{a.data}/raw/orders", stock_root=f"{a.data}/raw/stock", out_base=a.out,
+        products=products,
+        suppliers=_master_table(spark, a.suppliers, schemas.SUPPLIERS, schemas.SUPPLIER_DEFAULTS),
+        product_suppliers=_master_table(spark, a.product_suppliers, schemas.PRODUCT_SUPPLIERS,
+                                        schemas.PRODUCT_SUPPLIER_DEFAULTS),
+        products_json=a.products if a.products.lower().endswith(".json") else None,
+        expected_stores=[x for x in a.stores.split(",") if x],
+        expected_skus=[x for x in a.skus.split(",") if x] or products.select("sku"),
+        spike_threshold=a.spike_threshold)
+    out = run(spark, cfg, a.start, a.end)
+    out["summary"].orderBy(P).show(truncate=False)
+    out["metrics"].orderBy(P).show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

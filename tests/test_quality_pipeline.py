@@ -193,3 +193,21 @@ def test_product_file_with_missing_field(spark, tmp_dir):
     assert _summary(out, "2026-01-14") == (1, 0, 4, 5)
     rep = {(r.check, r.level, r.detail) for r in out["report"].collect()}
     assert ("missing_supplier_mapping", "ERROR", "safety_stock") in rep
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    _write_inputs(tmp_dir, dates=("2026-01-13", "2026-01-14"))
+    with open(f"{tmp_dir}/suppliers.json", "w") as f:
+        json.dump([dict(zip(["supplier_id", "name", "contact_email"], s)) for s in SUPPLIERS], f)
+    with open(f"{tmp_dir}/product_suppliers.csv", "w") as f:
+        f.write("sku,supplier_id,unit_cost,priority,is_preferred\n")
+        for sku, sid, cost, prio, pref in PRODUCT_SUPPLIERS:
+            f.write(f"{sku},{sid},{cost},{prio},{str(pref).lower()}\n")
+    pipeline.main(["--data", tmp_dir, "--out", f"{tmp_dir}/out", "--products", f"{tmp_dir}/products.json",
+                   "--suppliers", f"{tmp_dir}/suppliers.json", "--product-suppliers",
+                   f"{tmp_dir}/product_suppliers.csv", "--start", "2026-01-13", "--end", "2026-01-14",
+                   "--stores", ",".join(STORES)])
+    net = {(r[P], r.sku): r.final_order_qty for r in spark.read.parquet(f"{tmp_dir}/out/processed/net_demand").collect()}
+    assert net == {(d, s): fin for d, s, _, _, _, _, _, fin, _ in GOLDEN if d in ("2026-01-13", "2026-01-14")}
+    summ = {r[P]: (r.errors, r.warnings, r.infos) for r in spark.read.json(f"{tmp_dir}/out/logs/summary").collect()}
+    assert summ == {"2026-01-13": (0, 0, 5), "2026-01-14": (0, 0, 5)}
