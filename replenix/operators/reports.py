@@ -104,3 +104,23 @@ def freshness_status(flag_ts, *data_ts, tolerance_seconds: int = 30) -> Column:
     return (F.when(flag.isNotNull() & newest_data.isNotNull() & late, F.lit("stale"))
             .when(newest_data.isNotNull() & flag.isNull(), F.lit("missing_flag"))
             .when(newest_data.isNotNull() & flag.isNotNull(), F.lit("ok")))
+
+
+def newest_file_time(spark, path: str, fmt: str = "parquet"):
+    """Newest modification time of the data files below ``path`` (a one-row frame)."""
+    df = spark.read.format(fmt).option("recursiveFileLookup", True).load(path)
+    return df.select(F.col("_metadata.file_modification_time").alias("t")).agg(F.max("t").alias("newest"))
+
+
+def pipeline_freshness(spark, run_log: DataFrame, data_times: list[DataFrame],
+                       tolerance_seconds: int = 30) -> DataFrame:
+    """Status of the last run marker against the newest written data (B6, K10):
+    marker = newest ``run_at`` of the run log, data = newest file time of the
+    outputs.  Each input is a one-value aggregate used as a scalar subquery."""
+    from replenix.functions.exprs import parse_iso_ts
+    flag = run_log.agg(F.max(parse_iso_ts("run_at"))).scalar()
+    times = [d.agg(F.max("newest")).scalar() for d in data_times]
+    newest_data = F.greatest(*times) if len(times) > 1 else times[0]
+    return (spark.range(1)
+            .select(flag.alias("flag_ts"), newest_data.alias("newest_data"))
+            .withColumn("status", freshness_status("flag_ts", "newest_data", tolerance_seconds=tolerance_seconds)))

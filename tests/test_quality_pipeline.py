@@ -211,3 +211,23 @@ def test_command_line_run(spark, tmp_dir, capsys):
     assert net == {(d, s): fin for d, s, _, _, _, _, _, fin, _ in GOLDEN if d in ("2026-01-13", "2026-01-14")}
     summ = {r[P]: (r.errors, r.warnings, r.infos) for r in spark.read.json(f"{tmp_dir}/out/logs/summary").collect()}
     assert summ == {"2026-01-13": (0, 0, 5), "2026-01-14": (0, 0, 5)}
+
+
+def test_freshness_of_pipeline_outputs(spark, tmp_dir):
+    from replenix.operators import reports as rep
+    _write_inputs(tmp_dir)
+    cfg = _cfg(spark, tmp_dir)
+    base = f"{tmp_dir}/out"
+
+    def status():
+        data = [rep.newest_file_time(spark, f"{base}/processed/net_demand"),
+                rep.newest_file_time(spark, f"{base}/output/supplier_orders", fmt="json")]
+        return rep.pipeline_freshness(spark, spark.read.parquet(f"{base}/run_log"), data).first().status
+
+    pipeline.run(spark, cfg, "2026-01-14")                          # marker written after the data
+    assert status() == "ok"
+    pipeline.run(spark, cfg, "2026-01-14", clock=F.lit("2000-01-01T00:00:00"))   # only an old marker
+    import shutil
+    shutil.rmtree(f"{base}/run_log")
+    spark.createDataFrame([("2000-01-01T00:00:00",)], "run_at string").write.parquet(f"{base}/run_log")
+    assert status() == "stale"
