@@ -18,8 +18,17 @@ WAREHOUSES = (0, 1)        # WH_1 only for even SKUs
 POS_YEAR = 1997            # the single period of the filtered scan
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A source table, opened once per session (file listing and schema read once),
+    as a catalog table would be.  The inputs are read-only."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df
 
 
 def pos(spark: SparkSession, sf_dir: str, with_store: bool = True) -> DataFrame:
