@@ -42,17 +42,14 @@ def balanced_row_number(df: DataFrame, partition_by: list[str], order_by: list[C
 
 
 def split_groups(df: DataFrame, keys: list[str], max_rows: int, by: str, name: str = "chunk") -> DataFrame:
-    """Add a ``chunk`` number so that every (keys, chunk) group holds about
-    ``max_rows`` rows or fewer.
-
-    Only groups larger than ``max_rows`` are split; their chunk counts travel as
-    one map value (a scalar subquery), which has at most rows / max_rows entries
-    whatever the data — no join back on the group key, so a hot group is never
-    routed to one task.  Rows are spread over a group's chunks by a hash of ``by``.
+    """Add a ``chunk`` number so that every (keys, chunk) group holds at most
+    ``max_rows`` rows: rows are numbered within their group in ``by`` order
+    (balanced numbering, so a hot group is cut over many tasks) and chunk
+    ``c`` takes rows ``c * max_rows + 1 … (c + 1) * max_rows``.  Groups of at
+    most ``max_rows`` rows stay whole (chunk 0).  Nothing about the groups is
+    gathered or broadcast: the only per-group state is one count per (group,
+    slice).
     """
-    gkey = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > max_rows)
-    big = sizes.agg(F.map_from_entries(F.collect_list(F.struct(
-        gkey.alias("k"), F.ceil(F.col("_size") / F.lit(max_rows)).cast("long").alias("v"))))).scalar()
-    n = F.coalesce(F.element_at(big, gkey), F.lit(1).cast("long"))
-    return df.withColumn(name, F.pmod(F.xxhash64(F.col(by)), n))
+    numbered = balanced_row_number(df, keys, [F.col(by).asc_nulls_last()], name="_rn")
+    return (numbered.withColumn(name, F.floor((F.col("_rn") - 1) / F.lit(max_rows)).cast("long"))
+            .drop("_rn"))
