@@ -151,25 +151,52 @@ def inventory_findings(parsed: DataFrame, period: str = DEFAULT_PERIOD) -> DataF
 # --- report ----------------------------------------------------------------------
 
 def orders_rollup(orders: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
-    """Quantity per (period, store, sku): the one aggregate checks 1 and 4 need.
+    """The one aggregate of the orders that checks 1 and 4 need, in one pass:
+    GROUPING SETS ((period, store_id), (period, sku)) with the quantity summed.
+
+    -> period, store_id, sku, quantity, kind ('store': one row per store that
+    sent orders, sku NULL; 'sku': the period total of one SKU over all stores,
+    store_id NULL).  Both kinds come from one scan, one partial aggregation and
+    one shuffle; a NULL sku or store stays its own group (told apart by the
+    grouping id, not by the NULL).
+    """
+    g = (orders.groupingSets([[period, "store_id"], [period, "sku"]], period, "store_id", "sku")
+         .agg(F.sum(F.coalesce(F.col("quantity").cast("long"), F.lit(0))).alias("quantity"),
+              F.grouping_id().alias("_gid")))
+    kind = F.when(F.col("_gid") == 1, F.lit("store")).otherwise(F.lit("sku"))
+    return g.select(period, "store_id", "sku", "quantity", kind.alias("kind"))
+
+
+def rollup_stores(rollup: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
+    """(period, store_id) of every store with orders, from ``orders_rollup``."""
+    return rollup.where(F.col("kind") == "store").select(period, "store_id")
+
+
+def rollup_spikes(rollup: DataFrame, threshold: int = DEMAND_SPIKE_THRESHOLD,
+                  period: str = DEFAULT_PERIOD) -> DataFrame:
+    """SKU totals above the threshold from ``orders_rollup`` -> period, sku, total_demand."""
+    return (rollup.where((F.col("kind") == "sku") & (F.col("quantity") > threshold))
+            .select(period, "sku", F.col("quantity").alias("total_demand")))
 
-    Checks 1 and 4 both read it, so the order scan (and any join behind it) runs
-    once and the shuffle is shared."""
-    return orders.groupBy(period, "store_id", "sku").agg(
-        F.sum(F.coalesce(F.col("quantity").cast("long"), F.lit(0))).alias("quantity"))
 
 def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame, expected_skus: DataFrame,
                   products: DataFrame, product_docs: DataFrame, expected_stores: list[str],
-                  threshold: int = DEMAND_SPIKE_THRESHOLD, period: str = DEFAULT_PERIOD) -> DataFrame:
-    """Per period: how many findings of each kind (the inputs of the summary)."""
+                  threshold: int = DEMAND_SPIKE_THRESHOLD, period: str = DEFAULT_PERIOD,
+                  rollup: DataFrame | None = None) -> DataFrame:
+    """Per period: how many findings of each kind (the inputs of the summary).
+
+    The order side is one chain: ``orders_rollup`` and then one aggregate per
+    period counting both kinds of rows, so the orders are read once.  Pass
+    ``rollup`` to reuse one already built (e.g. checkpointed).
+    """
     exp = F.array(*[F.lit(s) for s in expected_stores])
-    rollup = orders_rollup(orders, period)
-    found = stores_found(rollup, period)
-    stores = (found.groupBy(period)
-              .agg(F.count_if(F.array_contains(exp, F.col("store_id"))).alias("n_found_expected"),
-                   F.count_if(~F.array_contains(exp, F.col("store_id"))).alias("n_extra"))
-              .withColumn("has_orders", F.lit(True)))
-    spikes = demand_spikes(rollup, threshold, period).groupBy(period).agg(F.count(F.lit(1)).alias("n_spikes"))
+    r = rollup if rollup is not None else orders_rollup(orders, period)
+    is_store = F.col("kind") == "store"
+    order_side = (r.groupBy(period)
+                  .agg(F.count_if(is_store & F.array_contains(exp, F.col("store_id"))).alias("n_found_expected"),
+                       F.count_if(is_store & ~F.array_contains(exp, F.col("store_id"))).alias("n_extra"),
+                       F.count_if((F.col("kind") == "sku") & (F.col("quantity") > threshold)).alias("n_spikes"))
+                  .withColumn("has_orders", F.lit(True)))
     inv = (parsed_inv.groupBy(period)
            .agg(F.count(F.lit(1)).alias("n_inv_rows"),
                 F.count_if(~F.col("valid")).alias("n_invalid"),
@@ -181,7 +208,7 @@ def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
     n_fields = missing_fields(product_docs).agg(F.count(F.lit(1))).scalar()
     z = F.lit(0).cast("long")
     return (periods.select(period).distinct()
-            .join(stores, period, "left").join(spikes, period, "left")
+            .join(order_side, period, "left")
             .join(inv, period, "left").join(absent, period, "left")
             .select(period,
                     F.coalesce("has_orders", F.lit(False)).alias("has_orders"),
@@ -222,12 +249,15 @@ def report_summary(counts: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame
 def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame, expected_skus: DataFrame,
                    products: DataFrame, product_docs: DataFrame, expected_stores: list[str],
                    counts: DataFrame, threshold: int = DEMAND_SPIKE_THRESHOLD,
-                   period: str = DEFAULT_PERIOD, clock: Column | None = None) -> DataFrame:
+                   period: str = DEFAULT_PERIOD, clock: Column | None = None,
+                   rollup: DataFrame | None = None) -> DataFrame:
     """Every report entry as a row -> period, seq, timestamp, level, check, message, detail.
 
     ``seq`` is the check number, which orders entries as in the report.  The INFO
     lines come from ``counts`` (one row per period), the findings from the detail
-    tables; nothing is gathered per period.
+    tables; nothing is gathered per period.  Checks 1 and 4 read ``orders_rollup``
+    twice (missing stores, spikes): pass a checkpointed ``rollup`` to read the
+    orders once.
     """
     ts = clock if clock is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     M = MESSAGES
@@ -237,8 +267,8 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                          F.lit(check).alias("check"), message.alias("message"), _s(detail).alias("detail"))
 
     cp = counts
-    rollup = orders_rollup(orders, period)
-    found = stores_found(rollup, period)
+    r = rollup if rollup is not None else orders_rollup(orders, period)
+    found = rollup_stores(r, period)
     parts = [
         entry(cp.where(~F.col("has_orders")), 1, ERROR, CHECKS[0],
               F.format_string(M["orders_absent"], _s(period)), F.col(period)),
@@ -262,7 +292,7 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
               F.format_string(M["fields_missing"], _s("sku"), F.col("missing")), F.col("missing")),
         entry(cp.where(F.col("n_unmapped") + F.col("n_missing_fields") == 0), 3, INFO, CHECKS[2],
               F.lit(M["mapping_ok"]), F.lit("")),
-        entry(demand_spikes(rollup, threshold, period), 4, WARNING, CHECKS[3],
+        entry(rollup_spikes(r, threshold, period), 4, WARNING, CHECKS[3],
               F.format_string(M["spike"], _s("sku"), _s("total_demand"), F.lit(str(threshold))),
               F.concat(F.lit("total_demand="), _s("total_demand"))),
         entry(cp.where(F.col("has_orders") & (F.col("n_spikes") == 0)), 4, INFO, CHECKS[3],

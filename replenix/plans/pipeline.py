@@ -132,10 +132,13 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
                  .select(F.get_json_object("value", "$.sku").alias("sku"), "value"))
     else:
         pdocs = qc.product_documents(products.drop("supplier_id"), preferred)
+    # the orders' store / SKU rollup feeds checks 1 and 4 of both the counts and the
+    # entries: built once, checkpointed in the shared folder, read three times
+    rollup = qc.orders_rollup(orders, P).checkpoint(eager=True)
     counts = qc.report_counts(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
-                              cfg.spike_threshold, P).checkpoint(eager=True)   # one row per date, read 10x
+                              cfg.spike_threshold, P, rollup=rollup).checkpoint(eager=True)   # one row per date
     details = qc.report_details(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
-                                counts, cfg.spike_threshold, P, clock=clock)
+                                counts, cfg.spike_threshold, P, clock=clock, rollup=rollup)
     summary = qc.report_summary(counts, P)
     writers.write_partitioned(details, f"{base}/logs/exceptions", P, fmt="json", touched=dates)
     writers.write_partitioned(summary, f"{base}/logs/summary", P, fmt="json", touched=dates)

@@ -18,7 +18,7 @@ from replenix.operators import orders as ords
 from replenix.operators import quality as qc
 from replenix.operators import reports as rep
 from replenix.operators import suppliers as sup
-from replenix.session import scratch_path
+from replenix.session import checkpoint_root, scratch_path
 from replenix.operators.ranking import split_groups
 from replenix.sinks import catalog, writers
 from replenix.sources import files
@@ -190,9 +190,9 @@ def _product_docs(v: Views) -> DataFrame:
     return qc.product_documents(v.products, v.preferred)
 
 
-def _counts(v: Views) -> DataFrame:
+def _counts(v: Views, rollup: DataFrame | None = None) -> DataFrame:
     return qc.report_counts(qc_periods(v), v.pos, _parsed_inventory(v), v.expected_skus, v.products,
-                            _product_docs(v), expected_stores(), qc.DEMAND_SPIKE_THRESHOLD, P)
+                            _product_docs(v), expected_stores(), qc.DEMAND_SPIKE_THRESHOLD, P, rollup=rollup)
 
 
 @query("stores_found")
@@ -249,9 +249,13 @@ def qc_report_summary(v: Views) -> DataFrame:
 @query("qc_report_entries")
 def qc_report_entries(v: Views) -> DataFrame:
     """The report body without run stamps and message text: period, seq, level, check, detail."""
+    # the store / SKU rollup of the orders is read by the counts and by two entry
+    # sections: checkpointed once (shared folder) so the order lines are read once
+    checkpoint_root(v.spark)
+    rollup = qc.orders_rollup(v.pos, P).checkpoint(eager=True)
     d = qc.report_details(qc_periods(v), v.pos, _parsed_inventory(v), v.expected_skus, v.products,
-                          _product_docs(v), expected_stores(), _counts(v), qc.DEMAND_SPIKE_THRESHOLD, P,
-                          clock=fixed_clock())
+                          _product_docs(v), expected_stores(), _counts(v, rollup), qc.DEMAND_SPIKE_THRESHOLD, P,
+                          clock=fixed_clock(), rollup=rollup)
     return d.select(P, "seq", "level", "check", "detail")
 
 
