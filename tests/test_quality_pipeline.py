@@ -145,6 +145,24 @@ def test_quality_edge_cases(spark):
     assert s["d2"] == (2 + 1 + 1, 0, 1)
 
 
+def test_orders_rollup_matches_separate_aggregates_with_null_keys(spark):
+    """The one-pass grouping-sets rollup gives the same stores and SKU totals as the
+    two separate aggregates, with a NULL sku / store kept as its own group."""
+    orders = spark.createDataFrame(
+        [("d1", "STORE_01", "A", 150), ("d1", "STORE_01", "A", 60), ("d1", None, "A", 5),
+         ("d1", "STORE_02", None, 300), ("d1", "STORE_02", None, None), ("d2", "STORE_01", "B", 1)],
+        "exec_date string, store_id string, sku string, quantity int")
+    from collections import Counter
+    r = qc.orders_rollup(orders, P)
+    stores = Counter(tuple(x) for x in qc.rollup_stores(r, P).collect())
+    assert stores == Counter(tuple(x) for x in qc.stores_found(orders, P).collect())
+    assert stores[("d1", None)] == 1
+    spikes = Counter(tuple(x) for x in qc.rollup_spikes(r, 200, P).collect())
+    assert spikes == Counter(tuple(x) for x in qc.demand_spikes(orders, 200, P).collect())
+    assert spikes == Counter([("d1", None, 300), ("d1", "A", 215)])
+    assert {(x.kind, x[P]) for x in r.collect()} == {("store", "d1"), ("sku", "d1"), ("store", "d2"), ("sku", "d2")}
+
+
 def test_missing_keys_counts_null_value_as_present(spark):
     df = spark.createDataFrame([('{"a":null,"b":1}',), ('{"b":2}',), ("[1]",)], "v string")
     got = [r.m for r in df.select(missing_keys("v", ["a", "b"]).alias("m")).collect()]
