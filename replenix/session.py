@@ -65,8 +65,10 @@ def apply_correctness_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Read from the session; only when it is unset (tests, local runs) a fresh
-    folder is created and registered.
+    Read from the session; only when it is unset on a local-mode session (tests,
+    local runs) a fresh folder is created and registered.  A cluster session
+    without one is an error: a machine-local folder is not visible to the other
+    executors and does not survive losing this one.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -74,6 +76,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(cur)
         return sc.getCheckpointDir() or cur
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (e.g. on HDFS or an "
+                           "object store) for checkpoints and intermediate tables")
     path = tempfile.mkdtemp(prefix="replenix-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
