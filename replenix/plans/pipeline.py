@@ -72,10 +72,12 @@ def ingest(spark: SparkSession, cfg: Config, dates: list[str]) -> dict:
     orders = orders.where(_in(dates))
     stock = stock.where(_in(dates))
     base = cfg.out_base.rstrip("/")
-    return {"orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates),
-            "stock": _materialize(stock.drop("source_file"), f"{base}/raw/inventory", dates),
+    # the files come in date folders, so each read task already holds one date:
+    # written as read, without a rebalancing shuffle of the raw feed
+    return {"orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates, rebalance=False),
+            "stock": _materialize(stock.drop("source_file"), f"{base}/raw/inventory", dates, rebalance=False),
             "rejects": _materialize(rejects.unionByName(stock_rejects).where(_in(dates)),
-                                    f"{base}/raw/rejects", dates)}
+                                    f"{base}/raw/rejects", dates, rebalance=False)}
 
 
 def _read(spark: SparkSession, path: str, dates: list[str], like: DataFrame) -> DataFrame:
@@ -86,8 +88,8 @@ def _read(spark: SparkSession, path: str, dates: list[str], like: DataFrame) ->
     return spark.read.schema(T.StructType(cols)).parquet(path).where(_in(dates))
 
 
-def _materialize(df: DataFrame, path: str, dates: list[str]) -> DataFrame:
-    writers.write_partitioned(df, path, P, touched=dates)
+def _materialize(df: DataFrame, path: str, dates: list[str], rebalance: bool = True) -> DataFrame:
+    writers.write_partitioned(df, path, P, touched=dates, rebalance=rebalance)
     return _read(df.sparkSession, path, dates, df)
 
 

@@ -348,8 +348,9 @@ def _write_json_arrays(v: Views, path: str) -> None:
               .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(F.to_json(F.struct(
                   "order_id", "store_id", "sku", "quantity", "timestamp")))), F.lit("]")).alias("value"))
               .select(F.col(P).cast("string").alias("date"), F.col("store_id").alias("store"), "value"))
-    (arrays.repartition("date", "store").write.mode("overwrite").option("maxRecordsPerFile", 1)
-     .partitionBy("date", "store").text(path))
+    # each chunk row is one file; the chunks of a hot store-day stay spread over the
+    # tasks of the aggregate (no repartition by store-day)
+    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("date", "store").text(path)
 
 
 def _feed_result(df: DataFrame, period_col: str) -> DataFrame:

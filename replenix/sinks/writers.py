@@ -21,16 +21,23 @@ def _fs_delete(spark: SparkSession, path: str) -> bool:
 
 
 def write_partitioned(df: DataFrame, path: str, by: str | list[str] = DEFAULT_PERIOD, fmt: str = "parquet",
-                      touched: list | None = None) -> None:
+                      touched: list | None = None, rebalance: bool = True) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite, K2/K4/K5).
 
     Other dates keep their data.  ``touched`` lists the periods this run is
     responsible for: a touched period with no result rows has its old folder
     removed, which dynamic overwrite alone would leave behind.
+
+    ``rebalance``: rows are redistributed by the partition columns before the
+    write (REBALANCE hint), so each folder gets files of the advisory size
+    instead of one small file per task and period (a backfill of many dates);
+    AQE splits a period that is too big for one task.
     """
     spark = df.sparkSession
     apply_correctness_conf(spark)
     cols = [by] if isinstance(by, str) else list(by)
+    if rebalance:
+        df = df.hint("rebalance", *cols)
     if touched and len(cols) == 1:
         # the written periods are observed during the write itself (one pass; the
         # set is bounded by the number of periods, not by the data)
@@ -78,7 +85,8 @@ def write_documents(docs: DataFrame, path: str, period: str = DEFAULT_PERIOD,
     apply_correctness_conf(docs.sparkSession)
     out = docs.withColumn("date", F.col(period).cast("string")).withColumn("supplier", F.col(key).cast("string"))
     out = out.drop(period) if period not in ("date", "supplier") else out
-    out.write.mode("overwrite").partitionBy("date", "supplier").json(path)
+    # few files per folder; a supplier with very many parts is split by AQE
+    out.hint("rebalance", "date", "supplier").write.mode("overwrite").partitionBy("date", "supplier").json(path)
 
 
 def archive(spark: SparkSession, src: str, dst: str, dates: list, period: str = DEFAULT_PERIOD,
