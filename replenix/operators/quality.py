@@ -110,11 +110,19 @@ def demand_spikes(orders: DataFrame, threshold: int = DEMAND_SPIKE_THRESHOLD,
 
 # --- check 5 ---------------------------------------------------------------------
 
+def int_text(c: str) -> Column:
+    """Integer text as a Python ``int()`` reads it: an optional sign, digit groups
+    joined by single underscores ('1_000'), blanks around; anything else
+    (decimals, exponents, empty text) and values outside INTEGER give NULL."""
+    ok = F.col(c).rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$")
+    return F.when(ok, F.regexp_replace(F.col(c), r"[_\s]", "").try_cast("int"))
+
+
 def parsed_inventory(inventory_text: DataFrame) -> DataFrame:
     """Text snapshot with parsed values; ``valid`` is false when either value does
-    not parse as an integer (blanks around digits are accepted)."""
-    a = F.expr("try_cast(trim(available_stock) AS INT)")
-    r = F.expr("try_cast(trim(reserved_stock) AS INT)")
+    not parse as an integer (see ``int_text``)."""
+    a = int_text("available_stock")
+    r = int_text("reserved_stock")
     return (inventory_text.withColumn("_avail", a).withColumn("_resv", r)
             .withColumn("valid", F.col("_avail").isNotNull() & F.col("_resv").isNotNull()))
 

@@ -197,8 +197,14 @@ QC = f"""
   SELECT exec_year, sku, CAST(SUM(COALESCE(quantity, 0)) AS BIGINT) AS total_demand FROM pos
   GROUP BY exec_year, sku HAVING SUM(COALESCE(quantity, 0)) > 200)
 , sp AS (SELECT exec_year, COUNT(*) AS n_spikes FROM spikes GROUP BY exec_year)
-, pinv AS (SELECT *, TRY_CAST(trim(available_stock) AS INTEGER) AS a, TRY_CAST(trim(reserved_stock) AS INTEGER) AS r
-           FROM inventory_text)
+, pinv AS (
+  -- integer text as Python int() reads it: optional sign, digit groups joined by single underscores
+  SELECT *,
+         CASE WHEN regexp_matches(available_stock, '^\\s*[+-]?[0-9]+(_[0-9]+)*\\s*$')
+              THEN TRY_CAST(regexp_replace(available_stock, '[_\\s]', '', 'g') AS INTEGER) END AS a,
+         CASE WHEN regexp_matches(reserved_stock, '^\\s*[+-]?[0-9]+(_[0-9]+)*\\s*$')
+              THEN TRY_CAST(regexp_replace(reserved_stock, '[_\\s]', '', 'g') AS INTEGER) END AS r
+  FROM inventory_text)
 , inv AS (
   SELECT exec_year, COUNT(*) AS n_rows,
          COUNT(*) FILTER (WHERE a IS NULL OR r IS NULL) AS n_invalid,

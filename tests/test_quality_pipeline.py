@@ -127,12 +127,14 @@ def test_quality_edge_cases(spark):
          ("d1", "B", "-1", "5", "W"),         # both rules
          ("d1", "C", "-1", "-2", "W"),        # negative only
          ("d1", "D", " 7 ", "3", "W"),        # blanks parse
-         ("d1", "E", "7x", "3", "W")],        # unparsable
+         ("d1", "E", "7x", "3", "W"),         # unparsable
+         ("d1", "F", "1_000", "2", "W"),      # digit groups parse
+         ("d1", "G", "1__0", "2", "W")],      # a double underscore does not
         "exec_date string, sku string, available_stock string, reserved_stock string, warehouse string")
     f = sorted((r.sku, r.level, r.rule) for r in qc.inventory_findings(qc.parsed_inventory(inv), P).collect())
     assert f == [("A", "WARNING", "reserved_gt_available"), ("B", "ERROR", "negative"),
                  ("B", "WARNING", "reserved_gt_available"), ("C", "ERROR", "negative"),
-                 ("E", "ERROR", "invalid")]
+                 ("E", "ERROR", "invalid"), ("G", "ERROR", "invalid")]
     periods = spark.createDataFrame([("d1",), ("d2",)], "exec_date string")
     expected = spark.createDataFrame([("A",), ("B",)], "sku string")
     products = spark.createDataFrame([("A",), ("B",)], "sku string")
@@ -141,7 +143,7 @@ def test_quality_edge_cases(spark):
     counts = qc.report_counts(periods, orders, qc.parsed_inventory(inv), expected, products, pdocs, STORES, 200, P)
     s = {r[P]: (r.errors, r.warnings, r.infos) for r in qc.report_summary(counts, P).collect()}
     # d1: extra store -> no check-1 INFO; d2: no snapshot, stores missing
-    assert s["d1"] == (0 + 0 + 1 + 3, 1 + 2, 1)   # spike A; reserved > available on A and B
+    assert s["d1"] == (0 + 0 + 1 + 4, 1 + 2, 1)   # spike A; reserved > available on A and B
     assert s["d2"] == (2 + 1 + 1, 0, 1)
 
 
