@@ -117,7 +117,7 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
     # purchase orders (B3): lines, documents with order_date = data_date + 1
     lines = ords.order_lines(net, cfg.suppliers, products, P)
     docs = ords.order_documents(lines, P, generated_at=clock, chunk_size=cfg.chunk_size)
-    writers.write_documents(docs, f"{base}/output/supplier_orders", P)
+    writers.write_documents(docs, f"{base}/output/supplier_orders", P, touched=dates)
 
     # quality report
     periods = _periods(spark, dates)

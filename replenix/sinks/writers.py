@@ -20,6 +20,17 @@ def _fs_delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
+def _observed_set(obs: Observation, field: str, fallback: DataFrame) -> set:
+    """The set an Observation collected during a write.  A write that ran no task
+    (an input with no partitions) reports no metrics; then the set is computed
+    from ``fallback`` (one column, the same values) by a job of its own, never
+    assumed empty."""
+    try:
+        return set(obs.get[field] or [])
+    except Exception:   # no metrics row was produced
+        return {r[0] for r in fallback.distinct().collect()}
+
+
 def write_partitioned(df: DataFrame, path: str, by: str | list[str] = DEFAULT_PERIOD, fmt: str = "parquet",
                       touched: list | None = None, rebalance: bool = True) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite, K2/K4/K5).
@@ -45,7 +56,7 @@ def write_partitioned(df: DataFrame, path: str, by: str | list[str] = DEFAULT_PE
         df = df.observe(obs, F.collect_set(F.col(cols[0]).cast("string")).alias("periods"))
     df.write.mode("overwrite").partitionBy(*cols).format(fmt).save(path)
     if touched and len(cols) == 1:
-        present = set(obs.get["periods"] or [])
+        present = _observed_set(obs, "periods", df.select(F.col(cols[0]).cast("string")))
         for v in touched:
             if str(v) not in present:
                 _fs_delete(spark, f"{path.rstrip('/')}/{cols[0]}={v}")
@@ -76,17 +87,43 @@ def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet", by: list[str
 
 
 def write_documents(docs: DataFrame, path: str, period: str = DEFAULT_PERIOD,
-                    key: str = "supplier_id") -> None:
+                    key: str = "supplier_id", touched: list | None = None) -> None:
     """Nested documents as JSON, one folder per (period, key) (K7).
 
     The folder columns are renamed copies, so the document body keeps its own
-    period and key fields.  Per-folder replacement on re-runs.
+    period and key fields.  Per-folder replacement on re-runs; for the periods in
+    ``touched`` a key folder this run did not write (a supplier with no order any
+    more) is removed, so no stale document survives a re-run.
     """
-    apply_correctness_conf(docs.sparkSession)
+    spark = docs.sparkSession
+    apply_correctness_conf(spark)
     out = docs.withColumn("date", F.col(period).cast("string")).withColumn("supplier", F.col(key).cast("string"))
     out = out.drop(period) if period not in ("date", "supplier") else out
+    if touched:
+        # the written folders, observed during the write: as many as the folders listed below
+        folder = F.concat_ws("/", F.concat(F.lit("date="), F.col("date")),
+                             F.concat(F.lit("supplier="), F.col("supplier")))
+        plain = out
+        obs = Observation("written_documents")
+        out = out.observe(obs, F.collect_set(folder).alias("folders"))
     # few files per folder; a supplier with very many parts is split by AQE
     out.hint("rebalance", "date", "supplier").write.mode("overwrite").partitionBy("date", "supplier").json(path)
+    if touched:
+        written = _observed_set(obs, "folders", plain.select(folder))
+        root = path.rstrip("/")
+        for d in touched:
+            for folder in _sub_folders(spark, f"{root}/date={d}"):
+                if f"date={d}/{folder}" not in written:
+                    _fs_delete(spark, f"{root}/date={d}/{folder}")
+
+
+def _sub_folders(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
 def archive(spark: SparkSession, src: str, dst: str, dates: list, period: str = DEFAULT_PERIOD,

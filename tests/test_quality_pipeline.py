@@ -109,6 +109,10 @@ def test_rerun_and_backfill_are_idempotent(spark, tmp_dir):
     pipeline.run(spark, cfg, "2026-01-16", clock=F.lit(CLOCK_TEXT))
     dates = {r[P] for r in spark.read.parquet(f"{tmp_dir}/out/processed/net_demand").select(P).collect()}
     assert dates == {"2026-01-13", "2026-01-14"}
+    # ... and so are its purchase orders (no stale supplier document)
+    docs = f"{tmp_dir}/out/output/supplier_orders"
+    assert not os.path.exists(f"{docs}/date=2026-01-16") or os.listdir(f"{docs}/date=2026-01-16") == []
+    assert os.listdir(f"{docs}/date=2026-01-14")
 
 
 def test_quality_edge_cases(spark):

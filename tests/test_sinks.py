@@ -37,3 +37,16 @@ def test_rewrite_replaces_only_touched_periods(spark, tmp_dir):
     writers.write_partitioned(again, path, "exec_date", touched=["1", "2"])
     got = {r.exec_date: r["count"] for r in spark.read.parquet(path).groupBy("exec_date").count().collect()}
     assert got == {"0": 100, "1": 10}
+
+
+def test_document_rerun_removes_suppliers_without_orders(spark, tmp_dir):
+    path = f"{tmp_dir}/docs"
+    first = spark.createDataFrame([("d1", "S1", 10), ("d1", "S2", 20), ("d2", "S2", 30)],
+                                  "exec_date string, supplier_id string, total int")
+    writers.write_documents(first, path, "exec_date", touched=["d1", "d2"])
+    # re-run of d1 only: S2 has no order any more; d2 is not touched
+    again = spark.createDataFrame([("d1", "S1", 11)], "exec_date string, supplier_id string, total int")
+    writers.write_documents(again, path, "exec_date", touched=["d1"])
+    got = sorted((r.date, r.supplier, r.total) for r in spark.read.json(path).collect())
+    assert got == [("d1", "S1", 11), ("d2", "S2", 30)]
+    assert sorted(os.listdir(f"{path}/date=d1")) == ["supplier=S1"]
