@@ -88,3 +88,21 @@ def test_balanced_row_number_matches_sort(spark, rows, slices):
         for n, (_, i) in enumerate(ids, 1):
             want[i] = n
     assert got == want
+
+
+def _python_int(text):
+    """What the source's check does with a stock value: int(), INTEGER range."""
+    try:
+        v = int(text)
+    except ValueError:
+        return None
+    return v if -2**31 <= v < 2**31 else None
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="0123456789_+-. \tx", max_size=8), min_size=1, max_size=40))
+def test_stock_value_parse_matches_python_int(spark, texts):
+    from replenix.operators.quality import int_text
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    got = {r.i: r.n for r in df.select("i", int_text("v").alias("n")).collect()}
+    assert got == {i: _python_int(t) for i, t in enumerate(texts)}
