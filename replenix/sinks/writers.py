@@ -106,8 +106,16 @@ def write_documents(docs: DataFrame, path: str, period: str = DEFAULT_PERIOD,
         plain = out
         obs = Observation("written_documents")
         out = out.observe(obs, F.collect_set(folder).alias("folders"))
-    # few files per folder; a supplier with very many parts is split by AQE
-    out.hint("rebalance", "date", "supplier").write.mode("overwrite").partitionBy("date", "supplier").json(path)
+    # Documents are many small files: the write is bound by file creation, not bytes,
+    # so it is spread over a fixed number of tasks (an explicit count, which AQE does
+    # not coalesce by size).  The part number is in the key, so the parts of a
+    # supplier with very many items go to different tasks.  The key is one hash
+    # value: a repartition on the very columns the input is already hashed by would
+    # be dropped as redundant, and the input's shuffle then coalesced by bytes.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = ["date", "supplier"] + (["part"] if "part" in out.columns else [])
+    (out.repartition(n, F.xxhash64(*spread))
+     .write.mode("overwrite").partitionBy("date", "supplier").json(path))
     if touched:
         written = _observed_set(obs, "folders", plain.select(folder))
         root = path.rstrip("/")
