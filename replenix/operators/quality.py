@@ -205,19 +205,25 @@ def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                        F.count_if(is_store & ~F.array_contains(exp, F.col("store_id"))).alias("n_extra"),
                        F.count_if((F.col("kind") == "sku") & (F.col("quantity") > threshold)).alias("n_spikes"))
                   .withColumn("has_orders", F.lit(True)))
-    inv = (parsed_inv.groupBy(period)
+    # one pass over the snapshot: row findings, and the expected SKUs it holds.  The SKUs
+    # absent from a snapshot are counted as n_expected minus those, without pairing
+    # every expected SKU with every period (the entries need the rows; the counts don't)
+    exp_skus = expected_skus.select("sku").distinct()
+    n_expected = exp_skus.agg(F.count(F.lit(1))).scalar()
+    flagged = parsed_inv.join(exp_skus.withColumn("_expected", F.lit(True)), "sku", "left")
+    inv = (flagged.groupBy(period)
            .agg(F.count(F.lit(1)).alias("n_inv_rows"),
                 F.count_if(~F.col("valid")).alias("n_invalid"),
                 F.count_if(F.col("valid") & (F.col("_resv") > F.col("_avail"))).alias("n_reserved_gt"),
-                F.count_if(F.col("valid") & ((F.col("_avail") < 0) | (F.col("_resv") < 0))).alias("n_negative")))
-    absent = (skus_missing_in_inventory(expected_skus, parsed_inv, period)
-              .groupBy(period).agg(F.count(F.lit(1)).alias("n_sku_absent")))
+                F.count_if(F.col("valid") & ((F.col("_avail") < 0) | (F.col("_resv") < 0))).alias("n_negative"),
+                F.count_distinct(F.when(F.col("_expected"), F.col("sku"))).alias("_n_present"))
+           .withColumn("n_sku_absent", n_expected - F.col("_n_present")))
     n_unmapped = unmapped_skus(expected_skus, products).agg(F.count(F.lit(1))).scalar()
     n_fields = missing_fields(product_docs).agg(F.count(F.lit(1))).scalar()
     z = F.lit(0).cast("long")
     return (periods.select(period).distinct()
             .join(order_side, period, "left")
-            .join(inv, period, "left").join(absent, period, "left")
+            .join(inv, period, "left")
             .select(period,
                     F.coalesce("has_orders", F.lit(False)).alias("has_orders"),
                     (F.lit(len(expected_stores)) - F.coalesce("n_found_expected", z)).alias("n_missing_stores"),

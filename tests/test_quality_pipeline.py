@@ -169,6 +169,30 @@ def test_orders_rollup_matches_separate_aggregates_with_null_keys(spark):
     assert {(x.kind, x[P]) for x in r.collect()} == {("store", "d1"), ("sku", "d1"), ("store", "d2"), ("sku", "d2")}
 
 
+def test_absent_sku_count_equals_the_rows(spark):
+    """Check 5's count of expected SKUs missing from a snapshot (computed without
+    pairing SKUs with periods) equals the number of absent-SKU rows, including a
+    snapshot that holds no expected SKU at all."""
+    inv = spark.createDataFrame(
+        [("d1", "A", "1", "0", "W"), ("d1", "A", "2", "0", "V"), ("d1", "Z", "1", "0", "W"),
+         ("d2", "Z", "5", "0", "W"),                       # only an unexpected SKU
+         ("d3", "A", "x", "0", "W"), ("d3", "B", "1", "0", "W")],
+        "exec_date string, sku string, available_stock string, reserved_stock string, warehouse string")
+    parsed = qc.parsed_inventory(inv)
+    expected = spark.createDataFrame([("A",), ("B",), ("B",), ("C",)], "sku string")
+    orders = spark.createDataFrame([], "exec_date string, store_id string, sku string, quantity int")
+    periods = spark.createDataFrame([("d1",), ("d2",), ("d3",), ("d4",)], "exec_date string")
+    products = spark.createDataFrame([("A",)], "sku string")
+    pdocs = spark.createDataFrame([], "sku string, value string")
+    counts = {r[P]: (r.has_inventory, r.n_sku_absent) for r in
+              qc.report_counts(periods, orders, parsed, expected, products, pdocs, STORES, 200, P).collect()}
+    rows = {}
+    for r in qc.skus_missing_in_inventory(expected, parsed, P).collect():
+        rows[r[P]] = rows.get(r[P], 0) + 1
+    assert counts == {"d1": (True, 2), "d2": (True, 3), "d3": (True, 1), "d4": (False, 0)}
+    assert {d: n for d, (_, n) in counts.items() if n} == rows
+
+
 def test_missing_keys_counts_null_value_as_present(spark):
     df = spark.createDataFrame([('{"a":null,"b":1}',), ('{"b":2}',), ("[1]",)], "v string")
     got = [r.m for r in df.select(missing_keys("v", ["a", "b"]).alias("m")).collect()]
