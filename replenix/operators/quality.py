@@ -158,7 +158,8 @@ def inventory_findings(parsed: DataFrame, period: str = DEFAULT_PERIOD) -> DataF
 
 # --- report ----------------------------------------------------------------------
 
-def orders_rollup(orders: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
+def orders_rollup(orders: DataFrame, period: str = DEFAULT_PERIOD, stores: DataFrame | None = None,
+                  folders: DataFrame | None = None) -> DataFrame:
     """The one aggregate of the orders that checks 1 and 4 need, in one pass:
     GROUPING SETS ((period, store_id), (period, sku)) with the quantity summed.
 
@@ -167,12 +168,35 @@ def orders_rollup(orders: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
     store_id NULL).  Both kinds come from one scan, one partial aggregation and
     one shuffle; a NULL sku or store stays its own group (told apart by the
     grouping id, not by the NULL).
+
+    File-level presence, as the source checks it: ``stores`` (period, store_id)
+    lists the store files found (an empty file still counts) and replaces the
+    stores seen in the rows; ``folders`` (period) lists the date folders that
+    exist, each adding a 'folder' row, so a period whose folder exists but holds
+    no file still counts as delivered.
     """
-    g = (orders.groupingSets([[period, "store_id"], [period, "sku"]], period, "store_id", "sku")
-         .agg(F.sum(F.coalesce(F.col("quantity").cast("long"), F.lit(0))).alias("quantity"),
-              F.grouping_id().alias("_gid")))
-    kind = F.when(F.col("_gid") == 1, F.lit("store")).otherwise(F.lit("sku"))
-    return g.select(period, "store_id", "sku", "quantity", kind.alias("kind"))
+    if stores is None:
+        g = (orders.groupingSets([[period, "store_id"], [period, "sku"]], period, "store_id", "sku")
+             .agg(F.sum(F.coalesce(F.col("quantity").cast("long"), F.lit(0))).alias("quantity"),
+                  F.grouping_id().alias("_gid")))
+        kind = F.when(F.col("_gid") == 1, F.lit("store")).otherwise(F.lit("sku"))
+        out = g.select(period, "store_id", "sku", "quantity", kind.alias("kind"))
+    else:
+        sku_t, store_t = orders.schema["sku"].dataType, orders.schema["store_id"].dataType
+        skus = (orders.groupBy(period, "sku")
+                .agg(F.sum(F.coalesce(F.col("quantity").cast("long"), F.lit(0))).alias("quantity"))
+                .select(period, F.lit(None).cast(store_t).alias("store_id"), "sku", "quantity",
+                        F.lit("sku").alias("kind")))
+        found = (stores.select(period, F.col("store_id").cast(store_t).alias("store_id")).distinct()
+                 .select(period, "store_id", F.lit(None).cast(sku_t).alias("sku"),
+                         F.lit(None).cast("long").alias("quantity"), F.lit("store").alias("kind")))
+        out = skus.unionByName(found)
+    if folders is not None:
+        out = out.unionByName(folders.select(period).distinct().select(
+            period, F.lit(None).cast(out.schema["store_id"].dataType).alias("store_id"),
+            F.lit(None).cast(out.schema["sku"].dataType).alias("sku"),
+            F.lit(None).cast("long").alias("quantity"), F.lit("folder").alias("kind")))
+    return out
 
 
 def rollup_stores(rollup: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
@@ -283,10 +307,14 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
     cp = counts
     r = rollup if rollup is not None else orders_rollup(orders, period)
     found = rollup_stores(r, period)
+    # expected stores without a delivery, for every period that has orders (as the
+    # counts define it: a folder that exists with no file misses every store)
+    exp = F.array(*[F.lit(x) for x in expected_stores])
+    wanted = cp.where(F.col("has_orders")).select(period, F.explode(exp).alias("store_id"))
     parts = [
         entry(cp.where(~F.col("has_orders")), 1, ERROR, CHECKS[0],
               F.format_string(M["orders_absent"], _s(period)), F.col(period)),
-        entry(missing_stores(found, expected_stores, period), 1, ERROR, CHECKS[0],
+        entry(wanted.join(found, [period, "store_id"], "left_anti"), 1, ERROR, CHECKS[0],
               F.format_string(M["store_missing"], F.col("store_id")), F.col("store_id")),
         entry(cp.where(F.col("has_orders") & (F.col("n_missing_stores") == 0) & (F.col("n_extra") == 0)),
               1, INFO, CHECKS[0], F.lit(M["stores_ok"]), F.lit("")),

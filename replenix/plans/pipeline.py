@@ -72,9 +72,15 @@ def ingest(spark: SparkSession, cfg: Config, dates: list[str]) -> dict:
     orders = orders.where(_in(dates))
     stock = stock.where(_in(dates))
     base = cfg.out_base.rstrip("/")
+    # presence for quality check 1, as files: one store file per store (an empty one
+    # still counts), and the date folders that exist (even without files)
+    order_files = (files.list_files(spark, order_dirs, ".json", period=P).where(_in(dates))
+                   .select(P, F.col("file_stem").alias("store_id")))
+    order_folders = _periods(spark, [d.rstrip("/").rsplit("/", 1)[-1] for d in order_dirs])
     # the files come in date folders, so each read task already holds one date:
     # written as read, without a rebalancing shuffle of the raw feed
-    return {"orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates, rebalance=False),
+    return {"order_files": order_files, "order_folders": order_folders,
+            "orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates, rebalance=False),
             "stock": _materialize(stock.drop("source_file"), f"{base}/raw/inventory", dates, rebalance=False),
             "rejects": _materialize(rejects.unionByName(stock_rejects).where(_in(dates)),
                                     f"{base}/raw/rejects", dates, rebalance=False)}
@@ -98,8 +104,8 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
     """Run the whole chain for [start_date, end_date] and return the result tables."""
     dates = dates_between(start_date, end_date or start_date)
     base = cfg.out_base.rstrip("/")
-    raw = ingest(spark, cfg, dates)
-    orders, stock_text = raw["orders"], raw["stock"]
+    ingested = ingest(spark, cfg, dates)
+    orders, stock_text = ingested["orders"], ingested["stock"]
 
     # aggregate (A1) -> processed.aggregated_orders, read back for the next stage
     demand = _materialize(dem.aggregate_demand(orders, P).select("sku", "total_demand", P),
@@ -136,7 +142,8 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
         pdocs = qc.product_documents(products.drop("supplier_id"), preferred)
     # the orders' store / SKU rollup feeds checks 1 and 4 of both the counts and the
     # entries: built once, checkpointed in the shared folder, read three times
-    rollup = qc.orders_rollup(orders, P).checkpoint(eager=True)
+    rollup = qc.orders_rollup(orders, P, stores=ingested["order_files"], folders=ingested["order_folders"]
+                              ).checkpoint(eager=True)
     counts = qc.report_counts(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
                               cfg.spike_threshold, P, rollup=rollup).checkpoint(eager=True)   # one row per date
     details = qc.report_details(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,

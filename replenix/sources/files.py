@@ -86,6 +86,20 @@ def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.Struc
     return good, bad
 
 
+def list_files(spark: SparkSession, root: str | list[str], ext: str, period: str = DEFAULT_PERIOD,
+               date_pattern: str = r"(\d{4}-\d{2}-\d{2})") -> DataFrame:
+    """The files below ``root`` with the extension ``ext`` (case-insensitive) -> period
+    (from the folder path), file_stem, path (S11).  Only the listing is used: the
+    file contents are never read (the content column is pruned)."""
+    roots = [root] if isinstance(root, str) else list(root)
+    if not roots:
+        return spark.createDataFrame([], f"`{period}` string, file_stem string, path string")
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+          .option("pathGlobFilter", _glob_ci(ext)).load(roots))
+    p = F.col("path")
+    return df.select(F.regexp_extract(p, date_pattern, 1).alias(period), file_stem(p).alias("file_stem"), p)
+
+
 def read_partition(spark: SparkSession, base: str, period: str, value, schema: T.StructType | None = None
                    ) -> DataFrame:
     """Scan of a Hive-style ``period=value`` table restricted to one value.

@@ -92,6 +92,23 @@ def test_report_without_inputs(spark, tmp_dir):
     assert _summary(out, "2026-01-20") == (1, 0, 3, 4)
 
 
+def test_store_presence_is_by_file_as_in_the_source(spark, tmp_dir):
+    _write_inputs(tmp_dir)
+    # a store that sent an empty file has delivered: check 1 stays INFO
+    with open(f"{tmp_dir}/raw/orders/2026-01-14/STORE_03.json", "w") as f:
+        f.write("[]")
+    out = pipeline.run(spark, _cfg(spark, tmp_dir), "2026-01-14", clock=F.lit(CLOCK_TEXT))
+    rep = {(r.check, r.level) for r in out["report"].collect()}
+    assert ("missing_pos_files", "INFO") in rep and ("missing_pos_files", "ERROR") not in rep
+    # a date folder without any file: every expected store is missing, and check 4 runs
+    os.makedirs(f"{tmp_dir}/raw/orders/2026-01-20")
+    out = pipeline.run(spark, _cfg(spark, tmp_dir), "2026-01-20", clock=F.lit(CLOCK_TEXT))
+    details = [(r.check, r.level, r.detail) for r in out["report"].collect()]
+    assert sorted(d for c, lv, d in details if c == "missing_pos_files") == sorted(STORES)
+    assert ("demand_spike", "INFO") in {(c, lv) for c, lv, _ in details}
+    assert _summary(out, "2026-01-20") == (3, 0, 4, 7)
+
+
 def test_rerun_and_backfill_are_idempotent(spark, tmp_dir):
     _write_inputs(tmp_dir, dates=("2026-01-13", "2026-01-14", "2026-01-16"))
     cfg = _cfg(spark, tmp_dir)
