@@ -36,6 +36,8 @@ LOCAL_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    # reliable checkpoints are serialized rows; compress them (a cluster sets this too)
+    "spark.checkpoint.compress": "true",
 }
 
 
