@@ -46,3 +46,25 @@ def test_plan_shape(no_broadcast, key):
     # a window without PARTITION BY runs in one task
     for m in re.finditer(r"Window \[.*?\], \[(.*?)\], \[", plan):
         assert m.group(1).strip(), f"{key}: window without partition keys"
+
+
+# columns of the driver's tables that no adapter view uses: a scan reading them
+# has lost column pruning
+UNUSED = {"lineitem": ("l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"),
+          "orders": ("o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+          "part": ("p_brand", "p_type", "p_retailprice"),
+          "supplier": ("s_nationkey", "s_acctbal")}
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_scans_read_only_used_columns(spark, key):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        E.queries()[key](spark, SF).explain("formatted")
+    plan = buf.getvalue()
+    for block in re.split(r"\n(?=\(\d+\) )", plan):
+        loc = re.search(r"Location: \S+ \[.*?/(\w+)\.parquet", block)
+        schema = re.search(r"ReadSchema: (.+)", block)
+        if loc and schema and loc.group(1) in UNUSED:
+            for c in UNUSED[loc.group(1)]:
+                assert c not in schema.group(1), f"{key}: {loc.group(1)} scan reads {c}"
