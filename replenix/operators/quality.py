@@ -128,13 +128,16 @@ def parsed_inventory(inventory_text: DataFrame) -> DataFrame:
 
 
 def skus_missing_in_inventory(expected_skus: DataFrame, inventory: DataFrame,
-                              period: str = DEFAULT_PERIOD) -> DataFrame:
+                              period: str = DEFAULT_PERIOD, snapshots: DataFrame | None = None) -> DataFrame:
     """Expected SKUs absent from a period's snapshot (periods with a snapshot only).
 
     The snapshot periods form a bounded list (one entry per period), attached to
-    each expected SKU as an array and exploded: no join fan-out.
+    each expected SKU as an array and exploded: no join fan-out.  ``snapshots``
+    (period) lists the periods whose snapshot file exists, when that is known
+    from the files (an empty snapshot misses every SKU); else the periods with rows.
     """
-    snap_periods = inventory.agg(F.sort_array(F.collect_set(period))).scalar()
+    src = snapshots if snapshots is not None else inventory
+    snap_periods = src.agg(F.sort_array(F.collect_set(period))).scalar()
     wanted = expected_skus.select("sku").distinct().select("sku", F.explode(snap_periods).alias(period))
     return wanted.join(inventory.select(period, "sku"), [period, "sku"], "left_anti").select(period, "sku")
 
@@ -214,9 +217,13 @@ def rollup_spikes(rollup: DataFrame, threshold: int = DEMAND_SPIKE_THRESHOLD,
 def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame, expected_skus: DataFrame,
                   products: DataFrame, product_docs: DataFrame, expected_stores: list[str],
                   threshold: int = DEMAND_SPIKE_THRESHOLD, period: str = DEFAULT_PERIOD,
-                  rollup: DataFrame | None = None) -> DataFrame:
+                  rollup: DataFrame | None = None, snapshots: DataFrame | None = None) -> DataFrame:
     """Per period: how many findings of each kind (the inputs of the summary).
 
+    ``snapshots`` (period): the periods whose snapshot file exists, when known from
+    the files — a snapshot with no row is then present (check 2 INFO) and misses
+    every expected SKU; without it a period has a snapshot when it has rows.
+
     The order side is one chain: ``orders_rollup`` and then one aggregate per
     period counting both kinds of rows, so the orders are read once.  Pass
     ``rollup`` to reuse one already built (e.g. checkpointed).
@@ -240,8 +247,14 @@ def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                 F.count_if(~F.col("valid")).alias("n_invalid"),
                 F.count_if(F.col("valid") & (F.col("_resv") > F.col("_avail"))).alias("n_reserved_gt"),
                 F.count_if(F.col("valid") & ((F.col("_avail") < 0) | (F.col("_resv") < 0))).alias("n_negative"),
-                F.count_distinct(F.when(F.col("_expected"), F.col("sku"))).alias("_n_present"))
-           .withColumn("n_sku_absent", n_expected - F.col("_n_present")))
+                F.count_distinct(F.when(F.col("_expected"), F.col("sku"))).alias("_n_present")))
+    if snapshots is None:
+        inv = inv.withColumn("_has_snapshot", F.col("n_inv_rows") > 0)
+    else:
+        inv = (snapshots.select(period).distinct().withColumn("_has_snapshot", F.lit(True))
+               .join(inv, period, "full"))
+    inv = inv.withColumn("n_sku_absent", F.when(F.col("_has_snapshot"),
+                                                n_expected - F.coalesce(F.col("_n_present"), F.lit(0))))
     n_unmapped = unmapped_skus(expected_skus, products).agg(F.count(F.lit(1))).scalar()
     n_fields = missing_fields(product_docs).agg(F.count(F.lit(1))).scalar()
     z = F.lit(0).cast("long")
@@ -253,7 +266,7 @@ def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                     (F.lit(len(expected_stores)) - F.coalesce("n_found_expected", z)).alias("n_missing_stores"),
                     F.coalesce("n_extra", z).alias("n_extra"),
                     F.coalesce("n_spikes", z).alias("n_spikes"),
-                    (F.coalesce("n_inv_rows", z) > 0).alias("has_inventory"),
+                    F.coalesce("_has_snapshot", F.lit(False)).alias("has_inventory"),
                     F.coalesce("n_invalid", z).alias("n_invalid"),
                     F.coalesce("n_reserved_gt", z).alias("n_reserved_gt"),
                     F.coalesce("n_negative", z).alias("n_negative"),
@@ -288,7 +301,7 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                    products: DataFrame, product_docs: DataFrame, expected_stores: list[str],
                    counts: DataFrame, threshold: int = DEMAND_SPIKE_THRESHOLD,
                    period: str = DEFAULT_PERIOD, clock: Column | None = None,
-                   rollup: DataFrame | None = None) -> DataFrame:
+                   rollup: DataFrame | None = None, snapshots: DataFrame | None = None) -> DataFrame:
     """Every report entry as a row -> period, seq, timestamp, level, check, message, detail.
 
     ``seq`` is the check number, which orders entries as in the report.  The INFO
@@ -339,7 +352,7 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
               F.concat(F.lit("total_demand="), _s("total_demand"))),
         entry(cp.where(F.col("has_orders") & (F.col("n_spikes") == 0)), 4, INFO, CHECKS[3],
               F.lit(M["no_spike"]), F.lit("")),
-        entry(skus_missing_in_inventory(expected_skus, parsed_inv, period), 5, WARNING, CHECKS[4],
+        entry(skus_missing_in_inventory(expected_skus, parsed_inv, period, snapshots), 5, WARNING, CHECKS[4],
               F.format_string(M["sku_not_in_inventory"], _s("sku")), F.col("sku")),
     ]
     f = inventory_findings(parsed_inv, period)

@@ -77,9 +77,11 @@ def ingest(spark: SparkSession, cfg: Config, dates: list[str]) -> dict:
     order_files = (files.list_files(spark, order_dirs, ".json", period=P).where(_in(dates))
                    .select(P, F.col("file_stem").alias("store_id")))
     order_folders = _periods(spark, [d.rstrip("/").rsplit("/", 1)[-1] for d in order_dirs])
+    # a snapshot is present when its file is, even with no row (check 2 and 5)
+    stock_files = files.list_files(spark, stock_dirs, ".csv", period=P).where(_in(dates)).select(P).distinct()
     # the files come in date folders, so each read task already holds one date:
     # written as read, without a rebalancing shuffle of the raw feed
-    return {"order_files": order_files, "order_folders": order_folders,
+    return {"order_files": order_files, "order_folders": order_folders, "stock_files": stock_files,
             "orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates, rebalance=False),
             "stock": _materialize(stock.drop("source_file"), f"{base}/raw/inventory", dates, rebalance=False),
             "rejects": _materialize(rejects.unionByName(stock_rejects).where(_in(dates)),
@@ -145,9 +147,11 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
     rollup = qc.orders_rollup(orders, P, stores=ingested["order_files"], folders=ingested["order_folders"]
                               ).checkpoint(eager=True)
     counts = qc.report_counts(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
-                              cfg.spike_threshold, P, rollup=rollup).checkpoint(eager=True)   # one row per date
+                              cfg.spike_threshold, P, rollup=rollup, snapshots=ingested["stock_files"]
+                              ).checkpoint(eager=True)   # one row per date
     details = qc.report_details(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
-                                counts, cfg.spike_threshold, P, clock=clock, rollup=rollup)
+                                counts, cfg.spike_threshold, P, clock=clock, rollup=rollup,
+                                snapshots=ingested["stock_files"])
     summary = qc.report_summary(counts, P)
     writers.write_partitioned(details, f"{base}/logs/exceptions", P, fmt="json", touched=dates)
     writers.write_partitioned(summary, f"{base}/logs/summary", P, fmt="json", touched=dates)

@@ -109,6 +109,19 @@ def test_store_presence_is_by_file_as_in_the_source(spark, tmp_dir):
     assert _summary(out, "2026-01-20") == (3, 0, 4, 7)
 
 
+def test_snapshot_presence_is_by_file_as_in_the_source(spark, tmp_dir):
+    _write_inputs(tmp_dir)
+    # a snapshot file with only its header: present (check 2 INFO), every expected SKU missing
+    with open(f"{tmp_dir}/raw/stock/2026-01-14/inventory.csv", "w") as f:
+        f.write("sku,available_stock,reserved_stock,warehouse\n")
+    out = pipeline.run(spark, _cfg(spark, tmp_dir), "2026-01-14", clock=F.lit(CLOCK_TEXT))
+    details = [(r.check, r.level, r.detail) for r in out["report"].collect()]
+    assert ("missing_inventory", "INFO", "") in details
+    assert sorted(d for c, lv, d in details if c == "inventory_inconsistency") == sorted(SKUS)
+    assert {lv for c, lv, _ in details if c == "inventory_inconsistency"} == {"WARNING"}
+    assert _summary(out, "2026-01-14") == (0, 3, 4, 7)
+
+
 def test_rerun_and_backfill_are_idempotent(spark, tmp_dir):
     _write_inputs(tmp_dir, dates=("2026-01-13", "2026-01-14", "2026-01-16"))
     cfg = _cfg(spark, tmp_dir)
