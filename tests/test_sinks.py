@@ -50,3 +50,31 @@ def test_document_rerun_removes_suppliers_without_orders(spark, tmp_dir):
     got = sorted((r.date, r.supplier, r.total) for r in spark.read.json(path).collect())
     assert got == [("d1", "S1", 11), ("d2", "S2", 30)]
     assert sorted(os.listdir(f"{path}/date=d1")) == ["supplier=S1"]
+
+
+def test_read_any_dispatches_by_extension_and_refuses_others(spark, tmp_dir):
+    """JSON array / CSV / Parquet by extension (any case); anything else raises."""
+    import pytest
+    from replenix import schemas
+    from replenix.sources import files
+    with open(f"{tmp_dir}/o.JSON", "w") as f:
+        f.write('[{"order_id": "1", "store_id": "S", "sku": "A", "quantity": 2, "timestamp": "t"}]')
+    with open(f"{tmp_dir}/i.csv", "w") as f:
+        f.write("sku,available_stock,reserved_stock,warehouse\nA,5,1,W\n")
+    assert files.read_any(spark, f"{tmp_dir}/o.JSON", schemas.ORDERS).first().quantity == 2
+    assert files.read_any(spark, f"{tmp_dir}/i.csv", schemas.INVENTORY).first().available_stock == 5
+    with pytest.raises(ValueError, match="unsupported"):
+        files.read_any(spark, f"{tmp_dir}/o.xlsx", schemas.ORDERS)
+
+
+def test_list_files_lists_without_reading(spark, tmp_dir):
+    """Store files found per date folder, by name only (an empty or broken file is still listed)."""
+    from replenix.sources import files
+    for d, names in {"2026-01-14": ["STORE_01.json", "STORE_02.JSON", "notes.txt"], "2026-01-15": ["STORE_01.json"]}.items():
+        os.makedirs(f"{tmp_dir}/{d}")
+        for n in names:
+            with open(f"{tmp_dir}/{d}/{n}", "w") as f:
+                f.write("not json at all" if n == "STORE_02.JSON" else "[]")
+    got = sorted((r.exec_date, r.file_stem) for r in
+                 files.list_files(spark, [f"{tmp_dir}/2026-01-14", f"{tmp_dir}/2026-01-15"], ".json").collect())
+    assert got == [("2026-01-14", "STORE_01"), ("2026-01-14", "STORE_02"), ("2026-01-15", "STORE_01")]
