@@ -13,6 +13,7 @@ from replenix.session import checkpoint_root, scratch_path
 # Fixed value: the white space that separates words in every contract (blank and \x09-\x0D).
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str] | None = None) -> DataFrame:
@@ -54,6 +55,25 @@ def ship(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    # whole texts travel in these batches: few rows each, so that very long documents fit a worker's memory
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def in_row(df: DataFrame) -> DataFrame:
+    """All columns inside one struct ``row``: columns that an operator adds beside it can never clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def texts(batch, column: str = "text") -> list[bytes]:
+    """UTF-8 bytes of the text field of ``row`` (or of a plain column) of an Arrow batch; null gives b""."""
+    import pyarrow as pa
+
+    at = batch.schema.get_field_index("row")
+    found = batch.column(at).field(column) if at >= 0 else batch.column(batch.schema.get_field_index(column))
+    if at >= 0 and batch.column(at).null_count:
+        raise ValueError("row is null")
+    return [t or b"" for t in found.cast(pa.binary()).to_pylist()]
 
 
 class BoundedCache(dict):
