@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replenix.llm import bpe, decontaminate, langid, quality, secrets, tokenfiles, toxicity
+from replenix.llm import bpe, decontaminate, forest, langid, mixing, quality, secrets, tokenfiles, toxicity
 from replenix.llm.common import held_out, shared_folder, ship, table
 
 MOST_TOKENS = 4096
@@ -22,6 +22,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+    return mix.select("doc_id", "size", F.col("source_size")[0].alias("source_size"), F.col("target")[0].alias("target"),
+                      (F.size("uses") * F.col("size")).cast("long").alias("taken"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -65,6 +71,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.digests(tokenfiles.read(spark, folder)).drop("tokens")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.near_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -87,5 +98,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_token_counts, op3_toxicity, op5_secret_scan, op6_token_files, op8_quality_rules, op9_decontamination,
-        op10_language_id)}
+        op1_source_mix, op2_token_counts, op3_toxicity, op5_secret_scan, op6_token_files, op7_near_duplicates,
+        op8_quality_rules, op9_decontamination, op10_language_id)}
