@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replenix.llm import bpe, decontaminate, forest, langid, mixing, quality, secrets, tokenfiles, toxicity
+from replenix.llm import bpe, decontaminate, forest, langid, mixing, pseudolm, quality, secrets, tokenfiles, toxicity
 from replenix.llm.common import held_out, shared_folder, ship, table
 
 MOST_TOKENS = 4096
@@ -46,6 +46,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("found.score") >= TOXIC_FROM).cast("int").alias("predicted"), "found.evidence")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    training = pseudolm.Training()
+    words, net = pseudolm.fit(docs, training)
+    scored = docs.select("doc_id", pseudolm.pseudo_likelihood(F.col("text"), words, net, training, spark).alias("s"))
+    return scored.select("doc_id", "s.n_tokens", "s.log_likelihood",
+                         F.when(F.col("s.n_tokens") > 0, F.col("s.log_likelihood") / F.col("s.n_tokens")).alias("mean_log_prob"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -98,5 +107,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_source_mix, op2_token_counts, op3_toxicity, op5_secret_scan, op6_token_files, op7_near_duplicates,
-        op8_quality_rules, op9_decontamination, op10_language_id)}
+        op1_source_mix, op2_token_counts, op3_toxicity, op4_lm_scoring, op5_secret_scan, op6_token_files,
+        op7_near_duplicates, op8_quality_rules, op9_decontamination, op10_language_id)}
