@@ -13,6 +13,10 @@ from replenix.llm.common import stored, table
 
 STAGES = [
     ("quality_rules", stages.quality_rules),
+    ("near_duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
+    ("source_mix", stages.source_mix),
+    ("token_files", stages.token_files),
 ]
 
 # Token ids and near-duplicate groups are beyond SQL; tests/llm holds run() against a brute-force version.

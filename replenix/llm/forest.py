@@ -394,3 +394,18 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest(), doc_id: str = "d
     groups = components(links.union(more))
     return (named.join(groups, named.id == groups.node, "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")))
+
+
+def deduplicated(docs: DataFrame, forest: Forest = Forest(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every group of near-duplicates (that of the smallest id), with its own columns.
+
+    Rows that repeat an id are one document, of which one row stays; rows whose id is null all stay.
+    """
+    found = near_duplicates(docs, forest, doc_id, text)
+    heads = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("copies"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{doc_id}`").cast("long").alias("doc_id"))
+    joined = rows.join(heads, "doc_id")
+    repeated = joined.where("copies > 1").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return (joined.where("copies = 1").select("row").union(repeated.select("row"))
+            .union(rows.where("doc_id is null").select("row")).select("row.*"))
