@@ -173,7 +173,9 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def quality_filter(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, with their own columns.
 
-    The rows leave through a generator: a plain filter would be pushed below the measuring and repeat it.
+    The rows leave through an outer generator: the optimizer would push any plain filter below the measuring and
+    evaluate it there once more, for every use of every intermediate column.
     """
-    return (quality_rules(docs, limits)
-            .select(F.expr("if(kept, array(row), array())").alias("passed")).select(F.inline("passed")))
+    passed = F.expr("if(kept, array(struct(true as passed, row)), array())")
+    return (quality_rules(docs, limits).select(passed.alias("out")).select(F.inline_outer("out"))
+            .where("passed").select("row.*"))
