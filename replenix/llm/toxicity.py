@@ -2,13 +2,13 @@
 
 Terms are words (lower case, outer marks stripped) and their beginnings of 4 to 6 characters.  From a bounded,
 stratified sample of labelled documents come the vocabulary (terms whose document frequency differs between the
-labels, by a chi-square test), the inverse document frequencies and the examples.  Examples lie in blocks; for
+labels, by a chi-square test), the inverse document frequencies and the examples.  All other words together are one
+more term, so that a cosine tells how much of a text the vocabulary makes up.  Examples lie in blocks; for
 every term and block the index keeps the largest weight, so a query skips each block whose bound cannot reach the
 k-th best cosine found so far, and the neighbours are exact.  Their distance-weighted votes are calibrated on
 examples held back from the index; the nearest examples are the evidence.
 
-Defined results: null and empty texts, and texts without a vocabulary term, have no neighbour and get the score of
-such examples; ties in cosine go to the smaller example id; without labelled rows of both kinds the score is the
+Defined results: null and empty texts have no neighbour and get the score of the calibrated prior; ties in cosine go to the smaller example id; without labelled rows of both kinds the score is the
 share of toxic labels (0.0 without any).
 """
 
@@ -37,8 +37,8 @@ class Fit:
 
     per_label: int = 2_500    # labelled documents of each label
     held_back: float = 0.3    # share of them that calibrates the votes
-    chi_square: float = 15.0
-    min_documents: int = 4
+    chi_square: float = 11.0
+    min_documents: int = 3
     max_terms: int = 4_096
     neighbours: int = 15
     block: int = 64
@@ -55,10 +55,10 @@ def _terms_of(word: bytes) -> tuple[bytes, ...]:
 
 
 def _counts(text: bytes, known) -> Counter:
-    """Occurrences of known terms; ``known(word)`` gives the term numbers of a word."""
+    """Occurrences of terms; ``known(word)`` gives the term numbers of a word."""
     out: Counter = Counter()
-    for word, n in Counter(text.lower().split()).items():
-        for t in known(word):
+    for terms, n in Counter(map(known, text.lower().split())).items():
+        for t in terms:
             out[t] += n
     return out
 
@@ -125,9 +125,11 @@ class Model:
         self.terms, self.idf = self._vocabulary(sample)
         self.words = None
         kept = [s for i, s in enumerate(sample) if i not in held]
-        kept.sort(key=lambda s: (s[2], s[0]))
-        self.examples = [(i, y) for i, _, y in kept]
-        self.index = BlockMaxIndex([self.vector(t) for _, t, _ in kept], len(self.terms), fit.block)
+        # alike examples in one block, so that its bounds are tight
+        vectors = [self.vector(t) for _, t, _ in kept]
+        order = sorted(range(len(kept)), key=lambda k: (kept[k][2], sorted((-x, t) for t, x in vectors[k].items())[:2]))
+        self.examples = [(kept[k][0], kept[k][2]) for k in order]
+        self.index = BlockMaxIndex([vectors[k] for k in order], len(self.terms) + 1, fit.block)
         total = [shares[y] * sum(1 for s in sample if s[2] == y) for y in (0, 1)]
         self.prior = total[1] / max(sum(total), 1e-9)
         self.slope, self.offset = 1.0, 0.0
@@ -154,16 +156,17 @@ class Model:
         size = n[0] * self.shares[0] + n[1] * self.shares[1]
         idf = [math.log((1 + size) / (1 + df[0][t] * self.shares[0] + df[1][t] * self.shares[1])) + 1
                for _, t, _ in scored]
-        return {t: i for i, (_, t, _) in enumerate(scored)}, np.array(idf)
+        return {t: i for i, (_, t, _) in enumerate(scored)}, np.array([*idf, 1.0])
 
     def _known(self, word: bytes) -> tuple[int, ...]:
-        return tuple(self.terms[t] for t in _terms_of(word) if t in self.terms)
+        """Terms of a word; words outside the vocabulary are all the last term."""
+        return tuple(self.terms[t] for t in _terms_of(word) if t in self.terms) or (len(self.terms),)
 
     def vector(self, text: bytes) -> dict[int, float]:
         if self.words is None:
             self.words = BoundedCache(self._known, _CACHE)
         counts = _counts(text, self.words.__getitem__)
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
+        raw = {t: math.sqrt(n) * self.idf[t] for t, n in sorted(counts.items())}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {t: x / norm for t, x in raw.items()}
 
@@ -175,7 +178,7 @@ class Model:
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Toxic share among the neighbours, weighted by nearness; a fixed weight of 0.5 speaks for the prior."""
-        weigh = [(s / (1.05 - min(s, 1.0)), self.examples[i][1]) for s, i in found]
+        weigh = [(s / (1.02 - min(s, 1.0)), self.examples[i][1]) for s, i in found]
         return (0.5 * self.prior + sum(w * y for w, y in weigh)) / (0.5 + sum(w for w, _ in weigh))
 
     def score(self, vote) -> np.ndarray:
