@@ -52,15 +52,13 @@ def plus_days_text(date_text, days: int = 1) -> Column:
 
 
 def parse_iso_ts(text) -> Column:
-    """Tolerant ISO-8601 parse: trailing 'Z' accepted, NULL when unparsable."""
-    t = F.regexp_replace(col(text), "Z$", "+00:00")
-    return F.coalesce(
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd")),
-    )
+    """Tolerant ISO-8601 parse, NULL when unparsable: 'T' or a blank before the time, seconds
+    and a fraction of 3 or 6 digits optional, a zone as 'Z' or offset optional."""
+    t = F.regexp_replace(F.regexp_replace(col(text), "Z$", "+00:00"), r"^(\d{4}-\d{2}-\d{2}) ", "$1T")
+    zone = "[XXX]"
+    return F.coalesce(*[F.try_to_timestamp(t, F.lit(p)) for p in (
+        "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + zone, "yyyy-MM-dd'T'HH:mm:ss.SSS" + zone, "yyyy-MM-dd'T'HH:mm:ss" + zone,
+        "yyyy-MM-dd'T'HH:mm" + zone, "yyyy-MM-dd'T'HH" + zone, "yyyy-MM-dd")])
 
 
 def file_stem(path) -> Column:

@@ -131,15 +131,17 @@ def skus_missing_in_inventory(expected_skus: DataFrame, inventory: DataFrame,
                               period: str = DEFAULT_PERIOD, snapshots: DataFrame | None = None) -> DataFrame:
     """Expected SKUs absent from a period's snapshot (periods with a snapshot only).
 
-    The snapshot periods form a bounded list (one entry per period), attached to
-    each expected SKU as an array and exploded: no join fan-out.  ``snapshots``
-    (period) lists the periods whose snapshot file exists, when that is known
+    One row per SKU holds the periods it was found in (bounded by the calendar); what the
+    list of snapshot periods has beyond them are the gaps, and only gaps become rows.
+    ``snapshots`` (period) lists the periods whose snapshot file exists, when that is known
     from the files (an empty snapshot misses every SKU); else the periods with rows.
     """
     src = snapshots if snapshots is not None else inventory
     snap_periods = src.agg(F.sort_array(F.collect_set(period))).scalar()
-    wanted = expected_skus.select("sku").distinct().select("sku", F.explode(snap_periods).alias(period))
-    return wanted.join(inventory.select(period, "sku"), [period, "sku"], "left_anti").select(period, "sku")
+    found = inventory.groupBy("sku").agg(F.collect_set(period).alias("_found"))
+    gaps = F.array_except(snap_periods, F.coalesce("_found", F.array()))
+    return (expected_skus.select("sku").distinct().join(found, "sku", "left")
+            .select("sku", F.explode(gaps).alias(period)).select(period, "sku"))
 
 
 def inventory_findings(parsed: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
@@ -290,11 +292,11 @@ def report_summary(counts: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame
     check5_err = F.when(inv5, c("n_invalid") + c("n_negative")).otherwise(zero)
     check5_warn = F.when(inv5, c("n_sku_absent") + c("n_reserved_gt")).otherwise(zero)
     check5_info = F.when(inv5 & (check5_err + check5_warn == 0), one).otherwise(zero)
-    errors = (check1_err + check2_err + check3_err + check5_err).cast("int")
-    warnings = (check4_warn + check5_warn).cast("int")
-    infos = (check1_info + check2_info + check3_info + check4_info + check5_info).cast("int")
+    errors = (check1_err + check2_err + check3_err + check5_err).cast("long")
+    warnings = (check4_warn + check5_warn).cast("long")
+    infos = (check1_info + check2_info + check3_info + check4_info + check5_info).cast("long")
     return (counts.select(period, errors.alias("errors"), warnings.alias("warnings"), infos.alias("infos"))
-            .withColumn("total", (F.col("errors") + F.col("warnings") + F.col("infos")).cast("int")))
+            .withColumn("total", F.col("errors") + F.col("warnings") + F.col("infos")))
 
 
 def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame, expected_skus: DataFrame,

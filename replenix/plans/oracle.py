@@ -257,19 +257,19 @@ UNION ALL
 SELECT exec_year, sku, warehouse, 'ERROR', 'negative' FROM pinv
 WHERE a IS NOT NULL AND r IS NOT NULL AND (a < 0 OR r < 0)""")
 q("qc_report_summary", """
-SELECT exec_year, errors, warnings, infos, errors + warnings + infos AS total FROM (
+SELECT exec_year, errors, warnings, infos, CAST(errors + warnings + infos AS BIGINT) AS total FROM (
   SELECT exec_year,
     CAST((CASE WHEN has_orders THEN n_missing_stores ELSE 1 END) + (CASE WHEN has_inventory THEN 0 ELSE 1 END)
          + n_unmapped + n_missing_fields
-         + (CASE WHEN has_inventory THEN n_invalid + n_negative ELSE 0 END) AS INTEGER) AS errors,
+         + (CASE WHEN has_inventory THEN n_invalid + n_negative ELSE 0 END) AS BIGINT) AS errors,
     CAST((CASE WHEN has_orders THEN n_spikes ELSE 0 END)
-         + (CASE WHEN has_inventory THEN n_sku_absent + n_reserved_gt ELSE 0 END) AS INTEGER) AS warnings,
+         + (CASE WHEN has_inventory THEN n_sku_absent + n_reserved_gt ELSE 0 END) AS BIGINT) AS warnings,
     CAST((CASE WHEN has_orders AND n_missing_stores = 0 AND n_extra = 0 THEN 1 ELSE 0 END)
          + (CASE WHEN has_inventory THEN 1 ELSE 0 END)
          + (CASE WHEN n_unmapped + n_missing_fields = 0 THEN 1 ELSE 0 END)
          + (CASE WHEN has_orders AND n_spikes = 0 THEN 1 ELSE 0 END)
          + (CASE WHEN has_inventory AND n_invalid + n_negative + n_sku_absent + n_reserved_gt = 0
-                 THEN 1 ELSE 0 END) AS INTEGER) AS infos
+                 THEN 1 ELSE 0 END) AS BIGINT) AS infos
   FROM counts) t""")
 q("qc_report_entries", """
 SELECT exec_year, 1 AS seq, 'ERROR' AS level, 'missing_pos_files' AS "check", CAST(exec_year AS VARCHAR) AS detail

@@ -190,7 +190,7 @@ def main(argv: list[str] | None = None) -> None:
     raw/orders/<date>/<STORE>.json, raw/stock/<date>/inventory.csv plus master files."""
     import argparse
 
-    from replenix.session import build_session
+    from replenix.session import production_session
     ap = argparse.ArgumentParser(prog="python -m replenix.plans.pipeline")
     ap.add_argument("--data", required=True, help="folder with raw/orders and raw/stock")
     ap.add_argument("--out", required=True, help="output base (tables, documents, reports)")
@@ -202,9 +202,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--stores", default="", help="expected stores, comma separated")
     ap.add_argument("--skus", default="", help="expected SKUs, comma separated (default: all products)")
     ap.add_argument("--spike-threshold", type=int, default=qc.DEMAND_SPIKE_THRESHOLD)
-    ap.add_argument("--master", default=None, help="Spark master (default: the cluster's, or local)")
+    ap.add_argument("--master", default=None, help="Spark master (default: as submitted)")
     a = ap.parse_args(argv)
-    spark = build_session(master=a.master) if a.master else build_session()
+    spark = production_session("replenix-daily-run", a.master)
     products = _master_table(spark, a.products, schemas.PRODUCTS, schemas.PRODUCT_DEFAULTS)
     cfg = Config(
         orders_root=f"{a.data}/raw/orders", stock_root=f"{a.data}/raw/stock", out_base=a.out,

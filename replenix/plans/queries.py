@@ -40,8 +40,10 @@ def query(key: str):
 
 @query("pos_orders")
 def pos_orders(v: Views) -> DataFrame:
-    # one period through a named parameter; the period filter prunes before the join
-    return v.spark.sql("SELECT order_id, store_id, sku, quantity FROM {pos} WHERE exec_year = :year",
+    # one period through a named parameter, as a half-open range that reaches the Parquet scan
+    return v.spark.sql("""SELECT order_id, store_id, sku, quantity FROM {pos}
+                          WHERE order_ts >= CAST(make_date(:year, 1, 1) AS TIMESTAMP_NTZ)
+                            AND order_ts < CAST(make_date(:year + 1, 1, 1) AS TIMESTAMP_NTZ)""",
                        args={"year": POS_YEAR}, pos=v.pos)
 
 

@@ -59,6 +59,19 @@ def build_session(master: str | None = None, app: str = "replenix",
     return spark
 
 
+def production_session(app: str = "replenix", master: str | None = None) -> SparkSession:
+    """The session of a submitted job: master, memory and sizes are the submitter's.
+
+    Only settings that results depend on are added; ``LOCAL_CONF`` is for tests and the bench.
+    """
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    spark = builder.getOrCreate()
+    apply_correctness_conf(spark)
+    return spark
+
+
 def apply_correctness_conf(spark: SparkSession) -> None:
     for k, v in CORRECTNESS_CONF.items():
         spark.conf.set(k, v)

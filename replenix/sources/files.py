@@ -115,25 +115,17 @@ def read_partition(spark: SparkSession, base: str, period: str, value, schema: T
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, partition_column: str | None = None,
-              lower: int | None = None, upper: int | None = None, num_partitions: int = 8) -> DataFrame:
-    """Master data from a relational database (S7), read in parallel slices of a
-    numeric key.  Needs the driver's JDBC jar on the classpath."""
+              lower: int | None = None, upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Master data from a relational database (S7), read in ``num_partitions`` parallel slices of a
+    numeric key between ``lower`` and ``upper``.  Needs the driver's JDBC jar on the classpath."""
     if partition_column is None:
         return spark.read.jdbc(url, table, properties=properties)
+    if None in (lower, upper, num_partitions):
+        raise ValueError("a sliced read needs lower, upper and num_partitions")
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
                            numPartitions=num_partitions, properties=properties)
 
 
-def read_inventory_text(spark: SparkSession, path: str) -> DataFrame:
-    """Inventory snapshot with every value kept as text (S10), for the quality check."""
-    return read_csv(spark, path, schemas.INVENTORY_TEXT)
-
-
-def stores_found(orders: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
-    """Which stores delivered for which period."""
-    return orders.select(period, "store_id").distinct()
-
-
 # --- purchase-order documents (S9) ----------------------------------------------
 
 def parse_order_documents(texts: DataFrame, value: str = "value", folder: str = "date_folder",

@@ -10,8 +10,10 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from replenix.plans import queries
 
 SF = "/root/testdata/sf0.001"
+KEYS = sorted(queries.queries())
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
              "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -38,7 +40,7 @@ def _plan(df) -> str:
     return buf.getvalue().split("== Physical Plan ==", 1)[1]
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", KEYS)
 def test_plan_shape(no_broadcast, key):
     plan = _plan(E.queries()[key](no_broadcast, SF))
     for op in FORBIDDEN:
@@ -56,7 +58,7 @@ UNUSED = {"lineitem": ("l_extendedprice", "l_discount", "l_tax", "l_returnflag",
           "supplier": ("s_nationkey", "s_acctbal")}
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", KEYS)
 def test_scans_read_only_used_columns(spark, key):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
