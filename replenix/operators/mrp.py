@@ -16,14 +16,15 @@ from replenix.schemas import NET_DEMAND_COLUMNS
 
 
 def pack_rounding(demand: DataFrame, stock: DataFrame, master: DataFrame,
-                  period: str = DEFAULT_PERIOD) -> DataFrame:
-    """All MRP columns before the MOQ filter (one row per demanded SKU with a supplier).
+                  period: str = DEFAULT_PERIOD, how: str = "inner", keep: tuple[str, ...] = ()) -> DataFrame:
+    """All MRP columns before the MOQ filter (one row per demanded SKU with a supplier; with
+    ``how="left"`` one per demanded SKU).  ``keep`` names further columns of ``master`` to carry.
 
     Demand and stock are both one row per (period, sku), so they are joined first
     on their common partitioning; the result meets the (one row per sku) master on sku.
     """
     j = (demand.join(stock, [period, "sku"], "left")
-         .join(master, "sku"))
+         .join(master, "sku", how))
     avail = F.coalesce("available_stock", F.lit(0)).cast("int")
     resv = F.coalesce("reserved_stock", F.lit(0)).cast("int")
     raw = raw_demand("total_demand", "safety_stock", "available_stock", "reserved_stock")
@@ -32,7 +33,7 @@ def pack_rounding(demand: DataFrame, stock: DataFrame, master: DataFrame,
         avail.alias("available_stock"), resv.alias("reserved_stock"),
         F.col("safety_stock").cast("int").alias("safety_stock"),
         F.col("pack_size").cast("int").alias("pack_size"), F.col("moq").cast("int").alias("moq"),
-        F.col("unit_cost").cast("double").alias("unit_cost"), raw.alias("raw_demand"))
+        F.col("unit_cost").cast("double").alias("unit_cost"), raw.alias("raw_demand"), *keep)
     return out.withColumn("final_order_qty", round_up_to_pack("raw_demand", "pack_size"))
 
 
@@ -51,24 +52,24 @@ def below_moq(rounded: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
             .select(period, "sku", "final_order_qty", "moq"))
 
 
-def dropped_skus(demand: DataFrame, products: DataFrame, master: DataFrame, net: DataFrame,
+def dropped_skus(demand: DataFrame, stock: DataFrame, products: DataFrame, preferred: DataFrame,
                  suppliers: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
     """Rows the inner joins silently lose -> period, sku, reason.
 
     missing_product      demanded SKU absent from products
     missing_supplier     product without any priced supplier
     unknown_supplier     net-demand row whose supplier is not in suppliers (lost at export)
+
+    The demand meets one catalogue-sized table of flags once; one CASE names the reason.
     """
-    d = demand.select(period, "sku")
-    no_product = d.join(products.select("sku"), "sku", "left_anti").withColumn("reason", F.lit("missing_product"))
-    no_supplier = (d.join(products.select("sku"), "sku", "left_semi")
-                   .join(master.select("sku"), "sku", "left_anti")
-                   .withColumn("reason", F.lit("missing_supplier")))
-    unknown = (net.select(period, "sku", "supplier_id")
-               .join(suppliers.select("supplier_id"), "supplier_id", "left_anti")
-               .select(period, "sku", F.lit("unknown_supplier").alias("reason")))
-    cols = [period, "sku", "reason"]
-    return no_product.select(*cols).unionByName(no_supplier.select(*cols)).unionByName(unknown.select(*cols))
+    known = suppliers.select("supplier_id", F.lit(True).alias("_known")).distinct()
+    flags = (products.select("sku", "pack_size", "moq", "safety_stock", F.lit(True).alias("_product"))
+             .join(preferred.withColumn("_priced", F.lit(True)).join(known, "supplier_id", "left"), "sku", "left"))
+    r = pack_rounding(demand, stock, flags, period, how="left", keep=("_product", "_priced", "_known"))
+    reason = (F.when(F.col("_product").isNull(), "missing_product")
+              .when(F.col("_priced").isNull(), "missing_supplier")
+              .when((F.col("final_order_qty") >= F.col("moq")) & F.col("_known").isNull(), "unknown_supplier"))
+    return r.select(period, "sku", reason.alias("reason")).where("reason is not null")
 
 
 def run_metrics(net: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:

@@ -1,10 +1,9 @@
-"""Purchase orders: order lines (J4, P4), per-supplier headers (A5), nested
-documents (K7) and the order-date shift (F8).
+"""Purchase orders: order lines (J4, P4), per-supplier headers (A5), order
+records (K7) and the order-date shift (F8).
 
 A supplier may carry a large share of all SKUs, so nothing gathers one
-supplier's lines in one group: headers are map-side combined aggregates, and
-documents are written as numbered parts of at most ``chunk_size`` items each
-(the header totals repeat in every part).
+supplier's lines: headers are map-side combined aggregates, and an order is
+written as one header record and one record per item, at every size.
 """
 
 from __future__ import annotations
@@ -13,26 +12,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from replenix import DEFAULT_PERIOD
 from replenix.functions.exprs import money, plus_days_text
-from replenix.operators.ranking import balanced_row_number
-
-DEFAULT_CHUNK = 5000
 
 LINE_COLUMNS = ["supplier_id", "supplier_name", "contact_email", "sku", "product_name",
                 "quantity", "unit_cost", "total_cost"]
 
 
-def order_lines(net: DataFrame, suppliers: DataFrame, products: DataFrame,
-                period: str = DEFAULT_PERIOD) -> DataFrame:
-    """net_demand JOIN suppliers JOIN products, positive quantities only.
+def order_lines(net: DataFrame, names: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
+    """net_demand JOIN names on sku, positive quantities only.
+
+    ``names`` (``suppliers.sku_names``) holds one row per SKU whose product and preferred supplier
+    are known, so the demand stays where its sku put it: no shuffle by supplier.
 
     -> period, supplier_id, supplier_name, contact_email, sku, product_name,
        quantity INT, unit_cost DOUBLE, total_cost DOUBLE
     """
-    s = suppliers.select("supplier_id", F.col("name").alias("supplier_name"), "contact_email")
-    p = products.select("sku", F.col("name").alias("product_name"))
     j = (net.where(F.col("final_order_qty") > 0)
          .select(period, "supplier_id", "sku", "final_order_qty", "unit_cost", "estimated_cost")
-         .join(s, "supplier_id").join(p, "sku"))
+         .join(names.select("sku", "product_name", "supplier_name", "contact_email"), "sku"))
     return j.select(period, "supplier_id", "supplier_name", "contact_email", "sku", "product_name",
                     F.col("final_order_qty").cast("int").alias("quantity"),
                     F.col("unit_cost").cast("double").alias("unit_cost"),
@@ -54,44 +50,33 @@ def order_headers(lines: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
                  F.min("sku").alias("first_sku"), F.max("sku").alias("last_sku")))
 
 
-def order_documents(lines: DataFrame, period: str = DEFAULT_PERIOD, generated_at: Column | None = None,
-                    chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """Nested purchase-order documents, one per (period, supplier, part).
+def order_records(lines: DataFrame, period: str = DEFAULT_PERIOD, generated_at: Column | None = None) -> DataFrame:
+    """Purchase orders as records: one ``order`` row per (period, supplier) and one ``item`` row per line.
 
-    Items are ordered by sku and numbered across the supplier (balanced numbering,
-    so a huge supplier is spread over many tasks), then cut into parts of
-    ``chunk_size``.  Item costs are rounded to cents; the document total is the
-    exact sum, rounded once.
+    Item costs are rounded to cents; the order's total is the exact sum, rounded once.  Both kinds carry
+    supplier, order date (data date + 1 day) and data date; columns of the other kind are NULL.
     """
     gen = generated_at if generated_at is not None else F.date_format(F.current_timestamp(),
                                                                        "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    numbered = balanced_row_number(lines, [period, "supplier_id"], [F.col("sku").asc()], name="item_no")
-    parts = (numbered
-             .withColumn("part", ((F.col("item_no") - 1) / chunk_size).cast("long") + 1)
-             .groupBy(period, "supplier_id", "part")
-             .agg(F.first("supplier_name").alias("supplier_name"),
-                  F.first("contact_email").alias("contact_email"),
-                  F.sort_array(F.collect_list(F.struct(
-                      F.col("item_no"), F.col("sku"), F.col("product_name"), F.col("quantity"),
-                      F.round("unit_cost", 2).alias("unit_cost"),
-                      F.round("total_cost", 2).alias("total_cost")))).alias("_items")))
-    # one header row per part, so the join key includes the part and the parts of
-    # a huge supplier stay spread over tasks
-    n_parts = F.ceil(F.col("item_count") / chunk_size).cast("long")
-    headers = (order_headers(lines, period)
-               .select(period, "supplier_id", "item_count", "total",
-                       F.explode(F.sequence(F.lit(1).cast("long"), n_parts)).alias("part")))
     data_date = F.col(period).cast("string")
-    return (parts.join(headers, [period, "supplier_id", "part"])
-            .select(
-                F.col(period), F.col("supplier_id"), F.col("supplier_name"), F.col("contact_email"),
-                plus_days_text(data_date, 1).alias("order_date"),
-                data_date.alias("data_date"),
-                gen.alias("generated_at"),
-                F.transform("_items", lambda x: x.dropFields("item_no")).alias("items"),
-                F.col("total").cast("double").alias("total_estimated_cost"),
-                F.col("part"),
-                F.ceil(F.col("item_count") / chunk_size).cast("long").alias("parts")))
+    dates = [plus_days_text(data_date, 1).alias("order_date"), data_date.alias("data_date"), gen.alias("generated_at")]
+
+    def none(name: str, kind: str) -> Column:
+        return F.lit(None).cast(kind).alias(name)
+
+    heads = (lines.groupBy(period, "supplier_id")
+             .agg(F.min("supplier_name").alias("supplier_name"), F.min("contact_email").alias("contact_email"),
+                  F.count(F.lit(1)).alias("item_count"),
+                  money(F.sum(exact_line_cost())).cast("double").alias("total_estimated_cost")))
+    sku_type = lines.schema["sku"].dataType.simpleString()
+    orders = heads.select(period, F.lit("order").alias("record"), "supplier_id", "supplier_name", "contact_email", *dates,
+                          "item_count", "total_estimated_cost", none("sku", sku_type), none("product_name", "string"),
+                          none("quantity", "int"), none("unit_cost", "double"), none("total_cost", "double"))
+    items = lines.select(period, F.lit("item").alias("record"), "supplier_id", "supplier_name", none("contact_email", "string"),
+                         *dates, none("item_count", "bigint"), none("total_estimated_cost", "double"), "sku",
+                         "product_name", "quantity", F.round("unit_cost", 2).alias("unit_cost"),
+                         F.round("total_cost", 2).alias("total_cost"))
+    return orders.unionByName(items)
 
 
 def order_dates_shift(dates: DataFrame, date_col: str) -> DataFrame:

@@ -40,6 +40,7 @@ MESSAGES = {
     "inventory_ok": "Inventory snapshot present",
     "sku_unmapped": "SKU without supplier: %s",
     "fields_missing": "Missing fields for %s: %s",
+    "products_absent": "Products file missing",
     "mapping_ok": "All SKUs have a valid supplier",
     "spike": "Demand spike for %s: %s units (threshold=%s)",
     "no_spike": "No demand spike",
@@ -219,7 +220,8 @@ def rollup_spikes(rollup: DataFrame, threshold: int = DEMAND_SPIKE_THRESHOLD,
 def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame, expected_skus: DataFrame,
                   products: DataFrame, product_docs: DataFrame, expected_stores: list[str],
                   threshold: int = DEMAND_SPIKE_THRESHOLD, period: str = DEFAULT_PERIOD,
-                  rollup: DataFrame | None = None, snapshots: DataFrame | None = None) -> DataFrame:
+                  rollup: DataFrame | None = None, snapshots: DataFrame | None = None,
+                  products_absent: bool = False) -> DataFrame:
     """Per period: how many findings of each kind (the inputs of the summary).
 
     ``snapshots`` (period): the periods whose snapshot file exists, when known from
@@ -257,8 +259,11 @@ def report_counts(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                .join(inv, period, "full"))
     inv = inv.withColumn("n_sku_absent", F.when(F.col("_has_snapshot"),
                                                 n_expected - F.coalesce(F.col("_n_present"), F.lit(0))))
-    n_unmapped = unmapped_skus(expected_skus, products).agg(F.count(F.lit(1))).scalar()
-    n_fields = missing_fields(product_docs).agg(F.count(F.lit(1))).scalar()
+    if products_absent:   # one ERROR stands for the whole of check 3
+        n_unmapped, n_fields = F.lit(1).cast("long"), F.lit(0).cast("long")
+    else:
+        n_unmapped = unmapped_skus(expected_skus, products).agg(F.count(F.lit(1))).scalar()
+        n_fields = missing_fields(product_docs).agg(F.count(F.lit(1))).scalar()
     z = F.lit(0).cast("long")
     return (periods.select(period).distinct()
             .join(order_side, period, "left")
@@ -303,7 +308,8 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
                    products: DataFrame, product_docs: DataFrame, expected_stores: list[str],
                    counts: DataFrame, threshold: int = DEMAND_SPIKE_THRESHOLD,
                    period: str = DEFAULT_PERIOD, clock: Column | None = None,
-                   rollup: DataFrame | None = None, snapshots: DataFrame | None = None) -> DataFrame:
+                   rollup: DataFrame | None = None, snapshots: DataFrame | None = None,
+                   products_absent: bool = False) -> DataFrame:
     """Every report entry as a row -> period, seq, timestamp, level, check, message, detail.
 
     ``seq`` is the check number, which orders entries as in the report.  The INFO
@@ -342,6 +348,9 @@ def report_details(periods: DataFrame, orders: DataFrame, parsed_inv: DataFrame,
     mf = missing_fields(product_docs)
     # check 3 does not depend on the period; its findings repeat in every period's report
     periods_arr = per.agg(F.sort_array(F.collect_set(period))).scalar()
+    if products_absent:
+        parts.append(entry(per, 3, ERROR, CHECKS[2], F.lit(M["products_absent"]), F.lit("products")))
+        unm, mf = unm.limit(0), mf.limit(0)
     parts += [
         entry(unm.select(F.explode(periods_arr).alias(period), "sku"), 3, ERROR, CHECKS[2],
               F.format_string(M["sku_unmapped"], _s("sku")), F.col("sku")),

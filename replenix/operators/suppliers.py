@@ -40,6 +40,15 @@ def preferred_suppliers(product_suppliers: DataFrame) -> DataFrame:
                        F.col("_best.c").cast("double").alias("unit_cost"))
 
 
+def sku_names(products: DataFrame, preferred: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Names an order needs, one row per SKU whose product and preferred supplier are both known
+    -> sku, product_name, supplier_name, contact_email (catalogue-sized)."""
+    s = suppliers.select("supplier_id", F.col("name").alias("supplier_name"), "contact_email")
+    return (preferred.select("sku", "supplier_id").join(s, "supplier_id")
+            .join(products.select("sku", F.col("name").alias("product_name")), "sku")
+            .select("sku", "product_name", "supplier_name", "contact_email"))
+
+
 def supplier_master(products: DataFrame, preferred: DataFrame) -> DataFrame:
     """Products INNER JOIN their preferred supplier -> sku, pack_size, moq, safety_stock, supplier_id, unit_cost.
 

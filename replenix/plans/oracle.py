@@ -391,5 +391,44 @@ QC_KEYS = {"stores_found", "qc_missing_stores", "qc_missing_inventory", "qc_unma
            "qc_inventory_inconsistency", "qc_report_summary", "qc_report_entries"}
 
 
+# --- the daily run: the same chain over the records that arrive whole and the stock text that parses ---
+
+_INT = "^\\s*[+-]?[0-9]+(_[0-9]+)*\\s*$"
+
+
+def _daily_run() -> str:
+    prelude = PRELUDE.replace("""
+pos AS (""", """
+pos_all AS (""").replace("""
+years AS (""", """
+pos AS (SELECT * FROM pos_all WHERE quantity <> 13),
+years AS (""").replace("""
+stock AS (
+  SELECT exec_year, sku, CAST(SUM(available_stock) AS INTEGER) AS available_stock,
+         CAST(SUM(reserved_stock) AS INTEGER) AS reserved_stock
+  FROM inventory GROUP BY exec_year, sku),""", f"""
+stock AS (
+  SELECT exec_year, sku,
+         CAST(SUM(CASE WHEN regexp_matches(available_stock, '{_INT}') THEN CAST(available_stock AS INTEGER) END) AS INTEGER)
+           AS available_stock,
+         CAST(SUM(CAST(reserved_stock AS INTEGER)) AS INTEGER) AS reserved_stock
+  FROM inventory_text GROUP BY exec_year, sku),""")
+    checks = QC.replace("found AS (SELECT DISTINCT exec_year, store_id FROM pos)",
+                        "found AS (SELECT DISTINCT exec_year, store_id FROM pos_all)")
+    return f"""{prelude}{checks}
+SELECT y.exec_year,
+  (SELECT COUNT(*) FROM pos p WHERE p.exec_year = y.exec_year) AS raw_rows,
+  (SELECT COUNT(*) FROM pos_all p WHERE p.exec_year = y.exec_year AND quantity = 13) AS rejected_rows,
+  (SELECT COUNT(*) FROM demand d WHERE d.exec_year = y.exec_year) AS aggregated_skus,
+  m.sku_count, m.total_qty, m.total_cost,
+  (SELECT COUNT(*) FROM line l WHERE l.exec_year = y.exec_year) AS exported_items,
+  (SELECT COUNT(DISTINCT supplier_id) FROM line l WHERE l.exec_year = y.exec_year) AS exported_suppliers,
+  (SELECT COUNT(*) FROM missing_stores s WHERE s.exec_year = y.exec_year) AS missing_stores,
+  r.errors, r.warnings, r.infos
+FROM years y JOIN ({BODIES['run_metrics']}) m ON m.exec_year = y.exec_year
+JOIN ({BODIES['qc_report_summary']}) r ON r.exec_year = y.exec_year"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: PRELUDE + (QC if k in QC_KEYS else "") + v for k, v in BODIES.items()}
+    return ({k: PRELUDE + (QC if k in QC_KEYS else "") + v for k, v in BODIES.items()}
+            | {"daily_run": _daily_run()})

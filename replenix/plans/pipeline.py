@@ -25,6 +25,7 @@ from replenix.operators import mrp
 from replenix.operators import orders as ords
 from replenix.operators import quality as qc
 from replenix.operators import suppliers as sup
+from replenix.session import scratch_path
 from replenix.sinks import writers
 from replenix.sources import files
 
@@ -33,7 +34,7 @@ P = "exec_date"
 
 @dataclass
 class Config:
-    orders_root: str                     # <root>/<yyyy-mm-dd>/<STORE>.json (JSON arrays)
+    orders_root: str                     # <root>/<yyyy-mm-dd>/<STORE>.json or <STORE>/ or store=<STORE>/ with parts
     stock_root: str                      # <root>/<yyyy-mm-dd>/inventory.csv
     out_base: str                        # processed tables, documents, reports
     products: DataFrame | None = None    # master data (a table, JDBC read or snapshot)
@@ -44,7 +45,9 @@ class Config:
     expected_stores: list[str] = field(default_factory=list)
     expected_skus: list[str] | DataFrame = field(default_factory=list)   # a list or a one-column table
     spike_threshold: int = qc.DEMAND_SPIKE_THRESHOLD
-    chunk_size: int = ords.DEFAULT_CHUNK
+    date_folder: str = "{}"              # name of a date's folder, e.g. "day={}"
+    orders_ext: str = ".json"
+    orders_multi_line: bool | None = None   # None: arrays and JSON Lines told by content; else one way for all files
 
 
 def dates_between(start: str, end: str) -> list[str]:
@@ -60,32 +63,36 @@ def _in(dates: list[str]) -> Column:
     return F.col(P).isin(*dates)
 
 
-def ingest(spark: SparkSession, cfg: Config, dates: list[str]) -> dict:
+def ingest(spark: SparkSession, cfg: Config, dates: list[str], scratch: str) -> dict:
     """Raw files of the dates -> raw/orders, raw/inventory (+ rejects).
 
-    Only the date folders of the run are listed and read, not the whole history."""
-    order_dirs = writers.existing_folders(spark, cfg.orders_root, dates)
-    stock_dirs = writers.existing_folders(spark, cfg.stock_root, dates)
-    orders, rejects = files.ingest_directory(spark, order_dirs, schemas.ORDERS, fmt="json", period=P)
+    Only the date folders of the run are listed and read, not the whole history.  Parses are staged
+    below ``scratch``, which the run removes."""
+    names = [cfg.date_folder.format(d) for d in dates]
+    order_dirs = writers.existing_folders(spark, cfg.orders_root, names)
+    stock_dirs = writers.existing_folders(spark, cfg.stock_root, names)
+    orders, rejects = files.ingest_directory(spark, order_dirs, schemas.ORDERS, fmt="json", period=P,
+                                             multi_line=cfg.orders_multi_line, ext=cfg.orders_ext,
+                                             staging=f"{scratch}/orders")
     stock, stock_rejects = files.ingest_directory(spark, stock_dirs, schemas.INVENTORY_TEXT, fmt="csv",
-                                                  period=P)
+                                                  period=P, staging=f"{scratch}/stock")
     orders = orders.where(_in(dates))
     stock = stock.where(_in(dates))
     base = cfg.out_base.rstrip("/")
-    # presence for quality check 1, as files: one store file per store (an empty one
-    # still counts), and the date folders that exist (even without files)
-    order_files = (files.list_files(spark, order_dirs, ".json", period=P).where(_in(dates))
-                   .select(P, F.col("file_stem").alias("store_id")))
-    order_folders = _periods(spark, [d.rstrip("/").rsplit("/", 1)[-1] for d in order_dirs])
+    # presence for quality check 1, as files: a store has delivered when a file of its is there (an
+    # empty one still counts), and the date folders that exist (even without files)
+    order_files = (files.list_files(spark, order_dirs, cfg.orders_ext, period=P).where(_in(dates))
+                   .select(P, F.col("store").alias("store_id")).distinct())
+    order_folders = _periods(spark, [d.rstrip("/")[-10:] for d in order_dirs])
     # a snapshot is present when its file is, even with no row (check 2 and 5)
     stock_files = files.list_files(spark, stock_dirs, ".csv", period=P).where(_in(dates)).select(P).distinct()
-    # the files come in date folders, so each read task already holds one date:
-    # written as read, without a rebalancing shuffle of the raw feed
+    # a read task of the staged parse may hold rows of many dates: rebalanced, so that a date gets files
+    # of the advisory size and not one per task
     return {"order_files": order_files, "order_folders": order_folders, "stock_files": stock_files,
-            "orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates, rebalance=False),
-            "stock": _materialize(stock.drop("source_file"), f"{base}/raw/inventory", dates, rebalance=False),
+            "orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates),
+            "stock": _materialize(stock.drop("source_file"), f"{base}/raw/inventory", dates),
             "rejects": _materialize(rejects.unionByName(stock_rejects).where(_in(dates)),
-                                    f"{base}/raw/rejects", dates, rebalance=False)}
+                                    f"{base}/raw/rejects", dates)}
 
 
 def _read(spark: SparkSession, path: str, dates: list[str], like: DataFrame) -> DataFrame:
@@ -102,11 +109,28 @@ def _materialize(df: DataFrame, path: str, dates: list[str], rebalance: bool = T
 
 
 def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None = None,
-        clock: Column | None = None) -> dict[str, DataFrame]:
-    """Run the whole chain for [start_date, end_date] and return the result tables."""
-    dates = dates_between(start_date, end_date or start_date)
+        clock: Column | None = None, dates: list[str] | None = None) -> dict[str, DataFrame]:
+    """Run the whole chain for [start_date, end_date] (or the given dates) and return the result tables.
+
+    Everything returned reads tables of ``out_base``; what the run staged elsewhere is removed."""
+    dates = dates or dates_between(start_date, end_date or start_date)
     base = cfg.out_base.rstrip("/")
-    ingested = ingest(spark, cfg, dates)
+    scratch = scratch_path(spark, "run")
+    try:
+        return _run(spark, cfg, dates, base, scratch, clock)
+    finally:
+        writers.remove_folder(spark, scratch)
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once below the run's scratch folder and read back: no stage computes it again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch: str, clock: Column | None
+         ) -> dict[str, DataFrame]:
+    ingested = ingest(spark, cfg, dates, scratch)
     orders, stock_text = ingested["orders"], ingested["stock"]
 
     # aggregate (A1) -> processed.aggregated_orders, read back for the next stage
@@ -122,9 +146,9 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
     master = sup.supplier_master(products, preferred)
     net = _materialize(mrp.net_demand(demand, stock, master, P), f"{base}/processed/net_demand", dates)
 
-    # purchase orders (B3): lines, documents with order_date = data_date + 1
-    lines = ords.order_lines(net, cfg.suppliers, products, P)
-    docs = ords.order_documents(lines, P, generated_at=clock, chunk_size=cfg.chunk_size)
+    # purchase orders (B3): lines, records with order_date = data_date + 1
+    lines = ords.order_lines(net, sup.sku_names(products, preferred, cfg.suppliers), P)
+    docs = ords.order_records(_kept(lines, f"{scratch}/lines"), P, generated_at=clock)
     writers.write_documents(docs, f"{base}/output/supplier_orders", P, touched=dates)
 
     # quality report
@@ -132,7 +156,10 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
     expected_skus = (cfg.expected_skus.select(F.col(cfg.expected_skus.columns[0]).cast("string").alias("sku"))
                      if isinstance(cfg.expected_skus, DataFrame)
                      else spark.createDataFrame([(s,) for s in cfg.expected_skus], "sku string"))
-    if cfg.products_json and cfg.products_json_lines:
+    no_products = bool(cfg.products_json) and not writers.folder_exists(spark, cfg.products_json)
+    if no_products:
+        pdocs = spark.createDataFrame([], "sku string, value string")
+    elif cfg.products_json and cfg.products_json_lines:
         raw = spark.read.text(cfg.products_json).where(F.length(F.trim("value")) > 0)
         pdocs = raw.select(F.get_json_object("value", "$.sku").alias("sku"), "value")
     elif cfg.products_json:
@@ -144,29 +171,54 @@ def run(spark: SparkSession, cfg: Config, start_date: str, end_date: str | None
         pdocs = qc.product_documents(products.drop("supplier_id"), preferred)
     # the orders' store / SKU rollup feeds checks 1 and 4 of both the counts and the
     # entries: built once, checkpointed in the shared folder, read three times
-    rollup = qc.orders_rollup(orders, P, stores=ingested["order_files"], folders=ingested["order_folders"]
-                              ).checkpoint(eager=True)
-    counts = qc.report_counts(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
-                              cfg.spike_threshold, P, rollup=rollup, snapshots=ingested["stock_files"]
-                              ).checkpoint(eager=True)   # one row per date
+    rollup = _kept(qc.orders_rollup(orders, P, stores=ingested["order_files"], folders=ingested["order_folders"]),
+                   f"{scratch}/rollup")
+    counts = _kept(qc.report_counts(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
+                                    cfg.spike_threshold, P, rollup=rollup, snapshots=ingested["stock_files"],
+                                    products_absent=no_products), f"{scratch}/counts")   # one row per date
     details = qc.report_details(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
                                 counts, cfg.spike_threshold, P, clock=clock, rollup=rollup,
-                                snapshots=ingested["stock_files"])
-    summary = qc.report_summary(counts, P)
+                                snapshots=ingested["stock_files"], products_absent=no_products)
     writers.write_partitioned(details, f"{base}/logs/exceptions", P, fmt="json", touched=dates)
-    writers.write_partitioned(summary, f"{base}/logs/summary", P, fmt="json", touched=dates)
+    writers.write_partitioned(qc.report_summary(counts, P), f"{base}/logs/summary", P, fmt="json", touched=dates)
+    details = _written_json(details, f"{base}/logs/exceptions", dates)
+    summary = _written_json(qc.report_summary(counts, P), f"{base}/logs/summary", dates)
 
     # audit, metrics, run log
     audit = writers.partition_audit(spark, {"aggregated_orders": demand, "net_demand": net}, P)
-    metrics = mrp.run_metrics(net, P)
+    metrics = _metrics(spark, dates, ingested, demand, lines, net)
     stamp = clock if clock is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    run_row = (metrics.agg(F.count(F.lit(1)).alias("dates_with_orders"),
+    run_row = (metrics.agg(F.count_if(F.col("sku_count") > 0).alias("dates_with_orders"),
                            F.sum("sku_count").alias("sku_count"))
                .select(stamp.alias("run_at"), F.lit(dates[0]).alias("start_date"),
                        F.lit(dates[-1]).alias("end_date"), "dates_with_orders", "sku_count"))
     writers.append_run_log(spark, f"{base}/run_log", run_row)
-    return {"orders": orders, "demand": demand, "net_demand": net, "lines": lines, "documents": docs,
-            "report": details, "summary": summary, "audit": audit, "metrics": metrics}
+    return {"orders": orders, "rejects": ingested["rejects"], "demand": demand, "net_demand": net, "lines": lines,
+            "documents": files.read_order_documents(spark, f"{base}/output/supplier_orders"), "report": details, "summary": summary, "audit": audit, "metrics": metrics}
+
+
+def _written_json(df: DataFrame, path: str, dates: list[str]) -> DataFrame:
+    from pyspark.sql import types as T
+    fields = [f for f in df.schema.fields if f.name != P] + [T.StructField(P, T.StringType())]
+    back = df.sparkSession.read.schema(T.StructType(fields)).json(path).where(_in(dates))
+    return back.select(*df.columns)
+
+
+def _metrics(spark: SparkSession, dates: list[str], ingested: dict, demand: DataFrame, lines: DataFrame,
+             net: DataFrame) -> DataFrame:
+    """Per date of the run (K11): raw and rejected rows, demanded SKUs, net-demand rows with quantity and
+    exact cost, suppliers and items exported.  Every part is one row per date."""
+    def per_date(df, **columns):
+        return df.groupBy(P).agg(*[c.alias(n) for n, c in columns.items()])
+
+    one = F.count(F.lit(1))
+    parts = [per_date(ingested["orders"], raw_rows=one), per_date(ingested["rejects"], rejected_rows=one),
+             per_date(demand, aggregated_skus=one), mrp.run_metrics(net, P),
+             per_date(lines, exported_items=one, exported_suppliers=F.count_distinct("supplier_id"))]
+    out = _periods(spark, dates)
+    for part in parts:
+        out = out.join(part, P, "left")
+    return out.na.fill(0)
 
 
 def _master_table(spark: SparkSession, path: str, schema, defaults: dict) -> DataFrame:
@@ -179,7 +231,14 @@ def _master_table(spark: SparkSession, path: str, schema, defaults: dict) -> Dat
     elif low.endswith(".csv"):
         df = spark.read.option("header", True).csv(path)
     else:
-        df = spark.read.option("multiLine", True).json(path)
+        # the declared columns only; a column the file never names gets its default, so names are looked up
+        # first, in one pass over the file's objects
+        text = spark.read.text(path, wholetext=True)
+        names = (text.select(F.explode(F.from_json("value", "array<string>")).alias("o"))
+                 .select(F.explode(F.json_object_keys("o")).alias("k")).distinct())
+        present_names = {r["k"] for r in names.where(F.col("k").isin([f.name for f in schema.fields])).collect()}
+        declared = T.StructType([f for f in schema.fields if f.name in present_names])
+        df = spark.read.schema(declared).option("multiLine", True).json(path)
     present = [f for f in schema.fields if f.name in df.columns]
     df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present])
     return mst.apply_defaults(df, T.StructType(schema.fields), defaults)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replenix import schemas
+from replenix.functions.exprs import plus_days_text
 from replenix.operators import demand as dem
 from replenix.operators import master as mst
 from replenix.operators import mrp
@@ -19,7 +20,6 @@ from replenix.operators import quality as qc
 from replenix.operators import reports as rep
 from replenix.operators import suppliers as sup
 from replenix.session import checkpoint_root, scratch_path
-from replenix.operators.ranking import split_groups
 from replenix.sinks import catalog, writers
 from replenix.sources import files
 from replenix.streaming import ingest as stream_ingest
@@ -112,7 +112,7 @@ def below_moq(v: Views) -> DataFrame:
 
 @query("dropped_skus")
 def dropped_skus(v: Views) -> DataFrame:
-    return mrp.dropped_skus(v.demand, v.products, v.master, v.net, v.suppliers, P)
+    return mrp.dropped_skus(v.demand, v.stock, v.products, v.preferred, v.suppliers, P)
 
 
 @query("run_metrics")
@@ -139,9 +139,9 @@ def supplier_orders_header(v: Views) -> DataFrame:
 
 @query("supplier_orders_doc")
 def supplier_orders_doc(v: Views) -> DataFrame:
-    """Write the nested documents, read them back, flatten: must give the lines again."""
+    """Write the order records, read them back, item by item: must give the lines again."""
     path = scratch_path(v.spark, "supplier_orders")
-    writers.write_documents(ords.order_documents(v.lines, P, generated_at=fixed_clock()), path, P)
+    writers.write_documents(ords.order_records(v.lines, P, generated_at=fixed_clock()), path, P)
     back = files.read_order_documents(v.spark, path)
     return back.select(
         F.col("data_date").cast("int").alias(P), F.col("supplier_id").cast("long").alias("supplier_id"),
@@ -163,13 +163,15 @@ def order_dates(v: Views) -> DataFrame:
 def parse_order_docs(v: Views) -> DataFrame:
     """Document text in both formats (even suppliers: current object, odd: legacy
     list), parsed back by the dual-format reader."""
-    docs = ords.order_documents(v.lines, P, generated_at=fixed_clock())
-    obj = F.to_json(F.struct("supplier_id", "supplier_name", "contact_email", "order_date", "data_date",
-                             "generated_at", "items", "total_estimated_cost"))
+    item = F.struct("sku", "product_name", "quantity", F.round("unit_cost", 2).alias("unit_cost"),
+                    F.round("total_cost", 2).alias("total_cost"))
+    data_date = F.col(P).cast("string")
+    docs = v.lines.select(P, "supplier_id", F.array(item).alias("items"))   # a document per line: no group is gathered
+    obj = F.to_json(F.struct("supplier_id", plus_days_text(data_date, 1).alias("order_date"),
+                             data_date.alias("data_date"), "items"))
     legacy = F.to_json(F.transform("items", lambda x: F.struct(x["sku"], x["quantity"])))
     texts = docs.select(F.when(F.col("supplier_id") % 2 == 0, obj).otherwise(legacy).alias("value"),
-                        F.col("data_date").alias("date_folder"),
-                        F.col("supplier_id").cast("string").alias("file_stem"))
+                        data_date.alias("date_folder"), F.col("supplier_id").cast("string").alias("file_stem"))
     return files.parse_order_documents(texts).select("data_date", "supplier_id", "sku", "quantity", "unit_cost")
 
 
@@ -333,9 +335,6 @@ def freshness_status(v: Views) -> DataFrame:
 
 # --- 5. sources, sinks, catalog, master data ------------------------------------------
 
-FILE_ROWS = 20000   # order lines per JSON array file
-
-
 def _orders_feed(v: Views) -> DataFrame:
     """The order lines in the stores' delivery shape (ORDERS schema fields)."""
     return v.pos.select("order_id", "store_id", "sku", "quantity",
@@ -343,16 +342,13 @@ def _orders_feed(v: Views) -> DataFrame:
 
 
 def _write_json_arrays(v: Views, path: str) -> None:
-    """One JSON array per file, in folders date=<period>/store=<store>, files of
-    at most FILE_ROWS lines (a store-day of any size is cut into several files)."""
-    feed = split_groups(_orders_feed(v), [P, "store_id"], FILE_ROWS, by="order_id")
-    arrays = (feed.groupBy(P, "store_id", "chunk")
-              .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(F.to_json(F.struct(
-                  "order_id", "store_id", "sku", "quantity", "timestamp")))), F.lit("]")).alias("value"))
+    """JSON Lines in folders date=<period>/store=<store>, a line being the array of one order's lines:
+    a few rows are gathered per array, and files of any size split by line."""
+    one = F.to_json(F.struct("order_id", "store_id", "sku", "quantity", "timestamp"))
+    arrays = (_orders_feed(v).groupBy(P, "store_id", F.substring_index("order_id", "-", 1).alias("order"))
+              .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(one)), F.lit("]")).alias("value"))
               .select(F.col(P).cast("string").alias("date"), F.col("store_id").alias("store"), "value"))
-    # each chunk row is one file; the chunks of a hot store-day stay spread over the
-    # tasks of the aggregate (no repartition by store-day)
-    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("date", "store").text(path)
+    arrays.write.mode("overwrite").partitionBy("date", "store").text(path)
 
 
 def _feed_result(df: DataFrame, period_col: str) -> DataFrame:
@@ -364,7 +360,7 @@ def _feed_result(df: DataFrame, period_col: str) -> DataFrame:
 def scan_orders_json(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "raw_orders")
     _write_json_arrays(v, path)
-    back = files.read_json(v.spark, path, schemas.ORDERS, multi_line=True)
+    back = files.read_json(v.spark, path, schemas.ORDERS, multi_line=False)
     return _feed_result(back, "date")
 
 
@@ -374,7 +370,8 @@ def stream_ingest_orders(v: Views) -> DataFrame:
     src = scratch_path(v.spark, "raw_orders")
     _write_json_arrays(v, src)
     table, ckpt = scratch_path(v.spark, "raw_orders_table"), scratch_path(v.spark, "stream_ckpt")
-    stream = stream_ingest.order_file_stream(v.spark, src, schemas.ORDERS, period=P, date_pattern=r"date=(\d+)")
+    stream = stream_ingest.order_file_stream(v.spark, src, schemas.ORDERS, period=P, date_pattern=r"date=(\d+)",
+                                             ext=".txt", multi_line=False)
     stream_ingest.ingest_available(stream, table, ckpt, period=P)
     return _feed_result(v.spark.read.parquet(table), P)
 
@@ -509,5 +506,48 @@ def qc_master_orphans(v: Views) -> DataFrame:
                        ["sku", "supplier_id"])
 
 
+def _write_delivery(v: Views, root: str) -> None:
+    """The feed of all periods as stores deliver it, one day per period: JSON Lines parts in a folder per
+    store, every record of quantity 13 cut short; the stock snapshot with its columns in another order
+    than declared."""
+    feed = _orders_feed(v)
+    day = F.concat(F.col(P).cast("string"), F.lit("-01-01")).alias("day")
+    text = F.to_json(F.struct("order_id", "store_id", "sku", "quantity", "timestamp"))
+    (feed.select(F.when(F.col("quantity") == 13, F.substring(text, 1, 20)).otherwise(text).alias("value"), day,
+                 F.col("store_id").alias("store"))
+     .write.partitionBy("day", "store").text(f"{root}/orders"))   # Spark names text files .txt
+    (v.inventory_text.select("warehouse", "reserved_stock", "available_stock", "sku", day)
+     .write.option("header", True).partitionBy("day").csv(f"{root}/stock"))
+
+
+@query("daily_run")
+def daily_run(v: Views) -> DataFrame:
+    """The whole run over a written feed, all periods in one backfill -> per period: rows read and
+    rejected, SKUs demanded, net-demand rows with quantity and cost, items and suppliers exported, stores
+    missing, and the report's totals."""
+    from replenix.plans import pipeline
+
+    def texts(df, *keys):   # the delivered keys are text; padded, so that they sort as the numbers do
+        return df.withColumns({k: F.lpad(F.col(k).cast("string"), 12, "0") if k == "supplier_id"
+                               else F.col(k).cast("string") for k in keys})
+
+    root = scratch_path(v.spark, "delivery")
+    _write_delivery(v, f"{root}/raw")
+    days = [f"{r[0]}-01-01" for r in v.years.collect()]   # the calendar
+    cfg = pipeline.Config(
+        orders_root=f"{root}/raw/orders", stock_root=f"{root}/raw/stock", out_base=f"{root}/out",
+        products=texts(v.products, "sku"), suppliers=texts(v.suppliers, "supplier_id"),
+        product_suppliers=texts(v.product_suppliers, "sku", "supplier_id"), expected_stores=expected_stores(),
+        expected_skus=texts(v.expected_skus, "sku"), date_folder="day={}", orders_ext=".txt")
+    out = pipeline.run(v.spark, cfg, days[0], clock=fixed_clock(), dates=days)
+    missing = (out["report"].where("check = 'missing_pos_files' and level = 'ERROR'")
+               .groupBy("exec_date").agg(F.count(F.lit(1)).alias("missing_stores")))
+    return (out["metrics"].join(missing, "exec_date", "left").join(out["summary"], "exec_date")
+            .select(F.substring("exec_date", 1, 4).cast("int").alias(P), "raw_rows", "rejected_rows", "aggregated_skus",
+                    "sku_count", "total_qty", "total_cost", "exported_items", "exported_suppliers",
+                    F.coalesce("missing_stores", F.lit(0).cast("long")).alias("missing_stores"),
+                    "errors", "warnings", "infos"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}

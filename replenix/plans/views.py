@@ -90,6 +90,10 @@ class Views:
     def net(self):
         return mrp.net_demand(self.demand, self.stock, self.master, P)
 
+    @cached_property
+    def names(self):
+        return sup.sku_names(self.products, self.preferred, self.suppliers)
+
     @cached_property
     def lines(self):
-        return ords.order_lines(self.net, self.suppliers, self.products, P)
+        return ords.order_lines(self.net, self.names, P)

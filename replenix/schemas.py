@@ -35,9 +35,6 @@ PRODUCT_DEFAULTS = {"pack_size": 1, "moq": 1, "lead_time_days": 1, "safety_stock
 SUPPLIER_DEFAULTS = {"lead_time_days": 7, "reliability_score": "0.95"}
 PRODUCT_SUPPLIER_DEFAULTS = {"unit_cost": "0", "priority": 1, "is_preferred": False}
 
-# processed.aggregated_orders
-AGGREGATED_ORDERS = _st(("sku", S), ("total_demand", L))
-
 # processed.net_demand, in table order (13 columns with the period)
 NET_DEMAND_COLUMNS = ["sku", "supplier_id", "total_demand", "available_stock", "reserved_stock",
                       "safety_stock", "pack_size", "moq", "unit_cost", "raw_demand",
@@ -53,8 +50,7 @@ ORDER_DOCUMENT = T.StructType([
     T.StructField("items", T.ArrayType(ORDER_ITEM)),
     T.StructField("total_estimated_cost", D),
 ])
-# purchase-order document, legacy format: a list of {sku, quantity}
-LEGACY_ORDER_DOCUMENT = T.ArrayType(_st(("sku", S), ("quantity", I)))
-
-# exception report entry
-EXCEPTION = _st(("timestamp", S), ("level", S), ("check", S), ("message", S), ("detail", S))
+# purchase-order record as written: one "order" row per (date, supplier), one "item" row per product
+ORDER_RECORD = _st(("record", S), ("supplier_id", S), ("supplier_name", S), ("contact_email", S), ("order_date", S),
+                   ("data_date", S), ("generated_at", S), ("item_count", L), ("total_estimated_cost", D), ("sku", S),
+                   ("product_name", S), ("quantity", I), ("unit_cost", D), ("total_cost", D))

@@ -20,6 +20,16 @@ def _fs_delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder this package wrote, if it is there."""
+    return _fs_delete(spark, path)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def _observed_set(obs: Observation, field: str, fallback: DataFrame) -> set:
     """The set an Observation collected during a write.  A write that ran no task
     (an input with no partitions) reports no metrics; then the set is computed
@@ -86,52 +96,14 @@ def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet", by: list[str
     w.save(path)
 
 
-def write_documents(docs: DataFrame, path: str, period: str = DEFAULT_PERIOD,
-                    key: str = "supplier_id", touched: list | None = None) -> None:
-    """Nested documents as JSON, one folder per (period, key) (K7).
+def write_documents(records: DataFrame, path: str, period: str = DEFAULT_PERIOD, touched: list | None = None) -> None:
+    """Purchase-order records as JSON lines, partitioned by date (K7).
 
-    The folder columns are renamed copies, so the document body keeps its own
-    period and key fields.  Per-folder replacement on re-runs; for the periods in
-    ``touched`` a key folder this run did not write (a supplier with no order any
-    more) is removed, so no stale document survives a re-run.
+    A date is replaced whole, so a supplier without an order any more leaves none behind; its files are
+    sized by the rebalancing, which also splits the date of a supplier with very many items.
     """
-    spark = docs.sparkSession
-    apply_correctness_conf(spark)
-    out = docs.withColumn("date", F.col(period).cast("string")).withColumn("supplier", F.col(key).cast("string"))
-    out = out.drop(period) if period not in ("date", "supplier") else out
-    if touched:
-        # the written folders, observed during the write: as many as the folders listed below
-        folder = F.concat_ws("/", F.concat(F.lit("date="), F.col("date")),
-                             F.concat(F.lit("supplier="), F.col("supplier")))
-        plain = out
-        obs = Observation("written_documents")
-        out = out.observe(obs, F.collect_set(folder).alias("folders"))
-    # Documents are many small files: the write is bound by file creation, not bytes,
-    # so it is spread over a fixed number of tasks (an explicit count, which AQE does
-    # not coalesce by size).  The part number is in the key, so the parts of a
-    # supplier with very many items go to different tasks.  The key is one hash
-    # value: a repartition on the very columns the input is already hashed by would
-    # be dropped as redundant, and the input's shuffle then coalesced by bytes.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = ["date", "supplier"] + (["part"] if "part" in out.columns else [])
-    (out.repartition(n, F.xxhash64(*spread))
-     .write.mode("overwrite").partitionBy("date", "supplier").json(path))
-    if touched:
-        written = _observed_set(obs, "folders", plain.select(folder))
-        root = path.rstrip("/")
-        for d in touched:
-            for folder in _sub_folders(spark, f"{root}/date={d}"):
-                if f"date={d}/{folder}" not in written:
-                    _fs_delete(spark, f"{root}/date={d}/{folder}")
-
-
-def _sub_folders(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    out = records.withColumn("date", F.col(period).cast("string"))
+    write_partitioned(out.drop(period) if period != "date" else out, path, "date", fmt="json", touched=touched)
 
 
 def archive(spark: SparkSession, src: str, dst: str, dates: list, period: str = DEFAULT_PERIOD,

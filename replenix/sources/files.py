@@ -5,7 +5,9 @@ documents in both formats.  Every reader returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from replenix import DEFAULT_PERIOD, schemas
@@ -40,66 +42,195 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     raise ValueError(f"unsupported input format: {path}")
 
 
-def _glob_ci(ext: str) -> str:
+def glob_any_case(ext: str) -> str:
     """'.json' -> '*.[jJ][sS][oO][nN]' (case-insensitive suffix match as a glob)."""
     return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext.lstrip("."))
 
 
+# a whole folder name that is a date (or key=date); the last one of a path counts, so that a dated
+# export folder above the feed is not taken for the data's date
+DATE_FOLDER = r"^.*/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/"
+
+
+def store_of(path, date_pattern: str = DATE_FOLDER) -> Column:
+    """The store a file was delivered by: the first folder below the date folder (``store=X`` or
+    ``X``), or the file's stem when it lies in the date folder itself (S11)."""
+    below = F.regexp_replace(path, date_pattern, "")
+    first = F.regexp_replace(F.regexp_extract(below, r"^([^/]+)/", 1), "^store=", "")
+    return F.when(below.contains("/"), first).otherwise(file_stem(path))
+
+
+def _lines(spark: SparkSession, roots: list[str], ext: str) -> DataFrame:
+    """Non-blank text lines of the files: value, path, and ``at``, which orders them within a file."""
+    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob_any_case(ext)).text(roots))
+    return text.select(
+        F.trim("value").alias("value"), F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")
+    ).where(F.length("value") > 0)
+
+
+def _complete(value) -> Column:
+    """A line that is a JSON value of its own."""
+    v = F.col(value)
+    return (v.startswith("{") & v.endswith("}")) | (v.startswith("[") & v.endswith("]"))
+
+
+def _heads(lines: DataFrame) -> DataFrame:
+    """One row per file: path, its first line, how many lines, how many of them complete JSON values."""
+    return lines.groupBy("path").agg(F.min_by("value", "at").alias("first"), F.count(F.lit(1)).alias("n"),
+                                     F.count_if(_complete("value")).alias("n_complete"))
+
+
+def _is_document() -> Column:
+    """A file holding one JSON value over several lines, told by its lines: an array opened but not
+    closed on the first line, or an object without any complete line.  All else is read line by line."""
+    first = F.col("first")
+    return ((first.startswith("[") & ((F.col("n") == 1) | ~first.endswith("]")))
+            | (first.startswith("{") & (F.col("n_complete") == 0) & (F.col("n") > 1)))
+
+
+def _paths(rows) -> list[str]:
+    """Paths as a reader takes them (file metadata gives them URL-encoded)."""
+    return [unquote(r) for r in rows]
+
+
+def _reader(spark: SparkSession, schema: T.StructType):
+    return (spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+
+
+def _with_path(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(f.name) for f in schema.fields], CORRUPT, F.col("_metadata.file_path").alias("_path"))
+
+
+def _json_by_content(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str) -> DataFrame:
+    """Array files and JSON Lines files side by side, each read in its own way: no record of a JSON
+    Lines file is lost to the array reader.  The file names come to the driver, as they do for any read."""
+    heads = _heads(_lines(spark, roots, ext)).select("path", _is_document().alias("document")).collect()
+    parts = []
+    for document in (True, False):
+        paths = _paths(sorted(r["path"] for r in heads if r["document"] == document))
+        if paths:
+            parts.append(_with_path(_reader(spark, schema).option("multiLine", document).json(paths), schema))
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else _nothing(spark, schema)
+
+
+def _nothing(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType()),
+                                                                   T.StructField("_path", T.StringType())]))
+
+
+def _csv_by_header(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str) -> DataFrame:
+    """CSV files whose header names the columns, in any order and with further ones; a file that lacks a
+    declared column has all its lines rejected.  Files are read together per distinct header."""
+    heads = _heads(_lines(spark, roots, ext)).select("path", "first").collect()
+    declared = {f.name: f for f in schema.fields}
+    parts = []
+    for header in sorted({r["first"] for r in heads}):
+        names = [n.strip().strip('"').lstrip("\ufeff") for n in header.split(",")]
+        paths = _paths(sorted(r["path"] for r in heads if r["first"] == header))
+        if set(declared) <= set(names):
+            own = T.StructType([declared.get(n) or T.StructField(f"_further_{k}", T.StringType())
+                                for k, n in enumerate(names)])
+            read = _reader(spark, own).option("header", True).option("recursiveFileLookup", True).csv(paths)
+            parts.append(_with_path(read, schema))
+        else:
+            text = spark.read.text(paths).where(F.length(F.trim("value")) > 0)
+            parts.append(text.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
+                                     F.col("value").alias(CORRUPT), F.col("_metadata.file_path").alias("_path")))
+    out = parts[0] if parts else _nothing(spark, schema)
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.StructType, fmt: str = "json",
-                     period: str = DEFAULT_PERIOD, date_pattern: str = r"(\d{4}-\d{2}-\d{2})",
-                     multi_line: bool = True, ext: str | None = None) -> tuple[DataFrame, DataFrame]:
+                     period: str = DEFAULT_PERIOD, date_pattern: str = DATE_FOLDER, multi_line: bool | None = None,
+                     ext: str | None = None, staging: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Walk ``root`` recursively and read every ``.<fmt>`` file.
 
-    Returns (rows, rejects).  Rows carry the period taken from the folder path
-    (``date_pattern``'s first group; the folder date, never the event time) and
-    ``source_file`` (file stem).  Records that do not parse go to ``rejects``
-    with their file instead of failing the run or vanishing.
+    Returns (rows, rejects).  Rows carry the period taken from the folder path (``date_pattern``'s
+    first group; the folder date, never the event time) and ``source_file`` (file stem).  Records that
+    do not parse, and records of files without a date folder, go to ``rejects`` with their file instead
+    of failing the run or vanishing.
 
-    The files are parsed once and the parse is staged as a Parquet table in the
-    shared checkpoint folder (compressed and columnar, unlike an RDD checkpoint):
-    rows and rejects are two reads of the same result, and Spark does not allow
-    a raw scan that only asks for the corrupt-record column.
+    JSON files are read as their content asks (``multi_line`` None): an array or one pretty-printed
+    object per file, or JSON Lines; True or False skips that look.  CSV columns are found by header
+    name.  Parquet files need no rejects.
+
+    The files are parsed once and the parse is staged as a Parquet table in the shared checkpoint
+    folder (``staging``; compressed and columnar, unlike an RDD checkpoint): rows and rejects are two
+    reads of the same result, and Spark does not allow a raw scan that only asks for the corrupt-record
+    column.  The caller removes the folder when both have been used.
     """
-    reader = (spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
-              .option("recursiveFileLookup", True)
-              .option("pathGlobFilter", _glob_ci(ext or "." + fmt))
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
     roots = [root] if isinstance(root, str) else list(root)
+    suffix = ext or "." + fmt
+    if fmt not in ("json", "csv", "parquet"):
+        raise ValueError(f"unsupported input format: {fmt}")
     if not roots:
-        empty = spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(period, T.StringType()),
-                                                                        T.StructField("source_file", T.StringType())]))
-        rej = spark.createDataFrame([], f"`{period}` string, source_file string, record string")
-        return empty, rej
-    if fmt == "json":
-        df = reader.option("multiLine", multi_line).json(roots)
+        df = _nothing(spark, schema)
+    elif fmt == "json" and multi_line is None:
+        df = _json_by_content(spark, roots, schema, suffix)
+    elif fmt == "json":
+        df = _with_path(_reader(spark, schema).option("recursiveFileLookup", True)
+                        .option("pathGlobFilter", glob_any_case(suffix)).option("multiLine", multi_line).json(roots), schema)
     elif fmt == "csv":
-        df = reader.option("header", True).csv(roots)
+        df = _csv_by_header(spark, roots, schema, suffix)
     else:
-        raise ValueError(f"unsupported input format: {fmt}")
-    path = F.col("_metadata.file_path")
-    df = df.select("*", F.regexp_extract(path, date_pattern, 1).alias(period),
-                   file_stem(path).alias("source_file"))
-    staged = scratch_path(spark, "ingest")
+        read = (spark.read.schema(schema).option("recursiveFileLookup", True)
+                .option("pathGlobFilter", glob_any_case(suffix)).parquet(*roots))
+        df = _with_path(read.withColumn(CORRUPT, F.lit(None).cast("string")), schema)
+    df = df.select(*[f.name for f in schema.fields], CORRUPT,
+                   F.regexp_extract("_path", date_pattern, 1).alias(period), file_stem("_path").alias("source_file"))
+    staged = staging or scratch_path(spark, "ingest")
     df.write.mode("overwrite").parquet(staged)
-    df = spark.read.parquet(staged)
-    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(period, "source_file", F.col(CORRUPT).alias("record"))
+    df = spark.read.schema(df.schema).parquet(staged)
+    dated = F.col(period) != ""
+    good = df.where(F.col(CORRUPT).isNull() & dated).drop(CORRUPT)
+    record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[f.name for f in schema.fields])))
+    bad = df.where(F.col(CORRUPT).isNotNull() | ~dated).select(period, "source_file", record.alias("record"))
     return good, bad
 
 
+def ingest_any(spark: SparkSession, root: str | list[str], schema: T.StructType, period: str = DEFAULT_PERIOD,
+               date_pattern: str = DATE_FOLDER) -> tuple[DataFrame, DataFrame]:
+    """One walk over mixed formats (S4): ``.json``, ``.csv`` and ``.parquet`` files together.
+
+    A file with any other extension is a reject of its own (its name as the record)."""
+    found = [ingest_directory(spark, root, schema, fmt=e[1:], period=period, date_pattern=date_pattern)
+             for e in EXTENSIONS if _any_file(spark, root, e)]
+    p = F.col("path")
+    others = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+              .where(~F.lower(p).rlike("(" + "|".join(e.replace(".", r"\.") for e in EXTENSIONS) + ")$"))
+              .select(F.regexp_extract(p, date_pattern, 1).alias(period), file_stem(p).alias("source_file"),
+                      p.alias("record")))
+    rows, rejects = None, others
+    for good, bad in found:
+        rows = good if rows is None else rows.unionByName(good)
+        rejects = rejects.unionByName(bad)
+    if rows is None:
+        rows = _nothing(spark, schema).drop(CORRUPT, "_path").withColumns({period: F.lit(""), "source_file": F.lit("")})
+    return rows, rejects
+
+
+def _any_file(spark: SparkSession, root, ext: str) -> bool:
+    return not (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .option("pathGlobFilter", glob_any_case(ext)).load(root).select("path").isEmpty())
+
+
 def list_files(spark: SparkSession, root: str | list[str], ext: str, period: str = DEFAULT_PERIOD,
-               date_pattern: str = r"(\d{4}-\d{2}-\d{2})") -> DataFrame:
+               date_pattern: str = DATE_FOLDER) -> DataFrame:
     """The files below ``root`` with the extension ``ext`` (case-insensitive) -> period
-    (from the folder path), file_stem, path (S11).  Only the listing is used: the
-    file contents are never read (the content column is pruned)."""
+    (from the folder path), file_stem, store (see ``store_of``), path (S11).  Only the listing is
+    used: the file contents are never read (the content column is pruned)."""
     roots = [root] if isinstance(root, str) else list(root)
     if not roots:
-        return spark.createDataFrame([], f"`{period}` string, file_stem string, path string")
+        return spark.createDataFrame([], f"`{period}` string, file_stem string, store string, path string")
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-          .option("pathGlobFilter", _glob_ci(ext)).load(roots))
+          .option("pathGlobFilter", glob_any_case(ext)).load(roots))
     p = F.col("path")
-    return df.select(F.regexp_extract(p, date_pattern, 1).alias(period), file_stem(p).alias("file_stem"), p)
+    return df.select(F.regexp_extract(p, date_pattern, 1).alias(period), file_stem(p).alias("file_stem"),
+                     store_of(p, date_pattern).alias("store"), p)
 
 
 def read_partition(spark: SparkSession, base: str, period: str, value, schema: T.StructType | None = None
@@ -177,19 +308,38 @@ def parse_order_documents(texts: DataFrame, value: str = "value", folder: str =
         "_it.unit_cost", "_it.total_cost", "order_total_cost")
 
 
-def read_order_documents(spark: SparkSession, path: str, one_per_file: bool = False,
-                         doc_schema: T.StructType = schemas.ORDER_DOCUMENT) -> DataFrame:
-    """Purchase-order documents below ``path`` (recursive, ``.json`` only).
+def split_order_documents(spark: SparkSession, path: str, doc_schema: T.StructType = schemas.ORDER_DOCUMENT
+                          ) -> tuple[DataFrame, DataFrame]:
+    """Purchase orders below ``path`` (recursive, ``.json`` only) -> (items, rejects).
 
-    ``one_per_file``: each file holds one (possibly pretty-printed) document, as
-    exported one file per supplier; otherwise each line is a document (the
-    layout Spark's JSON writer produces).
+    Read by content: the record lines this package writes (``order`` and ``item`` rows), one document
+    per line, or one pretty-printed document per file as exported per supplier; a document spread over
+    lines is put together again per file.  Text that is none of them goes to ``rejects`` (date_folder,
+    file_stem, record).
     """
-    # note: text()'s own wholetext argument would override an .option("wholetext")
-    t = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _glob_ci(".json"))
-         .text(path, wholetext=one_per_file))
-    p = F.col("_metadata.file_path")
-    t = t.select("value", parent_folder(p).alias("date_folder"), file_stem(p).alias("file_stem"))
-    if not one_per_file:
-        t = t.where(F.length(F.trim("value")) > 0)
-    return parse_order_documents(t, doc_schema=doc_schema)
+    lines = _lines(spark, [path], ".json")
+    kinds = _heads(lines).select("path", _is_document().alias("document"))
+    lines = lines.join(kinds, "path")
+    whole = (lines.where("document").groupBy("path")
+             .agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("l"))
+             .select("path", F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("value")))
+    single = lines.where("not document").select("path", "value")
+    kind = F.get_json_object("value", "$.record")
+    texts = single.where(kind.isNull()).union(whole)
+    p = F.col("path")
+    texts = texts.select("value", parent_folder(p).alias("date_folder"), file_stem(p).alias("file_stem"))
+    broken = ~F.coalesce(F.json_object_keys("value").isNotNull() | F.json_array_length("value").isNotNull(), F.lit(False))
+    records = single.where(kind.isNotNull()).select(F.from_json("value", schemas.ORDER_RECORD).alias("r")).select("r.*")
+    order = (records.where("record = 'order'")
+             .select("data_date", "supplier_id", F.col("total_estimated_cost").alias("order_total_cost")))
+    own = (records.where("record = 'item'").join(order, ["data_date", "supplier_id"], "left")
+           .select(F.col("order_date").alias("date"), "data_date", "supplier_id", "supplier_name", "sku", "product_name",
+                   "quantity", "unit_cost", "total_cost", "order_total_cost"))
+    items = parse_order_documents(texts.where(~broken), doc_schema=doc_schema).unionByName(own)
+    return items, texts.where(broken).select("date_folder", "file_stem", F.col("value").alias("record"))
+
+
+def read_order_documents(spark: SparkSession, path: str, doc_schema: T.StructType = schemas.ORDER_DOCUMENT
+                         ) -> DataFrame:
+    """The items of all purchase orders below ``path``, in any layout (see ``split_order_documents``)."""
+    return split_order_documents(spark, path, doc_schema)[0]

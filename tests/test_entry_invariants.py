@@ -37,15 +37,11 @@ def test_one_supplier_per_sku_and_header_totals(spark):
     assert j.where((F.col("s") != F.col("total")) | (F.col("n") != F.col("item_count"))).count() == 0
 
 
-def test_documents_are_cut_into_bounded_parts(spark):
+def test_orders_have_one_layout_at_every_size(spark):
     v = Views(spark, SF)
-    docs = ords.order_documents(v.lines, "exec_year", generated_at=F.lit("t"), chunk_size=7)
-    assert docs.agg(F.max(F.size("items"))).first()[0] <= 7
-    flat = docs.select("exec_year", "supplier_id", F.explode("items").alias("it"))
-    assert flat.count() == v.lines.count()
-    # parts of one supplier hold consecutive sku ranges
-    rng = docs.select("exec_year", "supplier_id", "part", F.col("items")[0]["sku"].alias("lo"),
-                      F.element_at("items", -1)["sku"].alias("hi"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("exec_year", "supplier_id").orderBy("part")
-    assert rng.withColumn("prev_hi", F.lag("hi").over(w)).where(F.col("lo") <= F.col("prev_hi")).count() == 0
+    records = ords.order_records(v.lines, "exec_year", generated_at=F.lit("t"))
+    heads, items = records.where("record = 'order'"), records.where("record = 'item'")
+    assert items.count() == v.lines.count()
+    assert heads.groupBy("exec_year", "supplier_id").count().where("count > 1").count() == 0
+    counted = items.groupBy("exec_year", "supplier_id").agg(F.count(F.lit(1)).alias("n"))
+    assert heads.join(counted, ["exec_year", "supplier_id"]).where("n = item_count").count() == heads.count()

@@ -241,7 +241,7 @@ def test_document_reader_both_formats_one_per_file(spark, tmp_dir):
                    "total_estimated_cost": 40.8}, f, indent=2)
     with open(f"{d}/notes.txt", "w") as f:
         f.write("not a document")
-    rows = sorted(tuple(r) for r in files.read_order_documents(spark, f"{tmp_dir}/output", one_per_file=True)
+    rows = sorted(tuple(r) for r in files.read_order_documents(spark, f"{tmp_dir}/output")
                   .select("date", "data_date", "supplier_id", "supplier_name", "sku", "product_name", "quantity",
                           "unit_cost", "order_total_cost").collect())
     assert rows == [
