@@ -132,7 +132,7 @@ def _csv_by_header(spark: SparkSession, roots: list[str], schema: T.StructType,
         if set(declared) <= set(names):
             own = T.StructType([declared.get(n) or T.StructField(f"_further_{k}", T.StringType())
                                 for k, n in enumerate(names)])
-            read = _reader(spark, own).option("header", True).option("recursiveFileLookup", True).csv(paths)
+            read = _reader(spark, own).option("header", True).option("columnPruning", False).csv(paths)
             parts.append(_with_path(read, schema))
         else:
             text = spark.read.text(paths).where(F.length(F.trim("value")) > 0)
