@@ -48,6 +48,12 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
             .where(F.col("n") > 1))
 
 
+def null_violations(df: DataFrame, required: list[str], key: list[str]) -> DataFrame:
+    """NOT NULL violations -> key columns, column: one row per required column that is NULL."""
+    absent = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda c: c.isNotNull())
+    return df.select(*key, F.explode(absent).alias("column"))
+
+
 def orphans(df: DataFrame, refs: list[tuple[str, DataFrame, str]], key: list[str]) -> DataFrame:
     """Foreign-key violations: for each (column, parent, reason) the rows of ``df`` whose
     ``column`` is not in ``parent`` -> key columns, reason.  A row can fail several references."""

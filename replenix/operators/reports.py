@@ -85,6 +85,20 @@ def latest_per_sku(net: DataFrame, period: str = DEFAULT_PERIOD) -> DataFrame:
             .select("sku", *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
+def newest_first(df: DataFrame, time: str, tie: str) -> DataFrame:
+    """A load ordered by creation time, newest first (O2); a range sort over all tasks."""
+    return df.orderBy(F.col(time).desc_nulls_last(), F.col(tie))
+
+
+def table_maxima(tables: dict[str, DataFrame], period: str) -> DataFrame:
+    """One row: the newest period of every table (A4), NULL for an empty one."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.max(period).alias("newest")).select(F.lit(name).alias("table_name"), "newest")
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy().pivot("table_name", list(tables)).agg(F.max("newest"))
+
+
 def safety_vs_demand(latest: DataFrame) -> DataFrame:
     return latest.select("sku", "safety_stock", "total_demand", "final_order_qty", "estimated_cost")
 

@@ -386,6 +386,18 @@ UNION ALL
 SELECT sku, supplier_id, 'unknown_supplier' AS reason FROM product_suppliers
 WHERE supplier_id NOT IN (SELECT supplier_id FROM suppliers)""")
 
+q("orders_newest_first", """
+SELECT order_id, sku, quantity, order_ts FROM pos ORDER BY order_ts DESC, order_id""")
+q("qc_master_nulls", """
+SELECT sku, 'safety_stock' AS "column" FROM products WHERE safety_stock IS NULL
+UNION ALL SELECT sku, 'name' FROM products WHERE name IS NULL
+UNION ALL SELECT sku, 'pack_size' FROM products WHERE pack_size IS NULL
+UNION ALL SELECT sku, 'moq' FROM products WHERE moq IS NULL""")
+q("pipeline_freshness", """
+SELECT (SELECT MAX(exec_year) FROM pos) AS orders, (SELECT MAX(exec_year) FROM inventory) AS inventory,
+       (SELECT MAX(exec_year) FROM demand) AS aggregated_orders, (SELECT MAX(exec_year) FROM net) AS net_demand,
+       'ok' AS status""")
+
 QC_KEYS = {"stores_found", "qc_missing_stores", "qc_missing_inventory", "qc_unmapped_skus", "qc_missing_fields",
            "qc_demand_spike", "qc_skus_missing_in_inventory", "qc_inventory_invalid",
            "qc_inventory_inconsistency", "qc_report_summary", "qc_report_entries"}
@@ -423,6 +435,9 @@ SELECT y.exec_year,
   m.sku_count, m.total_qty, m.total_cost,
   (SELECT COUNT(*) FROM line l WHERE l.exec_year = y.exec_year) AS exported_items,
   (SELECT COUNT(DISTINCT supplier_id) FROM line l WHERE l.exec_year = y.exec_year) AS exported_suppliers,
+  CAST((SELECT COUNT(*) FROM pos p WHERE p.exec_year = y.exec_year)
+       + (SELECT COUNT(*) FROM inventory i WHERE i.exec_year = y.exec_year)
+       + (SELECT COUNT(*) FROM demand d WHERE d.exec_year = y.exec_year) + m.sku_count AS BIGINT) AS archived_rows,
   (SELECT COUNT(*) FROM missing_stores s WHERE s.exec_year = y.exec_year) AS missing_stores,
   r.errors, r.warnings, r.infos
 FROM years y JOIN ({BODIES['run_metrics']}) m ON m.exec_year = y.exec_year

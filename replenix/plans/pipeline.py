@@ -26,7 +26,7 @@ from replenix.operators import orders as ords
 from replenix.operators import quality as qc
 from replenix.operators import suppliers as sup
 from replenix.session import scratch_path
-from replenix.sinks import writers
+from replenix.sinks import catalog, writers
 from replenix.sources import files
 
 P = "exec_date"
@@ -47,6 +47,8 @@ class Config:
     spike_threshold: int = qc.DEMAND_SPIKE_THRESHOLD
     date_folder: str = "{}"              # name of a date's folder, e.g. "day={}"
     orders_ext: str = ".json"
+    archive_base: str | None = None      # where the run's tables are copied to and compared; None: no archive
+    table_suffix: str | None = None      # registers the four tables under this suffix; None: not registered
     orders_multi_line: bool | None = None   # None: arrays and JSON Lines told by content; else one way for all files
 
 
@@ -185,8 +187,13 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
     summary = _written_json(qc.report_summary(counts, P), f"{base}/logs/summary", dates)
 
     # audit, metrics, run log
+    written = {"orders": orders, "inventory": stock_text, "aggregated_orders": demand, "net_demand": net}
     audit = writers.partition_audit(spark, {"aggregated_orders": demand, "net_demand": net}, P)
-    metrics = _metrics(spark, dates, ingested, demand, lines, net)
+    if cfg.table_suffix is not None:
+        catalog.ensure_tables(spark, base, {n: _period_last(df) for n, df in written.items()}, P, cfg.table_suffix)
+    archived = _archived(spark, cfg, base, written, dates) if cfg.archive_base else _periods(spark, dates).withColumn(
+        "archived_rows", F.lit(0).cast("long"))
+    metrics = _metrics(spark, dates, ingested, demand, lines, net, archived)
     stamp = clock if clock is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     run_row = (metrics.agg(F.count_if(F.col("sku_count") > 0).alias("dates_with_orders"),
                            F.sum("sku_count").alias("sku_count"))
@@ -204,17 +211,39 @@ def _written_json(df: DataFrame, path: str, dates: list[str]) -> DataFrame:
     return back.select(*df.columns)
 
 
+def _period_last(df: DataFrame):
+    from pyspark.sql import types as T
+    return T.StructType([f for f in df.schema.fields if f.name != P] + [df.schema[P]])
+
+
+def _archived(spark: SparkSession, cfg: Config, base: str, written: dict, dates: list[str]) -> DataFrame:
+    """Copies the dates of the four tables and compares rows per table and date (K9) -> date, archived_rows.
+
+    A copy that differs stops the run."""
+    folders = {name: folder for (_, name), folder in catalog.TABLES.items()}
+    copies = {}
+    for name, df in written.items():
+        target = f"{cfg.archive_base.rstrip('/')}/{folders[name]}"
+        writers.write_partitioned(df, target, P, touched=dates)
+        copies[name] = _read(spark, target, dates, df)
+    here, there = (writers.partition_audit(spark, t, P).select("table_name", P, "row_count") for t in (written, copies))
+    differ = here.exceptAll(there).union(there.exceptAll(here))
+    if not differ.isEmpty():
+        raise RuntimeError(f"archive differs: {differ.first()}")
+    return there.groupBy(P).agg(F.sum("row_count").alias("archived_rows"))
+
+
 def _metrics(spark: SparkSession, dates: list[str], ingested: dict, demand: DataFrame, lines: DataFrame,
-             net: DataFrame) -> DataFrame:
+             net: DataFrame, archived: DataFrame) -> DataFrame:
     """Per date of the run (K11): raw and rejected rows, demanded SKUs, net-demand rows with quantity and
-    exact cost, suppliers and items exported.  Every part is one row per date."""
+    exact cost, suppliers and items exported, rows archived.  Every part is one row per date."""
     def per_date(df, **columns):
         return df.groupBy(P).agg(*[c.alias(n) for n, c in columns.items()])
 
     one = F.count(F.lit(1))
     parts = [per_date(ingested["orders"], raw_rows=one), per_date(ingested["rejects"], rejected_rows=one),
              per_date(demand, aggregated_skus=one), mrp.run_metrics(net, P),
-             per_date(lines, exported_items=one, exported_suppliers=F.count_distinct("supplier_id"))]
+             per_date(lines, exported_items=one, exported_suppliers=F.count_distinct("supplier_id")), archived]
     out = _periods(spark, dates)
     for part in parts:
         out = out.join(part, P, "left")

@@ -538,16 +538,49 @@ def daily_run(v: Views) -> DataFrame:
         orders_root=f"{root}/raw/orders", stock_root=f"{root}/raw/stock", out_base=f"{root}/out",
         products=texts(v.products, "sku"), suppliers=texts(v.suppliers, "supplier_id"),
         product_suppliers=texts(v.product_suppliers, "sku", "supplier_id"), expected_stores=expected_stores(),
-        expected_skus=texts(v.expected_skus, "sku"), date_folder="day={}", orders_ext=".txt")
+        expected_skus=texts(v.expected_skus, "sku"), date_folder="day={}", orders_ext=".txt", archive_base=f"{root}/archive",
+        table_suffix="_" + root.rsplit("-", 1)[-1])
     out = pipeline.run(v.spark, cfg, days[0], clock=fixed_clock(), dates=days)
     missing = (out["report"].where("check = 'missing_pos_files' and level = 'ERROR'")
                .groupBy("exec_date").agg(F.count(F.lit(1)).alias("missing_stores")))
     return (out["metrics"].join(missing, "exec_date", "left").join(out["summary"], "exec_date")
             .select(F.substring("exec_date", 1, 4).cast("int").alias(P), "raw_rows", "rejected_rows", "aggregated_skus",
                     "sku_count", "total_qty", "total_cost", "exported_items", "exported_suppliers",
-                    F.coalesce("missing_stores", F.lit(0).cast("long")).alias("missing_stores"),
+                    "archived_rows", F.coalesce("missing_stores", F.lit(0).cast("long")).alias("missing_stores"),
                     "errors", "warnings", "infos"))
 
 
+@query("orders_newest_first")
+def orders_newest_first(v: Views) -> DataFrame:
+    """O2: the order lines as a load ordered by time."""
+    return rep.newest_first(v.pos_lines.select("order_id", "sku", "quantity", "order_ts"), "order_ts", "order_id")
+
+
+@query("qc_master_nulls")
+def qc_master_nulls(v: Views) -> DataFrame:
+    """NOT NULL columns of the product master that are NULL."""
+    return mst.null_violations(v.products, ["sku", "name", "pack_size", "moq", "safety_stock"], ["sku"])
+
+
+@query("pipeline_freshness")
+def pipeline_freshness(v: Views) -> DataFrame:
+    """A4 and B6 over the real inputs: newest period of the four tables, and the status of the run log's
+    marker against the newest file of the written tables and order records."""
+    base = scratch_path(v.spark, "fresh")
+    tables = {"orders": v.pos.select("order_id", "sku", "quantity", P), "inventory": v.inventory, "aggregated_orders": v.demand,
+              "net_demand": v.net}
+    for name, df in tables.items():
+        writers.write_partitioned(df, f"{base}/{name}", P)
+    back = {n: v.spark.read.parquet(f"{base}/{n}").withColumn(P, F.col(P).cast("int")) for n in tables}
+    # the records of every order, from the net demand just written
+    writers.write_documents(ords.order_records(ords.order_lines(back["net_demand"], v.names, P), P), f"{base}/documents", P)
+    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    writers.append_run_log(v.spark, f"{base}/run_log", v.spark.range(1).select(stamp.alias("run_at")))
+    times = [rep.newest_file_time(v.spark, f"{base}/{n}") for n in tables]
+    times.append(rep.newest_file_time(v.spark, f"{base}/documents", "json"))
+    fresh = rep.pipeline_freshness(v.spark, writers.read_run_log(v.spark, f"{base}/run_log"), times)
+    return rep.table_maxima(back, P).withColumn("status", fresh.select("status").scalar())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from replenix import DEFAULT_PERIOD
+
 
 def _ddl_columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
@@ -30,6 +32,22 @@ def ensure_table(spark: SparkSession, database: str, table: str, schema: T.Struc
     return spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
 
 
+# fixed values: the four tables of a run and where they lie below its base folder
+TABLES = {("raw", "orders"): "raw/orders", ("raw", "inventory"): "raw/inventory",
+          ("processed", "aggregated_orders"): "processed/aggregated_orders",
+          ("processed", "net_demand"): "processed/net_demand"}
+
+
+def ensure_tables(spark: SparkSession, base: str, schemas: dict[str, T.StructType], period: str = DEFAULT_PERIOD,
+                  suffix: str = "") -> dict[str, str]:
+    """The four external tables over ``base`` with their partitions registered -> {table: DDL text}.
+
+    ``schemas`` maps a table's name to its columns (the period last); ``suffix`` keeps runs apart."""
+    return {name: ensure_table(spark, database, name + suffix, schemas[name], f"{base.rstrip('/')}/{folder}", [period],
+                               recreate=True)
+            for (database, name), folder in TABLES.items()}
+
+
 def repair(spark: SparkSession, database: str, table: str) -> None:
     """Register partition folders written outside the catalog (mode ADD)."""
     spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}`")
