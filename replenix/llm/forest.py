@@ -7,9 +7,10 @@ classes that agree on the first two parts, and where it holds more than ``most``
 deeper, again and again, until its runs are small (or the order's parts are used up, where runs are near copies of
 one another).  A sketch of the whole signature drops hopeless candidates at once.
 
-The candidates are confirmed on the full sets.  Only connections count, so a first pass confirms the nearest
-neighbours of every class; a second pass over the regions that still hold several components tries every pair
-across components.
+The candidates are confirmed on the full sets.  Only connections count, so classes that candidates connect form a
+cluster, and a cluster is settled exactly: every pair of its sets across components is compared.  Clusters of up to
+``block`` classes are settled in one task.  In a larger one, three near neighbours of every class are confirmed
+first, which leaves one large component and a few others; only those others meet everything else, block by block.
 
 Defined results: null and wordless texts have an empty set and are linked with nothing; a text of one to four words
 has its word sequence as its only shingle; rows that share a doc_id are one document; a null doc_id stays alone.
@@ -36,13 +37,14 @@ class Forest:
     """Shape of the forest; ``percent`` is the similarity from which two sets are linked."""
 
     percent: int = 75
-    trees: int = 16
-    own: int = 6            # hash functions per tree (96 in all)
+    trees: int = 12
+    own: int = 8            # hash functions per tree (96 in all)
     long_parts: int = 4     # parts of an order that are kept with 32 bits; the others have 8
-    short_parts: int = 12
+    short_parts: int = 8
     first: int = 2          # parts on which a region agrees at least
     most: int = 1024        # classes of a region whose pairs are all looked at
-    nearest: int = 3        # neighbours per class in the first pass
+    nearest: int = 3        # near neighbours of a class that are named in a large region
+    block: int = 512        # classes of a cluster that one task compares
     slack: float = 5.2      # standard deviations that a sketch may fall short of the similarity
     seed: int = 5
 
@@ -155,7 +157,7 @@ _EQUAL = np.array([(b >> 4 == 0) + (b & 15 == 0) for b in range(256)], dtype=np.
 _FOUND = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
                        T.StructField("equal", T.IntegerType()), T.StructField("tree", T.IntegerType()),
                        T.StructField("label", T.BinaryType()), T.StructField("id", T.LongType()),
-                       T.StructField("sketch", T.BinaryType()), T.StructField("edge", T.BooleanType())])
+                       T.StructField("sketch", T.BinaryType())])
 
 
 class _Rows:
@@ -172,7 +174,6 @@ class _Rows:
         label = np.frombuffer(b"".join(self.labels.to_pylist()) if n else b"", dtype=np.uint8).reshape(n, width)
         self.sketch = np.frombuffer(b"".join(self.sketches.to_pylist()) if n else b"", dtype=np.uint8
                                     ).reshape(n, forest.hashes // 2)
-        self.component = table.column("component").to_numpy() if "component" in table.column_names else None
         long = 4 * forest.long_parts
         parts = np.concatenate([label[:, :long].view(np.uint32).astype(np.int64), label[:, long:]], axis=1)
         # depth[i]: parts that row i and row i + 1 have in common (0 across trees)
@@ -194,118 +195,128 @@ class _Rows:
         return [(a, b) for a, b in zip(edges, edges[1:]) if b - a > 1]
 
 
-def _neighbours(rows: _Rows, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs (row numbers, equal sketch parts) and the rows whose region has more than was emitted."""
+def _labelled(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest row that each of ``n`` rows reaches over the edges (i, j)."""
+    label = np.arange(n)
+    while len(i):
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
+def _neighbours(rows: _Rows, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs (row numbers, equal sketch parts) that connect all candidates of every region.
+
+    Of a region of up to 8 rows these are all its candidates; of a larger one, a star over each set of rows
+    that candidates connect, and the nearest neighbours of every row.
+    """
     first, second, equals = [], [], []
-    more = np.zeros(rows.n, dtype=bool)
 
-    def add(i, j, found, every):
-        if rows.component is not None:
-            found = np.where(rows.component[i] == rows.component[j], -1, found)
+    def add(i, j):
+        found = rows.equal(i, j)
         at = np.flatnonzero(found >= forest.least_equal)
-        if not every and len(at):   # the nearest of either end
-            ends, other = np.concatenate([i[at], j[at]]), np.concatenate([at, at])
-            order = np.lexsort((rows.ids[i[other]] + rows.ids[j[other]], -found[other], ends))
-            heads = np.flatnonzero(np.r_[True, np.diff(ends[order]) > 0])
-            rank = np.arange(len(order)) - np.repeat(heads, np.diff(np.r_[heads, len(order)]))
-            kept = np.unique(other[order][rank < forest.nearest])
-            if len(kept) < len(at):
-                more[np.unique(ends)] = True
-            at = kept
         first.append(i[at]), second.append(j[at]), equals.append(found[at])
 
-    every = rows.component is not None
+    def add_connected(a, b):
+        i, j = np.triu_indices(b - a, 1)
+        found = rows.equal(i + a, j + a)
+        at = np.flatnonzero(found >= forest.least_equal)
+        if not len(at):
+            return
+        i, j, found = i[at], j[at], found[at]
+        label = _labelled(b - a, i, j)
+        ends, other = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
+        order = np.lexsort((-found[other], ends))
+        heads = np.flatnonzero(np.r_[True, np.diff(ends[order]) > 0])
+        rank = np.arange(len(order)) - np.repeat(heads, np.diff(np.r_[heads, len(order)]))
+        near = np.unique(other[order][rank < forest.nearest])
+        star = np.flatnonzero(label != np.arange(b - a))
+        first.extend([i[near] + a, star + a]), second.extend([j[near] + a, label[star] + a])
+        equals.extend([found[near], rows.equal(star + a, label[star] + a)])
+
     small = np.zeros(rows.n, dtype=bool)   # row i and row i + 1 lie in one region of few rows
     stack = [(a, b, forest.first) for a, b in rows.runs(0, rows.n, forest.first)] if rows.n > 1 else []
     for a, b, depth in stack:
         if b - a <= 8:
             small[a:b - 1] = True
         elif b - a <= forest.most:
-            i, j = np.triu_indices(b - a, 1)
-            for k in range(0, len(i), 1 << 20) if every else (0,):
-                at = slice(k, k + (1 << 20)) if every else slice(None)
-                add(i[at] + a, j[at] + a, rows.equal(i[at] + a, j[at] + a), every)
+            add_connected(a, b)
         else:
             # too many for all pairs: next neighbours in the order and one row for all, then one part deeper
-            near = np.arange(a, b - 1)
             for o in range(1, forest.nearest + 1):
-                i = near[: b - a - o]
-                add(i, i + o, rows.equal(i, i + o), True)
+                add(np.arange(a, b - o), np.arange(a + o, b))
             lead = int(a + np.argmin(rows.ids[a:b]))
-            i = np.setdiff1d(np.arange(a, b), [lead])
-            add(np.full(len(i), lead), i, rows.equal(np.full(len(i), lead), i), True)
-            more[a:b] = True
+            others = np.setdiff1d(np.arange(a, b), [lead])
+            add(np.full(len(others), lead), others)
             if depth < rows.deepest:
                 stack += [(x, y, depth + 1) for x, y in rows.runs(a, b, depth + 1)]
     together = small.copy()
     for o in range(1, 8):
         i = np.flatnonzero(together[: rows.n - o])
         if len(i):
-            add(i, i + o, rows.equal(i, i + o), True)
+            add(i, i + o)
         together &= np.r_[small[o:], np.zeros(min(o, rows.n), dtype=bool)]
-    if not first:
-        none = np.empty(0, dtype=np.int64)
-        return none, none, none, np.flatnonzero(more)
-    return np.concatenate(first), np.concatenate(second), np.concatenate(equals), np.flatnonzero(more)
+    none = np.empty(0, dtype=np.int64)
+    return tuple(np.concatenate(x) if x else none for x in (first, second, equals))
 
 
 def _candidates(forest: Forest):
-    """Arrow function over one sorted range: candidate pairs, and rows that a later step has to see again.
+    """Arrow function over one sorted range: candidate pairs, and the rows at its ends.
 
-    A region cut by the end of a range is handed on (``edge``): its rows within reach of the cut, or all of a small
-    region, meet those of the next range in a second, small step.
+    A region cut by the end of a range is handed on: its rows within reach of the cut, or all of a small region,
+    meet those of the next range in a second, small step.
     """
     def search(batches):
         batches = list(batches)
-        if not batches:
+        rows = _Rows(pa.Table.from_batches(batches), forest) if batches else None
+        if rows is None or not rows.n:
             return
-        table = pa.Table.from_batches(batches)
-        rows = _Rows(table, forest)
-        if not rows.n:
-            return
-        i, j, equal, more = _neighbours(rows, forest)
-        low, high = np.minimum(rows.ids[i], rows.ids[j]), np.maximum(rows.ids[i], rows.ids[j])
+        i, j, equal = _neighbours(rows, forest)
         none = pa.nulls(len(i))
-        yield pa.record_batch([pa.array(low), pa.array(high), pa.array(equal.astype("i4")), none.cast(pa.int32()),
-                               none.cast(pa.binary()), none.cast(pa.int64()), none.cast(pa.binary()),
-                               none.cast(pa.bool_())], names=_FOUND.names)
+        yield pa.record_batch([pa.array(np.minimum(rows.ids[i], rows.ids[j])), pa.array(np.maximum(rows.ids[i], rows.ids[j])),
+                               pa.array(equal.astype("i4")), none.cast(pa.int32()), none.cast(pa.binary()),
+                               none.cast(pa.int64()), none.cast(pa.binary())], names=_FOUND.names)
         cuts = np.flatnonzero(np.r_[True, rows.depth < forest.first, True])
         ends = set()
         for a, b in {(cuts[0], cuts[1]), (cuts[-2], cuts[-1])}:
             ends.update(range(a, min(b, a + 64)))
             ends.update(range(max(a, b - 64), b))
-        for at, edge in ((np.array(sorted(ends)), True), (more, False)):
-            n = len(at)
-            none = pa.nulls(n)
-            take = pa.array(at)
-            yield pa.record_batch(
-                [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()),
-                 pa.array(rows.tree[at].astype("i4")), rows.labels.take(take), pa.array(rows.ids[at]),
-                 rows.sketches.take(take), pa.array(np.full(n, edge))], names=_FOUND.names)
+        at = np.array(sorted(ends))
+        none, take = pa.nulls(len(at)), pa.array(at)
+        yield pa.record_batch([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()),
+                               pa.array(rows.tree[at].astype("i4")), rows.labels.take(take), pa.array(rows.ids[at]),
+                               rows.sketches.take(take)], names=_FOUND.names)
     return search
 
 
-def _search(rows: DataFrame, forest: Forest, name: str) -> DataFrame:
-    """Candidates of the rows; written once, as pairs and handed-on rows are read apart."""
-    ordered = rows.repartitionByRange("tree", "label", "id").sortWithinPartitions("tree", "label", "id")
-    return stored(ordered.mapInArrow(_candidates(forest), _FOUND), name)
-
-
-def _pairs(found: DataFrame, forest: Forest) -> DataFrame:
-    """Distinct pairs with their sketch agreement, those across range ends included."""
-    region = F.expr(f"substring(label, 1, {4 * forest.first})")
+def _pairs(heads: DataFrame, forest: Forest) -> DataFrame:
+    """Distinct candidate pairs (a < b) with their sketch agreement, those across range ends included."""
+    ordered = _sorted_orders(heads, forest).repartitionByRange("tree", "label", "id").sortWithinPartitions("tree", "label", "id")
+    found = stored(ordered.mapInArrow(_candidates(forest), _FOUND), "candidates")
 
     def across(table: pa.Table) -> pa.Table:
         rows = _Rows(table.sort_by([("tree", "ascending"), ("label", "ascending"), ("id", "ascending")]), forest)
-        i, j, equal, _ = _neighbours(rows, forest)
+        i, j, equal = _neighbours(rows, forest)
         return pa.table({"a": np.minimum(rows.ids[i], rows.ids[j]), "b": np.maximum(rows.ids[i], rows.ids[j]),
                          "equal": equal.astype("i4")})
 
-    cut = (found.where("edge").select("tree", "label", "id", "sketch", region.alias("region"))
-           .groupBy("tree", "region").applyInArrow(
-               lambda t: across(t.select(["tree", "label", "id", "sketch"])), "a long, b long, equal int"))
-    return found.where("a is not null").select("a", "b", "equal").union(cut).where("a <> b").groupBy("a", "b").agg(
-        F.max("equal").alias("equal"))
+    region = F.expr(f"substring(label, 1, {4 * forest.first})").alias("region")
+    cut = (found.where("id is not null").select("tree", "label", "id", "sketch", region).groupBy("tree", "region")
+           .applyInArrow(lambda t: across(t.select(["tree", "label", "id", "sketch"])), "a long, b long, equal int"))
+    return (found.where("a is not null").select("a", "b", "equal").union(cut).where("a <> b")
+            .groupBy("a", "b").agg(F.max("equal").alias("equal")))
+
+
+def _similar(common, one, two, percent: int):
+    return 100 * common >= percent * (one + two - common)
 
 
 def _confirmed(pairs: DataFrame, members: DataFrame, forest: Forest) -> DataFrame:
@@ -319,8 +330,7 @@ def _confirmed(pairs: DataFrame, members: DataFrame, forest: Forest) -> DataFram
             kept = []
             for i, other in enumerate(shingle_sets(batch.column(3).cast(pa.binary()).to_pylist())):
                 mine = sets[a[i]]
-                common = len(np.intersect1d(mine, other, assume_unique=True))
-                if 100 * common >= forest.percent * (len(mine) + len(other) - common):
+                if _similar(len(np.intersect1d(mine, other, assume_unique=True)), len(mine), len(other), forest.percent):
                     kept.append(i)
             yield pa.record_batch([pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64())],
                                   names=["a", "b"])
@@ -331,69 +341,141 @@ def _confirmed(pairs: DataFrame, members: DataFrame, forest: Forest) -> DataFram
     return joined.mapInArrow(confirm, "a long, b long")
 
 
-def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components; a node without links is its own component."""
-    a = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    b = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (pairs.select("a", "b").join(a, "a", "left").join(b, "b", "left")
-            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+def _settled(sets: list[np.ndarray], component: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """Smallest row that each row reaches over links across components (and, with two sides, across sides)."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    if n <= 6:
+        common = np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in sets] for a in sets])
+    else:
+        _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row, keep = np.repeat(np.arange(n), sizes), count[column] > 1   # a shingle of one set is in no intersection
+        row, column = row[keep], np.unique(column[keep], return_inverse=True)[1]
+        common = np.zeros((n, n), dtype=np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 8192):
+            at = slice(*np.searchsorted(column, [lo, lo + 8192]))
+            part = np.zeros((n, min(8192, int(column[-1]) + 1 - lo)), dtype=np.float32)
+            part[row[at], column[at] - lo] = 1
+            common += part @ part.T
+        common = np.rint(common).astype(np.int64)
+    linked = _similar(common, sizes[:, None], sizes[None, :], percent) & (component[:, None] != component[None, :])
+    if side.min() != side.max():
+        linked &= side[:, None] != side[None, :]
+    i, j = np.nonzero(np.triu(linked, 1))
+    # rows of one component reach one another already
+    _, same = np.unique(component, return_inverse=True)
+    lead = np.full(same.max() + 1, n)
+    np.minimum.at(lead, same, np.arange(n))
+    return _labelled(n, np.concatenate([i, np.arange(n)]), np.concatenate([j, lead[same]]))
+
+
+def _settle(forest: Forest):
+    """Arrow function over tasks sorted by (cluster, x, y): connections (a, b) between components."""
+    def work(batches):
+        held = None
+        for batch in _closed(batches):
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            key = np.stack([table.column(c).to_numpy() for c in ("cluster", "x", "y")], axis=1)
+            edges = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, table.num_rows]
+            held = table.slice(edges[-2])   # may go on in the next batch
+            yield from done(table, edges[:-1])
+        if held is not None:
+            yield from done(held, np.array([0, held.num_rows]))
+
+    def done(table, edges):
+        if len(edges) < 2:
+            return
+        table = table.slice(0, edges[-1]).combine_chunks()
+        component, side = (table.column(c).to_numpy() for c in ("component", "block"))
+        out_a, out_b = [], []
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if (component[lo:hi] == component[lo]).all():
+                continue
+            part = table.column("text").slice(lo, hi - lo).combine_chunks().cast(pa.binary()).to_pylist()
+            label = _settled(shingle_sets(part), component[lo:hi], side[lo:hi], forest.percent)
+            before, after = component[lo:hi], component[lo:hi][label]
+            moved = np.unique(np.stack([before, after], axis=1)[before != after], axis=0)
+            out_a.append(moved[:, 0]), out_b.append(moved[:, 1])
+        if out_a:
+            yield pa.record_batch([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+
+    return work
+
 
+def _closed(batches):
+    """Batches with rows, of at most a few hundred rows each."""
+    return (b for b in batches if b.num_rows)
 
-def _second_pass(found: DataFrame, groups: DataFrame, forest: Forest) -> DataFrame:
-    """Every candidate pair across components within the regions that the first pass did not empty.
 
-    Regions of one component need nothing more.  The others go, whole, to one task each if they hold at most
-    ``most`` classes; larger ones stay cut into ranges.
+def _tasks(members: DataFrame, forest: Forest) -> DataFrame:
+    """Copies of the members of unsettled clusters per task (cluster, x, y), each with its own block.
+
+    A cluster of up to ``block`` classes is one task.  In a larger one, classes outside the largest component make
+    the blocks 0 .. n - 1, those inside the blocks after them; block x < n meets every block y >= x.
     """
-    named = groups.select(F.col("node").alias("id"), "component")
-    rows = (found.where("not edge").select("tree", "label", "id", "sketch").join(named, "id", "left")
-            .select("tree", "label", "id", "sketch", F.coalesce("component", "id").alias("component"),
-                    F.expr(f"substring(label, 1, {4 * forest.first})").alias("region")))
-    mixed = (rows.groupBy("tree", "region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                                F.count("*").alias("n")).where("lo <> hi").select("tree", "region", "n"))
-    rows = stored(rows.join(mixed, ["tree", "region"]), "mixed")
-    small = (rows.where(F.col("n") <= forest.most).repartition("tree", "region")
-             .sortWithinPartitions("tree", "label", "id").drop("n", "region")
-             .mapInArrow(_candidates(forest), _FOUND))
-    large = _search(rows.where(F.col("n") > forest.most).drop("n", "region"), forest, "candidates")
-    pairs = small.where("a is not null").select("a", "b").union(_pairs(large, forest).select("a", "b"))
-    return pairs.where("a <> b").distinct()
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    whole = sizes.groupBy("cluster").agg(F.sum("n").alias("n"), F.max("n").alias("most"),
+                                         F.max_by("component", F.struct("n", "component")).alias("main"))
+    open_ = whole.where("most < n")
+    rows = members.join(open_, "cluster")
+    small = rows.where(F.col("n") <= forest.block).select("id", "text", "component", "cluster", F.lit(0).alias("block"),
+                                                           F.lit(0).alias("x"), F.lit(0).alias("y"))
+    big = rows.where(F.col("n") > forest.block).withColumns({
+        "outer": F.ceil((F.col("n") - F.col("most")) / forest.block).cast("int"),
+        "inner": F.ceil(F.col("most") / forest.block).cast("int"), "h": F.xxhash64("id")})
+    outside = F.col("component") != F.col("main")
+    big = big.withColumn("block", F.when(outside, F.pmod("h", "outer")).otherwise(F.col("outer") + F.pmod("h", "inner")).cast("int"))
+    ones = F.when(outside, F.transform(F.sequence(F.col("block"), F.col("outer") + F.col("inner") - 1),
+                                       lambda y: F.struct(F.col("block").alias("x"), y.alias("y"))))
+    others = F.when(F.col("block") > 0, F.transform(F.sequence(F.lit(0), F.least("block", F.col("outer")) - 1),
+                                                    lambda x: F.struct(x.alias("x"), F.col("block").alias("y"))))
+    none = F.array().cast("array<struct<x:int,y:int>>")
+    big = big.withColumn("task", F.explode(F.concat(F.coalesce(ones, none), F.coalesce(others, none))))
+    return small.union(big.select("id", "text", "component", "cluster", "block", "task.x", "task.y"))
 
 
 def near_duplicates(docs: DataFrame, forest: Forest = Forest(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row."""
     rows = stored(signed(docs, forest, doc_id, text), "signatures")
     some = rows.where("class_key is not null and doc_id is not null")
-    classes = stored(some.groupBy("class_key").agg(F.min("doc_id").alias("id")), "classes")
-    named = stored(rows.select("doc_id", "n_shingles", "class_key").join(classes, "class_key", "left")
+    heads = stored(some.groupBy("class_key").agg(F.min("doc_id").alias("id"), F.first("labels").alias("labels"),
+                                                 F.first("sketch").alias("sketch")), "classes")
+    named = stored(rows.select("doc_id", "n_shingles", "class_key").join(heads.select("class_key", "id"), "class_key", "left")
                    .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("id")), "named")
-    heads = (rows.join(classes.select("class_key", F.col("id").alias("doc_id")), ["class_key", "doc_id"])
-             .dropDuplicates(["class_key"]).select(F.col("doc_id").alias("id"), "labels", "sketch"))
-    found = _search(_sorted_orders(heads, forest), forest, "candidates")
-    pairs = stored(_pairs(found, forest), "pairs")
-
-    # texts of all classes that a pair may still need, once
-    ids = (pairs.select(F.explode(F.array("a", "b")).alias("id"))
-           .union(found.where("not edge").select("id")).distinct())
+    pairs = stored(_pairs(heads, forest), "pairs")
+    clusters = stored(components(pairs).select(F.col("node").alias("id"), F.col("component").alias("cluster")), "clusters")
+    large = clusters.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > forest.block).select("cluster")
     members = stored(docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-                     .join(ids, "id").dropDuplicates(["id"]), "members")
+                     .join(clusters, "id"), "members")
 
     # classes that share a doc_id are one document
-    shared = (named.where("id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.collect_set("id").alias("all"))
-              .where(F.size("all") > 1).select("a", F.explode("all").alias("b")))
-
-    ends = pairs.select(F.col("a").alias("id"), "a", "b", "equal").union(
-        pairs.select(F.col("b").alias("id"), "a", "b", "equal"))
-    nearest = ends.groupBy("id").agg(F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"), -F.col("b"))).alias("p"))
-    first = stored(nearest.select("p.a", "p.b").distinct(), "nearest")
-    links = stored(_confirmed(first, members, forest).union(shared), "links")
-    groups = components(links)
+    shared = (named.where("id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+              .where("a <> b").select("doc_id", "a"))
+    shared = named.join(shared, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
+
+    # three near neighbours of every class of a large cluster: the nearest, and two of the very near ones
+    inside = clusters.join(large, "cluster").select(F.col("id").alias("a"))
+    ends = pairs.join(inside, "a", "left_semi")
+    ends = ends.select(F.col("a").alias("id"), "a", "b", "equal").union(ends.select(F.col("b").alias("id"), "a", "b", "equal"))
+    near = F.col("equal") >= int(0.85 * forest.hashes)
+    order = [F.struct("equal", "a", "b"), *[F.struct(near, F.xxhash64("a", "b", F.lit(k)), "a", "b") for k in (1, 2)]]
+    picks = ends.groupBy("id").agg(*[F.max_by(F.struct("a", "b"), o).alias(f"p{k}") for k, o in enumerate(order)])
+    picks = picks.select(F.explode(F.array("p0", "p1", "p2")).alias("p")).select("p.a", "p.b").distinct()
+    links = stored(_confirmed(picks, members.join(large, "cluster", "left_semi"), forest).union(shared), "links")
 
-    rest = _across(pairs, groups).union(_second_pass(found, groups, forest)).distinct().join(first, ["a", "b"], "left_anti")
-    more = stored(_confirmed(rest, members, forest), "links")
-    groups = components(links.union(more))
-    return (named.join(groups, named.id == groups.node, "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")))
+    groups = components(links)
+    placed = members.join(groups, members.id == groups.node, "left").select(
+        "id", "text", "cluster", F.coalesce("component", "id").alias("component"))
+    tasks = (_tasks(stored(placed, "placed"), forest).repartition("cluster", "x", "y")
+             .sortWithinPartitions("cluster", "x", "y"))
+    more = stored(tasks.select("text", "component", "cluster", "block", "x", "y").mapInArrow(_settle(forest), "a long, b long"),
+                  "links")
+    # ``more`` joins components of ``groups``
+    final = components(more).select(F.col("node").alias("component"), F.col("component").alias("final"))
+    found = named.join(groups, named.id == groups.node, "left").withColumn("component", F.coalesce("component", "id"))
+    return (found.join(final, "component", "left")
+            .select("doc_id", "n_shingles", F.coalesce("final", "component", "doc_id").alias("component_id")))
 
 
 def deduplicated(docs: DataFrame, forest: Forest = Forest(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
