@@ -77,7 +77,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
     tokenfiles.write(table(spark, sf_dir, "documents", ["doc_id", "text"]), folder,
                      tokenizer_path("word_bpe_49k.json"), END_ID)
-    return tokenfiles.digests(tokenfiles.read(spark, folder)).drop("tokens")
+    return tokenfiles.digests(tokenfiles.read(spark, folder), tokens=False)
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
