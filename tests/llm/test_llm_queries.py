@@ -225,7 +225,7 @@ def test_op10_held_out_accuracy(spark):
 def _pipeline_by_hand(spark, folder):
     """Stages by brute force, but for the verdict of operator 8 and the choice of the mix."""
     docs = _docs(folder)
-    kept = {r["doc_id"] for r in queries.op8_quality_rules(spark, folder).where("kept").collect()}
+    kept = {r["doc_id"] for r in queries.op8_quality_rules(spark, folder).collect() if r["kept"]}
     docs = [d for d in docs if d["doc_id"] in kept]
     near = brute.near_components([(d["doc_id"], d["text"]) for d in docs])
     docs = list({d["doc_id"]: d for d in docs if near[d["doc_id"]][1] == d["doc_id"]}.values())
