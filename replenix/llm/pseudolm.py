@@ -2,19 +2,25 @@
 
 Tokens are the words of a text.  The most frequent ones of the corpus (counted over all documents) have a class of
 their own, all others share 64 classes by their ending.  A network of one hidden layer sees two tokens on either
-side and predicts the masked one between them.  It is trained in numpy on windows that every document contributes
+side and predicts the class of the masked one between them; the word within its class is predicted from the counts
+of all words of the corpus, a written table.  log P(token) = log P(class | sides) + log P(word | class).  It is trained in numpy on windows that every document contributes
 in proportion to its length: each partition trains on its share from the same start, and the weights are averaged
 between rounds.  A document's score is the sum of the conditional log-probabilities of all its tokens.
 
 Defined results: null and empty texts have no tokens, score 0.0 and no mean; a one-word text is predicted from
-padding alone; a corpus without words leaves the network as it began; repeated rows are scored alike.
+padding alone; a corpus without words leaves the network as it began; repeated rows are scored alike.  With N
+occurrences of V words in a class, a word counted n times has n / (N + V), and the words never counted share
+V / (N + V) by their bytes (each of 257, an end included).
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import pickle
 import zlib
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -39,35 +45,81 @@ class Training:
     batch: int = 512
     rate: float = 0.01
     seed: int = 3
+    listed: int = 1 << 17   # workers hold the words that are one in so many tokens; rarer ones are joined
 
 
 class Vocabulary:
-    def __init__(self, words: list[str]):
+    """Own classes of the most frequent words, ``counts`` of all words, and those that workers look up."""
+
+    def __init__(self, words: list[str], counts: DataFrame | None = None, totals: list[tuple[int, int]] | None = None,
+                 listed: list[tuple[str, int]] = ()):
         self.words = words
         self.classes = {w.encode(): 1 + ENDINGS + i for i, w in enumerate(words[:WORDS])}
+        self.counts = counts   # w, n and ending of all words of the corpus
+        self.totals = totals or [(0, 0)] * ENDINGS   # (occurrences, words) of every ending
+        self.all = [math.log(max(n + v, 1)) for n, v in self.totals]
+        self.unseen = [math.log(v / (n + v)) if v else 0.0 for n, v in self.totals]
         self.cache = None
+        self.listed = {w.encode(): self.within(w.encode(), n) for w, n in listed} | dict.fromkeys(self.classes, 0.0)
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": None}
+        return self.__dict__ | {"cache": None, "counts": None}
 
     def _class(self, word: bytes) -> int:
         return self.classes.get(word) or 1 + zlib.crc32(word[-2:]) % ENDINGS
 
+    def within(self, word: bytes, n: int) -> float:
+        """log P(word | class) of a word that the corpus has ``n`` times."""
+        if word in self.classes:
+            return 0.0
+        e = zlib.crc32(word[-2:]) % ENDINGS
+        return math.log(n) - self.all[e] if n else self.unseen[e] - (len(word) + 1) * math.log(257)
+
+    def looked_up(self, words: list[bytes]) -> np.ndarray:
+        """log P(word | class) of the listed words, nan for the others."""
+        return np.fromiter(map(self.listed.get, words, repeat(math.nan)), dtype=np.float64, count=len(words))
+
+    def joined(self, rare: DataFrame) -> DataFrame:
+        """``rare`` (w, ...) with ``within``, from the table of counts."""
+        all_, unseen = (F.element_at(F.array(*map(F.lit, t)), F.col("ending") + 1) for t in (self.all, self.unseen))
+        seen, unseen = F.ln("n") - all_, unseen - (F.octet_length("w") + 1) * F.lit(math.log(257))
+        found = rare.join(self.counts.select("w", "n"), "w", "left").withColumn("ending", ending("w"))
+        return found.withColumn("within", F.coalesce(seen, unseen)).drop("n", "ending")
+
     def padded(self, text: bytes) -> np.ndarray:
         """Classes of all words with ``SIDE`` classes of padding around them."""
+        return self.classified(text.split())
+
+    def classified(self, words: list[bytes]) -> np.ndarray:
         if self.cache is None:
             self.cache = BoundedCache(self._class, _CACHE)
-        words = text.split()
         out = np.zeros(len(words) + 2 * SIDE, dtype=np.uint8)
         out[SIDE:SIDE + len(words)] = np.fromiter(map(self.cache.__getitem__, words), dtype=np.uint8, count=len(words))
         return out
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """The most frequent words of all documents (ties by code point)."""
+def ending(word: str) -> Column:
+    """Number of the class by ending (from 0) of a word column."""
+    data = F.col(word).cast("binary")
+    last = F.when(F.octet_length(data) < 2, data).otherwise(F.substring(data, -2, 2))
+    return (F.crc32(last) % ENDINGS).cast("int")
+
+
+def vocabulary(docs: DataFrame, text: str = "text", training: Training = Training()) -> Vocabulary:
+    """Counts of all words of all documents; the most frequent ones (ties by code point) have their own class."""
     words = docs.select(F.explode(F.split(F.col(f"`{text}`"), SPACE_RE)).alias("w")).where("w <> ''")
-    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(WORDS)   # a bounded list
-    return Vocabulary([r["w"] for r in top.collect()])
+    counts = stored(words.groupBy("w").agg(F.count("*").alias("n")).withColumn("ending", ending("w")), "word-counts")
+    top = [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(WORDS).collect()]   # a bounded list
+    sums = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    tokens = sum(r["n"] for r in sums)
+    # one word in ``listed`` tokens at least: not more words than that
+    listed = [(r["w"], r["n"]) for r in counts.where(F.col("n") * training.listed >= tokens).collect()]
+    totals = {r["ending"]: [r["n"], r["words"]] for r in sums}
+    own = counts.where(F.col("w").isin(top)).collect() if top else []
+    for r in own:
+        totals[r["ending"]][0] -= r["n"]
+        totals[r["ending"]][1] -= 1
+    return Vocabulary(top, counts, [tuple(totals.get(e, (0, 0))) for e in range(ENDINGS)], sorted(listed))
 
 
 class WindowNet:
@@ -168,7 +220,7 @@ def fit(docs: DataFrame, training: Training = Training(), key: str = "doc_id", t
         ) -> tuple[Vocabulary, WindowNet]:
     spark = docs.sparkSession
     ship(spark)
-    words = vocabulary(docs, text)
+    words = vocabulary(docs, text, training)
     # gathered by key: every trainer gets an even share of the corpus, in the same order in every run
     gathered = stored(windows(docs, words, training, key, text).repartition("k").sortWithinPartitions("k"), "windows")
     net = WindowNet(training)
@@ -212,26 +264,45 @@ _models: dict[str, tuple[Vocabulary, WindowNet]] = {}   # of this worker
 
 
 def pseudo_likelihood(text: Column, words: Vocabulary, net: WindowNet, training: Training, spark) -> Column:
-    """struct<n_tokens, log_likelihood> of whole texts."""
+    """struct<n_tokens, log_likelihood, rare> of whole texts; the words in ``rare`` lack their log P(word | class)."""
     ship(spark)
     data = net.to_bytes()
-    key = hashlib.sha256(data + repr(words.words).encode()).hexdigest()
+    key = hashlib.sha256(data + pickle.dumps(words)).hexdigest()
     shared = spark.sparkContext.broadcast((words, data))
 
-    @F.pandas_udf("n_tokens long, log_likelihood double")
+    @F.pandas_udf("n_tokens long, log_likelihood double, rare array<string>")
     def score(batch: pd.Series) -> pd.DataFrame:
         if key not in _models:
             _models.clear()
             _models[key] = (shared.value[0], WindowNet(training).load(np.frombuffer(shared.value[1], dtype="<f4")))
         vocabulary_, network = _models[key]
-        padded = [vocabulary_.padded(t.encode("utf-8", "surrogatepass")) for t in batch]
-        sizes = np.array([len(p) - 2 * SIDE for p in padded], dtype=np.int64)
-        sums = np.zeros(len(padded))
-        some = [k for k in range(len(padded)) if sizes[k]]
+        split = [t.encode("utf-8", "surrogatepass").split() for t in batch]
+        sizes = np.array([len(w) for w in split], dtype=np.int64)
+        sums, rare = np.zeros(len(split)), [[] for _ in split]
+        some = [k for k in range(len(split)) if sizes[k]]
         if some:
-            pairs = [contexts(padded[k]) for k in some]
+            pairs = [contexts(vocabulary_.classified(split[k])) for k in some]
             each = network.log_probabilities(np.concatenate([c for c, _ in pairs]), np.concatenate([t for _, t in pairs]))
-            sums[some] = np.add.reduceat(each, np.cumsum(np.r_[0, sizes[some]])[:-1])
-        return pd.DataFrame({"n_tokens": sizes, "log_likelihood": sums})
+            within = np.concatenate([vocabulary_.looked_up(split[k]) for k in some])
+            starts = np.cumsum(np.r_[0, sizes[some]])[:-1]
+            sums[some] = np.add.reduceat(each + np.nan_to_num(within), starts)
+            unlisted = np.flatnonzero(np.isnan(within))
+            of = np.searchsorted(starts, unlisted, side="right") - 1
+            for i, at in zip(of.tolist(), (unlisted - starts[of]).tolist()):
+                rare[some[i]].append(split[some[i]][at].decode("utf-8", "surrogatepass"))
+        return pd.DataFrame({"n_tokens": sizes, "log_likelihood": sums, "rare": rare})
 
     return score(F.coalesce(text, F.lit("")))
+
+
+def scores(docs: DataFrame, words: Vocabulary, net: WindowNet, training: Training, key: str = "doc_id",
+           text: str = "text") -> DataFrame:
+    """``key``, n_tokens and log_likelihood of every row: the sum of log P(token) of all its tokens."""
+    found = docs.select(F.col(f"`{key}`"), F.monotonically_increasing_id().alias("_row"),
+                        pseudo_likelihood(F.col(f"`{text}`"), words, net, training, docs.sparkSession).alias("s"))
+    found = stored(found.select(f"`{key}`", "_row", "s.*"), "scored")
+    # added up as whole billionths: the sum does not depend on the order of the rows
+    billionths = F.sum(F.round(F.col("within") * 1e9).cast("long")).alias("_more")
+    more = words.joined(found.select("_row", F.explode("rare").alias("w"))).groupBy("_row").agg(billionths)
+    return (found.drop("rare").join(more, "_row", "left").withColumn(
+        "log_likelihood", F.col("log_likelihood") + F.coalesce("_more", F.lit(0)) / 1e9).drop("_row", "_more"))

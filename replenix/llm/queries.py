@@ -50,9 +50,9 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     training = pseudolm.Training()
     words, net = pseudolm.fit(docs, training)
-    scored = docs.select("doc_id", pseudolm.pseudo_likelihood(F.col("text"), words, net, training, spark).alias("s"))
-    return scored.select("doc_id", "s.n_tokens", "s.log_likelihood",
-                         F.when(F.col("s.n_tokens") > 0, F.col("s.log_likelihood") / F.col("s.n_tokens")).alias("mean_log_prob"))
+    scored = pseudolm.scores(docs, words, net, training)
+    return scored.select("doc_id", "n_tokens", "log_likelihood",
+                         F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_prob"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -323,6 +323,32 @@ def test_training_lowers_the_loss(spark):
     assert words.words == pseudolm.vocabulary(docs).words
 
 
+def test_scores_are_log_probabilities_of_the_words(spark):
+    """Texts that differ in one rare word differ by its counts, looked up and joined alike; classes sum to one."""
+    texts = [f"top{i} " * 20 for i in range(pseudolm.WORDS)] + ["said"] * 6 + ["qzid"] + [f"w{i}x top5" for i in range(300)]
+    texts += ["top1 said top2", "top1 qzid top2", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = []
+    for listed in (1 << 17, 1):   # all words looked up, and none but the most frequent
+        training = pseudolm.Training(listed=listed)
+        words, net = pseudolm.fit(docs, training)
+        rows = pseudolm.scores(docs, words, net, training).collect()
+        found.append({r.doc_id: r.log_likelihood for r in rows})
+        assert len(rows) == len(texts)
+    assert found[0] == pytest.approx(found[1], abs=1e-6)
+    first = len(texts) - 4   # "said" is counted 7 times, "qzid" twice
+    assert found[0][first] - found[0][first + 1] == pytest.approx(np.log(7 / 2))
+    assert found[0][first + 2] == found[0][first + 3] == 0
+    by_class = {}
+    for r in words.counts.collect():
+        if r.w not in words.words:
+            by_class.setdefault(r.ending, []).append(np.exp(words.within(r.w.encode(), r.n)))
+            assert words.within(r.w.encode(), r.n) > words.within(r.w.encode() + b"?" * 6, 0)
+    for e, p in by_class.items():
+        occurrences, distinct = words.totals[e]
+        assert sum(p) + distinct / (occurrences + distinct) == pytest.approx(1)
+
+
 # --- 8: distances ----------------------------------------------------------------------------------
 
 def test_js_distance(spark):
