@@ -3,9 +3,9 @@
 Tokens are the words of a text.  The most frequent ones of the corpus (counted over all documents) have a class of
 their own, all others share 64 classes by their ending.  A network of one hidden layer sees two tokens on either
 side and predicts the class of the masked one between them; the word within its class is predicted from the counts
-of all words of the corpus, a written table.  log P(token) = log P(class | sides) + log P(word | class).  It is trained in numpy on windows that every document contributes
-in proportion to its length: each partition trains on its share from the same start, and the weights are averaged
-between rounds.  A document's score is the sum of the conditional log-probabilities of all its tokens.
+of all words of the corpus, a written table.  log P(token) = log P(class | sides) + log P(word | class).  It is trained in numpy on the windows of all tokens of all
+documents, each in one of the rounds: each partition trains on its share from the same start, and the weights are
+averaged between rounds.  A document's score is the sum of the conditional log-probabilities of all its tokens.
 
 Defined results: null and empty texts have no tokens, score 0.0 and no mean; a one-word text is predicted from
 padding alone; a corpus without words leaves the network as it began; repeated rows are scored alike.  With N
@@ -40,12 +40,11 @@ _CACHE = 300_000
 @dataclass(frozen=True)
 class Training:
     hidden: int = 24
-    every: int = 16       # one window in so many is trained on, from every document
     rounds: int = 3
     batch: int = 512
     rate: float = 0.01
     seed: int = 3
-    listed: int = 1 << 17   # workers hold the words that are one in so many tokens; rarer ones are joined
+    listed: int = 1 << 19   # workers hold the words that are one in so many tokens; rarer ones are joined
 
 
 class Vocabulary:
@@ -167,15 +166,19 @@ class WindowNet:
         n = len(target)
         hidden = self._hidden(context)
         logits = hidden @ self.out + self.bias
-        e = np.exp(logits - logits.max(axis=1, keepdims=True))
-        p = e / e.sum(axis=1, keepdims=True)
+        logits -= logits.max(axis=1, keepdims=True)
+        p = np.exp(logits, out=logits)
+        p /= p.sum(axis=1, keepdims=True)
         loss = -float(np.log(p[np.arange(n), target] + 1e-12).mean())
         p[np.arange(n), target] -= 1
         p /= n
         below = (p @ self.out.T) * (1 - hidden * hidden)
         tables = np.zeros_like(self.tables)
         for k in range(2 * SIDE):
-            np.add.at(tables[k], context[:, k], below)
+            order = np.argsort(context[:, k], kind="stable")   # sums per class over runs of equal classes
+            own = context[order, k]
+            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            tables[k][own[starts]] = np.add.reduceat(below[order], starts, axis=0)
         return loss, [tables, below.sum(axis=0), hidden.T @ p, p.sum(axis=0)]
 
     def train(self, windows: np.ndarray, training: Training, sums: list[np.ndarray]) -> None:
@@ -196,24 +199,26 @@ def contexts(padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(sides, axis=1), padded[SIDE:SIDE + n]
 
 
-def windows(docs: DataFrame, words: Vocabulary, training: Training, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(k, windows): every ``every``-th window of every document, from a start that its key's hash gives."""
+def classes(docs: DataFrame, words: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(k, padded): classes of all words of every document that has any, with padding around them."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
-    width = 2 * SIDE + 1
 
-    def cut(batches):
+    def look_up(batches):
         for batch in batches:
-            out = []
-            for k, t in zip(batch.column(0).to_pylist(), texts(batch)):
-                padded = shared.value.padded(t)
-                n = len(padded) - 2 * SIDE
-                first = np.arange(zlib.crc32(str(k).encode()) % training.every, n, training.every)
-                out.append(padded[first[:, None] + np.arange(width)].tobytes())
+            out = [shared.value.padded(t).tobytes() for t in texts(batch)]
             yield pa.record_batch([pa.array(batch.column(0).cast(pa.string())), pa.array(out, pa.binary())],
-                                  names=["k", "windows"])
+                                  names=["k", "padded"])
 
     return (docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
-            .mapInArrow(cut, "k string, windows binary").where(F.octet_length("windows") > 0))
+            .mapInArrow(look_up, "k string, padded binary").where(F.octet_length("padded") > 2 * SIDE))
+
+
+def windows(padded: np.ndarray, r: int, training: Training):
+    """The windows of round ``r``: every token of the padded texts is the middle of one window of one round."""
+    middle = np.flatnonzero(padded)[r::training.rounds]   # class 0 is the padding between the texts
+    size = 64 * training.batch
+    for i in range(0, len(middle), size):
+        yield padded[middle[i:i + size, None] + np.arange(-SIDE, SIDE + 1)]
 
 
 def fit(docs: DataFrame, training: Training = Training(), key: str = "doc_id", text: str = "text"
@@ -222,7 +227,7 @@ def fit(docs: DataFrame, training: Training = Training(), key: str = "doc_id", t
     ship(spark)
     words = vocabulary(docs, text, training)
     # gathered by key: every trainer gets an even share of the corpus, in the same order in every run
-    gathered = stored(windows(docs, words, training, key, text).repartition("k").sortWithinPartitions("k"), "windows")
+    gathered = stored(classes(docs, words, key, text).repartition("k").sortWithinPartitions("k"), "classes")
     net = WindowNet(training)
     for r in range(training.rounds):
         start = spark.sparkContext.broadcast(net.to_bytes())
@@ -231,16 +236,16 @@ def fit(docs: DataFrame, training: Training = Training(), key: str = "doc_id", t
             own = WindowNet(training).load(np.frombuffer(start.value, dtype="<f4"))
             sums, seen = [np.zeros_like(p) for p in own.parameters()], 0
             for batch in batches:
-                data = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint8).reshape(-1, 2 * SIDE + 1)
-                data = data[r::training.rounds]   # every round trains on other windows
-                own.train(data, training, sums)
-                seen += len(data)
+                padded = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint8)
+                for data in windows(padded, r, training):   # every round trains on other windows
+                    own.train(data, training, sums)
+                    seen += len(data)
             if seen:
                 yield pa.record_batch([pa.array([seen], pa.int64()), pa.array([own.to_bytes()], pa.binary())],
                                       names=["n", "net"])
 
         # averaged in a few tasks first: the driver gets eight networks, however many trainers there are
-        parts = (gathered.select("windows").mapInArrow(trained, "n long, net binary")
+        parts = (gathered.select("padded").mapInArrow(trained, "n long, net binary")
                  .repartition(8).mapInArrow(_averaged, "n long, net binary").collect())
         parts = [(p["n"], np.frombuffer(p["net"], dtype="<f4").astype("f8")) for p in parts]
         total = sum(n for n, _ in parts)

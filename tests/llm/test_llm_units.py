@@ -323,6 +323,19 @@ def test_training_lowers_the_loss(spark):
     assert words.words == pseudolm.vocabulary(docs).words
 
 
+def test_every_token_is_trained_on_once(spark):
+    texts = ["one", "a b c d e f g h", None, "", "x y " * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words, training = pseudolm.vocabulary(docs), pseudolm.Training(batch=4)
+    rows = [np.frombuffer(r.padded, dtype=np.uint8) for r in pseudolm.classes(docs, words).orderBy("k").collect()]
+    found = [w for r in range(training.rounds) for part in pseudolm.windows(np.concatenate(rows), r, training) for w in part.tolist()]
+    want = []
+    for text in texts:
+        padded = words.padded((text or "").encode()).tolist()
+        want += [padded[k:k + 5] for k in range(len(padded) - 4)]
+    assert len(want) == 1 + 8 + 800 and sorted(found) == sorted(want)
+
+
 def test_scores_are_log_probabilities_of_the_words(spark):
     """Texts that differ in one rare word differ by its counts, looked up and joined alike; classes sum to one."""
     texts = [f"top{i} " * 20 for i in range(pseudolm.WORDS)] + ["said"] * 6 + ["qzid"] + [f"w{i}x top5" for i in range(300)]
