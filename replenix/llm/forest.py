@@ -1,11 +1,12 @@
 """Operator 7, near-duplicates: MinHash LSH forest.
 
 The set of a document is its distinct five-word shingles (64-bit hashes).  Equal sets form one class.  Every class
-gets a MinHash signature; each of 16 trees sorts the classes by its own order of the signature's parts.  Neighbours
-with a long common prefix in a sorted order are candidates.  How long is settled per region: a region is a run of
-classes that agree on the first two parts, and where it holds more than ``most`` classes, it is read one part
-deeper, again and again, until its runs are small (or the order's parts are used up, where runs are near copies of
-one another).  A sketch of the whole signature drops hopeless candidates at once.
+gets a MinHash signature; each of 16 trees sorts the classes by its own order of the signature's parts.  Classes
+that agree on the first two parts of an order are a region, and all pairs of a region are looked at: a sketch of the
+whole signature tells the candidates among them.  A region of up to ``most`` classes inside one sorted range is
+looked at there.  A larger one, or one that the end of a range may cut, is written to a table and met in blocks of
+``most`` classes, every block with every other; near neighbours found on the way (read one part deeper, again and
+again) only give the clusters more links to begin with.
 
 The candidates are confirmed on the full sets.  Only connections count, so classes that candidates connect form a
 cluster, and a cluster is settled exactly: every pair of its sets across components is compared.  Clusters of up to
@@ -42,7 +43,7 @@ class Forest:
     long_parts: int = 4     # parts of an order that are kept with 32 bits; the others have 8
     short_parts: int = 8
     first: int = 2          # parts on which a region agrees at least
-    most: int = 1024        # classes of a region whose pairs are all looked at
+    most: int = 1024        # classes of a region that is looked at where it lies; larger ones meet in blocks of so many
     nearest: int = 3        # near neighbours of a class that are named in a large region
     block: int = 512        # classes of a cluster that one task compares
     slack: float = 5.2      # standard deviations that a sketch may fall short of the similarity
@@ -216,7 +217,8 @@ def _neighbours(rows: _Rows, forest: Forest) -> tuple[np.ndarray, np.ndarray, np
     """Candidate pairs (row numbers, equal sketch parts) that connect all candidates of every region.
 
     Of a region of up to 8 rows these are all its candidates; of a larger one, a star over each set of rows
-    that candidates connect, and the nearest neighbours of every row.
+    that candidates connect, and the nearest neighbours of every row.  Of a region of more than ``most`` rows they
+    are only a beginning: all its pairs are looked at in blocks (``_met``).
     """
     first, second, equals = [], [], []
 
@@ -269,10 +271,10 @@ def _neighbours(rows: _Rows, forest: Forest) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _candidates(forest: Forest):
-    """Arrow function over one sorted range: candidate pairs, and the rows at its ends.
+    """Arrow function over one sorted range: candidate pairs, and the rows of regions that are not settled by them.
 
-    A region cut by the end of a range is handed on: its rows within reach of the cut, or all of a small region,
-    meet those of the next range in a second, small step.
+    Those are all rows of regions of more than ``most`` rows, and of the first and the last region of the range,
+    which may go on in the next one.
     """
     def search(batches):
         batches = list(batches)
@@ -285,11 +287,10 @@ def _candidates(forest: Forest):
                                pa.array(equal.astype("i4")), none.cast(pa.int32()), none.cast(pa.binary()),
                                none.cast(pa.int64()), none.cast(pa.binary())], names=_FOUND.names)
         cuts = np.flatnonzero(np.r_[True, rows.depth < forest.first, True])
-        ends = set()
-        for a, b in {(cuts[0], cuts[1]), (cuts[-2], cuts[-1])}:
-            ends.update(range(a, min(b, a + 64)))
-            ends.update(range(max(a, b - 64), b))
-        at = np.array(sorted(ends))
+        sizes = np.diff(cuts)
+        open_ = sizes > forest.most
+        open_[[0, -1]] = True
+        at = np.flatnonzero(np.repeat(open_, sizes))
         none, take = pa.nulls(len(at)), pa.array(at)
         yield pa.record_batch([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()),
                                pa.array(rows.tree[at].astype("i4")), rows.labels.take(take), pa.array(rows.ids[at]),
@@ -297,21 +298,74 @@ def _candidates(forest: Forest):
     return search
 
 
+def _unequal(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """4-bit parts in which the sketches (as 64-bit words) of every row of ``one`` and of ``two`` differ."""
+    out = np.zeros((len(one), len(two)), dtype=np.uint16)
+    for k in range(one.shape[1]):
+        x = one[:, k, None] ^ two[None, :, k]
+        x |= x >> np.uint64(2)
+        x |= x >> np.uint64(1)
+        x &= np.uint64(0x1111111111111111)
+        out += np.bitwise_count(x)
+    return out
+
+
+def _met(ids: np.ndarray, sketches: np.ndarray, blocks: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates (a, b, equal) that connect all candidates of one block, or between two, and every row's nearest."""
+    two = blocks.min() != blocks.max()
+    left = np.flatnonzero(blocks == blocks.min())
+    right = np.flatnonzero(blocks == blocks.max())
+    words = np.zeros((len(ids), -(-sketches.shape[1] // 8) * 8), dtype=np.uint8)
+    words[:, :sketches.shape[1]] = sketches
+    words = words.view(np.uint64)
+    label, others = np.arange(len(ids)), words[right]
+    first, second, equals = [], [], []
+    for lo in range(0, len(left), 64):
+        part = left[lo:lo + 64]
+        equal = forest.hashes - _unequal(words[part], others).astype(np.int32)
+        if not two:
+            equal[part[:, None] == right[None, :]] = -1   # a row and itself
+        for i, row in zip(part[(equal >= forest.least_equal).any(axis=1)].tolist(),
+                          equal[(equal >= forest.least_equal).any(axis=1)]):
+            best = int(row.argmax())
+            ends = [best]
+            met = np.flatnonzero(row >= forest.least_equal)
+            labels = label[right[met]]
+            if (labels != label[i]).any():
+                found, heads = np.unique(labels, return_index=True)
+                ends += met[heads[found != label[i]]].tolist()
+                joined = np.r_[found, label[i]]
+                label[np.isin(label, joined)] = joined.min()
+            first += [i] * len(ends)
+            second += right[ends].tolist()
+            equals += row[ends].tolist()
+    a, b = ids[first], ids[second]
+    return np.minimum(a, b), np.maximum(a, b), np.array(equals, dtype="i4")
+
+
 def _pairs(heads: DataFrame, forest: Forest) -> DataFrame:
-    """Distinct candidate pairs (a < b) with their sketch agreement, those across range ends included."""
+    """Distinct candidate pairs (a < b) with their sketch agreement, those of large and cut regions included."""
     ordered = _sorted_orders(heads, forest).repartitionByRange("tree", "label", "id").sortWithinPartitions("tree", "label", "id")
     found = stored(ordered.mapInArrow(_candidates(forest), _FOUND), "candidates")
 
-    def across(table: pa.Table) -> pa.Table:
-        rows = _Rows(table.sort_by([("tree", "ascending"), ("label", "ascending"), ("id", "ascending")]), forest)
-        i, j, equal = _neighbours(rows, forest)
-        return pa.table({"a": np.minimum(rows.ids[i], rows.ids[j]), "b": np.maximum(rows.ids[i], rows.ids[j]),
-                         "equal": equal.astype("i4")})
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint8).reshape(table.num_rows, -1)
+        a, b, equal = _met(table.column("id").to_numpy(), sketches, table.column("block").to_numpy(), forest)
+        return pa.table({"a": a, "b": b, "equal": equal})
 
     region = F.expr(f"substring(label, 1, {4 * forest.first})").alias("region")
-    cut = (found.where("id is not null").select("tree", "label", "id", "sketch", region).groupBy("tree", "region")
-           .applyInArrow(lambda t: across(t.select(["tree", "label", "id", "sketch"])), "a long, b long, equal int"))
-    return (found.where("a is not null").select("a", "b", "equal").union(cut).where("a <> b")
+    rows = found.where("id is not null").select("tree", region, "id", "sketch")
+    # at most two regions of every range, and one in ``most`` rows
+    open_ = rows.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
+    rows = rows.join(F.broadcast(open_), ["tree", "region"]).withColumn("blocks", F.ceil(F.col("n") / forest.most).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
+                        lambda z: F.struct(F.least("block", z).alias("x"), F.greatest("block", z).alias("y")))
+    rows = rows.select("tree", "region", "id", "sketch", "block", F.explode(tasks).alias("task"))
+    met = (rows.select("tree", "region", "id", "sketch", "block", "task.x", "task.y").groupBy("tree", "region", "x", "y")
+           .applyInArrow(meet, "a long, b long, equal int"))
+    return (found.where("a is not null").select("a", "b", "equal").union(met).where("a <> b")
             .groupBy("a", "b").agg(F.max("equal").alias("equal")))
 
 

@@ -239,6 +239,30 @@ def test_near_copies_in_large_clusters(spark, shape):
     assert got == want
 
 
+def test_large_and_cut_regions_are_met_whole(spark):
+    """Hidden pairs in regions that agree on two parts: far apart in the order, in one range or over several."""
+    shape = forest.Forest(trees=1, own=8, most=32, slack=0.0)
+    rng = np.random.default_rng(3)
+    n, rows, want = 600, [], set()
+    order = rng.permutation(n)
+    sketches = rng.integers(0, 256, (n, shape.hashes // 2), dtype=np.uint8)
+    for k in range(0, n, 2):   # pairs of equal sketches, unlike all others
+        sketches[order[k]] = sketches[order[k + 1]]
+        want.add(tuple(sorted((int(order[k]), int(order[k + 1])))))
+    for i in range(n):
+        label = np.r_[np.zeros(8), rng.integers(0, 256, 16)].astype(np.uint8)
+        rows.append((i, bytearray(label.tobytes()), bytearray(sketches[i].tobytes())))
+    heads = spark.createDataFrame(rows, "id long, labels binary, sketch binary")
+    for partitions in ("1", "7"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            found = {(r.a, r.b) for r in forest._pairs(heads, shape).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert found == want
+
+
 def test_rows_that_share_an_id_are_one_document(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
     rows = [(5, a), (9, a), (9, b), (11, b), (12, "one two"), (None, a), (13, None)]
