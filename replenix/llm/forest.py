@@ -38,8 +38,8 @@ class Forest:
     """Shape of the forest; ``percent`` is the similarity from which two sets are linked."""
 
     percent: int = 75
-    trees: int = 12
-    own: int = 8            # hash functions per tree (96 in all)
+    trees: int = 16
+    own: int = 8            # hash functions per tree (128 in all)
     long_parts: int = 4     # parts of an order that are kept with 32 bits; the others have 8
     short_parts: int = 8
     first: int = 2          # parts on which a region agrees at least
