@@ -62,7 +62,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.table.clear()
-        self.long: dict[bytes, int] = {}                # words beyond the table's length
+        self.long: dict[bytes, int] = {}                # words beyond the table's length, or with a zero byte
         self.pool = np.empty(1 << 16, dtype="<i4")      # ids of word after word
         self.place = np.zeros(1 << 14, dtype=np.int64)  # word n has pool[place[n]:place[n + 1]]
         self.words = self.batches = 0
@@ -94,7 +94,10 @@ class Encoder:
 
     def _numbers(self, joined: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         sizes = ends - starts
-        short = np.flatnonzero(sizes <= LONGEST)
+        fits = sizes <= LONGEST
+        if b"\0" in joined:   # the table pads words with zeros, so a word that holds one is told by its bytes
+            fits[np.searchsorted(starts, np.flatnonzero(data == 0), side="right") - 1] = False
+        short = np.flatnonzero(fits)
         words = parts(data, starts[short], sizes[short])
         found = self.table.find(words)
         unknown = np.flatnonzero(found == 0)
@@ -125,7 +128,7 @@ class Encoder:
             place[found] = np.arange(len(found))
             often = place[often[seen[often] > 1]]
             self.table.prefer([w[often] for w in words], found[often])
-        rest = np.flatnonzero(sizes > LONGEST).tolist()
+        rest = np.flatnonzero(~fits).tolist()
         if rest:
             found_ = [joined[starts[k]:ends[k]] for k in rest]
             new_words = list({t for t in found_ if t not in self.long})

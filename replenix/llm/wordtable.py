@@ -1,6 +1,7 @@
 """Numbers for short byte words, looked up for whole buffers at once (numpy open addressing).
 
-A word of up to 24 bytes is held as three 64-bit parts, so two words are equal exactly if their parts are.
+A word of up to 24 bytes, none of them zero, is held as three 64-bit parts padded with zeros, so two words are equal
+exactly if their parts are.
 """
 
 from __future__ import annotations

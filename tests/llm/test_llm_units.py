@@ -83,13 +83,29 @@ def encoder():
     return tokenfiles.Encoder(public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
-@settings(max_examples=150, deadline=None)
-@given(texts=st.lists(SOME_TEXT, min_size=1, max_size=8))
+CONTROL = st.lists(st.sampled_from([chr(i) for i in range(33)] + list("abc,.0\x7f\x80\x85\xa0\xad\u200b\u3000\ufeff") + ["the "]),
+                   max_size=40).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(st.one_of(SOME_TEXT, CONTROL), min_size=1, max_size=8))
 def test_encoder_equals_the_library(encoder, texts):
     ids, offsets = encoder.encode([t.encode() for t in texts])
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [[*i, 1] for i in brute.token_ids(texts)]
 
 
+def test_a_damaged_text_changes_no_other_text():
+    """Words that differ only by zero bytes at their end stay apart, in any order of texts and batches."""
+    texts = ["c", "c\0", "c\0\0", "\0", "\0c", "ab\0cd", "x" * 24, "x" * 23 + "\0", "x" * 24 + "\0", "the c\0 c c\0."]
+    want = [[*i, 1] for i in brute.token_ids(texts)]
+    for order in (range(len(texts)), reversed(range(len(texts)))):
+        fresh = tokenfiles.Encoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+        for k in order:
+            assert fresh.encode([texts[k].encode()])[0].tolist() == want[k]
+        ids, offsets = fresh.encode([t.encode() for t in texts])
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+
+
 def test_encoder_forgets_and_learns_again(encoder, monkeypatch):
     monkeypatch.setattr(tokenfiles, "_WORDS", 3)
     for text in ("one two three four five", "one two, three four six", "one"):
