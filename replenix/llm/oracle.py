@@ -74,5 +74,37 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM v"""
 
 
+def op11_sql() -> str:
+    return """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS other,
+             coalesce(list_sum([p[1] * p[2] for p in list_zip(q.e, c.e)]), 0)::BIGINT AS score
+      FROM v q JOIN v c ON len(q.e) = len(c.e) AND q.rid <> c.rid WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def op12_sql() -> str:
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({lowered}, '{term}') AS ts
+           FROM documents WHERE text IS NOT NULL),
+i AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all({lowered}, '{term}') AS ts
+      FROM benchmark WHERE text IS NOT NULL),
+it AS (SELECT iid, t, count(*) AS times FROM (SELECT iid, unnest(ts) AS t FROM i) GROUP BY iid, t),
+p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM d)
+      WHERE t IN (SELECT t FROM it) GROUP BY rid, t),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d WHERE len(ts) > 0),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY t, n_docs),
+m AS (SELECT rid, doc_id, 25 + (75 * len(ts) * n_docs) // n_terms AS m FROM d, c WHERE len(ts) > 0),
+s AS (SELECT iid, rid, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM it JOIN p USING (t) JOIN w USING (t) JOIN m USING (rid) GROUP BY iid, rid, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r JOIN i USING (iid) WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": op8_sql()}
+    return {"op8_quality_rules": op8_sql(), "op11_topk_search": op11_sql(), "op12_ranked_search": op12_sql()}

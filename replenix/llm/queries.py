@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replenix.llm import bpe, decontaminate, forest, langid, mixing, pseudolm, quality, secrets, tokenfiles, toxicity
+from replenix.llm import (
+    align, bpe, decontaminate, forest, langid, mixing, nra, pseudolm, quality, ranked, secrets, tokenfiles, toxicity)
 from replenix.llm.common import held_out, shared_folder, ship, table
 
 MOST_TOKENS = 4096
@@ -105,7 +106,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.top_k(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), "vec_id % 50 = 0")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "benchmark"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                            tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_source_mix, op2_token_counts, op3_toxicity, op4_lm_scoring, op5_secret_scan, op6_token_files,
-        op7_near_duplicates, op8_quality_rules, op9_decontamination, op10_language_id)}
+        op7_near_duplicates, op8_quality_rules, op9_decontamination, op10_language_id, op11_topk_search,
+        op12_ranked_search, op13_tokenizer_alignment)}

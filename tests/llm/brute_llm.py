@@ -1,12 +1,15 @@
 """Plain re-computations of the training-data operators, for small inputs."""
 
 import hashlib
+import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import sentencepiece
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 BENCH_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -133,3 +136,81 @@ def targets(sizes, share=1.5, most=2.0, weights=(3, 1, 2)):
         if not new:
             return goal
         capped |= new
+
+
+# --- 11, 12, 13 ------------------------------------------------------------------------
+
+def top_k(rows, asks, best=5):
+    """(query_id, rank, vec_id, score) for (vec_id, embedding) rows."""
+    whole = [(i, [math.floor(256 * float(x)) for x in e]) for i, e in rows
+             if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
+    out = []
+    for k, (q, e) in enumerate(whole):
+        if asks(q):
+            scores = [(-min(max(sum(a * b for a, b in zip(e, c)), -2**63), 2**63 - 1), i, j)
+                      for j, (i, c) in enumerate(whole) if j != k and len(c) == len(e)]
+            out += [(q, r + 1, i, -s) for r, (s, i, _) in enumerate(sorted(scores)[:best])]
+    return out
+
+
+def lexical_terms(text):
+    lowered = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def ranked(docs, items, best=10):
+    """(item_id, rank, doc_id, score) for (doc_id, text) and (item_id, text) rows."""
+    counted = [(d, Counter(lexical_terms(t))) for d, t in docs]
+    n_docs = sum(1 for _, c in counted if c)
+    length = sum(sum(c.values()) for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for d, c in counted:
+            n = sum(c.values())
+            m = 100 - 75 + 75 * n * n_docs // length if n else 0
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+                    for t in lexical_terms(text) if t in c)
+            if s > 0:
+                scores.append((-s, d is None, d or 0, d))
+        out += [(item, r + 1, d, -s) for r, (s, _, _, d) in enumerate(sorted(scores, key=lambda x: x[:3])[:best])]
+    return out
+
+
+def alignments(rows):
+    """Digest columns of (doc_id, text) rows, token by token."""
+    from tokenizers import Tokenizer
+
+    a_lib, b_lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), sentencepiece.SentencePieceProcessor(
+        model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    a_lib.encode_special_tokens = True
+    signs = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in signs} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in signs)}
+    found = []
+    for doc, text in rows:
+        want = (" " + (text or "")).encode()
+        a = a_lib.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = b_lib.encode(text) if text else []
+        a_bytes = [bytes(byte[c] for c in a_lib.id_to_token(i)) for i in a]
+        b_bytes = [bytes([int(b_lib.id_to_piece(i)[3:5], 16)]) if b_lib.is_byte(i)
+                   else b_lib.id_to_piece(i).replace("\u2581", " ").encode() for i in b]
+        if not text or b"".join(a_bytes) != want or b"".join(b_bytes) != want:
+            found.append((doc, [], [], "", []))
+            continue
+        a_ends, b_ends = list(itertools.accumulate(map(len, a_bytes))), list(itertools.accumulate(map(len, b_bytes)))
+        groups, lo = [], 0
+        for cut in sorted(set(a_ends) & set(b_ends)):
+            groups.append(",".join(str(i) for i, e in zip(a, a_ends) if lo < e <= cut) + "|"
+                          + ",".join(str(i) for i, e in zip(b, b_ends) if lo < e <= cut))
+            lo = cut
+        owner = [[j for j, t in enumerate(side) for _ in t] for side in (a_bytes, b_bytes)]   # token of every byte
+        links = [(a[x], b[y]) for x, y in sorted(set(zip(*owner)))]
+        found.append((doc, a, b, ";".join(groups), links))
+    counts = Counter(pair for *_, links in found for pair in set(links))
+    top = Counter()
+    for (x, _), n in counts.items():
+        top[x] = max(top[x], n)
+    return [(doc, len(a), len(b), len(g.split(";")) if g else 0, len(links),
+             sum(counts[p] == top[p[0]] for p in links), sum(counts[p] for p in links),
+             hashlib.sha256(g.encode()).hexdigest() if g else "") for doc, a, b, g, links in found]
