@@ -4,9 +4,11 @@ The set of a document is its distinct five-word shingles (64-bit hashes).  Equal
 gets a MinHash signature; each of 16 trees sorts the classes by its own order of the signature's parts.  Classes
 that agree on the first two parts of an order are a region, and all pairs of a region are looked at: a sketch of the
 whole signature tells the candidates among them.  A region of up to ``most`` classes inside one sorted range is
-looked at there.  A larger one, or one that the end of a range may cut, is written to a table and met in blocks of
-``most`` classes, every block with every other; near neighbours found on the way (read one part deeper, again and
-again) only give the clusters more links to begin with.
+looked at there.  In a larger one, near neighbours (read one part deeper, again and again) and one leading class are
+looked at first.  Of the candidates of a region only a spanning forest of the nearest is kept, at most one pair per
+class and order.  Classes of large regions, and of regions that the end of a range may cut, are met whole after that:
+what is connected already is one component, and every class outside the region's largest component meets every class
+of another component, in blocks of ``most`` classes.  A block pair gives links between components only.
 
 The candidates are confirmed on the full sets.  Only connections count, so classes that candidates connect form a
 cluster, and a cluster is settled exactly: every pair of its sets across components is compared.  Clusters of up to
@@ -31,6 +33,7 @@ from replenix.llm.common import ship, stored, texts
 from replenix.llm.components import components
 
 WORDS = 5
+_RANGE_ROWS = 1 << 20   # rows of a sorted range, which one task holds, about
 
 
 @dataclass(frozen=True)
@@ -157,8 +160,7 @@ _EQUAL = np.array([(b >> 4 == 0) + (b & 15 == 0) for b in range(256)], dtype=np.
 
 _FOUND = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
                        T.StructField("equal", T.IntegerType()), T.StructField("tree", T.IntegerType()),
-                       T.StructField("label", T.BinaryType()), T.StructField("id", T.LongType()),
-                       T.StructField("sketch", T.BinaryType())])
+                       T.StructField("region", T.BinaryType()), T.StructField("id", T.LongType())])
 
 
 class _Rows:
@@ -169,12 +171,10 @@ class _Rows:
         n = self.n = table.num_rows
         self.tree = table.column("tree").to_numpy()
         self.ids = table.column("id").to_numpy()
-        self.labels = table.column("label").combine_chunks() if n else None
-        self.sketches = table.column("sketch").combine_chunks() if n else None
         width = 4 * forest.long_parts + forest.short_parts
-        label = np.frombuffer(b"".join(self.labels.to_pylist()) if n else b"", dtype=np.uint8).reshape(n, width)
-        self.sketch = np.frombuffer(b"".join(self.sketches.to_pylist()) if n else b"", dtype=np.uint8
-                                    ).reshape(n, forest.hashes // 2)
+        label, self.sketch = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=np.uint8).reshape(n, size)
+                              for c, size in (("label", width), ("sketch", forest.hashes // 2)))
+        self.regions = label[:, :4 * forest.first]
         long = 4 * forest.long_parts
         parts = np.concatenate([label[:, :long].view(np.uint32).astype(np.int64), label[:, long:]], axis=1)
         # depth[i]: parts that row i and row i + 1 have in common (0 across trees)
@@ -213,58 +213,77 @@ def _labelled(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
+def _nearest_forest(n: int, i: np.ndarray, j: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """Edges of a spanning forest of the edges (i, j) of ``n`` rows, most equal first: every row keeps its nearest.
+
+    Every set of connected rows takes its best edge to another set, until no edge joins two sets.
+    """
+    place = np.empty(len(i), dtype=np.int64)   # of an edge among all, so that no two are alike
+    by_place = np.argsort(-equal.astype(np.int64), kind="stable")
+    place[by_place] = np.arange(len(i))
+    label, going, chosen = np.arange(n), np.arange(len(i)), [np.empty(0, dtype=np.int64)]
+    while True:
+        one, two = label[i[going]], label[j[going]]
+        joins = one != two
+        going, one, two = going[joins], one[joins], two[joins]
+        if not len(going):
+            return np.concatenate(chosen)
+        best = np.full(n, len(i))
+        np.minimum.at(best, one, place[going])
+        np.minimum.at(best, two, place[going])
+        new = by_place[np.unique(best[best < len(i)])]
+        chosen.append(new)
+        label = _labelled(n, np.concatenate([i[new], np.arange(n)]), np.concatenate([j[new], label]))
+
+
 def _neighbours(rows: _Rows, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs (row numbers, equal sketch parts) that connect all candidates of every region.
+    """Candidate pairs (row numbers, equal sketch parts) that connect what was found of every region.
 
-    Of a region of up to 8 rows these are all its candidates; of a larger one, a star over each set of rows
-    that candidates connect, and the nearest neighbours of every row.  Of a region of more than ``most`` rows they
-    are only a beginning: all its pairs are looked at in blocks (``_met``).
+    Of a region of up to 8 rows these are all its candidates; of one of up to ``most`` rows the nearest forest of all its
+    candidates.  Of a larger one they connect only what next neighbours at every depth and a leading row find;
+    its other pairs are looked at in blocks (``_met``).
     """
     first, second, equals = [], [], []
 
-    def add(i, j):
+    def candidates(i, j):
         found = rows.equal(i, j)
         at = np.flatnonzero(found >= forest.least_equal)
-        first.append(i[at]), second.append(j[at]), equals.append(found[at])
+        return i[at], j[at], found[at]
 
-    def add_connected(a, b):
-        i, j = np.triu_indices(b - a, 1)
-        found = rows.equal(i + a, j + a)
-        at = np.flatnonzero(found >= forest.least_equal)
-        if not len(at):
-            return
-        i, j, found = i[at], j[at], found[at]
-        label = _labelled(b - a, i, j)
-        ends, other = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
-        order = np.lexsort((-found[other], ends))
-        heads = np.flatnonzero(np.r_[True, np.diff(ends[order]) > 0])
-        rank = np.arange(len(order)) - np.repeat(heads, np.diff(np.r_[heads, len(order)]))
-        near = np.unique(other[order][rank < forest.nearest])
-        star = np.flatnonzero(label != np.arange(b - a))
-        first.extend([i[near] + a, star + a]), second.extend([j[near] + a, label[star] + a])
-        equals.extend([found[near], rows.equal(star + a, label[star] + a)])
+    def add(i, j, found):
+        first.append(i), second.append(j), equals.append(found)
+
+    def add_forest(a, b, i, j, found):
+        kept = _nearest_forest(b - a, i - a, j - a, found)
+        add(i[kept], j[kept], found[kept])
+
+    def seen_of(a, b):
+        """Next neighbours in the order and one row for all, then one part deeper."""
+        stack = [(a, b, forest.first)]
+        for a, b, depth in stack:
+            for o in range(1, min(forest.nearest, b - a - 1) + 1):
+                yield np.arange(a, b - o), np.arange(a + o, b)
+            lead = int(a + np.argmin(rows.ids[a:b]))
+            others = np.setdiff1d(np.arange(a, b), [lead])
+            yield np.full(len(others), lead), others
+            if depth < rows.deepest:
+                stack += [(x, y, depth + 1) for x, y in rows.runs(a, b, depth + 1)]
 
     small = np.zeros(rows.n, dtype=bool)   # row i and row i + 1 lie in one region of few rows
-    stack = [(a, b, forest.first) for a, b in rows.runs(0, rows.n, forest.first)] if rows.n > 1 else []
-    for a, b, depth in stack:
+    for a, b in rows.runs(0, rows.n, forest.first) if rows.n > 1 else []:
         if b - a <= 8:
             small[a:b - 1] = True
         elif b - a <= forest.most:
-            add_connected(a, b)
+            i, j = np.triu_indices(b - a, 1)
+            add_forest(a, b, *candidates(i + a, j + a))
         else:
-            # too many for all pairs: next neighbours in the order and one row for all, then one part deeper
-            for o in range(1, forest.nearest + 1):
-                add(np.arange(a, b - o), np.arange(a + o, b))
-            lead = int(a + np.argmin(rows.ids[a:b]))
-            others = np.setdiff1d(np.arange(a, b), [lead])
-            add(np.full(len(others), lead), others)
-            if depth < rows.deepest:
-                stack += [(x, y, depth + 1) for x, y in rows.runs(a, b, depth + 1)]
+            found = [candidates(i, j) for i, j in seen_of(a, b)]
+            add_forest(a, b, *(np.concatenate(x) for x in zip(*found)))
     together = small.copy()
     for o in range(1, 8):
         i = np.flatnonzero(together[: rows.n - o])
         if len(i):
-            add(i, i + o)
+            add(*candidates(i, i + o))
         together &= np.r_[small[o:], np.zeros(min(o, rows.n), dtype=bool)]
     none = np.empty(0, dtype=np.int64)
     return tuple(np.concatenate(x) if x else none for x in (first, second, equals))
@@ -285,16 +304,16 @@ def _candidates(forest: Forest):
         none = pa.nulls(len(i))
         yield pa.record_batch([pa.array(np.minimum(rows.ids[i], rows.ids[j])), pa.array(np.maximum(rows.ids[i], rows.ids[j])),
                                pa.array(equal.astype("i4")), none.cast(pa.int32()), none.cast(pa.binary()),
-                               none.cast(pa.int64()), none.cast(pa.binary())], names=_FOUND.names)
+                               none.cast(pa.int64())], names=_FOUND.names)
         cuts = np.flatnonzero(np.r_[True, rows.depth < forest.first, True])
         sizes = np.diff(cuts)
         open_ = sizes > forest.most
         open_[[0, -1]] = True
         at = np.flatnonzero(np.repeat(open_, sizes))
-        none, take = pa.nulls(len(at)), pa.array(at)
+        none = pa.nulls(len(at))
         yield pa.record_batch([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()),
-                               pa.array(rows.tree[at].astype("i4")), rows.labels.take(take), pa.array(rows.ids[at]),
-                               rows.sketches.take(take)], names=_FOUND.names)
+                               pa.array(rows.tree[at].astype("i4")), pa.array([r.tobytes() for r in rows.regions[at]], pa.binary()),
+                               pa.array(rows.ids[at])], names=_FOUND.names)
     return search
 
 
@@ -310,63 +329,91 @@ def _unequal(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return out
 
 
-def _met(ids: np.ndarray, sketches: np.ndarray, blocks: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates (a, b, equal) that connect all candidates of one block, or between two, and every row's nearest."""
+def _met(sketches: np.ndarray, component: np.ndarray, blocks: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates (row, row, equal) that connect what candidates connect across components, in one block or between two."""
     two = blocks.min() != blocks.max()
     left = np.flatnonzero(blocks == blocks.min())
     right = np.flatnonzero(blocks == blocks.max())
-    words = np.zeros((len(ids), -(-sketches.shape[1] // 8) * 8), dtype=np.uint8)
+    words = np.zeros((len(sketches), -(-sketches.shape[1] // 8) * 8), dtype=np.uint8)
     words[:, :sketches.shape[1]] = sketches
     words = words.view(np.uint64)
-    label, others = np.arange(len(ids)), words[right]
+    label, others = np.unique(component, return_inverse=True)[1], words[right]
     first, second, equals = [], [], []
     for lo in range(0, len(left), 64):
         part = left[lo:lo + 64]
         equal = forest.hashes - _unequal(words[part], others).astype(np.int32)
-        if not two:
-            equal[part[:, None] == right[None, :]] = -1   # a row and itself
-        for i, row in zip(part[(equal >= forest.least_equal).any(axis=1)].tolist(),
-                          equal[(equal >= forest.least_equal).any(axis=1)]):
-            best = int(row.argmax())
-            ends = [best]
-            met = np.flatnonzero(row >= forest.least_equal)
-            labels = label[right[met]]
-            if (labels != label[i]).any():
-                found, heads = np.unique(labels, return_index=True)
-                ends += met[heads[found != label[i]]].tolist()
+        near = (equal >= forest.least_equal) & (label[part][:, None] != label[right][None, :])
+        for k in np.flatnonzero(near.any(axis=1)).tolist():
+            i, met = int(part[k]), np.flatnonzero(near[k])
+            found, heads = np.unique(label[right[met]], return_index=True)
+            new = found != label[i]      # some are one component by now
+            if new.any():
+                ends = met[heads[new]]
+                first += [i] * len(ends)
+                second += right[ends].tolist()
+                equals += equal[k, ends].tolist()
                 joined = np.r_[found, label[i]]
                 label[np.isin(label, joined)] = joined.min()
-            first += [i] * len(ends)
-            second += right[ends].tolist()
-            equals += row[ends].tolist()
-    a, b = ids[first], ids[second]
-    return np.minimum(a, b), np.maximum(a, b), np.array(equals, dtype="i4")
+    return np.array(first, dtype=np.int64), np.array(second, dtype=np.int64), np.array(equals, dtype="i4")
 
 
-def _pairs(heads: DataFrame, forest: Forest) -> DataFrame:
-    """Distinct candidate pairs (a < b) with their sketch agreement, those of large and cut regions included."""
-    ordered = _sorted_orders(heads, forest).repartitionByRange("tree", "label", "id").sortWithinPartitions("tree", "label", "id")
+def _tasks(rows: DataFrame, group: list[str], block: int) -> DataFrame:
+    """``rows`` (id, component and the columns of ``group``) per task (group, x, y) in which they meet, with their block.
+
+    Groups of one component have no task.  A group of up to ``block`` rows is one.  In a larger one, rows outside the
+    largest component make the blocks 0 .. n - 1, those inside the blocks after them; block x < n meets every y >= x.
+    """
+    sizes = rows.groupBy(*group, "component").agg(F.count("*").alias("n"))
+    whole = sizes.groupBy(*group).agg(F.sum("n").alias("n"), F.max("n").alias("most"),
+                                      F.max_by("component", F.struct("n", "component")).alias("main"))
+    rows = rows.join(whole.where("most < n"), group).withColumns({
+        "outer": F.ceil((F.col("n") - F.col("most")) / block).cast("int"),
+        "inner": F.ceil(F.col("most") / block).cast("int"), "h": F.xxhash64("id")})
+    outside = F.col("component") != F.col("main")
+    zero = F.lit(0)
+    rows = rows.withColumn("block", F.when(F.col("n") <= block, zero).when(outside, F.pmod("h", "outer").cast("int"))
+                           .otherwise(F.col("outer") + F.pmod("h", "inner").cast("int")).cast("int"))
+    ones = F.when(outside, F.transform(F.sequence(F.col("block"), F.col("outer") + F.col("inner") - 1),
+                                       lambda y: F.struct(F.col("block").alias("x"), y.alias("y"))))
+    others = F.when(F.col("block") > 0, F.transform(F.sequence(zero, F.least("block", F.col("outer")) - 1),
+                                                    lambda x: F.struct(x.alias("x"), F.col("block").alias("y"))))
+    none = F.array().cast("array<struct<x:int,y:int>>")
+    task = F.when(F.col("n") <= block, F.array(F.struct(zero.alias("x"), zero.alias("y")))).otherwise(
+        F.concat(F.coalesce(ones, none), F.coalesce(others, none)))
+    return rows.select(*group, "id", "component", "block", F.explode(task).alias("task")).select(
+        *group, "id", "component", "block", "task.x", "task.y")
+
+
+def _pairs(heads: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a < b) with their sketch agreement, and the cluster of every class that has one."""
+    spark = heads.sparkSession
+    rows = heads.count() * forest.trees
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // _RANGE_ROWS))
+    ordered = (_sorted_orders(heads, forest).repartitionByRange(ranges, "tree", "label", "id")
+               .sortWithinPartitions("tree", "label", "id"))
     found = stored(ordered.mapInArrow(_candidates(forest), _FOUND), "candidates")
+    near = stored(found.where("a is not null").groupBy("a", "b").agg(F.max("equal").alias("equal")), "near")
+    placed = stored(components(near).select(F.col("node").alias("id"), "component"), "connected")
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint8).reshape(table.num_rows, -1)
-        a, b, equal = _met(table.column("id").to_numpy(), sketches, table.column("block").to_numpy(), forest)
-        return pa.table({"a": a, "b": b, "equal": equal})
-
-    region = F.expr(f"substring(label, 1, {4 * forest.first})").alias("region")
-    rows = found.where("id is not null").select("tree", region, "id", "sketch")
-    # at most two regions of every range, and one in ``most`` rows
-    open_ = rows.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(F.broadcast(open_), ["tree", "region"]).withColumn("blocks", F.ceil(F.col("n") / forest.most).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                        lambda z: F.struct(F.least("block", z).alias("x"), F.greatest("block", z).alias("y")))
-    rows = rows.select("tree", "region", "id", "sketch", "block", F.explode(tasks).alias("task"))
-    met = (rows.select("tree", "region", "id", "sketch", "block", "task.x", "task.y").groupBy("tree", "region", "x", "y")
-           .applyInArrow(meet, "a long, b long, equal int"))
-    return (found.where("a is not null").select("a", "b", "equal").union(met).where("a <> b")
-            .groupBy("a", "b").agg(F.max("equal").alias("equal")))
+        ids, component, block = (table.column(c).to_numpy() for c in ("id", "component", "block"))
+        i, j, equal = _met(sketches, component, block, forest)
+        i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+        return pa.table({"a": ids[i], "b": ids[j], "equal": equal, "of_a": component[i], "of_b": component[j]})
+
+    rows = (found.where("id is not null").select("tree", "region", "id").join(placed, "id", "left")
+            .withColumn("component", F.coalesce("component", "id")))
+    tasks = _tasks(stored(rows, "open-regions"), ["tree", "region"], forest.most)
+    met = stored(tasks.join(heads.select("id", "sketch"), "id").groupBy("tree", "region", "x", "y")
+                 .applyInArrow(meet, "a long, b long, equal int, of_a long, of_b long").distinct(), "met")
+    joined = components(met.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).select(
+        F.col("node").alias("component"), F.col("component").alias("joined"))
+    single = met.select(F.col("a").alias("id"), F.col("of_a").alias("component")).union(met.select("b", "of_b")).where("id = component")
+    clusters = (placed.union(single).distinct().join(joined, "component", "left")
+                .select("id", F.coalesce("joined", "component").alias("cluster")))
+    return near.union(met.select("a", "b", "equal")), clusters
 
 
 def _similar(common, one, two, percent: int):
@@ -462,33 +509,6 @@ def _closed(batches):
     return (b for b in batches if b.num_rows)
 
 
-def _tasks(members: DataFrame, forest: Forest) -> DataFrame:
-    """Copies of the members of unsettled clusters per task (cluster, x, y), each with its own block.
-
-    A cluster of up to ``block`` classes is one task.  In a larger one, classes outside the largest component make
-    the blocks 0 .. n - 1, those inside the blocks after them; block x < n meets every block y >= x.
-    """
-    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
-    whole = sizes.groupBy("cluster").agg(F.sum("n").alias("n"), F.max("n").alias("most"),
-                                         F.max_by("component", F.struct("n", "component")).alias("main"))
-    open_ = whole.where("most < n")
-    rows = members.join(open_, "cluster")
-    small = rows.where(F.col("n") <= forest.block).select("id", "text", "component", "cluster", F.lit(0).alias("block"),
-                                                           F.lit(0).alias("x"), F.lit(0).alias("y"))
-    big = rows.where(F.col("n") > forest.block).withColumns({
-        "outer": F.ceil((F.col("n") - F.col("most")) / forest.block).cast("int"),
-        "inner": F.ceil(F.col("most") / forest.block).cast("int"), "h": F.xxhash64("id")})
-    outside = F.col("component") != F.col("main")
-    big = big.withColumn("block", F.when(outside, F.pmod("h", "outer")).otherwise(F.col("outer") + F.pmod("h", "inner")).cast("int"))
-    ones = F.when(outside, F.transform(F.sequence(F.col("block"), F.col("outer") + F.col("inner") - 1),
-                                       lambda y: F.struct(F.col("block").alias("x"), y.alias("y"))))
-    others = F.when(F.col("block") > 0, F.transform(F.sequence(F.lit(0), F.least("block", F.col("outer")) - 1),
-                                                    lambda x: F.struct(x.alias("x"), F.col("block").alias("y"))))
-    none = F.array().cast("array<struct<x:int,y:int>>")
-    big = big.withColumn("task", F.explode(F.concat(F.coalesce(ones, none), F.coalesce(others, none))))
-    return small.union(big.select("id", "text", "component", "cluster", "block", "task.x", "task.y"))
-
-
 def near_duplicates(docs: DataFrame, forest: Forest = Forest(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row."""
     rows = stored(signed(docs, forest, doc_id, text), "signatures")
@@ -497,8 +517,8 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest(), doc_id: str = "d
                                                  F.first("sketch").alias("sketch")), "classes")
     named = stored(rows.select("doc_id", "n_shingles", "class_key").join(heads.select("class_key", "id"), "class_key", "left")
                    .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("id")), "named")
-    pairs = stored(_pairs(heads, forest), "pairs")
-    clusters = stored(components(pairs).select(F.col("node").alias("id"), F.col("component").alias("cluster")), "clusters")
+    pairs, clusters = _pairs(heads, forest)
+    clusters = stored(clusters, "clusters")
     large = clusters.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > forest.block).select("cluster")
     members = stored(docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
                      .join(clusters, "id"), "members")
@@ -509,20 +529,21 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest(), doc_id: str = "d
     shared = named.join(shared, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
 
     # three near neighbours of every class of a large cluster: the nearest, and two of the very near ones
-    inside = clusters.join(large, "cluster").select(F.col("id").alias("a"))
-    ends = pairs.join(inside, "a", "left_semi")
+    inside = stored(clusters.join(large, "cluster").select("id"), "in-large-clusters")
+    ends = pairs.join(inside.select(F.col("id").alias("a")), "a", "left_semi")
     ends = ends.select(F.col("a").alias("id"), "a", "b", "equal").union(ends.select(F.col("b").alias("id"), "a", "b", "equal"))
     near = F.col("equal") >= int(0.85 * forest.hashes)
     order = [F.struct("equal", "a", "b"), *[F.struct(near, F.xxhash64("a", "b", F.lit(k)), "a", "b") for k in (1, 2)]]
     picks = ends.groupBy("id").agg(*[F.max_by(F.struct("a", "b"), o).alias(f"p{k}") for k, o in enumerate(order)])
     picks = picks.select(F.explode(F.array("p0", "p1", "p2")).alias("p")).select("p.a", "p.b").distinct()
-    links = stored(_confirmed(picks, members.join(large, "cluster", "left_semi"), forest).union(shared), "links")
+    links = stored(_confirmed(picks, members.join(inside, "id", "left_semi"), forest).union(shared), "links")
 
     groups = components(links)
-    placed = members.join(groups, members.id == groups.node, "left").select(
-        "id", "text", "cluster", F.coalesce("component", "id").alias("component"))
-    tasks = (_tasks(stored(placed, "placed"), forest).repartition("cluster", "x", "y")
-             .sortWithinPartitions("cluster", "x", "y"))
+    placed = clusters.join(groups, clusters.id == groups.node, "left").select(
+        "id", "cluster", F.coalesce("component", "id").alias("component"))
+    # blocks are dealt before the texts travel, so a large cluster is many groups from there on
+    tasks = (_tasks(stored(placed, "placed"), ["cluster"], forest.block).join(members.select("id", "text"), "id")
+             .repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y"))
     more = stored(tasks.select("text", "component", "cluster", "block", "x", "y").mapInArrow(_settle(forest), "a long, b long"),
                   "links")
     # ``more`` joins components of ``groups``
