@@ -5,16 +5,16 @@ documents in both formats.  Every reader returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from replenix import DEFAULT_PERIOD, schemas
 from replenix.functions.exprs import file_stem, parent_folder
 from replenix.session import scratch_path
+from replenix.sinks.writers import remove_folder
+from replenix.sources import json_split
 
-CORRUPT = "_corrupt_record"
+CORRUPT = json_split.CORRUPT
 
 # fixed values: accepted input extensions (matched case-insensitively)
 EXTENSIONS = (".json", ".csv", ".parquet")
@@ -60,13 +60,19 @@ def store_of(path, date_pattern: str = DATE_FOLDER) -> Column:
     return F.when(below.contains("/"), first).otherwise(file_stem(path))
 
 
+# a longer line is not read as one: its file is cut by its brackets (json_split)
+LONGEST_LINE = 64 << 20
+
+
 def _lines(spark: SparkSession, roots: list[str], ext: str) -> DataFrame:
-    """Non-blank text lines of the files: value, path, and ``at``, which orders them within a file."""
-    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob_any_case(ext)).text(roots))
+    """Text lines of the files: value (trimmed), path, octets with the line end, and ``at``, which orders them within
+    a file.  Lines beyond ``LONGEST_LINE`` are left out."""
+    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob_any_case(ext))
+            .option("lineSep", "\n").option("mapreduce.input.linerecordreader.line.maxlength", LONGEST_LINE).text(roots))
     return text.select(
-        F.trim("value").alias("value"), F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")
-    ).where(F.length("value") > 0)
+        F.btrim("value", F.lit(" \t\r")).alias("value"), F.col("_metadata.file_path").alias("path"),
+        (F.octet_length("value") + 1).cast("long").alias("octets"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
 
 
 def _complete(value) -> Column:
@@ -76,9 +82,11 @@ def _complete(value) -> Column:
 
 
 def _heads(lines: DataFrame) -> DataFrame:
-    """One row per file: path, its first line, how many lines, how many of them complete JSON values."""
-    return lines.groupBy("path").agg(F.min_by("value", "at").alias("first"), F.count(F.lit(1)).alias("n"),
-                                     F.count_if(_complete("value")).alias("n_complete"))
+    """One row per file: path, its first line, how many lines, how many of them complete JSON values, its octets."""
+    some = F.length("value") > 0
+    return lines.groupBy("path").agg(F.min_by("value", F.when(some, F.col("at"))).alias("first"),
+                                     F.min(F.when(some, F.col("at"))).alias("first_at"), F.count_if(some).alias("n"),
+                                     F.count_if(_complete("value")).alias("n_complete"), F.sum("octets").alias("octets"))
 
 
 def _is_document() -> Column:
@@ -89,9 +97,34 @@ def _is_document() -> Column:
             | (first.startswith("{") & (F.col("n_complete") == 0) & (F.col("n") > 1)))
 
 
-def _paths(rows) -> list[str]:
-    """Paths as a reader takes them (file metadata gives them URL-encoded)."""
-    return [unquote(r) for r in rows]
+def _json_kinds(spark: SparkSession, roots: list[str], ext: str) -> DataFrame:
+    """Per file: path, and whether it is one document: by its lines, or because one of them is too long to be read (the
+    lines that were read do not make up the file; a byte order mark is no part of them)."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob_any_case(ext))
+              .load(roots).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+              .where("size > 0"))
+    whole = (F.coalesce("octets", F.lit(0)) - F.col("size")).isin(0, 1, -3, -2)
+    return listed.join(_heads(_lines(spark, roots, ext)), "path", "left").select(
+        "path", (~whole | F.coalesce(_is_document(), F.lit(False))).alias("document"))
+
+
+def _json_by_content(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str, staging: str) -> DataFrame:
+    """Array files and JSON Lines files side by side, told apart per file by a table (path, kind) that meets the lines:
+    no file name goes through the driver, and no record of a JSON Lines file is lost to an array reader."""
+    kinds = _written(_json_kinds(spark, roots, ext), f"{staging}/kinds")
+    lines = _lines(spark, roots, ext).where(F.length("value") > 0).join(kinds.where("not document"), "path")
+    value = F.col("value")
+    elements = F.when(value.startswith("["), F.from_json("value", "array<string>"))
+    records = lines.select(F.col("path").alias("_path"), F.explode(F.coalesce(elements, F.array("value"))).alias("record"))
+    if not kinds.where("document").isEmpty():
+        documents = json_split.json_records(spark, roots, glob_any_case(ext), kinds.where("document"), f"{staging}/documents")
+        records = records.union(documents.select("path", "record"))
+    return json_split.parsed(records, schema)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _reader(spark: SparkSession, schema: T.StructType):
@@ -103,45 +136,48 @@ def _with_path(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name) for f in schema.fields], CORRUPT, F.col("_metadata.file_path").alias("_path"))
 
 
-def _json_by_content(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str) -> DataFrame:
-    """Array files and JSON Lines files side by side, each read in its own way: no record of a JSON
-    Lines file is lost to the array reader.  The file names come to the driver, as they do for any read."""
-    heads = _heads(_lines(spark, roots, ext)).select("path", _is_document().alias("document")).collect()
-    parts = []
-    for document in (True, False):
-        paths = _paths(sorted(r["path"] for r in heads if r["document"] == document))
-        if paths:
-            parts.append(_with_path(_reader(spark, schema).option("multiLine", document).json(paths), schema))
-    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else _nothing(spark, schema)
-
-
 def _nothing(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType()),
                                                                    T.StructField("_path", T.StringType())]))
 
 
-def _csv_by_header(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str) -> DataFrame:
-    """CSV files whose header names the columns, in any order and with further ones; a file that lacks a
-    declared column has all its lines rejected.  Files are read together per distinct header."""
-    heads = _heads(_lines(spark, roots, ext)).select("path", "first").collect()
-    declared = {f.name: f for f in schema.fields}
-    parts = []
-    for header in sorted({r["first"] for r in heads}):
-        names = [n.strip().strip('"').lstrip("\ufeff") for n in header.split(",")]
-        paths = _paths(sorted(r["path"] for r in heads if r["first"] == header))
-        if set(declared) <= set(names):
-            own = T.StructType([declared.get(n) or T.StructField(f"_further_{k}", T.StringType())
-                                for k, n in enumerate(names)])
-            read = _reader(spark, own).option("header", True).option("columnPruning", False).csv(paths)
-            parts.append(_with_path(read, schema))
-        else:
-            text = spark.read.text(paths).where(F.length(F.trim("value")) > 0)
-            parts.append(text.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
-                                     F.col("value").alias(CORRUPT), F.col("_metadata.file_path").alias("_path")))
-    out = parts[0] if parts else _nothing(spark, schema)
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+_END = "\x01"   # put behind a CSV line, so that its place tells how many values the line has
+
+
+def _values(line, width: int) -> tuple[Column, Column]:
+    """(values of a CSV line, how many; below 0 where the line does not end as it should)."""
+    names = [f"c{k}" for k in range(width + 1)]
+    row = F.from_csv(F.concat(line, F.lit("," + _END)), ", ".join(f"{n} string" for n in names))
+    values = F.array(*[row[n] for n in names])
+    return values, F.array_position(values, _END) - 1
+
+
+def _csv_by_header(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str, staging: str) -> DataFrame:
+    """CSV files whose header names the columns, in any order and with further ones: a table (path, header) meets the
+    lines, and every line is read by the places that its file's header gives.  Lines with more or fewer values than the
+    header, values that are not of their type, and all lines of a file that lacks a declared column are rejected."""
+    lines = _lines(spark, roots, ext).where(F.length("value") > 0)
+    heads = _written(_heads(lines).select("path", "first", "first_at"), f"{staging}/heads")
+    width = heads.agg(F.max(F.size(F.split("first", ",")))).first()[0] or 1   # of the widest header
+    header, n = _values(F.col("first"), width)
+    names = F.transform(F.slice(header, 1, F.greatest(n, F.lit(0)).cast("int")), lambda v: F.btrim(v, F.lit(" \ufeff")))
+    absent = F.array_except(F.array(*[F.lit(f.name) for f in schema.fields]), "_names")
+    files = heads.select("path", "first_at", names.alias("_names")).withColumn("_lacks", F.size(absent) > 0)
+    values, n = _values(F.col("value"), width)
+    rows = (lines.join(files, "path").where("at <> first_at or _lacks")
+            .select("path", "value", "_names", "_lacks", values.alias("_values"), n.alias("_n")))
+
+    def text(name: str) -> Column:
+        return F.when(F.array_contains("_names", name), F.get("_values", (F.array_position("_names", name) - 1).cast("int")))
+
+    rows = rows.select("path", "value", *[text(f.name).alias(f.name) for f in schema.fields],
+                       ((F.col("_n") == F.size("_names")) & ~F.col("_lacks")).alias("_whole"))
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    right = F.col("_whole")
+    for name, value in typed.items():
+        right = right & (F.col(name).isNull() | value.isNotNull())
+    return rows.select(*[v.alias(n) for n, v in typed.items()], F.when(~right, F.col("value")).alias(CORRUPT),
+                       F.col("path").alias("_path"))
 
 
 def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.StructType, fmt: str = "json",
@@ -154,9 +190,9 @@ def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.Struc
     do not parse, and records of files without a date folder, go to ``rejects`` with their file instead
     of failing the run or vanishing.
 
-    JSON files are read as their content asks (``multi_line`` None): an array or one pretty-printed
-    object per file, or JSON Lines; True or False skips that look.  CSV columns are found by header
-    name.  Parquet files need no rejects.
+    JSON files are read as their content asks (``multi_line`` None): documents (an array, or one
+    pretty-printed object) in byte ranges, JSON Lines line by line; True or False skips that look.  CSV
+    columns are found by header name.  Parquet files need no rejects.
 
     The files are parsed once and the parse is staged as a Parquet table in the shared checkpoint
     folder (``staging``; compressed and columnar, unlike an RDD checkpoint): rows and rejects are two
@@ -165,25 +201,27 @@ def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.Struc
     """
     roots = [root] if isinstance(root, str) else list(root)
     suffix = ext or "." + fmt
+    staged = staging or scratch_path(spark, "ingest")
+    look = staged.rstrip("/") + "-look"   # tables (path, layout) of the files, and pieces of documents
     if fmt not in ("json", "csv", "parquet"):
         raise ValueError(f"unsupported input format: {fmt}")
     if not roots:
         df = _nothing(spark, schema)
     elif fmt == "json" and multi_line is None:
-        df = _json_by_content(spark, roots, schema, suffix)
+        df = _json_by_content(spark, roots, schema, suffix, f"{look}/json")
     elif fmt == "json":
         df = _with_path(_reader(spark, schema).option("recursiveFileLookup", True)
                         .option("pathGlobFilter", glob_any_case(suffix)).option("multiLine", multi_line).json(roots), schema)
     elif fmt == "csv":
-        df = _csv_by_header(spark, roots, schema, suffix)
+        df = _csv_by_header(spark, roots, schema, suffix, f"{look}/csv")
     else:
         read = (spark.read.schema(schema).option("recursiveFileLookup", True)
                 .option("pathGlobFilter", glob_any_case(suffix)).parquet(*roots))
         df = _with_path(read.withColumn(CORRUPT, F.lit(None).cast("string")), schema)
     df = df.select(*[f.name for f in schema.fields], CORRUPT,
                    F.regexp_extract("_path", date_pattern, 1).alias(period), file_stem("_path").alias("source_file"))
-    staged = staging or scratch_path(spark, "ingest")
     df.write.mode("overwrite").parquet(staged)
+    remove_folder(spark, look)
     df = spark.read.schema(df.schema).parquet(staged)
     dated = F.col(period) != ""
     good = df.where(F.col(CORRUPT).isNull() & dated).drop(CORRUPT)
@@ -317,7 +355,7 @@ def split_order_documents(spark: SparkSession, path: str, doc_schema: T.StructTy
     lines is put together again per file.  Text that is none of them goes to ``rejects`` (date_folder,
     file_stem, record).
     """
-    lines = _lines(spark, [path], ".json")
+    lines = _lines(spark, [path], ".json").where(F.length("value") > 0)
     kinds = _heads(lines).select("path", _is_document().alias("document"))
     lines = lines.join(kinds, "path")
     whole = (lines.where("document").groupBy("path")
