@@ -79,3 +79,29 @@ def missing_keys(json_text, required: list[str]) -> Column:
     keys = F.json_object_keys(col(json_text))
     req = F.array(*[F.lit(k) for k in sorted(required)])
     return F.array_join(F.array_sort(F.array_except(req, F.coalesce(keys, F.array()))), ",")
+
+
+def round_half_even(x, digits: int = 2) -> Column:
+    """A DOUBLE rounded to ``digits`` (0 to 3) as its exact binary value asks, ties to the even digit; the result is the
+    double nearest to the rounded decimal.
+
+    The fraction is a whole number of 2^-63 parts, except in values too small to round to anything but zero; it is
+    multiplied in two halves, so every comparison is one of whole numbers below 2^63.
+    """
+    x, scale, half = col(x).cast("double"), 10 ** digits, 1 << 31
+    size = F.abs(x)
+    whole = F.floor(size)
+    n = F.floor((size - whole) * F.lit(2.0 ** 63))
+    low = n.bitwiseAND(F.lit(half - 1)) * F.lit(scale)
+    high = F.shiftright(n, 31) * F.lit(scale) + F.shiftright(low, 31)
+    digit = F.shiftright(high, 32)
+    rest = F.shiftleft(high.bitwiseAND(F.lit(2 * half - 1)), 31) + low.bitwiseAND(F.lit(half - 1))
+    tie = F.lit(1 << 62)
+    up = (rest > tie) | ((rest == tie) & (digit % 2 == 1))
+    if digits == 0:
+        up = (rest > tie) | ((rest == tie) & (whole % 2 == 1))
+    total = (whole * F.lit(scale) + digit + up.cast("long")).cast("decimal(20,0)")
+    value = F.when(size < F.lit(0.4 / scale), F.lit(0.0)).otherwise((total / F.lit(scale).cast("decimal(5,0)")).cast("double"))
+    signed = F.when(x < 0, -value).otherwise(value)
+    # from 2^52 on a double has no fraction
+    return F.when(x.isNull() | F.isnan(x) | (size >= F.lit(2.0 ** 52)) | (x == 0), x).otherwise(signed)

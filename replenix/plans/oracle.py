@@ -444,6 +444,65 @@ FROM years y JOIN ({BODIES['run_metrics']}) m ON m.exec_year = y.exec_year
 JOIN ({BODIES['qc_report_summary']}) r ON r.exec_year = y.exec_year"""
 
 
+q("scan_orders_json_split", FEED)
+q("snapshot_publish", """
+SELECT * FROM (
+  SELECT CAST(version AS INTEGER) AS version, 'demand' AS table_name, exec_year, COUNT(*) AS row_count,
+         CAST(SUM(total_demand + CASE WHEN version = 2 AND exec_year = newest THEN 1 ELSE 0 END) AS BIGINT) AS total_demand
+  FROM demand, (SELECT MAX(exec_year) AS newest FROM demand), (VALUES (1), (2)) v(version) GROUP BY version, exec_year
+  UNION ALL
+  SELECT CAST(version AS INTEGER), 'net_demand', exec_year, COUNT(*),
+         CAST(SUM(total_demand + CASE WHEN version = 2 AND exec_year = newest THEN 1 ELSE 0 END) AS BIGINT)
+  FROM net, (SELECT MAX(exec_year) AS newest FROM demand), (VALUES (1), (2)) v(version) GROUP BY version, exec_year) x""")
+
+
+def _row_text(*columns: str) -> str:
+    return "concat_ws('|', " + ", ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in sorted(columns)) + ")"
+
+
+def _digest(table: str, name: str, *columns: str) -> str:
+    sums = ", ".join(f"CAST(SUM(CAST('0x' || substr(h, {1 + 8 * k}, 8) AS BIGINT)) AS VARCHAR)" for k in range(4))
+    return (f"SELECT '{name}' AS table_name, exec_year, COUNT(*) AS row_count, concat_ws('-', {sums}) AS digest "
+            f"FROM (SELECT exec_year, md5({_row_text(*columns)}) AS h FROM {table}) d GROUP BY exec_year")
+
+
+q("archive_digest", _digest("demand", "aggregated_orders", "sku", "total_demand") + " UNION ALL " + _digest(
+    "(SELECT * REPLACE (CAST(unit_cost AS DECIMAL(10,2)) AS unit_cost) FROM net)", "net_demand", "sku", "supplier_id",
+    "total_demand", "raw_demand", "final_order_qty", "unit_cost", "safety_stock"))
+q("audited_master_load", """
+SELECT sku, supplier_id, 'published' AS rule FROM product_suppliers
+WHERE priority IS NOT NULL AND sku IN (SELECT sku FROM products) AND supplier_id IN (SELECT supplier_id FROM suppliers)
+UNION ALL
+SELECT sku, supplier_id, 'duplicate_key' FROM product_suppliers WHERE sku % 50 = 0
+UNION ALL
+SELECT sku, supplier_id, rule FROM (
+  SELECT sku, supplier_id, 'null' AS rule FROM product_suppliers WHERE priority IS NULL
+  UNION ALL SELECT sku, supplier_id, 'unknown_product' FROM product_suppliers WHERE sku NOT IN (SELECT sku FROM products)
+  UNION ALL SELECT sku, supplier_id, 'unknown_supplier' FROM product_suppliers
+            WHERE supplier_id NOT IN (SELECT supplier_id FROM suppliers)) f,
+  (VALUES (1), (2)) copies(k) WHERE k = 1 OR sku % 50 = 0""")
+q("net_demand_incremental", "SELECT * FROM net")
+
+
+def _half_even(x: str, digits: int) -> str:
+    """By whole numbers of any size: the value in parts of 2^-63, and the remainder of its division."""
+    scale, part = 10 ** digits, "9223372036854775808"
+    whole = f"CAST(floor({x}) AS HUGEINT)"
+    n = f"({whole} * {part} + CAST(({x} - floor({x})) * {part}.0 AS HUGEINT)) * {scale}"
+    return (f"CAST((({n}) // {part} + CASE WHEN 2 * (({n}) % {part}) > {part} OR (2 * (({n}) % {part}) = {part} AND "
+            f"(({n}) // {part}) % 2 = 1) THEN 1 ELSE 0 END) AS DOUBLE) / {scale}")
+
+
+q("round_half_even", f"""
+SELECT l_orderkey, l_linenumber, {_half_even('x', 2)} AS charge, {_half_even('(x / 8)', 0)} AS eighth
+FROM (SELECT l_orderkey, l_linenumber,
+             CAST(l_extendedprice AS DOUBLE) * (1 - CAST(l_discount AS DOUBLE)) * (1 + CAST(l_tax AS DOUBLE)) AS x FROM lineitem) p""")
+q("stream_latest_per_sku", BODIES["latest_per_sku"])
+q("dropped_skus_bloom", BODIES["dropped_skus"])
+q("bucketed_order_lines", "SELECT order_id, store_id, sku, quantity, exec_year FROM pos")
+
+
 def oracle_sql() -> dict[str, str]:
     return ({k: PRELUDE + (QC if k in QC_KEYS else "") + v for k, v in BODIES.items()}
             | {"daily_run": _daily_run()})

@@ -26,8 +26,8 @@ from replenix.operators import orders as ords
 from replenix.operators import quality as qc
 from replenix.operators import suppliers as sup
 from replenix.session import scratch_path
-from replenix.sinks import catalog, writers
-from replenix.sources import files
+from replenix.sinks import catalog, digest, snapshots, writers
+from replenix.sources import files, json_split
 
 P = "exec_date"
 
@@ -49,6 +49,7 @@ class Config:
     orders_ext: str = ".json"
     archive_base: str | None = None      # where the run's tables are copied to and compared; None: no archive
     table_suffix: str | None = None      # registers the four tables under this suffix; None: not registered
+    snapshot_base: str | None = None     # where the run's four tables are published in one step; None: not published
     orders_multi_line: bool | None = None   # None: arrays and JSON Lines told by content; else one way for all files
 
 
@@ -165,10 +166,9 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
         raw = spark.read.text(cfg.products_json).where(F.length(F.trim("value")) > 0)
         pdocs = raw.select(F.get_json_object("value", "$.sku").alias("sku"), "value")
     elif cfg.products_json:
-        # a single JSON array (the master export): each element kept as its own JSON text
-        raw = spark.read.text(cfg.products_json, wholetext=True)
-        pdocs = (raw.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
-                 .select(F.get_json_object("value", "$.sku").alias("sku"), "value"))
+        # a single JSON array (the master export), read in byte ranges: each element as its own JSON text
+        records = json_split.json_records(spark, cfg.products_json, staging=f"{scratch}/products")
+        pdocs = records.select(F.get_json_object("record", "$.sku").alias("sku"), F.col("record").alias("value"))
     else:
         pdocs = qc.product_documents(products.drop("supplier_id"), preferred)
     # the orders' store / SKU rollup feeds checks 1 and 4 of both the counts and the
@@ -191,6 +191,8 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
     audit = writers.partition_audit(spark, {"aggregated_orders": demand, "net_demand": net}, P)
     if cfg.table_suffix is not None:
         catalog.ensure_tables(spark, base, {n: _period_last(df) for n, df in written.items()}, P, cfg.table_suffix)
+    if cfg.snapshot_base:   # readers of the versions see the whole run or nothing of it
+        snapshots.publish(spark, cfg.snapshot_base, written, P, dates)
     archived = _archived(spark, cfg, base, written, dates) if cfg.archive_base else _periods(spark, dates).withColumn(
         "archived_rows", F.lit(0).cast("long"))
     metrics = _metrics(spark, dates, ingested, demand, lines, net, archived)
@@ -217,7 +219,7 @@ def _period_last(df: DataFrame):
 
 
 def _archived(spark: SparkSession, cfg: Config, base: str, written: dict, dates: list[str]) -> DataFrame:
-    """Copies the dates of the four tables and compares rows per table and date (K9) -> date, archived_rows.
+    """Copies the dates of the four tables and compares contents per table and date (K9) -> date, archived_rows.
 
     A copy that differs stops the run."""
     folders = {name: folder for (_, name), folder in catalog.TABLES.items()}
@@ -226,10 +228,10 @@ def _archived(spark: SparkSession, cfg: Config, base: str, written: dict, dates:
         target = f"{cfg.archive_base.rstrip('/')}/{folders[name]}"
         writers.write_partitioned(df, target, P, touched=dates)
         copies[name] = _read(spark, target, dates, df)
-    here, there = (writers.partition_audit(spark, t, P).select("table_name", P, "row_count") for t in (written, copies))
-    differ = here.exceptAll(there).union(there.exceptAll(here))
+    differ = digest.differences(written, copies, P)
     if not differ.isEmpty():
         raise RuntimeError(f"archive differs: {differ.first()}")
+    there = writers.partition_audit(spark, copies, P)
     return there.groupBy(P).agg(F.sum("row_count").alias("archived_rows"))
 
 

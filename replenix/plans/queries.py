@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replenix import schemas
-from replenix.functions.exprs import plus_days_text
+from replenix.functions.exprs import plus_days_text, round_half_even as half_even
+from replenix.operators import audit, bloom, incremental
 from replenix.operators import demand as dem
 from replenix.operators import master as mst
 from replenix.operators import mrp
@@ -20,10 +21,11 @@ from replenix.operators import quality as qc
 from replenix.operators import reports as rep
 from replenix.operators import suppliers as sup
 from replenix.session import checkpoint_root, scratch_path
-from replenix.sinks import catalog, writers
-from replenix.sources import files
+from replenix.sinks import catalog, digest, snapshots, writers
+from replenix.sources import files, json_split
 from replenix.streaming import ingest as stream_ingest
-from replenix.plans.adapters import PERIOD as P, POS_YEAR, expected_stores
+from replenix.streaming import latest as stream_latest
+from replenix.plans.adapters import PERIOD as P, POS_YEAR, STORE_COUNT, expected_stores
 from replenix.plans.views import Views
 
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {}
@@ -582,5 +584,152 @@ def pipeline_freshness(v: Views) -> DataFrame:
     return rep.table_maxima(back, P).withColumn("status", fresh.select("status").scalar())
 
 
+@query("scan_orders_json_split")
+def scan_orders_json_split(v: Views) -> DataFrame:
+    """S1 over one array file per period and store, indented as exports are, read in byte ranges."""
+    path = scratch_path(v.spark, "array_files")
+    one = F.to_json(F.struct("order_id", "store_id", "sku", "quantity", "timestamp"), {"pretty": "true"})
+    feed = _orders_feed(v).select(F.col(P).cast("string").alias("date"), F.col("store_id").alias("store"), "order_id", one.alias("one"))
+    first = feed.groupBy("date", "store").agg(F.min("order_id").alias("first"))
+    records = feed.join(first, ["date", "store"]).select("date", "store", F.when(F.col("order_id") == F.col("first"), 1).otherwise(2).alias("at"),
+                                                         F.when(F.col("order_id") == F.col("first"), F.col("one"))
+                                                         .otherwise(F.concat(F.lit(","), F.col("one"))).alias("value"))
+    for at, value in ((0, "["), (3, "]")):
+        records = records.unionByName(first.select("date", "store", F.lit(at).alias("at"), F.lit(value).alias("value")))
+    (records.repartition("date", "store").sortWithinPartitions("date", "store", "at").select("date", "store", "value")
+     .write.partitionBy("date", "store").text(path))
+    found = json_split.json_records(v.spark, path).withColumn("date", F.regexp_extract("path", r"/date=(\d+)/", 1)).drop("path")
+    return _feed_result(json_split.parsed(found, schemas.ORDERS), "date")
+
+
+@query("snapshot_publish")
+def snapshot_publish(v: Views) -> DataFrame:
+    """Two tables published together, then the newest period of both again with changed sums: rows and sums of either
+    version, the older one read by its number."""
+    base = scratch_path(v.spark, "published")
+    net = v.net.select("sku", "total_demand", "final_order_qty", P)
+    one = snapshots.publish(v.spark, base, {"demand": v.demand, "net_demand": net}, P)
+    newest = F.col(P) == rep.newest(v.demand, P)
+    two = snapshots.publish(v.spark, base, {
+        "demand": v.demand.where(newest).withColumn("total_demand", F.col("total_demand") + 1),
+        "net_demand": net.where(newest).withColumn("total_demand", F.col("total_demand") + 1)}, P)
+    out = None
+    for seen in (one, two):
+        for name, df in (("demand", v.demand), ("net_demand", net)):
+            back = snapshots.read(v.spark, base, name, df.schema, P, seen.number)
+            part = (back.groupBy(P).agg(F.count(F.lit(1)).alias("row_count"), F.sum("total_demand").alias("total_demand"))
+                    .select(F.lit(seen.number).alias("version"), F.lit(name).alias("table_name"), P, "row_count", "total_demand"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("archive_digest")
+def archive_digest(v: Views) -> DataFrame:
+    """Content digests of the demand and of the net demand (money as exact cents) per period, from written tables."""
+    base = scratch_path(v.spark, "digests")
+    net = v.net.select("sku", "supplier_id", "total_demand", "raw_demand", "final_order_qty",
+                       F.col("unit_cost").cast("decimal(10,2)").alias("unit_cost"), "safety_stock", P)
+    out = None
+    for name, df in (("aggregated_orders", v.demand), ("net_demand", net)):
+        writers.write_partitioned(df, f"{base}/{name}", P)
+        found = digest.content_digest(v.spark.read.parquet(f"{base}/{name}"), P)
+        part = found.select(F.lit(name).alias("table_name"), F.col(P).cast("int").alias(P), "row_count", "digest")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("audited_master_load")
+def audited_master_load(v: Views) -> DataFrame:
+    """A price list whose rows all refer to known products and suppliers is published; the whole list with some rows
+    repeated is refused.  The published rows (rule 'published') and what was found in the refused load."""
+    base = scratch_path(v.spark, "audited")
+    rules = audit.Constraints(["sku", "supplier_id"], ["unit_cost", "priority"],
+                              [("sku", v.products, "unknown_product"), ("supplier_id", v.suppliers, "unknown_supplier")])
+    clean = (v.product_suppliers.where("priority is not null").join(v.products.select("sku"), "sku", "left_semi")
+             .join(v.suppliers.select("supplier_id"), "supplier_id", "left_semi").select(*v.product_suppliers.columns))
+    audit.audited_load(v.spark, base, "product_suppliers", clean, rules, f"{base}-rejects/1")
+    repeated = v.product_suppliers.unionByName(v.product_suppliers.where(F.col("sku") % 50 == 0))
+    _, found = audit.audited_load(v.spark, base, "product_suppliers", repeated, rules, f"{base}-rejects/2")
+    published = audit.read_master(v.spark, base, "product_suppliers", v.product_suppliers.schema)
+    return published.select("sku", "supplier_id", F.lit("published").alias("rule")).unionByName(found.select("sku", "supplier_id", "rule"))
+
+
+@query("net_demand_incremental")
+def net_demand_incremental(v: Views) -> DataFrame:
+    """Net demand kept up to date: the feed first comes without the lines of quantity 13 and with those of 7 as 70, the
+    price list without supplier ids divisible by 5; then the late lines, the corrections and the missing prices arrive."""
+    base = scratch_path(v.spark, "incremental")
+    lines = v.pos_lines.select("sku", "quantity", P)
+    late, wrong = F.col("quantity") == 13, F.col("quantity") == 7
+    first = lines.where(~late).withColumn("quantity", F.when(wrong, 70).otherwise(F.col("quantity")).cast("int"))
+    corrections = lines.where(wrong).withColumn("sign", F.lit(1))
+    changes = (corrections.unionByName(corrections.withColumn("quantity", F.lit(70)).withColumn("sign", F.lit(-1)))
+               .unionByName(lines.where(late).withColumn("sign", F.lit(1))))
+    new_prices = F.col("supplier_id") % 5 == 0
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return v.spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    state = kept(incremental.demand_state(first, P), "demand-0")
+    stock = kept(incremental.stock_state(v.inventory, P), "stock-0")
+    preferred = kept(sup.preferred_suppliers(v.product_suppliers.where(~new_prices)), "preferred-0")
+    as_stock = stock.select(P, "sku", *[F.col(c).cast("int").alias(c) for c in ("available_stock", "reserved_stock")])
+    net = kept(mrp.net_demand(state.drop(incremental.LINES), as_stock, sup.supplier_master(v.products, preferred), P), "net-0")
+
+    change = kept(incremental.demand_state(changes, P, "sign"), "change-1")
+    prices = kept(v.product_suppliers.where(new_prices), "prices-1")
+    state = kept(incremental.merge(state, change, [P, "sku"]), "demand-1")
+    preferred = kept(incremental.merge_preferred(preferred, v.product_suppliers, prices), "preferred-1")
+    groups = incremental.touched(change, columns=[P, "sku"])
+    return incremental.merge_net(net, state, stock, sup.supplier_master(v.products, preferred), groups,
+                                 prices.select("sku").distinct(), P)
+
+
+@query("round_half_even")
+def round_half_even(v: Views) -> DataFrame:
+    """line prices after discount and tax, as doubles, rounded to cents by their exact binary value."""
+    x = F.col("l_extendedprice").cast("double") * (1 - F.col("l_discount").cast("double")) * (1 + F.col("l_tax").cast("double"))
+    return v.table("lineitem").select("l_orderkey", "l_linenumber", half_even(x, 2).alias("charge"), half_even(x / 8, 0).alias("eighth"))
+
+
+@query("stream_latest_per_sku")
+def stream_latest_per_sku(v: Views) -> DataFrame:
+    """A14 as a stream: the net demand arrives in two rounds, the newest periods first; the second round goes on from
+    the checkpoint of the first, and its older rows must not replace newer ones."""
+    base = scratch_path(v.spark, "stream_latest")
+    schema, middle = v.net.schema, F.lit(POS_YEAR)
+    for later in (True, False):
+        v.net.where((F.col(P) >= middle) == later).write.mode("append").parquet(f"{base}/arriving")
+        rows = v.spark.readStream.schema(schema).parquet(f"{base}/arriving")
+        stream_latest.keep_latest(stream_latest.latest_stream(rows, "sku", [P]), f"{base}/latest", f"{base}/checkpoint")
+    return stream_latest.read_latest(v.spark, f"{base}/latest", schema, "sku", [P])
+
+
+@query("dropped_skus_bloom")
+def dropped_skus_bloom(v: Views) -> DataFrame:
+    return bloom.dropped_skus(v.demand, v.stock, v.products, v.preferred, v.suppliers, P)
+
+
+@query("bucketed_order_lines")
+def bucketed_order_lines(v: Views) -> DataFrame:
+    """J4 on a co-located layout: order lines and orders in buckets of the order key, joined without a shuffle."""
+    lines, orders = _bucketed(v, scratch_path(v.spark, "buckets"))
+    return lines.join(orders, "order_key").select("order_id", "store_id", "sku", "quantity", P)
+
+
+def _bucketed(v: Views, base: str, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+    lines = v.table("lineitem").select(
+        F.col("l_orderkey").alias("order_key"),
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_id"),
+        F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("int").alias("quantity"), F.year("l_shipdate").cast("int").alias(P))
+    orders = v.table("orders").select(
+        F.col("o_orderkey").alias("order_key"),
+        F.concat(F.lit("STORE_"), (F.col("o_custkey") % STORE_COUNT).cast("string")).alias("store_id"))
+    suffix = base.rsplit("-", 1)[-1]
+    return tuple(catalog.write_bucketed(df, "layout", f"{name}_{suffix}", f"{base}/{name}", "order_key", buckets)
+                 for name, df in (("lines", lines), ("orders", orders)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}

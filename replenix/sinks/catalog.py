@@ -3,7 +3,7 @@ location, partition discovery, DDL diagnostics.  Plain Spark SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from replenix import DEFAULT_PERIOD
@@ -51,3 +51,15 @@ def ensure_tables(spark: SparkSession, base: str, schemas: dict[str, T.StructTyp
 def repair(spark: SparkSession, database: str, table: str) -> None:
     """Register partition folders written outside the catalog (mode ADD)."""
     spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}`")
+
+
+def write_bucketed(df: DataFrame, database: str, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """An external table in ``buckets`` files groups by the hash of ``key``, sorted by it, replaced whole.
+
+    Tables of as many buckets join and aggregate on the key without a shuffle.  Rows are dealt by the key before the
+    write, so a bucket is one file and not one per task."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+     .format("parquet").saveAsTable(f"{database}.{name}"))
+    return spark.table(f"{database}.{name}")
