@@ -26,10 +26,10 @@ class Bloom:
 
     def may_hold(self, key: str) -> Column:
         """False only for keys that are certainly not among those of the filter; null for a null key."""
-        out = F.col(key).isNotNull() | F.lit(None)
+        out = F.lit(True)
         for place in _places(key, self.bits, self.hashes):
             out = out & (F.get(self.words, _word(place).cast("int")).bitwiseAND(_bit(place)) != 0)
-        return out
+        return F.when(F.col(key).isNotNull(), out)
 
 
 def _places(key: str, bits: int, hashes: int) -> list[Column]:

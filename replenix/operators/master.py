@@ -59,7 +59,7 @@ def orphans(df: DataFrame, refs: list[tuple[str, DataFrame, str]], key: list[str
     ``column`` is not in ``parent`` -> key columns, reason.  A row can fail several references."""
     out = None
     for column, parent, reason in refs:
-        bad = (df.select(*key).join(parent.select(F.col(column)).distinct(), column, "left_anti")
-               .withColumn("reason", F.lit(reason)))
+        bad = (df.select(*dict.fromkeys([*key, column])).join(parent.select(F.col(column)).distinct(), column, "left_anti")
+               .select(*key, F.lit(reason).alias("reason")))
         out = bad if out is None else out.unionByName(bad)
     return out
