@@ -500,6 +500,7 @@ FROM (SELECT l_orderkey, l_linenumber,
              CAST(l_extendedprice AS DOUBLE) * (1 - CAST(l_discount AS DOUBLE)) * (1 + CAST(l_tax AS DOUBLE)) AS x FROM lineitem) p""")
 q("stream_latest_per_sku", BODIES["latest_per_sku"])
 q("dropped_skus_bloom", BODIES["dropped_skus"])
+q("clustered_net_demand", "SELECT * FROM net")
 q("bucketed_order_lines", "SELECT order_id, store_id, sku, quantity, exec_year FROM pos")
 
 

@@ -13,6 +13,7 @@ and read back, which also cuts the lineage between stages.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
@@ -25,6 +26,7 @@ from replenix.operators import mrp
 from replenix.operators import orders as ords
 from replenix.operators import quality as qc
 from replenix.operators import suppliers as sup
+from replenix.plans.steps import Steps
 from replenix.session import scratch_path
 from replenix.sinks import catalog, digest, snapshots, writers
 from replenix.sources import files, json_split
@@ -50,6 +52,8 @@ class Config:
     archive_base: str | None = None      # where the run's tables are copied to and compared; None: no archive
     table_suffix: str | None = None      # registers the four tables under this suffix; None: not registered
     snapshot_base: str | None = None     # where the run's four tables are published in one step; None: not published
+    run_id: str | None = None            # a run started again under its name repeats only what is missing
+    retries: int = 0                     # further attempts of a failing step
     orders_multi_line: bool | None = None   # None: arrays and JSON Lines told by content; else one way for all files
 
 
@@ -66,6 +70,32 @@ def _in(dates: list[str]) -> Column:
     return F.col(P).isin(*dates)
 
 
+def _raw_tables(cfg: Config) -> dict:
+    """name -> (path, schema) of the raw tables."""
+    from pyspark.sql import types as T
+    base, text = cfg.out_base.rstrip("/"), T.StringType()
+    rejects = T.StructType([T.StructField(c, text) for c in (P, "source_file", "record")])
+    return {"orders": (f"{base}/raw/orders", T.StructType([*schemas.ORDERS.fields, T.StructField(P, text)])),
+            "stock": (f"{base}/raw/inventory", T.StructType([*schemas.INVENTORY_TEXT.fields, T.StructField(P, text)])),
+            "rejects": (f"{base}/raw/rejects", rejects)}
+
+
+def ingested(spark: SparkSession, cfg: Config, dates: list[str]) -> dict:
+    """What an ingest of the dates left: its tables, and the listings of its files."""
+    names = [cfg.date_folder.format(d) for d in dates]
+    order_dirs = writers.existing_folders(spark, cfg.orders_root, names)
+    stock_dirs = writers.existing_folders(spark, cfg.stock_root, names)
+    # presence for quality check 1, as files: a store has delivered when a file of its is there (an
+    # empty one still counts), and the date folders that exist (even without files)
+    order_files = (files.list_files(spark, order_dirs, cfg.orders_ext, period=P).where(_in(dates))
+                   .select(P, F.col("store").alias("store_id")).distinct())
+    order_folders = _periods(spark, [d.rstrip("/")[-10:] for d in order_dirs])
+    # a snapshot is present when its file is, even with no row (check 2 and 5)
+    stock_files = files.list_files(spark, stock_dirs, ".csv", period=P).where(_in(dates)).select(P).distinct()
+    tables = {name: _read(spark, path, dates, spark.createDataFrame([], schema)) for name, (path, schema) in _raw_tables(cfg).items()}
+    return {"order_files": order_files, "order_folders": order_folders, "stock_files": stock_files, **tables}
+
+
 def ingest(spark: SparkSession, cfg: Config, dates: list[str], scratch: str) -> dict:
     """Raw files of the dates -> raw/orders, raw/inventory (+ rejects).
 
@@ -79,23 +109,12 @@ def ingest(spark: SparkSession, cfg: Config, dates: list[str], scratch: str) ->
                                              staging=f"{scratch}/orders")
     stock, stock_rejects = files.ingest_directory(spark, stock_dirs, schemas.INVENTORY_TEXT, fmt="csv",
                                                   period=P, staging=f"{scratch}/stock")
-    orders = orders.where(_in(dates))
-    stock = stock.where(_in(dates))
-    base = cfg.out_base.rstrip("/")
-    # presence for quality check 1, as files: a store has delivered when a file of its is there (an
-    # empty one still counts), and the date folders that exist (even without files)
-    order_files = (files.list_files(spark, order_dirs, cfg.orders_ext, period=P).where(_in(dates))
-                   .select(P, F.col("store").alias("store_id")).distinct())
-    order_folders = _periods(spark, [d.rstrip("/")[-10:] for d in order_dirs])
-    # a snapshot is present when its file is, even with no row (check 2 and 5)
-    stock_files = files.list_files(spark, stock_dirs, ".csv", period=P).where(_in(dates)).select(P).distinct()
+    found = {"orders": orders.drop("source_file"), "stock": stock.drop("source_file"), "rejects": rejects.unionByName(stock_rejects)}
     # a read task of the staged parse may hold rows of many dates: rebalanced, so that a date gets files
     # of the advisory size and not one per task
-    return {"order_files": order_files, "order_folders": order_folders, "stock_files": stock_files,
-            "orders": _materialize(orders.drop("source_file"), f"{base}/raw/orders", dates),
-            "stock": _materialize(stock.drop("source_file"), f"{base}/raw/inventory", dates),
-            "rejects": _materialize(rejects.unionByName(stock_rejects).where(_in(dates)),
-                                    f"{base}/raw/rejects", dates)}
+    for name, (path, schema) in _raw_tables(cfg).items():
+        writers.write_partitioned(found[name].where(_in(dates)).select(*schema.names), path, P, touched=dates)
+    return ingested(spark, cfg, dates)
 
 
 def _read(spark: SparkSession, path: str, dates: list[str], like: DataFrame) -> DataFrame:
@@ -131,30 +150,26 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch: str, clock: Column | None
-         ) -> dict[str, DataFrame]:
-    ingested = ingest(spark, cfg, dates, scratch)
-    orders, stock_text = ingested["orders"], ingested["stock"]
+def _new(scratch: str, name: str) -> str:
+    """A folder of its own for every attempt of a step."""
+    return f"{scratch}/{name}-{uuid.uuid4().hex[:8]}"
 
-    # aggregate (A1) -> processed.aggregated_orders, read back for the next stage
-    demand = _materialize(dem.aggregate_demand(orders, P).select("sku", "total_demand", P),
-                          f"{base}/processed/aggregated_orders", dates)
 
-    # net demand (B1) -> processed.net_demand
-    parsed = qc.parsed_inventory(stock_text)
-    stock = dem.inventory_by_sku(parsed.select(P, "sku", F.col("_avail").alias("available_stock"),
-                                               F.col("_resv").alias("reserved_stock")), P)
-    products = mst.apply_defaults(cfg.products, schemas.PRODUCTS, schemas.PRODUCT_DEFAULTS)
-    preferred = sup.preferred_suppliers(cfg.product_suppliers)
-    master = sup.supplier_master(products, preferred)
-    net = _materialize(mrp.net_demand(demand, stock, master, P), f"{base}/processed/net_demand", dates)
+def _step(steps: Steps, name: str, df: DataFrame, path: str, dates: list[str]) -> DataFrame:
+    """A table of the run, written by a step and read back."""
+    return steps.run(name, lambda: _materialize(df, path, dates), lambda: _read(df.sparkSession, path, dates, df))
 
-    # purchase orders (B3): lines, records with order_date = data_date + 1
-    lines = ords.order_lines(net, sup.sku_names(products, preferred, cfg.suppliers), P)
-    docs = ords.order_records(_kept(lines, f"{scratch}/lines"), P, generated_at=clock)
+
+def _export(lines: DataFrame, base: str, scratch: str, dates: list[str], clock: Column | None) -> None:
+    """Purchase orders (B3): records with order_date = data_date + 1."""
+    docs = ords.order_records(_kept(lines, scratch), P, generated_at=clock)
     writers.write_documents(docs, f"{base}/output/supplier_orders", P, touched=dates)
 
-    # quality report
+
+def _quality(spark: SparkSession, cfg: Config, raw: dict, parsed: DataFrame, products: DataFrame, preferred: DataFrame,
+             base: str, scratch: str, dates: list[str], clock: Column | None) -> tuple[DataFrame, DataFrame]:
+    """The quality report (B4): its entries and its summary, written and read back."""
+    orders = raw["orders"]
     periods = _periods(spark, dates)
     expected_skus = (cfg.expected_skus.select(F.col(cfg.expected_skus.columns[0]).cast("string").alias("sku"))
                      if isinstance(cfg.expected_skus, DataFrame)
@@ -163,8 +178,8 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
     if no_products:
         pdocs = spark.createDataFrame([], "sku string, value string")
     elif cfg.products_json and cfg.products_json_lines:
-        raw = spark.read.text(cfg.products_json).where(F.length(F.trim("value")) > 0)
-        pdocs = raw.select(F.get_json_object("value", "$.sku").alias("sku"), "value")
+        product_lines = spark.read.text(cfg.products_json).where(F.length(F.trim("value")) > 0)
+        pdocs = product_lines.select(F.get_json_object("value", "$.sku").alias("sku"), "value")
     elif cfg.products_json:
         # a single JSON array (the master export), read in byte ranges: each element as its own JSON text
         records = json_split.json_records(spark, cfg.products_json, staging=f"{scratch}/products")
@@ -173,18 +188,50 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
         pdocs = qc.product_documents(products.drop("supplier_id"), preferred)
     # the orders' store / SKU rollup feeds checks 1 and 4 of both the counts and the
     # entries: built once, checkpointed in the shared folder, read three times
-    rollup = _kept(qc.orders_rollup(orders, P, stores=ingested["order_files"], folders=ingested["order_folders"]),
+    rollup = _kept(qc.orders_rollup(orders, P, stores=raw["order_files"], folders=raw["order_folders"]),
                    f"{scratch}/rollup")
     counts = _kept(qc.report_counts(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
-                                    cfg.spike_threshold, P, rollup=rollup, snapshots=ingested["stock_files"],
+                                    cfg.spike_threshold, P, rollup=rollup, snapshots=raw["stock_files"],
                                     products_absent=no_products), f"{scratch}/counts")   # one row per date
     details = qc.report_details(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
                                 counts, cfg.spike_threshold, P, clock=clock, rollup=rollup,
-                                snapshots=ingested["stock_files"], products_absent=no_products)
+                                snapshots=raw["stock_files"], products_absent=no_products)
     writers.write_partitioned(details, f"{base}/logs/exceptions", P, fmt="json", touched=dates)
     writers.write_partitioned(qc.report_summary(counts, P), f"{base}/logs/summary", P, fmt="json", touched=dates)
-    details = _written_json(details, f"{base}/logs/exceptions", dates)
-    summary = _written_json(qc.report_summary(counts, P), f"{base}/logs/summary", dates)
+    return _reports(spark, base, dates)
+
+
+def _reports(spark: SparkSession, base: str, dates: list[str]) -> tuple[DataFrame, DataFrame]:
+    return (_written_json(spark, schemas.REPORT_ENTRY, f"{base}/logs/exceptions", dates),
+            _written_json(spark, schemas.REPORT_SUMMARY, f"{base}/logs/summary", dates))
+
+
+def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch: str, clock: Column | None
+         ) -> dict[str, DataFrame]:
+    steps = Steps(spark, base, cfg.run_id, cfg.retries)
+    raw = steps.run("ingest", lambda: ingest(spark, cfg, dates, _new(scratch, "ingest")), lambda: ingested(spark, cfg, dates))
+    orders, stock_text = raw["orders"], raw["stock"]
+
+    # aggregate (A1) -> processed.aggregated_orders, read back for the next stage
+    demand = _step(steps, "aggregate", dem.aggregate_demand(orders, P).select("sku", "total_demand", P),
+                   f"{base}/processed/aggregated_orders", dates)
+
+    # net demand (B1) -> processed.net_demand
+    parsed = qc.parsed_inventory(stock_text)
+    stock = dem.inventory_by_sku(parsed.select(P, "sku", F.col("_avail").alias("available_stock"),
+                                               F.col("_resv").alias("reserved_stock")), P)
+    products = mst.apply_defaults(cfg.products, schemas.PRODUCTS, schemas.PRODUCT_DEFAULTS)
+    preferred = sup.preferred_suppliers(cfg.product_suppliers)
+    master = sup.supplier_master(products, preferred)
+    net = _step(steps, "net_demand", mrp.net_demand(demand, stock, master, P), f"{base}/processed/net_demand", dates)
+
+    # purchase orders (B3) and the quality report (B4) need nothing of one another
+    lines = ords.order_lines(net, sup.sku_names(products, preferred, cfg.suppliers), P)
+    done = steps.side_by_side(
+        export=(lambda: _export(lines, base, _new(scratch, "lines"), dates, clock), lambda: None),
+        quality=(lambda: _quality(spark, cfg, raw, parsed, products, preferred, base, _new(scratch, "quality"), dates, clock),
+                 lambda: _reports(spark, base, dates)))
+    details, summary = done["quality"]
 
     # audit, metrics, run log
     written = {"orders": orders, "inventory": stock_text, "aggregated_orders": demand, "net_demand": net}
@@ -192,25 +239,26 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
     if cfg.table_suffix is not None:
         catalog.ensure_tables(spark, base, {n: _period_last(df) for n, df in written.items()}, P, cfg.table_suffix)
     if cfg.snapshot_base:   # readers of the versions see the whole run or nothing of it
-        snapshots.publish(spark, cfg.snapshot_base, written, P, dates)
-    archived = _archived(spark, cfg, base, written, dates) if cfg.archive_base else _periods(spark, dates).withColumn(
-        "archived_rows", F.lit(0).cast("long"))
-    metrics = _metrics(spark, dates, ingested, demand, lines, net, archived)
+        steps.run("publish", lambda: snapshots.publish(spark, cfg.snapshot_base, written, P, dates))
+    archived = _periods(spark, dates).withColumn("archived_rows", F.lit(0).cast("long"))
+    if cfg.archive_base:
+        archived = steps.run("archive", lambda: _archived(spark, cfg, base, written, dates),
+                             lambda: _archived_rows(spark, cfg, written, dates))
+    metrics = _metrics(spark, dates, raw, demand, lines, net, archived)
     stamp = clock if clock is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     run_row = (metrics.agg(F.count_if(F.col("sku_count") > 0).alias("dates_with_orders"),
                            F.sum("sku_count").alias("sku_count"))
                .select(stamp.alias("run_at"), F.lit(dates[0]).alias("start_date"),
                        F.lit(dates[-1]).alias("end_date"), "dates_with_orders", "sku_count"))
-    writers.append_run_log(spark, f"{base}/run_log", run_row)
-    return {"orders": orders, "rejects": ingested["rejects"], "demand": demand, "net_demand": net, "lines": lines,
+    steps.run("log", lambda: writers.append_run_log(spark, f"{base}/run_log", run_row))
+    return {"orders": orders, "rejects": raw["rejects"], "demand": demand, "net_demand": net, "lines": lines,
             "documents": files.read_order_documents(spark, f"{base}/output/supplier_orders"), "report": details, "summary": summary, "audit": audit, "metrics": metrics}
 
 
-def _written_json(df: DataFrame, path: str, dates: list[str]) -> DataFrame:
+def _written_json(spark: SparkSession, schema, path: str, dates: list[str]) -> DataFrame:
     from pyspark.sql import types as T
-    fields = [f for f in df.schema.fields if f.name != P] + [T.StructField(P, T.StringType())]
-    back = df.sparkSession.read.schema(T.StructType(fields)).json(path).where(_in(dates))
-    return back.select(*df.columns)
+    fields = [f for f in schema.fields if f.name != P] + [T.StructField(P, T.StringType())]
+    return spark.read.schema(T.StructType(fields)).json(path).where(_in(dates)).select(*schema.names)
 
 
 def _period_last(df: DataFrame):
@@ -231,6 +279,12 @@ def _archived(spark: SparkSession, cfg: Config, base: str, written: dict, dates:
     differ = digest.differences(written, copies, P)
     if not differ.isEmpty():
         raise RuntimeError(f"archive differs: {differ.first()}")
+    return _archived_rows(spark, cfg, written, dates)
+
+
+def _archived_rows(spark: SparkSession, cfg: Config, written: dict, dates: list[str]) -> DataFrame:
+    folders = {name: folder for (_, name), folder in catalog.TABLES.items()}
+    copies = {name: _read(spark, f"{cfg.archive_base.rstrip('/')}/{folders[name]}", dates, df) for name, df in written.items()}
     there = writers.partition_audit(spark, copies, P)
     return there.groupBy(P).agg(F.sum("row_count").alias("archived_rows"))
 

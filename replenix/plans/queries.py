@@ -21,7 +21,7 @@ from replenix.operators import quality as qc
 from replenix.operators import reports as rep
 from replenix.operators import suppliers as sup
 from replenix.session import checkpoint_root, scratch_path
-from replenix.sinks import catalog, digest, snapshots, writers
+from replenix.sinks import catalog, digest, layout, snapshots, writers
 from replenix.sources import files, json_split
 from replenix.streaming import ingest as stream_ingest
 from replenix.streaming import latest as stream_latest
@@ -731,5 +731,13 @@ def _bucketed(v: Views, base: str, buckets: int = 16) -> tuple[DataFrame, DataFr
                  for name, df in (("lines", lines), ("orders", orders)))
 
 
+@query("clustered_net_demand")
+def clustered_net_demand(v: Views) -> DataFrame:
+    """The net demand written along a curve over SKU and period, and read back."""
+    path = scratch_path(v.spark, "clustered")
+    layout.write_clustered(v.net, path, ["sku", P], files=8)
+    return v.spark.read.schema(v.net.schema).parquet(path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, _fn=fn: _fn(Views(spark, sf_dir))) for k, fn in QUERIES.items()}

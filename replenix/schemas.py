@@ -54,3 +54,7 @@ ORDER_DOCUMENT = T.StructType([
 ORDER_RECORD = _st(("record", S), ("supplier_id", S), ("supplier_name", S), ("contact_email", S), ("order_date", S),
                    ("data_date", S), ("generated_at", S), ("item_count", L), ("total_estimated_cost", D), ("sku", S),
                    ("product_name", S), ("quantity", I), ("unit_cost", D), ("total_cost", D))
+
+# the quality report as written: its entries, and a summary row per date
+REPORT_ENTRY = _st(("exec_date", S), ("seq", I), ("timestamp", S), ("level", S), ("check", S), ("message", S), ("detail", S))
+REPORT_SUMMARY = _st(("exec_date", S), ("errors", L), ("warnings", L), ("infos", L), ("total", L))
