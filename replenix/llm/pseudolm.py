@@ -1,11 +1,16 @@
 """Operator 4, LM scoring: masked pseudo-likelihood by a bidirectional window network.
 
 Tokens are the words of a text.  The most frequent ones of the corpus (counted over all documents) have a class of
-their own, all others share 64 classes by their ending.  A network of one hidden layer sees two tokens on either
-side and predicts the class of the masked one between them; the word within its class is predicted from the counts
-of all words of the corpus, a written table.  log P(token) = log P(class | sides) + log P(word | class).  It is trained in numpy on the windows of all tokens of all
-documents, each in one of the rounds: each partition trains on its share from the same start, and the weights are
-averaged between rounds.  A document's score is the sum of the conditional log-probabilities of all its tokens.
+their own, as soon as they are counted ``Training.least`` times; all others share 64 classes by their ending.  A
+network of one hidden layer sees two tokens on either side and predicts the class of the masked one between them, in
+two levels: its group of 32 classes, then the class within the group, which gives exact log-probabilities of 1,024
+classes from 64 outputs.  The word within its class is predicted from the counts of all words of the corpus, a written
+table.  log P(token) = log P(class | sides) + log P(word | class).
+
+The network is trained in numpy on the windows of all tokens of all documents, each in one of the rounds.  Documents
+are dealt by a hash into shards of about ``Training.shard`` tokens; every shard is trained on from the same start, and
+the weights are averaged between rounds in order of the shards, so the model does not depend on cores or files.  A
+document's score is the sum of the conditional log-probabilities of all its tokens.
 
 Defined results: null and empty texts have no tokens, score 0.0 and no mean; a one-word text is predicted from
 padding alone; a corpus without words leaves the network as it began; repeated rows are scored alike.  With N
@@ -17,14 +22,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-import pickle
 import zlib
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +36,9 @@ from replenix.llm.common import SPACE_RE, BoundedCache, ship, stored, texts
 
 SIDE = 2
 ENDINGS = 64
-CLASSES = 256
+MEMBERS = 32
+GROUPS = 32
+CLASSES = GROUPS * MEMBERS
 WORDS = CLASSES - ENDINGS - 1     # class 0 is the padding beyond a text's ends
 _CACHE = 300_000
 
@@ -41,9 +47,11 @@ _CACHE = 300_000
 class Training:
     hidden: int = 24
     rounds: int = 3
-    batch: int = 512
-    rate: float = 0.01
+    batch: int = 4096
+    rate: float = 0.06
     seed: int = 3
+    least: int = 2          # occurrences from which a word may have a class of its own
+    shard: int = 1 << 21    # tokens that one trainer sees, about
     listed: int = 1 << 19   # workers hold the words that are one in so many tokens; rarer ones are joined
 
 
@@ -51,18 +59,19 @@ class Vocabulary:
     """Own classes of the most frequent words, ``counts`` of all words, and those that workers look up."""
 
     def __init__(self, words: list[str], counts: DataFrame | None = None, totals: list[tuple[int, int]] | None = None,
-                 listed: list[tuple[str, int]] = ()):
+                 listed: list[tuple[str, int]] = (), tokens: int = 0):
         self.words = words
         self.classes = {w.encode(): 1 + ENDINGS + i for i, w in enumerate(words[:WORDS])}
         self.counts = counts   # w, n and ending of all words of the corpus
         self.totals = totals or [(0, 0)] * ENDINGS   # (occurrences, words) of every ending
+        self.tokens = tokens
         self.all = [math.log(max(n + v, 1)) for n, v in self.totals]
         self.unseen = [math.log(v / (n + v)) if v else 0.0 for n, v in self.totals]
-        self.cache = None
+        self.cache = self.places = None
         self.listed = {w.encode(): self.within(w.encode(), n) for w, n in listed} | dict.fromkeys(self.classes, 0.0)
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": None, "counts": None}
+        return self.__dict__ | {"cache": None, "places": None, "counts": None}
 
     def _class(self, word: bytes) -> int:
         return self.classes.get(word) or 1 + zlib.crc32(word[-2:]) % ENDINGS
@@ -74,9 +83,18 @@ class Vocabulary:
         e = zlib.crc32(word[-2:]) % ENDINGS
         return math.log(n) - self.all[e] if n else self.unseen[e] - (len(word) + 1) * math.log(257)
 
-    def looked_up(self, words: list[bytes]) -> np.ndarray:
-        """log P(word | class) of the listed words, nan for the others."""
-        return np.fromiter(map(self.listed.get, words, repeat(math.nan)), dtype=np.float64, count=len(words))
+    def looked_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Classes of the words, and log P(word | class) of the listed ones, nan for the others."""
+        if self.places is None:
+            self.places = dict(zip(self.listed, range(len(self.listed))))
+            self.values = np.array([*self.listed.values(), math.nan])
+            self.own = np.array([*map(self._class, self.listed), 0], dtype=np.uint16)
+            self.cache = BoundedCache(self._class, _CACHE)
+        at = np.fromiter(map(self.places.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        classes_ = self.own[at]
+        for k in np.flatnonzero(at < 0).tolist():
+            classes_[k] = self.cache[words[k]]
+        return classes_, self.values[at]
 
     def joined(self, rare: DataFrame) -> DataFrame:
         """``rare`` (w, ...) with ``within``, from the table of counts."""
@@ -87,14 +105,7 @@ class Vocabulary:
 
     def padded(self, text: bytes) -> np.ndarray:
         """Classes of all words with ``SIDE`` classes of padding around them."""
-        return self.classified(text.split())
-
-    def classified(self, words: list[bytes]) -> np.ndarray:
-        if self.cache is None:
-            self.cache = BoundedCache(self._class, _CACHE)
-        out = np.zeros(len(words) + 2 * SIDE, dtype=np.uint8)
-        out[SIDE:SIDE + len(words)] = np.fromiter(map(self.cache.__getitem__, words), dtype=np.uint8, count=len(words))
-        return out
+        return np.pad(self.looked_up(text.split())[0], SIDE)
 
 
 def ending(word: str) -> Column:
@@ -108,7 +119,8 @@ def vocabulary(docs: DataFrame, text: str = "text", training: Training = Trainin
     """Counts of all words of all documents; the most frequent ones (ties by code point) have their own class."""
     words = docs.select(F.explode(F.split(F.col(f"`{text}`"), SPACE_RE)).alias("w")).where("w <> ''")
     counts = stored(words.groupBy("w").agg(F.count("*").alias("n")).withColumn("ending", ending("w")), "word-counts")
-    top = [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(WORDS).collect()]   # a bounded list
+    top = counts.where(F.col("n") >= training.least).orderBy(F.desc("n"), "w").limit(WORDS)   # a bounded list
+    top = [r["w"] for r in top.collect()]
     sums = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     tokens = sum(r["n"] for r in sums)
     # one word in ``listed`` tokens at least: not more words than that
@@ -118,22 +130,24 @@ def vocabulary(docs: DataFrame, text: str = "text", training: Training = Trainin
     for r in own:
         totals[r["ending"]][0] -= r["n"]
         totals[r["ending"]][1] -= 1
-    return Vocabulary(top, counts, [tuple(totals.get(e, (0, 0))) for e in range(ENDINGS)], sorted(listed))
+    return Vocabulary(top, counts, [tuple(totals.get(e, (0, 0))) for e in range(ENDINGS)], sorted(listed), tokens)
 
 
 class WindowNet:
-    """Tables per side position (byte-sized classes -> hidden), one tanh layer, softmax over classes."""
+    """Tables per side position (classes -> hidden), one tanh layer, softmax over groups and over the classes in each."""
 
     def __init__(self, training: Training):
         rng = np.random.default_rng(training.seed)
         h = training.hidden
         self.tables = rng.normal(0, 0.3, (2 * SIDE, CLASSES, h)).astype("f4")
         self.hidden_bias = np.zeros(h, dtype="f4")
-        self.out = rng.normal(0, 0.1, (h, CLASSES)).astype("f4")
-        self.bias = np.zeros(CLASSES, dtype="f4")
+        self.group = rng.normal(0, 0.1, (h, GROUPS)).astype("f4")
+        self.group_bias = np.zeros(GROUPS, dtype="f4")
+        self.member = rng.normal(0, 0.1, (GROUPS, h, MEMBERS)).astype("f4")
+        self.member_bias = np.zeros((GROUPS, MEMBERS), dtype="f4")
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.tables, self.hidden_bias, self.out, self.bias]
+        return [self.tables, self.hidden_bias, self.group, self.group_bias, self.member, self.member_bias]
 
     def to_bytes(self) -> bytes:
         return b"".join(p.astype("<f4").tobytes() for p in self.parameters())
@@ -149,47 +163,70 @@ class WindowNet:
         total = self.hidden_bias + self.tables[0][context[:, 0]]
         for k in range(1, 2 * SIDE):
             total += self.tables[k][context[:, k]]
-        return np.tanh(total)
+        return np.tanh(total, out=total)
+
+    def _softmax(self, context: np.ndarray, target: np.ndarray):
+        """Tokens in order of their groups (``order``), their hidden layer, and of both levels the exponentials of the
+        logits, their sums and the logits of the targets; ``runs`` are the stretches of equal groups."""
+        order = np.argsort(target // MEMBERS, kind="stable")
+        hidden, own = self._hidden(context[order]), target[order].astype(np.int64)
+        groups, members = own // MEMBERS, own % MEMBERS
+        edges = np.searchsorted(groups, np.arange(GROUPS + 1))
+        runs = [(g, slice(x, y)) for g, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if x < y]
+        within = np.empty((len(own), MEMBERS), dtype=hidden.dtype)
+        for g, run in runs:
+            np.matmul(hidden[run], self.member[g], out=within[run])
+            within[run] += self.member_bias[g]
+        levels = []
+        for logits, chosen in ((hidden @ self.group + self.group_bias, groups), (within, members)):
+            logits -= logits.max(axis=1, keepdims=True)
+            mine = logits[np.arange(len(own)), chosen].astype(np.float64)
+            np.exp(logits, out=logits)
+            levels.append((logits, logits.sum(axis=1), chosen, mine))
+        return order, hidden, levels, runs
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         out = np.empty(len(target), dtype=np.float64)
         for k in range(0, len(target), 8192):
-            at = slice(k, k + 8192)
-            logits = self._hidden(context[at]) @ self.out
-            logits += self.bias
-            own = logits[np.arange(len(logits)), target[at]]
-            np.exp(np.minimum(logits, 80, out=logits), out=logits)
-            out[at] = own - np.log(logits.sum(axis=1))
+            order, _, levels, _ = self._softmax(context[k:k + 8192], target[k:k + 8192])
+            out[k + order] = sum(mine - np.log(total) for _, total, _, mine in levels)
         return out
 
-    def gradients(self, context: np.ndarray, target: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    def gradients(self, context: np.ndarray, target: np.ndarray) -> tuple[float, list]:
+        """Mean loss, and its gradients as (parameter, rows that it changes or ..., gradient)."""
         n = len(target)
-        hidden = self._hidden(context)
-        logits = hidden @ self.out + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits, out=logits)
-        p /= p.sum(axis=1, keepdims=True)
-        loss = -float(np.log(p[np.arange(n), target] + 1e-12).mean())
-        p[np.arange(n), target] -= 1
-        p /= n
-        below = (p @ self.out.T) * (1 - hidden * hidden)
-        tables = np.zeros_like(self.tables)
+        order, hidden, levels, runs = self._softmax(context, target)
+        loss = -float(sum(mine - np.log(total) for _, total, _, mine in levels).mean())
+        for p, total, chosen, _ in levels:
+            p /= total[:, None]
+            p[np.arange(n), chosen] -= 1
+            p /= n
+        outer, inner = levels[0][0], levels[1][0]
+        below = outer @ self.group.T
+        changes = [(self.group, ..., hidden.T @ outer), (self.group_bias, ..., outer.sum(axis=0))]
+        for g, run in runs:
+            changes += [(self.member, g, hidden[run].T @ inner[run]), (self.member_bias, g, inner[run].sum(axis=0))]
+            below[run] += inner[run] @ self.member[g].T
+        below *= 1 - hidden * hidden
+        changes.append((self.hidden_bias, ..., below.sum(axis=0)))
+        context = context[order]
         for k in range(2 * SIDE):
-            order = np.argsort(context[:, k], kind="stable")   # sums per class over runs of equal classes
-            own = context[order, k]
+            by_class = np.argsort(context[:, k], kind="stable")   # sums per class over runs of equal classes
+            own = context[by_class, k]
             starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            tables[k][own[starts]] = np.add.reduceat(below[order], starts, axis=0)
-        return loss, [tables, below.sum(axis=0), hidden.T @ p, p.sum(axis=0)]
+            changes.append((self.tables, (k, own[starts].astype(np.int64)), np.add.reduceat(below[by_class], starts, axis=0)))
+        return loss, changes
 
     def train(self, windows: np.ndarray, training: Training, sums: list[np.ndarray]) -> None:
         """One pass (Adagrad; ``sums`` carries the squared gradients) over windows of 2 * SIDE + 1 classes."""
         others = [k for k in range(2 * SIDE + 1) if k != SIDE]
+        of = {id(p): s for p, s in zip(self.parameters(), sums)}
         for i in range(0, len(windows), training.batch):
             part = windows[i:i + training.batch]
-            _, grads = self.gradients(part[:, others], part[:, SIDE])
-            for p, g, s in zip(self.parameters(), grads, sums):
-                s += g * g
-                p -= (training.rate * g / (np.sqrt(s) + 1e-6)).astype("f4")
+            for p, rows, g in self.gradients(part[:, others], part[:, SIDE])[1]:
+                s = of[id(p)]
+                s[rows] += g * g
+                p[rows] -= (training.rate * g / (np.sqrt(s[rows]) + 1e-6)).astype(p.dtype)
 
 
 def contexts(padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,18 +236,34 @@ def contexts(padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(sides, axis=1), padded[SIDE:SIDE + n]
 
 
-def classes(docs: DataFrame, words: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(k, padded): classes of all words of every document that has any, with padding around them."""
+_ENCODED = "k string, row long, n_tokens long, padded binary, within double, rare array<string>"
+
+
+def encoded(docs: DataFrame, words: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """A written table of every row's text in classes: ``padded`` (two bytes each, with padding around them), the sum of
+    log P(word | class) of its listed words, and its other words (``rare``).  ``row`` tells rows of one key apart."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def look_up(batches):
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = [shared.value.padded(t).tobytes() for t in texts(batch)]
-            yield pa.record_batch([pa.array(batch.column(0).cast(pa.string())), pa.array(out, pa.binary())],
-                                  names=["k", "padded"])
+            split = [t.split() for t in texts(batch)]
+            edges = np.cumsum([0, *map(len, split)])
+            all_ = [w for ws in split for w in ws]
+            classes_, within = shared.value.looked_up(all_)
+            unlisted = np.flatnonzero(np.isnan(within))
+            sums = np.r_[0, np.cumsum(np.nan_to_num(within))][edges]
+            padded = [np.pad(classes_[x:y], SIDE).tobytes() for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(unlisted, edges).astype("i4")),
+                                            pa.array([all_[i] for i in unlisted.tolist()], pa.binary()).cast(pa.string()))
+            yield pa.record_batch([batch.column(0), pa.array(row + np.arange(len(split))), pa.array(np.diff(edges)),
+                                   pa.array(padded, pa.binary()), pa.array(np.diff(sums)), rare],
+                                  names=["k", "row", "n_tokens", "padded", "within", "rare"])
+            row += len(split)
 
-    return (docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
-            .mapInArrow(look_up, "k string, padded binary").where(F.octet_length("padded") > 2 * SIDE))
+    return stored(docs.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{text}`").alias("text"))
+                  .mapInArrow(look_up, _ENCODED), "classes")
 
 
 def windows(padded: np.ndarray, r: int, training: Training):
@@ -223,91 +276,111 @@ def windows(padded: np.ndarray, r: int, training: Training):
 
 def fit(docs: DataFrame, training: Training = Training(), key: str = "doc_id", text: str = "text"
         ) -> tuple[Vocabulary, WindowNet]:
-    spark = docs.sparkSession
-    ship(spark)
     words = vocabulary(docs, text, training)
-    # gathered by key: every trainer gets an even share of the corpus, in the same order in every run
-    gathered = stored(classes(docs, words, key, text).repartition("k").sortWithinPartitions("k"), "classes")
+    return words, trained_net(encoded(docs, words, key, text), words, training)
+
+
+def trained_net(table: DataFrame, words: Vocabulary, training: Training) -> WindowNet:
+    """The network of an encoded corpus."""
+    spark = table.sparkSession
+    gathered = shards(table.where("n_tokens > 0").select("k", "padded"), words.tokens, training)
     net = WindowNet(training)
     for r in range(training.rounds):
         start = spark.sparkContext.broadcast(net.to_bytes())
 
         def trained(batches, r=r, start=start):
-            own = WindowNet(training).load(np.frombuffer(start.value, dtype="<f4"))
-            sums, seen = [np.zeros_like(p) for p in own.parameters()], 0
             for batch in batches:
-                padded = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint8)
-                for data in windows(padded, r, training):   # every round trains on other windows
-                    own.train(data, training, sums)
-                    seen += len(data)
-            if seen:
-                yield pa.record_batch([pa.array([seen], pa.int64()), pa.array([own.to_bytes()], pa.binary())],
-                                      names=["n", "net"])
-
-        # averaged in a few tasks first: the driver gets eight networks, however many trainers there are
-        parts = (gathered.select("padded").mapInArrow(trained, "n long, net binary")
-                 .repartition(8).mapInArrow(_averaged, "n long, net binary").collect())
-        parts = [(p["n"], np.frombuffer(p["net"], dtype="<f4").astype("f8")) for p in parts]
-        total = sum(n for n, _ in parts)
+                for shard, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    own = WindowNet(training).load(np.frombuffer(start.value, dtype="<f4"))
+                    sums, seen = [np.zeros_like(p) for p in own.parameters()], 0
+                    for part in windows(np.frombuffer(data, dtype=np.uint16), r, training):   # every round trains on others
+                        own.train(part, training, sums)
+                        seen += len(part)
+                    if seen:
+                        yield pa.record_batch([pa.array([shard], pa.int64()), pa.array([seen], pa.int64()),
+                                               pa.array([own.to_bytes()], pa.binary())], names=["shard", "n", "net"])
+
+        parts = gathered.mapInArrow(trained, _NETS)
+        for _ in range(_levels(words.tokens // training.shard + 1)):
+            parts = (parts.withColumn("of", F.floor(F.col("shard") / _TOGETHER)).groupBy("of")
+                     .applyInArrow(_averaged, _NETS))
+        parts = [(p["shard"], p["n"], np.frombuffer(p["net"], dtype="<f4").astype("f8")) for p in parts.collect()]
+        total = sum(n for _, n, _ in parts)
         if total:
-            net.load(sum(w * (n / total) for n, w in sorted(parts, key=lambda p: (p[0], p[1].tobytes()))).astype("f4"))
-    return words, net
+            net.load(sum(w * (n / total) for _, n, w in sorted(parts, key=lambda p: p[0])).astype("f4"))
+    return net
 
 
-def _averaged(batches):
-    total, mean = 0, None
-    for batch in batches:
-        for n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            w = np.frombuffer(data, dtype="<f4").astype("f8") * n
-            mean, total = w if mean is None else mean + w, total + n
-    if total:
-        yield pa.record_batch([pa.array([total], pa.int64()), pa.array([(mean / total).astype("<f4").tobytes()], pa.binary())],
-                              names=["n", "net"])
+_NETS = "shard long, n long, net binary"
+_TOGETHER = 32   # networks that are averaged by one task, or on the driver
 
 
-_models: dict[str, tuple[Vocabulary, WindowNet]] = {}   # of this worker
+def _levels(shards_: int) -> int:
+    """Rounds of averaging until the driver gets few networks, however many trainers there are."""
+    levels = 0
+    while shards_ > _TOGETHER:
+        shards_, levels = -(-shards_ // _TOGETHER), levels + 1
+    return levels
 
 
-def pseudo_likelihood(text: Column, words: Vocabulary, net: WindowNet, training: Training, spark) -> Column:
-    """struct<n_tokens, log_likelihood, rare> of whole texts; the words in ``rare`` lack their log P(word | class)."""
-    ship(spark)
-    data = net.to_bytes()
-    key = hashlib.sha256(data + pickle.dumps(words)).hexdigest()
-    shared = spark.sparkContext.broadcast((words, data))
+def _averaged(table: pa.Table) -> pa.Table:
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("shard", "n", "net"))))
+    total = sum(n for _, n, _ in rows)
+    mean = sum(np.frombuffer(data, dtype="<f4").astype("f8") * (n / total) for _, n, data in rows)
+    return pa.table({"shard": [rows[0][0] // _TOGETHER], "n": [total], "net": pa.array([mean.astype("<f4").tobytes()], pa.binary())})
 
-    @F.pandas_udf("n_tokens long, log_likelihood double, rare array<string>")
-    def score(batch: pd.Series) -> pd.DataFrame:
-        if key not in _models:
-            _models.clear()
-            _models[key] = (shared.value[0], WindowNet(training).load(np.frombuffer(shared.value[1], dtype="<f4")))
-        vocabulary_, network = _models[key]
-        split = [t.encode("utf-8", "surrogatepass").split() for t in batch]
-        sizes = np.array([len(w) for w in split], dtype=np.int64)
-        sums, rare = np.zeros(len(split)), [[] for _ in split]
-        some = [k for k in range(len(split)) if sizes[k]]
-        if some:
-            pairs = [contexts(vocabulary_.classified(split[k])) for k in some]
-            each = network.log_probabilities(np.concatenate([c for c, _ in pairs]), np.concatenate([t for _, t in pairs]))
-            within = np.concatenate([vocabulary_.looked_up(split[k]) for k in some])
-            starts = np.cumsum(np.r_[0, sizes[some]])[:-1]
-            sums[some] = np.add.reduceat(each + np.nan_to_num(within), starts)
-            unlisted = np.flatnonzero(np.isnan(within))
-            of = np.searchsorted(starts, unlisted, side="right") - 1
-            for i, at in zip(of.tolist(), (unlisted - starts[of]).tolist()):
-                rare[some[i]].append(split[some[i]][at].decode("utf-8", "surrogatepass"))
-        return pd.DataFrame({"n_tokens": sizes, "log_likelihood": sums, "rare": rare})
 
-    return score(F.coalesce(text, F.lit("")))
+def shards(classes_: DataFrame, tokens: int, training: Training) -> DataFrame:
+    """A written table (shard, data): the padded texts of every shard, one after the other in a fixed order.
+
+    The shard follows from a hash of key and text, their number from the tokens of the corpus, so a shard holds an even
+    share of them, whatever keys repeat or are null."""
+    number = tokens // training.shard + 1
+
+    def gather(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("k").to_pylist(), table.column("padded").to_pylist()), key=lambda r: (r[0] or "", r[1]))
+        return pa.table({"shard": table.column("shard")[:1].cast(pa.int64()),
+                         "data": pa.array([b"".join(p for _, p in rows)], pa.large_binary()).cast(pa.binary())})
+
+    dealt = classes_.withColumn("shard", F.pmod(F.xxhash64("k", "padded"), F.lit(number)))
+    return stored(dealt.groupBy("shard").applyInArrow(gather, "shard long, data binary").repartition("shard"), "classes")
+
+
+_models: dict[str, WindowNet] = {}   # of this worker
 
 
 def scores(docs: DataFrame, words: Vocabulary, net: WindowNet, training: Training, key: str = "doc_id",
            text: str = "text") -> DataFrame:
     """``key``, n_tokens and log_likelihood of every row: the sum of log P(token) of all its tokens."""
-    found = docs.select(F.col(f"`{key}`"), F.monotonically_increasing_id().alias("_row"),
-                        pseudo_likelihood(F.col(f"`{text}`"), words, net, training, docs.sparkSession).alias("s"))
-    found = stored(found.select(f"`{key}`", "_row", "s.*"), "scored")
+    return scored(encoded(docs, words, key, text), words, net, training).select(
+        F.col("k").cast(docs.schema[key].dataType).alias(key), "n_tokens", "log_likelihood")
+
+
+def scored(table: DataFrame, words: Vocabulary, net: WindowNet, training: Training) -> DataFrame:
+    """k, n_tokens and log_likelihood of every row of an encoded table."""
+    data = net.to_bytes()
+    name, shared = hashlib.sha256(data).hexdigest(), table.sparkSession.sparkContext.broadcast(data)
+
+    def score(batches):
+        if name not in _models:
+            _models.clear()
+            _models[name] = WindowNet(training).load(np.frombuffer(shared.value, dtype="<f4"))
+        for batch in batches:
+            n, within = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            sums = np.zeros(len(n))
+            if n.any():
+                padded = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint16)
+                middle = np.flatnonzero(padded)     # class 0 is the padding between the texts
+                each = _models[name].log_probabilities(
+                    np.stack([padded[middle + k] for k in range(-SIDE, SIDE + 1) if k], axis=1), padded[middle])
+                sums = np.diff(np.r_[0, np.cumsum(each)][np.cumsum(np.r_[0, n])])
+            yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(sums + within)],
+                                  names=["k", "row", "n_tokens", "score"])
+
+    found = stored(table.mapInArrow(score, "k string, row long, n_tokens long, score double"), "scored")
     # added up as whole billionths: the sum does not depend on the order of the rows
-    billionths = F.sum(F.round(F.col("within") * 1e9).cast("long")).alias("_more")
-    more = words.joined(found.select("_row", F.explode("rare").alias("w"))).groupBy("_row").agg(billionths)
-    return (found.drop("rare").join(more, "_row", "left").withColumn(
-        "log_likelihood", F.col("log_likelihood") + F.coalesce("_more", F.lit(0)) / 1e9).drop("_row", "_more"))
+    billionths = F.sum(F.round(F.col("within") * 1e9).cast("long")).alias("more")
+    more = words.joined(table.select("row", F.explode("rare").alias("w"))).groupBy("row").agg(billionths)
+    return found.join(more, "row", "left").select(
+        "k", "n_tokens", (F.col("score") + F.coalesce("more", F.lit(0)) / 1e9).alias("log_likelihood"))
+

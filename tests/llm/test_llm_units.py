@@ -11,6 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import brute_llm as brute
 from replenix.llm import bpe, decontaminate, flow, forest, langid, mixing, pseudolm, quality, secrets, tokenfiles, toxicity
@@ -336,21 +337,62 @@ def test_gru_pools_every_position():
 def test_window_net_gradients_and_likelihood():
     training = pseudolm.Training(hidden=5)
     net = pseudolm.WindowNet(training)
-    for name in ("tables", "hidden_bias", "out", "bias"):
+    for name in ("tables", "hidden_bias", "group", "group_bias", "member", "member_bias"):
         setattr(net, name, getattr(net, name).astype("f8"))
-    context, target = np.array([[1, 2, 3, 4], [0, 0, 7, 9], [5, 5, 5, 5]], dtype=np.uint8), np.array([3, 200, 5])
-    _, grads = net.gradients(context, target)
-    for p, g in zip(net.parameters(), grads):
-        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+    context, target = np.array([[1, 2, 3, 4], [0, 0, 7, 9], [5, 5, 5, 1000], [5, 2, 3, 4]], dtype=np.uint16), np.array([3, 200, 5, 999])
+    changes = net.gradients(context, target)[1]
+    assert {id(p) for p, _, _ in changes} == {id(p) for p in net.parameters()}
+    for p, rows, g in changes:
+        whole = np.zeros_like(p)
+        whole[rows] += g
+        at = np.unravel_index(np.abs(whole).argmax(), p.shape)
         p[at] += 1e-6
         up = net.gradients(context, target)[0]
         p[at] -= 2e-6
         down = net.gradients(context, target)[0]
         p[at] += 1e-6
-        assert (up - down) / 2e-6 == pytest.approx(g[at], rel=1e-4)
+        assert (up - down) / 2e-6 == pytest.approx(whole[at], rel=1e-4)
     assert -net.log_probabilities(context, target).mean() == pytest.approx(net.gradients(context, target)[0], rel=1e-6)
 
 
+def test_class_probabilities_sum_to_one():
+    net = pseudolm.WindowNet(pseudolm.Training())
+    every = np.arange(pseudolm.CLASSES)
+    context = np.tile(np.array([[1, 9, 300, 1023]], dtype=np.uint16), (len(every), 1))
+    assert np.exp(net.log_probabilities(context, every)).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_the_model_does_not_depend_on_partitions(spark):
+    """The same network from other partitions, cores and orders of the rows, with several shards; whole scores recomputed."""
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    training = pseudolm.Training(shard=1 << 12)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    words, one = pseudolm.fit(docs, training)
+    assert words.tokens // training.shard > 8
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        _, two = pseudolm.fit(docs.orderBy(F.desc("doc_id")).repartition(5), training)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert one.to_bytes() == two.to_bytes()
+    counts = {r.w: r.n for r in words.counts.collect()}
+    found = {r.doc_id: r.log_likelihood for r in pseudolm.scores(docs, words, one, training).collect()}
+    for d in docs.collect():
+        tokens = brute.words(d.text)
+        classes = [0, 0, *(words._class(t.encode()) for t in tokens), 0, 0]
+        total = 0.0
+        for k, t in enumerate(tokens):
+            hidden = np.tanh(one.hidden_bias + sum(one.tables[i][c] for i, c in enumerate(
+                [classes[k], classes[k + 1], classes[k + 3], classes[k + 4]])))
+            g, m = divmod(classes[k + 2], pseudolm.MEMBERS)
+            for logits, at in ((hidden @ one.group + one.group_bias, g), (hidden @ one.member[g] + one.member_bias[g], m)):
+                total += float(logits[at]) - math.log(np.exp(logits.astype("f8")).sum())
+            total += words.within(t.encode(), counts[t])
+        assert found[d.doc_id] == pytest.approx(total, rel=1e-5, abs=1e-4)
+
+
 def test_training_lowers_the_loss(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     words, net = pseudolm.fit(docs)
@@ -367,7 +409,7 @@ def test_every_token_is_trained_on_once(spark):
     texts = ["one", "a b c d e f g h", None, "", "x y " * 400]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     words, training = pseudolm.vocabulary(docs), pseudolm.Training(batch=4)
-    rows = [np.frombuffer(r.padded, dtype=np.uint8) for r in pseudolm.classes(docs, words).orderBy("k").collect()]
+    rows = [np.frombuffer(r.padded, dtype=np.uint16) for r in pseudolm.encoded(docs, words).where("n_tokens > 0").orderBy("k").collect()]
     found = [w for r in range(training.rounds) for part in pseudolm.windows(np.concatenate(rows), r, training) for w in part.tolist()]
     want = []
     for text in texts:
