@@ -23,8 +23,8 @@ def op8_sql(limits: Limits = Limits()) -> str:
         + ", len([x for x in ws if x not in (" + ", ".join(f"'{w}'" for w in ws) + ")])]"
         for k, ws in COMMON_WORDS.items())
     n_char, n_word = len(CHAR_CLASSES) + 1, 1 + len(COMMON_WORDS["en"])
-    means = ("[" + ", ".join(f"avg(cb[{i}] / n_chars)" for i in range(1, n_char + 1)) + "] AS rc, ["
-             + ", ".join(f"avg(wb[{i}] / n_words)" for i in range(1, n_word + 1)) + "] AS rw")
+    char_means = "[" + ", ".join(f"avg(cb[{i}] / n_chars)" for i in range(1, n_char + 1)) + "] AS rc"
+    word_means = "[" + ", ".join(f"avg(wb[{i}] / n_words)" for i in range(1, n_word + 1)) + "] AS rw"
 
     def distance(bins_: str, total: str, ref: str, n: int) -> str:
         terms = []
@@ -51,21 +51,26 @@ win AS (SELECT rid, i, list_slice(ws, i, i + 4) AS five
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, five) AS c FROM win) WHERE c > 1),
 rep AS (SELECT rid, count(DISTINCT i + o) AS n_repeat_words
         FROM twice, (SELECT unnest(range(0, 5)) AS o) GROUP BY rid),
+crefs AS (SELECT lang AS ref, {char_means} FROM m
+          WHERE lang IS NOT NULL AND n_words >= {limits.words_guard} AND n_chars >= {limits.chars_guard}
+          GROUP BY lang ORDER BY count(*) DESC, lang LIMIT {limits.languages}),
 bins AS (SELECT k.lang AS ref, m.* EXCLUDE (lang), m.lang, case k.lang {bins} end AS wb
-         FROM m, (SELECT unnest([{', '.join(f"'{k}'" for k in COMMON_WORDS)}]) AS lang) k),
-refs AS (SELECT lang AS ref, {means} FROM bins
-         WHERE ref = lang AND n_words >= {limits.words_guard} AND n_chars >= {limits.chars_guard} GROUP BY lang),
-dist AS (SELECT b.rid, min({distance('cb', 'n_chars', 'rc', n_char)}) AS cd,
-                min({distance('wb', 'n_words', 'rw', n_word)}) AS wd
-         FROM bins b JOIN refs USING (ref)
-         WHERE n_words > 0 AND (b.lang = ref OR b.lang IS NULL OR b.lang NOT IN (SELECT ref FROM refs))
-         GROUP BY b.rid),
+         FROM m, (SELECT unnest([{', '.join(f"'{k}'" for k in COMMON_WORDS)}]) AS lang) k
+         WHERE k.lang IN (SELECT ref FROM crefs)),
+wrefs AS (SELECT lang AS ref, {word_means} FROM bins
+          WHERE ref = lang AND n_words >= {limits.words_guard} AND n_chars >= {limits.chars_guard} GROUP BY lang),
+cdist AS (SELECT rid, min(d) AS cd, min(struct_pack(d := d, ref := ref)).ref AS near
+          FROM (SELECT rid, ref, {distance('cb', 'n_chars', 'rc', n_char)} AS d
+                FROM m JOIN crefs ON lang = ref OR lang IS NULL WHERE n_words > 0) c GROUP BY rid),
+wdist AS (SELECT rid, min({distance('wb', 'n_words', 'rw', n_word)}) AS wd
+          FROM bins JOIN wrefs USING (ref) LEFT JOIN cdist USING (rid)
+          WHERE n_words > 0 AND (lang = ref OR lang IS NULL AND near IN (SELECT ref FROM wrefs)) GROUP BY rid),
 v AS (SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
         n_words < {limits.min_words} OR 100 * coalesce(n_repeat_words, 0) > {limits.max_repeat_percent} * n_words
           AS base_failed,
         case when n_chars >= {limits.chars_guard} then cd end AS cd,
         case when n_words >= {limits.words_guard} then wd end AS wd
-      FROM m LEFT JOIN rep USING (rid) LEFT JOIN dist USING (rid))
+      FROM m LEFT JOIN rep USING (rid) LEFT JOIN cdist USING (rid) LEFT JOIN wdist USING (rid))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND coalesce(cd, 0) <= {limits.max_char_distance}

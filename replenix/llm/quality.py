@@ -1,13 +1,15 @@
 """Operator 8, quality rules: distribution divergence from language references (DataFrame functions only).
 
 Every document is described by two histograms, one of character classes and one of the common words of its
-language.  The references are the mean histograms of all documents of a language (one bounded aggregate:
-four languages, 23 numbers each).  A document whose Jensen-Shannon distance to the reference exceeds a limit is
-rejected; a document too short for a histogram is not judged by it.
-
-Defined results: null or empty text has no words and fails the base rule; a document of unknown or null language
-is held against the nearest reference; without any reference (empty table) only the base rules decide; repeated
-rows are judged alike, row by row.  Other columns of the input are carried along untouched, whatever their names.
+language.  The references are the mean histograms of all documents of a language: of character classes for every
+language of the table (the ``Limits.languages`` with the most documents, one bounded aggregate), of common words for
+the four languages whose words are listed.  A document whose Jensen-Shannon distance to the reference exceeds a limit
+is rejected; a document too short for a histogram is not judged by it.
+
+Defined results: null or empty text has no words and fails the base rule; a document of null language is held against
+the nearest reference of characters, and of words if that one's language has them; a language without a reference is judged by the base rules alone, one without listed words by
+its characters; without any reference (empty table) only the base rules decide; repeated rows are judged alike, row by
+row.  Other columns of the input are carried along untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,6 +50,7 @@ class Limits:
     max_char_distance: float = 0.35
     max_word_distance: float = 0.45
     max_distance_sum: float = 0.47
+    languages: int = 200         # references at most; further languages are judged by the base rules alone
 
 
 def _packed(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -94,30 +97,36 @@ def _word_bins(lang: str) -> str:
             f"array(size(words) - size(found))))[0]")
 
 
-def _distance(bins: str, total: str, reference: list[float]) -> str:
+def _numbers(reference: list[float]) -> str:
+    return f"array({', '.join(f'{x!r}D' for x in reference)})"
+
+
+def _distance(bins: str, total: str, reference: list[float] | str) -> str:
     """SQL for the square root of the Jensen-Shannon divergence (bits) of a histogram from a reference."""
-    ref = ", ".join(f"{x!r}D" for x in reference)
+    ref = reference if isinstance(reference, str) else _numbers(reference)
     term = (f"if(n > 0, n / {total} * log2(2 * n / {total} / (n / {total} + q)), 0D) / 2"
             f" + if(q > 0, q * log2(2 * q / (n / {total} + q)), 0D) / 2")
-    return (f"transform(array({bins}), b -> sqrt(greatest(0D, aggregate(zip_with(b, array({ref}), (n, q) -> {term}), "
+    return (f"transform(array({bins}), b -> sqrt(greatest(0D, aggregate(zip_with(b, {ref}, (n, q) -> {term}), "
             f"0D, (a, x) -> a + x))))[0]")
 
 
 def references(docs: DataFrame, lang: str = "lang", text: str = "text", limits: Limits = Limits()) -> dict:
-    """Mean character and common-word histograms of all documents of each language: {lang: (chars, words)}.
+    """Mean character and common-word histograms of all documents of each language: {lang: (chars, words or None)}.
 
-    One aggregate over the whole table; at most four rows of 24 numbers come to the driver.
+    One aggregate over the whole table; at most ``limits.languages`` rows of 25 numbers come to the driver.
     """
-    rows = _counted(_packed(docs, text, lang).where(F.col("lang").isin(list(COMMON_WORDS))), "lang")
+    rows = _counted(_packed(docs, text, lang).where(F.col("lang").isNotNull()), "lang")
+    n_char, n_word = len(CHAR_CLASSES) + 1, 1 + len(COMMON_WORDS["en"])
     bins = "case lang " + " ".join(f"when '{k}' then {_word_bins(k)}" for k in COMMON_WORDS) + " end"
     rows = (rows.where((F.col("n_words") >= limits.words_guard) & (F.col("n_chars") >= limits.chars_guard))
             .select("lang", "n_chars", "n_words", "char_bins", F.expr(bins).alias("word_bins")))
-    n_char, n_word = len(CHAR_CLASSES) + 1, 1 + len(COMMON_WORDS["en"])
     means = rows.groupBy("lang").agg(
-        *[F.avg(F.col("char_bins")[i] / F.col("n_chars")).alias(f"c{i}") for i in range(n_char)],
-        *[F.avg(F.col("word_bins")[i] / F.col("n_words")).alias(f"w{i}") for i in range(n_word)]).collect()
-    return {r["lang"]: ([r[f"c{i}"] for i in range(n_char)], [r[f"w{i}"] for i in range(n_word)])
-            for r in sorted(means)}
+        F.count("*").alias("n"), *[F.avg(F.col("char_bins")[i] / F.col("n_chars")).alias(f"c{i}") for i in range(n_char)],
+        *[F.avg(F.col("word_bins")[i] / F.col("n_words")).alias(f"w{i}") for i in range(n_word)])
+    means = means.orderBy(F.desc("n"), "lang").limit(limits.languages).collect()
+    return {r["lang"]: ([r[f"c{i}"] for i in range(n_char)],
+                        [r[f"w{i}"] for i in range(n_word)] if r["lang"] in COMMON_WORDS else None)
+            for r in sorted(means, key=lambda r: r["lang"])}
 
 
 # Words inside five-word windows that occur at least twice.  Without a repeated window hash the answer is 0;
@@ -144,11 +153,16 @@ def judged(docs: DataFrame, refs: dict, lang: str = "lang", text: str = "text",
                        "row", "lang", "lines", "windows")
     char_d = word_d = "cast(null as double)"
     if refs:
-        char_of = {k: _distance("char_bins", "n_chars", c) for k, (c, _) in refs.items()}
-        word_of = {k: _distance(_word_bins(k), "n_words", w) for k, (_, w) in refs.items()}
-        char_d, word_d = (
-            "case lang " + " ".join(f"when '{k}' then {e}" for k, e in of.items())
-            + f" else array_min(array({', '.join(of.values())})) end" for of in (char_of, word_of))
+        every = "map(" + ", ".join(f"'{_sql(k)}', {_numbers(c)}" for k, (c, _) in refs.items()) + ")"
+        # of a null language: the nearest one, and its words only if that one has listed words
+        near = (f"array_min(transform(map_entries({every}), r -> struct("
+                f"{_distance('char_bins', 'n_chars', 'r.value')} as d, r.key as lang)))")
+        char_d = f"if(lang is null, {near}.d, {_distance('char_bins', 'n_chars', f'element_at({every}, lang)')})"
+        word_of = {k: _distance(_word_bins(k), "n_words", w) for k, (_, w) in refs.items() if w}
+        if word_of:
+            word_d = ("case " + " ".join(f"when lang = '{k}' then {e}" for k, e in word_of.items())
+                      + f" when lang is null and {near}.lang in ({', '.join(repr(k) for k in word_of)})"
+                      + f" then array_min(array({', '.join(word_of.values())})) end")
     out = counted.select(
         "row", "n_words", (F.col("n_chars") - F.col("space")).cast("long").alias("word_chars"),
         F.col("symbol").cast("long").alias("n_symbols"),
