@@ -29,8 +29,9 @@ _CACHE = 600_000     # byte runs remembered by a worker
 class Training:
     """Bounds of the training sample and of the training itself."""
 
-    docs_per_language: int = 300
-    runs_per_language: int = 12_000
+    docs_per_language: int = 300       # drawn by a hash of the key
+    chars_per_document: int = 1_400    # a stretch of each, its place drawn likewise, whatever its script
+    runs_per_language: int = 12_000    # byte runs drawn from these
     hidden: int = 16
     epochs: int = 3
     batch: int = 256
@@ -185,7 +186,8 @@ class ByteGRU:
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
         training: Training = Training()) -> ByteGRU | None:
-    """A network trained on about ``docs_per_language`` documents of each language; None without labelled text.
+    """A network trained on about ``docs_per_language`` documents of each language, a stretch of ``chars_per_document``
+    characters of each and at most ``runs_per_language`` byte runs of a language; None without labelled text.
 
     The sample is drawn by a hash of the key, so reruns agree; sizes are those of ``Training`` at every input size.
     """
@@ -197,8 +199,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     share = F.create_map(*[F.lit(x) for k, n in counts.items()
                            for x in (k, min(1.0, training.docs_per_language / n))])
     drawn = F.pmod(F.xxhash64("k", F.lit(training.seed)), F.lit(1 << 30)) < share[F.col("l")] * (1 << 30)
-    cut = "slice(split(t, ' '), 1 + pmod(xxhash64(k), greatest(size(split(t, ' ')) - 200, 1)), 200)"
-    sample = rows.where(drawn).select("k", "l", F.expr(f"concat_ws(' ', {cut})").alias("t")).collect()
+    size = training.chars_per_document
+    cut = f"substr(t, 1 + cast(pmod(xxhash64(k), greatest(length(t) - {size}, 1)) as int), {size})"
+    sample = rows.where(drawn).select("k", "l", F.expr(cut).alias("t")).collect()
     languages = sorted(counts)
     rng = np.random.default_rng(training.seed)
     runs, labels = [], []

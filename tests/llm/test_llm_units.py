@@ -444,6 +444,21 @@ def test_scores_are_log_probabilities_of_the_words(spark):
         assert sum(p) + distinct / (occurrences + distinct) == pytest.approx(1)
 
 
+def test_training_text_is_bounded_in_any_script(spark, monkeypatch):
+    """A language without blanks brings no more text to the driver than others, and is learned."""
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choices("日本語文字列", k=20_000)), "ja") for i in range(12)]
+    rows += [(100 + i, " ".join(rng.choices(["the", "of", "and", "house"], k=4000)), "en") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    train = langid.ByteGRU.train
+    monkeypatch.setattr(langid.ByteGRU, "train", lambda self, runs, labels, t: seen.append(sum(map(len, runs))) or train(self, runs, labels, t))
+    network = langid.fit(docs, training=langid.Training(epochs=1))
+    assert seen[0] <= 24 * langid.Training().chars_per_document * 3
+    found = docs.select("lang", langid.language(F.col("text"), network, spark).alias("f")).collect()
+    assert all(r.f.lang_pred == r.lang for r in found)
+
+
 # --- 8: distances ----------------------------------------------------------------------------------
 
 def test_js_distance(spark):
@@ -452,3 +467,23 @@ def test_js_distance(spark):
         quality._distance("array(0L, 0L, 2L)", "2", [0.5, 0.5, 0.0]) + " AS apart",
         quality._distance("array(1L, 1L, 0L)", "2", [0.0, 0.5, 0.5]) + " AS half").first()
     assert (got.same, got.apart) == (pytest.approx(0), pytest.approx(1)) and got.half == pytest.approx(0.5 ** 0.5)
+
+
+def test_clean_texts_of_any_script_stay(spark):
+    """Languages beyond the four have a character reference of their own; junk among them still goes."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("абвгдежзиклмнопрстуфхцчшщыэюя", k=rng.randint(2, 9))) for _ in range(400)]
+
+    def prose():
+        return ". ".join(" ".join(rng.choices(words, k=12)).capitalize() for _ in range(15)) + "."
+
+    rows = [(i, prose(), "ru") for i in range(40)] + [(100 + i, prose(), "bg") for i in range(3)]
+    rows += [(200, "".join(rng.choices("#$%&*<>|0123456789 ", k=900)) + " x y z a b c d e f", "ru"), (300, prose(), "zz"), (301, prose(), None)]
+    english = "the committee met on the third day of the month and agreed to send the letter to all of the members who had asked "
+    rows += [(400 + i, english + " ".join(rng.choices(english.split(), k=60)), "en") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.quality_filter(docs).collect()}
+    assert set(range(40)) | {100, 101, 102, 300, 301} <= kept and 200 not in kept
+    few = quality.Limits(languages=1)     # only the largest language has a reference; the others pass on the base rules
+    assert set(quality.references(docs, limits=few)) == {"ru"}
+    assert {100, 101, 102, 300} <= {r.doc_id for r in quality.quality_filter(docs, few).collect()}
