@@ -51,8 +51,8 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     training = pseudolm.Training()
     words = pseudolm.vocabulary(docs, training=training)
-    table = pseudolm.encoded(docs, words)   # read by the training and by the scoring
-    found = pseudolm.scored(table, words, pseudolm.trained_net(table, words, training), training)
+    coded = pseudolm.encoded(docs, words)   # read by the training and by the scoring
+    found = pseudolm.scored(coded, words, pseudolm.trained_net(coded, words, training), training)
     return found.select(F.col("k").cast("long").alias("doc_id"), "n_tokens", "log_likelihood",
                         F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_prob"))
 
