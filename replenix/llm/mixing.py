@@ -1,14 +1,16 @@
 """Operator 1, mixing sources to target weights: minimum-cost flow over membership patterns.
 
 Documents are aggregated by the set of sources they belong to.  A flow routes every pattern's words to the quotas
-of its sources, where using words once more costs ever more (convex), up to ``max_repeats`` uses.  Each pattern's
-flow is then laid out over passes through its documents in a seeded order, and documents are selected by their
+of its sources, where using words once more costs ever more (convex), up to ``max_repeats`` uses.  Sources that no
+pattern joins do not compete: sets of sources that patterns connect are solved apart, each in its own task, and a
+source with a pattern of its own alone needs no solving.  Sources, targets, patterns and their flows are tables, of any
+number.  Each pattern's flow is then laid out over passes through its documents in a seeded order, and documents are selected by their
 place in that order.  Documents above 1/200 of their pattern (fewer than 200 of each) are placed one by one, first
 fit, so that the many small ones can fill every share closely; no order is ever computed over a whole pattern:
 4096 seeded buckets are summed, and only buckets that a boundary cuts are ordered document by document.
 
 Defined results: null texts have size 0; a null source is a source of its own, last in order; rows that share a
-document id and sources are taken alike; empty sources get target 0; an empty table gives an empty mix; reruns
+document id and sources are taken alike; empty sources get target 0; a row of no source is never used; an empty table gives an empty mix; reruns
 agree, as all choices follow from hashes of ids and the seed.
 """
 
@@ -17,11 +19,17 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from replenix.llm.common import WORD_RE, stored
+from replenix.llm.common import WORD_RE, ship, stored
+from replenix.llm.components import components
 from replenix.llm.flow import route
+from replenix.operators.ranking import balanced_row_number
 
 _BUCKETS = 4096
 _LARGE = 200
@@ -33,32 +41,12 @@ class Mix:
     share: float = 1.5                       # of all sizes, over all targets
     max_repeats: int = 2                     # uses of a document, and limit of a target over its source's size
     seed: int = 17
-    max_patterns: int = 20_000               # membership patterns the flow is solved for
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def targets(sizes: list[int], weights: tuple[float, ...], share: float, most: float) -> list[float]:
-    """Shares of ``share`` times all sizes by weight, none above ``most`` times its size, the excess reshared."""
-    left, out = share * sum(sizes), [0.0] * len(sizes)
-    open_ = list(range(len(sizes)))
-    while open_:
-        total = sum(weights[i % len(weights)] for i in open_)
-        part = {i: left * weights[i % len(weights)] / total for i in open_}
-        above = [i for i in open_ if part[i] > most * sizes[i]]
-        if not above:
-            for i in open_:
-                out[i] = part[i]
-            break
-        for i in above:
-            out[i] = float(most * sizes[i])
-            left -= out[i]
-        open_ = [i for i in open_ if part[i] <= most * sizes[i]]
-    return out
-
-
 def _segments(size: int, flows: dict[int, int]) -> list[tuple[int, int, int, int]]:
     """(source, pass, from, to) pieces of the passes through a pattern that its flows fill one after the other."""
     out, at = [], 0
@@ -117,6 +105,89 @@ def _place_large(size: int, segments: list, large: list[tuple[str, int]]) -> tup
     return uses, pieces
 
 
+def _sources(patterns: DataFrame, params: Mix) -> DataFrame:
+    """A written table of the sources: source, number (from 0, by code point, null last), size and target (goal)."""
+    found = (patterns.select(F.explode("sources").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("source_size"))
+             .withColumn("all", F.lit(0)))
+    numbered = balanced_row_number(found, ["all"], [F.col("source").asc_nulls_last()], "n").select(
+        "source", "source_size", (F.col("n") - 1).alias("number"))
+    numbered = stored(numbered, "mix-sources")
+    k = F.pmod("number", F.lit(len(params.weights))).cast("int")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in params.weights]), k + 1)
+    most = params.max_repeats * F.col("source_size")
+    whole = params.share * (numbered.agg(F.sum("source_size")).first()[0] or 0)
+    level, capped = 0.0, -1
+    while True:
+        # sums of whole numbers per weight: the level does not depend on the order of the rows
+        above = F.lit(False) if capped < 0 else weight * level > most
+        parts = numbered.groupBy(k.alias("k")).agg(F.count_if(~above).alias("open"), F.count_if(above).alias("capped"),
+                                                   F.sum(F.when(above, F.col("source_size")).otherwise(0)).alias("size")).collect()
+        now, open_ = sum(p["capped"] for p in parts), sum(p["open"] * params.weights[p["k"]] for p in parts)
+        if now == capped or not open_:
+            break
+        level, capped = (whole - params.max_repeats * sum(p["size"] for p in parts)) / open_, now
+    goal = most.cast("double") if not open_ else F.least(weight * level, most.cast("double"))
+    return stored(numbered.withColumn("goal", goal), "mix-targets")
+
+
+_FLOWS = "pattern string, flows array<struct<at:int,flow:bigint>>"
+
+
+def _flows(members: DataFrame, params: Mix) -> DataFrame:
+    """(pattern, flows): words of a pattern that each of its sources (by place) gets.
+
+    ``members`` has a row per pattern and source: pattern, pattern_size, at, n_sources, number, goal.
+    """
+    quota = F.round("goal").cast("long")
+    shared = members.where("n_sources > 1")
+    first = F.min("number").over(Window.partitionBy("pattern"))
+    edges = stored(shared.select(first.alias("a"), F.col("number").alias("b")).where("a <> b").distinct(), "mix-edges")
+    sets = components(edges).select(F.col("node").alias("number"), "component")
+    placed = stored(members.join(sets, "number", "left"), "mix-members")
+    alone = placed.where("component is null").select("pattern", F.array(F.struct(
+        F.col("at"), F.least(quota, F.col("pattern_size") * params.max_repeats).alias("flow"))).alias("flows"))
+
+    def solve(table: pd.DataFrame) -> pd.DataFrame:
+        table = table.sort_values(["pattern", "at"])
+        numbers = sorted(set(table["number"]))
+        place = {n: i for i, n in enumerate(numbers)}
+        quotas = [0] * len(numbers)
+        for n, q in zip(table["number"], table["quota"]):
+            quotas[place[n]] = int(q)
+        names, patterns = [], []
+        for name, rows in table.groupby("pattern", sort=False):
+            names.append(name)
+            patterns.append((tuple(place[n] for n in rows["number"]), int(rows["pattern_size"].iloc[0])))
+        flows = route(patterns, quotas, params.max_repeats)
+        return pd.DataFrame({"pattern": names, "flows": [
+            [{"at": sources.index(s), "flow": f} for s, f in sorted(to.items())] for (sources, _), to in zip(patterns, flows)]})
+
+    joined = placed.where("component is not null").select("component", "pattern", "pattern_size", "at", "number", quota.alias("quota"))
+    return alone.union(joined.groupBy("component").applyInPandas(solve, _FLOWS))
+
+
+_USES = "array<struct<source:int,pass:int>>"
+_PIECES = f"pattern string, pieces array<struct<source:int,pass:int,lo:long,hi:long>>, placed array<struct<k:string,uses:{_USES}>>"
+
+
+def _plans(flows: DataFrame, large: DataFrame) -> DataFrame:
+    """(pattern, pieces, placed): what the small documents fill, and the uses of the large ones, pattern by pattern."""
+    def plan(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                flow = {f["at"]: f["flow"] for f in r["flows"] or []}
+                size, mine = r["pattern_size"], sorted(r["large"] or [], key=lambda x: (x["h"], x["k"] or ""))
+                uses, pieces = _place_large(size, _segments(size, flow) if size else [], [(x["k"], x["size"]) for x in mine])
+                out.append({"pattern": r["pattern"],
+                            "pieces": [{"source": s, "pass": e, "lo": lo, "hi": hi} for s, e, lo, hi in pieces],
+                            "placed": [{"k": k, "uses": [{"source": s, "pass": e} for s, e in u]} for k, u in uses.items()]})
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    arrow = to_arrow_schema(T._parse_datatype_string(_PIECES))
+    return flows.join(large, "pattern", "left").select("pattern", "pattern_size", "flows", "large").mapInArrow(plan, _PIECES)
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", sources: Column | None = None, size: Column | None = None,
         params: Mix = Mix()) -> DataFrame:
     """One row per input row: doc_id, sources, size, uses array<struct<source, pass>> and the targets' table values.
@@ -124,69 +195,57 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", sources: Column | None = None,
     ``sources`` is an array column (default: the one source of the row); ``size`` a long column (default: words of
     ``text``).  ``target`` and ``source_size`` are arrays parallel to ``sources``.
     """
-    spark = docs.sparkSession
+    ship(docs.sparkSession)
     sources = F.array(F.col("source")) if sources is None else sources
     size = word_count(F.col("text")) if size is None else size
     rows = stored(docs.select(F.col(f"`{doc_id}`").alias("doc_id"),
                               F.sort_array(F.array_distinct(sources)).alias("sources"), size.alias("size"))
                   .withColumn("pattern", F.to_json(F.struct("sources"))), "mix-rows")
-    found = rows.groupBy("pattern").agg(F.first("sources").alias("sources"), F.sum("size").alias("size")
-                                        ).limit(params.max_patterns + 1).collect()
-    if len(found) > params.max_patterns:
-        raise ValueError(f"more than {params.max_patterns} membership patterns; merge rare sources first")
-    found.sort(key=lambda r: r["pattern"])
-    names = sorted({s for r in found for s in r["sources"]}, key=lambda s: (s is None, s or ""))
-    number = {s: i for i, s in enumerate(names)}
-    sizes = [sum(r["size"] for r in found if s in r["sources"]) for s in names]
-    goals = targets(sizes, params.weights, params.share, params.max_repeats)
-    flows = route([(tuple(number[s] for s in r["sources"]), r["size"]) for r in found],
-                  [round(g) for g in goals], params.max_repeats)
-
-    info = spark.createDataFrame(
-        [(r["pattern"], p, r["size"], [goals[number[s]] for s in r["sources"]], [sizes[number[s]] for s in r["sources"]])
-         for p, r in enumerate(found)],
-        "pattern string, p int, pattern_size long, target array<double>, source_size array<long>")
-    rows = rows.join(F.broadcast(info), "pattern")   # at most ``max_patterns`` rows
+    patterns = stored(rows.groupBy("pattern").agg(F.first("sources").alias("sources"), F.sum("size").alias("size")), "mix-patterns")
+    goals = _sources(patterns, params)
+    members = patterns.select("pattern", F.col("size").alias("pattern_size"), F.size("sources").alias("n_sources"),
+                              F.posexplode("sources").alias("at", "of"))
+    members = stored(members.join(goals, F.col("of").eqNullSafe(F.col("source"))).drop("of"), "mix-memberships")
+    by_place = F.sort_array(F.collect_list(F.struct("at", "goal", "source_size")))   # sources of one pattern
+    info = members.groupBy("pattern").agg(by_place.alias("m")).select(
+        "pattern", F.transform("m", lambda x: x["goal"]).alias("target"), F.transform("m", lambda x: x["source_size"]).alias("source_size"))
+
     order = F.xxhash64("doc_id", F.lit(params.seed))
-    keys = rows.groupBy("p", "doc_id").agg(F.sum("size").alias("size"), F.first("pattern_size").alias("pattern_size"))
-    keys = stored(keys.select("p", "doc_id", "size", order.alias("h"), F.pmod(order, F.lit(_BUCKETS)).alias("b"),
+    keys = rows.join(patterns.select("pattern", F.col("size").alias("pattern_size")), "pattern")
+    keys = keys.groupBy("pattern", "doc_id").agg(F.sum("size").alias("size"), F.first("pattern_size").alias("pattern_size"))
+    keys = stored(keys.select("pattern", "doc_id", "size", order.alias("h"), F.pmod(order, F.lit(_BUCKETS)).alias("b"),
                               (F.col("size") * _LARGE > F.col("pattern_size")).alias("large")), "mix-keys")
+    # fewer than 200 documents of each pattern
+    large = keys.where("large").groupBy("pattern").agg(F.collect_list(
+        F.struct("h", F.col("doc_id").cast("string").alias("k"), "size")).alias("large"))
+    flows = patterns.select("pattern", F.col("size").alias("pattern_size")).join(_flows(members, params), "pattern", "left")
+    plans = stored(_plans(flows, large), "mix-plans")
 
-    large = defaultdict(list)   # fewer than 200 documents of each pattern
-    for r in keys.where("large").select("p", F.col("doc_id").cast("string").alias("k"), "size", "h").collect():
-        large[r["p"]].append((r["h"], r["k"], r["size"]))
-    pieces, uses = [], []
-    for p, r in enumerate(found):
-        mine = [(k, s) for _, k, s in sorted(large[p], key=lambda x: (x[0], x[1] or ""))]
-        placed, rest = _place_large(r["size"], _segments(r["size"], flows[p]) if r["size"] else [], mine)
-        pieces.append((p, [(names[s], e, a, b) for s, e, a, b in rest]))
-        uses += [(p, k, [(names[s], e) for s, e in u]) for k, u in placed.items()]
-
-    use_type = "array<struct<source:string,pass:int>>"
-    piece_table = spark.createDataFrame(pieces, "p int, pieces array<struct<source:string,pass:int,lo:long,hi:long>>")
-    use_table = spark.createDataFrame(uses, f"p int, k string, uses {use_type}")
-    small = _placed(keys.where("not large"), piece_table)
-    small = small.select("p", "doc_id", F.expr(
-        f"cast(transform(filter(pieces, s -> s.lo <= at and at < s.hi), s -> struct(s.source, s.pass)) as {use_type})"
-    ).alias("uses"))
+    small = _placed(keys.where("not large"), plans.select("pattern", "pieces"))
+    small = small.select("pattern", "doc_id", F.expr(
+        f"cast(transform(filter(pieces, s -> s.lo <= at and at < s.hi), s -> struct(s.source, s.pass)) as {_USES})").alias("uses"))
+    placed = plans.select("pattern", F.explode("placed").alias("u")).select("pattern", "u.k", "u.uses")
     big = (keys.where("large").withColumn("k", F.col("doc_id").cast("string")).alias("d")
-           .join(use_table.alias("u"), (F.col("d.p") == F.col("u.p")) & F.col("d.k").eqNullSafe(F.col("u.k")), "left")
-           .select("d.p", "d.doc_id", F.coalesce("uses", F.array().cast(use_type)).alias("uses")))
+           .join(placed.alias("u"), (F.col("d.pattern") == F.col("u.pattern")) & F.col("d.k").eqNullSafe(F.col("u.k")), "left")
+           .select("d.pattern", "d.doc_id", F.coalesce("uses", F.array().cast(_USES)).alias("uses")))
     chosen = small.union(big)
-    return (rows.alias("r").join(chosen.alias("c"), (F.col("r.p") == F.col("c.p"))
-                                 & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")))
-            .select("r.doc_id", "sources", "size", "uses", "target", "source_size"))
+    named = F.transform("c.uses", lambda u: F.struct(F.get("sources", u["source"]).alias("source"), u["pass"].alias("pass")))
+    none = F.array()
+    return (rows.join(info, "pattern", "left").alias("r")
+            .join(chosen.alias("c"), (F.col("r.pattern") == F.col("c.pattern")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")))
+            .select("r.doc_id", "sources", "size", named.alias("uses"), F.coalesce("target", none.cast("array<double>")).alias("target"),
+                    F.coalesce("source_size", none.cast("array<bigint>")).alias("source_size")))
 
 
 def _placed(keys: DataFrame, pieces: DataFrame) -> DataFrame:
     """Place ``at`` of every key in its pattern's seeded order, exact where a piece begins or ends nearby."""
-    before = Window.partitionBy("p").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = keys.groupBy("p", "b").agg(F.sum("size").alias("n"))
-    buckets = buckets.select("p", "b", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    buckets = buckets.join(F.broadcast(pieces), "p").withColumn("cut", F.expr(
+    before = Window.partitionBy("pattern").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = keys.groupBy("pattern", "b").agg(F.sum("size").alias("n"))
+    buckets = buckets.select("pattern", "b", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    buckets = buckets.join(pieces, "pattern").withColumn("cut", F.expr(
         "exists(pieces, s -> (start < s.lo and s.lo < start + n) or (start < s.hi and s.hi < start + n))"))
-    placed = stored(keys.drop("large").join(buckets, ["p", "b"]), "mix-placed")
-    within = Window.partitionBy("p", "b").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = stored(keys.drop("large").join(buckets, ["pattern", "b"]), "mix-placed")
+    within = Window.partitionBy("pattern", "b").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     exact = placed.where("cut").withColumn("at", F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     whole = placed.where("not cut").withColumn("at", F.col("start"))
     return exact.unionByName(whole)

@@ -45,6 +45,9 @@ def _write(folder, rows, items, labels):
     pq.write_table(pa.table({"doc_id": pa.array([i for i, _ in labels], pa.int64()),
                              "quality": pa.array([1] * len(labels), pa.int64()),
                              "toxic": pa.array([y for _, y in labels], pa.int64())}), folder / "labels.parquet")
+    vectors = [[i % 3 - 1.0, i / 7, None if i == 9 else 0.5] for i in range(120)] if rows else []
+    pq.write_table(pa.table({"vec_id": pa.array(range(len(vectors)), pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())),
+                             "label": pa.array([0] * len(vectors), pa.int32())}), folder / "embeddings.parquet")
     return str(folder)
 
 

@@ -201,7 +201,7 @@ def test_mix_of_overlapping_sources(spark):
     from pyspark.sql import functions as F
     found = mixing.mix(docs, "id", F.col("of"), F.col("size"), mixing.Mix(weights=(3, 1), share=1.0)).collect()
     sizes = {s: sum(n for _, of, n in rows if s in of) for s in "ab"}
-    goals = dict(zip("ab", mixing.targets([sizes["a"], sizes["b"]], (3, 1), 1.0, 2)))
+    goals = dict(zip("ab", brute.targets([sizes["a"], sizes["b"]], 1.0, 2, (3, 1, 3))))
     taken = {s: sum(r["size"] for r in found for u in r.uses if u.source == s) for s in "ab"}
     for s in "ab":
         assert abs(taken[s] - goals[s]) <= 0.01 * sizes[s]
@@ -209,9 +209,37 @@ def test_mix_of_overlapping_sources(spark):
     assert all(len({u["pass"] for u in r.uses}) == len(r.uses) for r in found)
 
 
-@given(st.lists(st.integers(0, 50), min_size=1, max_size=8))
-def test_targets(sizes):
-    assert mixing.targets(sizes, (3, 1, 2), 1.5, 2) == pytest.approx(brute.targets(sizes))
+@pytest.mark.parametrize("sizes", [[5, 0, 50, 7, 7, 1], [0, 0], [9], [1, 100, 1, 1, 100, 3, 2, 40], list(range(1, 60))])
+def test_targets(spark, sizes):
+    names = [f"s{i:03}" for i in range(len(sizes))]
+    docs = spark.createDataFrame([(i, [n], z) for i, (n, z) in enumerate(zip(names, sizes))], "id long, of array<string>, size long")
+    found = {r.sources[0]: r.target[0] for r in mixing.mix(docs, "id", F.col("of"), F.col("size")).collect()}
+    assert [found[n] for n in names] == pytest.approx(brute.targets(sizes))
+
+
+def test_as_many_patterns_as_there_are(spark):
+    """30,000 membership patterns: most of one source, some that overlap in small sets; every target is met as it can be."""
+    rows, n = [], 30_000
+    for i in range(n):
+        of = [f"d{i}"] if i % 10 else [f"d{i}", f"d{i + 1}"]
+        rows.append((i, of, 5 + i % 7))
+    docs = spark.createDataFrame(rows, "id long, of array<string>, size long")
+    found = mixing.mix(docs, "id", F.col("of"), F.col("size")).collect()
+    assert len(found) == n and {r.doc_id for r in found} == set(range(n))
+    sizes, taken, goals = {}, {}, {}
+    for r in found:
+        for s, z, g in zip(r.sources, r.source_size, r.target):
+            sizes[s] = sizes.get(s, 0) + r.size
+            goals[s] = (z, g)
+        for u in r.uses:
+            taken[u.source] = taken.get(u.source, 0) + r.size
+        assert len(r.uses) <= 2 and {u.source for u in r.uses} <= set(r.sources)
+    order = sorted(sizes)
+    want = dict(zip(order, brute.targets([sizes[s] for s in order])))
+    for s, (z, g) in goals.items():
+        assert z == sizes[s] and g == pytest.approx(want[s])
+        assert taken.get(s, 0) <= g + 8       # one document of a pattern: taken whole or not
+    assert sum(taken.values()) > 0.5 * sum(min(g, 2 * sizes[s]) for s, (_, g) in goals.items())
 
 
 # --- 7: forest --------------------------------------------------------------------------------
