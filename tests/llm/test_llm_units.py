@@ -515,3 +515,22 @@ def test_clean_texts_of_any_script_stay(spark):
     few = quality.Limits(languages=1)     # only the largest language has a reference; the others pass on the base rules
     assert set(quality.references(docs, limits=few)) == {"ru"}
     assert {100, 101, 102, 300} <= {r.doc_id for r in quality.quality_filter(docs, few).collect()}
+
+
+@pytest.mark.parametrize("n", [256, 1024, 4096])
+def test_candidates_grow_with_the_classes(spark, n):
+    """Near copies of one text, in regions far larger than a block: a few pairs per class, all in one cluster."""
+    shape = forest.Forest(trees=4, own=8, most=128)
+    rng = np.random.default_rng(n)
+    base = rng.integers(0, 256, shape.hashes // 2, dtype=np.uint8)
+    rows = []
+    for i in range(n):
+        sketch = base.copy()
+        at = rng.integers(0, len(sketch), 2)
+        sketch[at] = rng.integers(0, 256, 2, dtype=np.uint8)
+        label = np.concatenate([np.r_[np.zeros(8, dtype=np.uint8), rng.integers(0, 256, 16, dtype=np.uint8)] for _ in range(4)])
+        rows.append((i, bytearray(label.tobytes()), bytearray(sketch.tobytes())))
+    heads = spark.createDataFrame(rows, "id long, labels binary, sketch binary").cache()
+    pairs, clusters = forest._pairs(heads, shape)
+    assert pairs.count() <= 5 * n
+    assert {r.cluster for r in clusters.collect()} == {0} and clusters.count() == n
