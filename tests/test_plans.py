@@ -58,6 +58,10 @@ UNUSED = {"lineitem": ("l_extendedprice", "l_discount", "l_tax", "l_returnflag",
           "supplier": ("s_nationkey", "s_acctbal")}
 
 
+# the rounding query computes a price from them
+USED = {"round_half_even": ("l_extendedprice", "l_discount", "l_tax")}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_scans_read_only_used_columns(spark, key):
     buf = io.StringIO()
@@ -68,5 +72,5 @@ def test_scans_read_only_used_columns(spark, key):
         loc = re.search(r"Location: \S+ \[.*?/(\w+)\.parquet", block)
         schema = re.search(r"ReadSchema: (.+)", block)
         if loc and schema and loc.group(1) in UNUSED:
-            for c in UNUSED[loc.group(1)]:
+            for c in set(UNUSED[loc.group(1)]) - set(USED.get(key, ())):
                 assert c not in schema.group(1), f"{key}: {loc.group(1)} scan reads {c}"
