@@ -24,7 +24,7 @@ import hashlib
 import math
 import zlib
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +52,7 @@ class Training:
     seed: int = 3
     least: int = 2          # occurrences from which a word may have a class of its own
     shard: int = 1 << 21    # tokens that one trainer sees, about
-    listed: int = 1 << 19   # workers hold the words that are one in so many tokens; rarer ones are joined
+    listed: int = 1 << 21   # workers hold the words that are one in so many tokens; rarer ones are joined
 
 
 class Vocabulary:
@@ -83,18 +83,21 @@ class Vocabulary:
         e = zlib.crc32(word[-2:]) % ENDINGS
         return math.log(n) - self.all[e] if n else self.unseen[e] - (len(word) + 1) * math.log(257)
 
-    def looked_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Classes of the words, and log P(word | class) of the listed ones, nan for the others."""
+    def looked_up(self, texts_: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Classes of all words of the texts, one after the other, log P(word | class) of the listed ones (0 for the
+        others), and the places of the others with these words."""
         if self.places is None:
             self.places = dict(zip(self.listed, range(len(self.listed))))
-            self.values = np.array([*self.listed.values(), math.nan])
+            self.values = np.array([*self.listed.values(), 0.0])
             self.own = np.array([*map(self._class, self.listed), 0], dtype=np.uint16)
             self.cache = BoundedCache(self._class, _CACHE)
-        at = np.fromiter(map(self.places.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        classes_ = self.own[at]
-        for k in np.flatnonzero(at < 0).tolist():
-            classes_[k] = self.cache[words[k]]
-        return classes_, self.values[at]
+        edges = np.cumsum([0, *map(len, texts_)])
+        at = np.fromiter(map(self.places.get, chain.from_iterable(texts_), repeat(-1)), dtype=np.int64, count=int(edges[-1]))
+        classes_, others = self.own[at], np.flatnonzero(at < 0)
+        text_of = np.searchsorted(edges, others, side="right") - 1
+        words = [texts_[t][k] for t, k in zip(text_of.tolist(), (others - edges[text_of]).tolist())]
+        classes_[others] = np.fromiter(map(self.cache.__getitem__, words), dtype=np.uint16, count=len(words))
+        return classes_, self.values[at], others, words
 
     def joined(self, rare: DataFrame) -> DataFrame:
         """``rare`` (w, ...) with ``within``, from the table of counts."""
@@ -105,7 +108,7 @@ class Vocabulary:
 
     def padded(self, text: bytes) -> np.ndarray:
         """Classes of all words with ``SIDE`` classes of padding around them."""
-        return np.pad(self.looked_up(text.split())[0], SIDE)
+        return np.pad(self.looked_up([text.split()])[0], SIDE)
 
 
 def ending(word: str) -> Column:
@@ -250,15 +253,16 @@ def encoded(docs: DataFrame, words: Vocabulary, key: str = "doc_id", text: str =
         for batch in batches:
             split = [t.split() for t in texts(batch)]
             edges = np.cumsum([0, *map(len, split)])
-            all_ = [w for ws in split for w in ws]
-            classes_, within = shared.value.looked_up(all_)
-            unlisted = np.flatnonzero(np.isnan(within))
-            sums = np.r_[0, np.cumsum(np.nan_to_num(within))][edges]
-            padded = [np.pad(classes_[x:y], SIDE).tobytes() for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())]
-            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(unlisted, edges).astype("i4")),
-                                            pa.array([all_[i] for i in unlisted.tolist()], pa.binary()).cast(pa.string()))
+            classes_, within, others, words_ = shared.value.looked_up(split)
+            sums = np.r_[0, np.cumsum(within)][edges]
+            ends = 2 * (edges + 2 * SIDE * np.arange(len(edges)))     # two bytes a class, padding around every text
+            padded = np.zeros(ends[-1] // 2, dtype=np.uint16)
+            padded[np.arange(len(classes_)) + np.repeat(2 * SIDE * np.arange(len(split)) + SIDE, np.diff(edges))] = classes_
+            padded = pa.BinaryArray.from_buffers(pa.binary(), len(split), [None, pa.py_buffer(ends.astype("i4")), pa.py_buffer(padded)])
+            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(others, edges).astype("i4")),
+                                            pa.array(words_, pa.binary()).cast(pa.string()))
             yield pa.record_batch([batch.column(0), pa.array(row + np.arange(len(split))), pa.array(np.diff(edges)),
-                                   pa.array(padded, pa.binary()), pa.array(np.diff(sums)), rare],
+                                   padded, pa.array(np.diff(sums)), rare],
                                   names=["k", "row", "n_tokens", "padded", "within", "rare"])
             row += len(split)
 
