@@ -39,17 +39,3 @@ def balanced_row_number(df: DataFrame, partition_by: list[str], order_by: list[C
     return (numbered.join(offsets, [*partition_by, "_slice"])
             .withColumn(name, F.col("_local") + F.col("_offset"))
             .drop("_slice", "_local", "_offset"))
-
-
-def split_groups(df: DataFrame, keys: list[str], max_rows: int, by: str, name: str = "chunk") -> DataFrame:
-    """Add a ``chunk`` number so that every (keys, chunk) group holds at most
-    ``max_rows`` rows: rows are numbered within their group in ``by`` order
-    (balanced numbering, so a hot group is cut over many tasks) and chunk
-    ``c`` takes rows ``c * max_rows + 1 … (c + 1) * max_rows``.  Groups of at
-    most ``max_rows`` rows stay whole (chunk 0).  Nothing about the groups is
-    gathered or broadcast: the only per-group state is one count per (group,
-    slice).
-    """
-    numbered = balanced_row_number(df, keys, [F.col(by).asc_nulls_last()], name="_rn")
-    return (numbered.withColumn(name, F.floor((F.col("_rn") - 1) / F.lit(max_rows)).cast("long"))
-            .drop("_rn"))

@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from replenix.operators.ranking import split_groups  # noqa: E402
+from sample_data import split_groups  # noqa: E402
 from replenix.plans import pipeline  # noqa: E402
 from replenix.plans.views import Views  # noqa: E402
 from replenix.session import build_session  # noqa: E402

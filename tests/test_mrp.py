@@ -110,7 +110,7 @@ def test_balanced_row_number_equals_window_on_hot_group(spark):
 
 
 def test_split_groups_cuts_only_large_groups(spark):
-    from replenix.operators.ranking import split_groups
+    from sample_data import split_groups
     rows = spark.range(0, 20000).select(
         F.when(F.col("id") < 15000, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"),
         F.col("id").cast("string").alias("rid"))
