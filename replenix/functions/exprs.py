@@ -62,13 +62,17 @@ def parse_iso_ts(text) -> Column:
 
 
 def file_stem(path) -> Column:
-    """Base name of a path without its extension ('…/STORE_01.json' -> 'STORE_01')."""
-    return F.regexp_extract(col(path), r"([^/]+?)(\.[^./]*)?$", 1)
+    """Base name of a path without its extension ('…/STORE_01.json' -> 'STORE_01').
+
+    Cut by its separators: a pattern looked for in the whole path is tried from every one of its characters."""
+    name = F.substring_index(col(path), "/", -1)
+    stem = F.length(name) - F.length(F.substring_index(name, ".", -1)) - 1   # below 1: no dot, or nothing before it
+    return F.when(stem > 0, F.left(name, stem)).otherwise(name)
 
 
 def parent_folder(path) -> Column:
     """Name of the folder holding a file ('…/2026-01-14/SUP_001.json' -> '2026-01-14')."""
-    return F.regexp_extract(col(path), r"([^/]+)/[^/]+$", 1)
+    return F.regexp_extract(F.substring_index(col(path), "/", -2), r"^([^/]+)/[^/]+$", 1)
 
 
 def missing_keys(json_text, required: list[str]) -> Column:

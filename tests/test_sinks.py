@@ -77,3 +77,19 @@ def test_list_files_lists_without_reading(spark, tmp_dir):
     got = sorted((r.exec_date, r.file_stem) for r in
                  files.list_files(spark, [f"{tmp_dir}/2026-01-14", f"{tmp_dir}/2026-01-15"], ".json").collect())
     assert got == [("2026-01-14", "STORE_01"), ("2026-01-14", "STORE_02"), ("2026-01-15", "STORE_01")]
+
+
+def test_file_stem_reads_a_name_once(spark):
+    """The cost per row stays with the name's length: a path of one long component, and names with many or no dots."""
+    import time
+    from replenix.functions.exprs import file_stem, parent_folder
+    names = ["/in/d/STORE_01.json", "/in/d/STORE_01", "/in/d/.json", "/in/d/a.b.c", "/in/d/a.", "/in/d/", "", "x.txt", "s3a://b/d e/f.1.csv"]
+    df = spark.createDataFrame([(n,) for n in names], "p string")
+    got = [(r.s, r.f) for r in df.select(file_stem("p").alias("s"), parent_folder("p").alias("f")).collect()]
+    assert got == [("STORE_01", "d"), ("STORE_01", "d"), (".json", "d"), ("a.b", "d"), ("a", "d"), ("", ""), ("", ""),
+                   ("x", ""), ("f.1", "d e")]
+    long = F.concat(F.lit("/"), F.repeat(F.lit("f"), 8000), F.lit("/"), F.repeat(F.lit("n"), 8000), F.lit("/part.json"))
+    start = time.time()
+    rows = spark.range(0, 300, numPartitions=1).select(F.concat(long, F.col("id").cast("string")).alias("p"))
+    assert rows.where((F.length(file_stem("p")) != 4) | (F.length(parent_folder("p")) != 8000)).count() == 0
+    assert time.time() - start < 15     # looked for from every character, each of these paths takes 64 million steps
