@@ -48,8 +48,8 @@ def glob_any_case(ext: str) -> str:
 
 
 # a whole folder name that is a date (or key=date); the last one of a path counts, so that a dated
-# export folder above the feed is not taken for the data's date
-DATE_FOLDER = r"^.*/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/"
+# export folder above the feed is not taken for the data's date; ++ gives nothing back, as no shorter name precedes a =
+DATE_FOLDER = r"^.*/(?:[^/=]++=)?(\d{4}-\d{2}-\d{2})/"
 
 
 def store_of(path, date_pattern: str = DATE_FOLDER) -> Column:
