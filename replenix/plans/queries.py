@@ -346,9 +346,9 @@ def _orders_feed(v: Views) -> DataFrame:
 def _write_json_arrays(v: Views, path: str) -> None:
     """JSON Lines in folders date=<period>/store=<store>, a line being the array of one order's lines:
     a few rows are gathered per array, and files of any size split by line."""
-    one = F.to_json(F.struct("order_id", "store_id", "sku", "quantity", "timestamp"))
+    lines = F.collect_list(F.struct("order_id", "store_id", "sku", "quantity", "timestamp"))
     arrays = (_orders_feed(v).groupBy(P, "store_id", F.substring_index("order_id", "-", 1).alias("order"))
-              .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(one)), F.lit("]")).alias("value"))
+              .agg(F.to_json(lines).alias("value"))
               .select(F.col(P).cast("string").alias("date"), F.col("store_id").alias("store"), "value"))
     arrays.write.mode("overwrite").partitionBy("date", "store").text(path)
 
