@@ -16,6 +16,7 @@ PERIOD = "exec_year"
 STORE_COUNT = 7            # store id = customer % 7  ->  STORE_0 … STORE_6
 WAREHOUSES = (0, 1)        # WH_1 only for even SKUs
 POS_YEAR = 1997            # the single period of the filtered scan
+PARTS_PER_TASK = 50_000    # parts whose stock rows one task makes
 
 
 _TABLES: dict = {}
@@ -78,13 +79,20 @@ def years_array(spark: SparkSession, sf_dir: str):
             .scalar())
 
 
+def dealt(parts: DataFrame) -> DataFrame:
+    """The parts in as many tasks as their number asks for: every part becomes a row per period and warehouse, and a
+    task that reads a whole row group would sort or group all of those.  The count comes from the file footers."""
+    tasks = -(-parts.count() // PARTS_PER_TASK)
+    return parts.repartition(tasks, "p_partkey") if tasks > 1 else parts
+
+
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock snapshot rows: sku, exec_year, warehouse, available_stock, reserved_stock.
 
     One row per (sku, period, warehouse); the period and warehouse lists are
     bounded, so each part row fans out by a fixed small factor (generator, no join).
     """
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku"))
+    p = dealt(table(spark, sf_dir, "part")).select(F.col("p_partkey").alias("sku"))
     y = F.col(PERIOD).cast("long")
     w = F.col("w").cast("long")
     return (p.where(F.col("sku") % 29 != 0)
