@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from replenix.session import scratch_path
+from replenix.sinks.writers import remove_folder
+
 
 def as_number(df: DataFrame, column: str) -> Column:
     """A number that grows with the column: itself, days of a date, or the first seven bytes of a text."""
@@ -41,8 +44,15 @@ def with_curve_key(df: DataFrame, columns: list[str], bits: int = 6, name: str =
 
 
 def write_clustered(df: DataFrame, path: str, columns: list[str], files: int, bits: int = 6,
-                    row_group_bytes: int = 16 << 20, page_rows: int = 20_000) -> None:
-    """Writes ``df`` in ``files`` files along the curve over ``columns``, replacing the table."""
+                    row_group_bytes: int = 16 << 20, page_rows: int = 20_000, file_rows: int = 1_000_000) -> None:
+    """Writes ``df`` in ``files`` files along the curve over ``columns``, replacing the table; in more, so that none
+    has to sort many more than ``file_rows`` rows.
+
+    The rows are staged first: their count, the ends of the ranges, the cut into files and the files read them."""
+    staged = scratch_path(df.sparkSession, "clustered")
+    df.write.parquet(staged)
+    df = df.sparkSession.read.schema(df.schema).parquet(staged)
+    files = max(files, -(-df.count() // file_rows))
     out = with_curve_key(df, columns, bits)
     out = out.repartitionByRange(files, "_curve", *columns).sortWithinPartitions("_curve", *columns).drop("_curve")
     writer = (out.write.mode("overwrite").option("parquet.block.size", str(row_group_bytes))
@@ -50,3 +60,4 @@ def write_clustered(df: DataFrame, path: str, columns: list[str], files: int, bi
     for c in columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     writer.parquet(path)
+    remove_folder(df.sparkSession, staged)
