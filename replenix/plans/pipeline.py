@@ -166,8 +166,8 @@ def _export(lines: DataFrame, base: str, scratch: str, dates: list[str], clock:
     writers.write_documents(docs, f"{base}/output/supplier_orders", P, touched=dates)
 
 
-def _quality(spark: SparkSession, cfg: Config, raw: dict, parsed: DataFrame, products: DataFrame, preferred: DataFrame,
-             base: str, scratch: str, dates: list[str], clock: Column | None) -> tuple[DataFrame, DataFrame]:
+def _quality(spark: SparkSession, cfg: Config, raw: dict, demand: DataFrame, parsed: DataFrame, products: DataFrame,
+             preferred: DataFrame, base: str, scratch: str, dates: list[str], clock: Column | None) -> tuple[DataFrame, DataFrame]:
     """The quality report (B4): its entries and its summary, written and read back."""
     orders = raw["orders"]
     periods = _periods(spark, dates)
@@ -188,8 +188,9 @@ def _quality(spark: SparkSession, cfg: Config, raw: dict, parsed: DataFrame, pro
         pdocs = qc.product_documents(products.drop("supplier_id"), preferred)
     # the orders' store / SKU rollup feeds checks 1 and 4 of both the counts and the
     # entries: built once, checkpointed in the shared folder, read three times
-    rollup = _kept(qc.orders_rollup(orders, P, stores=raw["order_files"], folders=raw["order_folders"]),
-                   f"{scratch}/rollup")
+    sums = demand.select(P, F.lit(None).cast(orders.schema["store_id"].dataType).alias("store_id"), "sku",
+                         F.col("total_demand").alias("quantity"))   # the orders, added up by the aggregate step
+    rollup = _kept(qc.orders_rollup(sums, P, stores=raw["order_files"], folders=raw["order_folders"]), f"{scratch}/rollup")
     counts = _kept(qc.report_counts(periods, orders, parsed, expected_skus, products, pdocs, cfg.expected_stores,
                                     cfg.spike_threshold, P, rollup=rollup, snapshots=raw["stock_files"],
                                     products_absent=no_products), f"{scratch}/counts")   # one row per date
@@ -221,15 +222,17 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
     stock = dem.inventory_by_sku(parsed.select(P, "sku", F.col("_avail").alias("available_stock"),
                                                F.col("_resv").alias("reserved_stock")), P)
     products = mst.apply_defaults(cfg.products, schemas.PRODUCTS, schemas.PRODUCT_DEFAULTS)
-    preferred = sup.preferred_suppliers(cfg.product_suppliers)
+    # one row per SKU, asked for by the net demand, the orders and the quality report: chosen once
+    preferred = _kept(sup.preferred_suppliers(cfg.product_suppliers), _new(scratch, "preferred"))
     master = sup.supplier_master(products, preferred)
     net = _step(steps, "net_demand", mrp.net_demand(demand, stock, master, P), f"{base}/processed/net_demand", dates)
 
     # purchase orders (B3) and the quality report (B4) need nothing of one another
-    lines = ords.order_lines(net, sup.sku_names(products, preferred, cfg.suppliers), P)
+    names = sup.sku_names(products, preferred, cfg.suppliers)
+    lines = ords.order_lines(net, names, P)
     done = steps.side_by_side(
         export=(lambda: _export(lines, base, _new(scratch, "lines"), dates, clock), lambda: None),
-        quality=(lambda: _quality(spark, cfg, raw, parsed, products, preferred, base, _new(scratch, "quality"), dates, clock),
+        quality=(lambda: _quality(spark, cfg, raw, demand, parsed, products, preferred, base, _new(scratch, "quality"), dates, clock),
                  lambda: _reports(spark, base, dates)))
     details, summary = done["quality"]
 
@@ -245,13 +248,16 @@ def _run(spark: SparkSession, cfg: Config, dates: list[str], base: str, scratch:
         archived = steps.run("archive", lambda: _archived(spark, cfg, base, written, dates),
                              lambda: _archived_rows(spark, cfg, written, dates))
     metrics = _metrics(spark, dates, raw, demand, lines, net, archived)
+    metrics = spark.createDataFrame(metrics.collect(), metrics.schema)   # one row per date; the log and the caller use it
     stamp = clock if clock is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     run_row = (metrics.agg(F.count_if(F.col("sku_count") > 0).alias("dates_with_orders"),
                            F.sum("sku_count").alias("sku_count"))
                .select(stamp.alias("run_at"), F.lit(dates[0]).alias("start_date"),
                        F.lit(dates[-1]).alias("end_date"), "dates_with_orders", "sku_count"))
     steps.run("log", lambda: writers.append_run_log(spark, f"{base}/run_log", run_row))
-    return {"orders": orders, "rejects": raw["rejects"], "demand": demand, "net_demand": net, "lines": lines,
+    # read after the run, which removes what it staged
+    names = sup.sku_names(products, sup.preferred_suppliers(cfg.product_suppliers), cfg.suppliers)
+    return {"orders": orders, "rejects": raw["rejects"], "demand": demand, "net_demand": net, "lines": ords.order_lines(net, names, P),
             "documents": files.read_order_documents(spark, f"{base}/output/supplier_orders"), "report": details, "summary": summary, "audit": audit, "metrics": metrics}
 
 
@@ -274,7 +280,7 @@ def _archived(spark: SparkSession, cfg: Config, base: str, written: dict, dates:
     copies = {}
     for name, df in written.items():
         target = f"{cfg.archive_base.rstrip('/')}/{folders[name]}"
-        writers.write_partitioned(df, target, P, touched=dates)
+        writers.write_partitioned(df, target, P, touched=dates, rebalance=False)   # the files are sized already
         copies[name] = _read(spark, target, dates, df)
     differ = digest.differences(written, copies, P)
     if not differ.isEmpty():

@@ -72,7 +72,7 @@ def _lines(spark: SparkSession, roots: list[str], ext: str) -> DataFrame:
     return text.select(
         F.btrim("value", F.lit(" \t\r")).alias("value"), F.col("_metadata.file_path").alias("path"),
         (F.octet_length("value") + 1).cast("long").alias("octets"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("at"))
 
 
 def _complete(value) -> Column:
@@ -82,19 +82,38 @@ def _complete(value) -> Column:
 
 
 def _heads(lines: DataFrame) -> DataFrame:
-    """One row per file: path, its first line, how many lines, how many of them complete JSON values, its octets."""
-    some = F.length("value") > 0
-    return lines.groupBy("path").agg(F.min_by("value", F.when(some, F.col("at"))).alias("first"),
-                                     F.min(F.when(some, F.col("at"))).alias("first_at"), F.count_if(some).alias("n"),
-                                     F.count_if(_complete("value")).alias("n_complete"), F.sum("octets").alias("octets"))
+    """One row per file: path, the place of its first line and the signs it begins and ends with (``signs``, see
+    ``_is_document``), how many lines, how many of them complete JSON values, its octets.
+
+    Whole numbers alone are compared and added per line, so that the lines are hashed and not sorted: a line's signs
+    are the last digits of its number, and the byte ranges of a file, whose order the numbers do not tell, meet after."""
+    some, value = F.length("value") > 0, F.col("value")
+    signs = value.startswith("[").cast("long") + 2 * value.startswith("{").cast("long") + 4 * value.endswith("]").cast("long")
+    ranges = (lines.select("path", "octets", F.col("at").getField("block").alias("block"), some.alias("some"),
+                           _complete("value").alias("complete"), (F.col("at").getField("id") * 8 + signs).alias("numbered"))
+              .groupBy("path", "block").agg(F.min(F.when(F.col("some"), F.col("numbered"))).alias("numbered"),
+                                            F.count_if("some").alias("n"), F.count_if("complete").alias("n_complete"),
+                                            F.sum("octets").alias("octets")))
+    first = F.when(F.col("numbered").isNotNull(), F.struct("block", "numbered"))
+    files = ranges.groupBy("path").agg(F.min(first).alias("first"), F.sum("n").alias("n"),
+                                       F.sum("n_complete").alias("n_complete"), F.sum("octets").alias("octets"))
+    return files.select("path", F.struct(F.col("first.block").alias("block"), F.shiftright("first.numbered", 3).alias("id")).alias("first_at"),
+                        F.col("first.numbered").bitwiseAND(F.lit(7)).alias("signs"), "n", "n_complete", "octets")
 
 
 def _is_document() -> Column:
     """A file holding one JSON value over several lines, told by its lines: an array opened but not
     closed on the first line, or an object without any complete line.  All else is read line by line."""
-    first = F.col("first")
-    return ((first.startswith("[") & ((F.col("n") == 1) | ~first.endswith("]")))
-            | (first.startswith("{") & (F.col("n_complete") == 0) & (F.col("n") > 1)))
+    array, object_, closed = (F.col("signs").bitwiseAND(F.lit(k)) > 0 for k in (1, 2, 4))
+    return ((array & ((F.col("n") == 1) | ~closed))
+            | (object_ & (F.col("n_complete") == 0) & (F.col("n") > 1)))
+
+
+def _headers(lines: DataFrame, staging: str) -> DataFrame:
+    """A written table, one row per file: path, the place of its first line, and that line (``first``)."""
+    found = _written(_heads(lines).select("path", "first_at"), f"{staging}/places")
+    first = lines.join(found, "path").where("at = first_at").select("path", "first_at", F.col("value").alias("first"))
+    return _written(first, f"{staging}/heads")
 
 
 def _json_kinds(spark: SparkSession, roots: list[str], ext: str) -> DataFrame:
@@ -108,17 +127,19 @@ def _json_kinds(spark: SparkSession, roots: list[str], ext: str) -> DataFrame:
         "path", (~whole | F.coalesce(_is_document(), F.lit(False))).alias("document"))
 
 
-def _json_by_content(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str, staging: str) -> DataFrame:
+def _json_by_content(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str, staging: str,
+                     named: dict[str, Column]) -> DataFrame:
     """Array files and JSON Lines files side by side, told apart per file by a table (path, kind) that meets the lines:
-    no file name goes through the driver, and no record of a JSON Lines file is lost to an array reader."""
-    kinds = _written(_json_kinds(spark, roots, ext), f"{staging}/kinds")
+    no file name goes through the driver, and no record of a JSON Lines file is lost to an array reader.  ``named``,
+    what a file's path says of its records, is in that table: found once per file."""
+    kinds = _written(_json_kinds(spark, roots, ext).withColumns(named), f"{staging}/kinds")
     lines = _lines(spark, roots, ext).where(F.length("value") > 0).join(kinds.where("not document"), "path")
     value = F.col("value")
     elements = F.when(value.startswith("["), F.from_json("value", "array<string>"))
-    records = lines.select(F.col("path").alias("_path"), F.explode(F.coalesce(elements, F.array("value"))).alias("record"))
+    records = lines.select(*named, F.explode(F.coalesce(elements, F.array("value"))).alias("record"))
     if not kinds.where("document").isEmpty():
         documents = json_split.json_records(spark, roots, glob_any_case(ext), kinds.where("document"), f"{staging}/documents")
-        records = records.union(documents.select("path", "record"))
+        records = records.union(documents.join(kinds, "path").select(*named, "record"))
     return json_split.parsed(records, schema)
 
 
@@ -152,32 +173,33 @@ def _values(line, width: int) -> tuple[Column, Column]:
     return values, F.array_position(values, _END) - 1
 
 
-def _csv_by_header(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str, staging: str) -> DataFrame:
-    """CSV files whose header names the columns, in any order and with further ones: a table (path, header) meets the
-    lines, and every line is read by the places that its file's header gives.  Lines with more or fewer values than the
-    header, values that are not of their type, and all lines of a file that lacks a declared column are rejected."""
+def _csv_by_header(spark: SparkSession, roots: list[str], schema: T.StructType, ext: str, staging: str,
+                   named: dict[str, Column]) -> DataFrame:
+    """CSV files whose header names the columns, in any order and with further ones: a table (path, places of the
+    columns, ``named``) meets the lines, and every line is read by the places that its file's header gives.  Lines with
+    more or fewer values than the header, values that are not of their type, and all lines of a file that lacks a
+    declared column are rejected."""
     lines = _lines(spark, roots, ext).where(F.length("value") > 0)
-    heads = _written(_heads(lines).select("path", "first", "first_at"), f"{staging}/heads")
+    heads = _headers(lines, staging)
     width = heads.agg(F.max(F.size(F.split("first", ",")))).first()[0] or 1   # of the widest header
     header, n = _values(F.col("first"), width)
     names = F.transform(F.slice(header, 1, F.greatest(n, F.lit(0)).cast("int")), lambda v: F.btrim(v, F.lit(" \ufeff")))
     absent = F.array_except(F.array(*[F.lit(f.name) for f in schema.fields]), "_names")
-    files = heads.select("path", "first_at", names.alias("_names")).withColumn("_lacks", F.size(absent) > 0)
+    places = [f"_at{k}" for k in range(len(schema.fields))]   # in the header, from 0; -1 where it lacks the column
+    files = heads.select("path", "first_at", names.alias("_names")).withColumns(named).select(
+        "path", "first_at", *named, F.size("_names").alias("_width"), (F.size(absent) > 0).alias("_lacks"),
+        *[(F.array_position("_names", f.name) - 1).cast("int").alias(p) for p, f in zip(places, schema.fields)])
+    files = _written(files, f"{staging}/files")
     values, n = _values(F.col("value"), width)
     rows = (lines.join(files, "path").where("at <> first_at or _lacks")
-            .select("path", "value", "_names", "_lacks", values.alias("_values"), n.alias("_n")))
-
-    def text(name: str) -> Column:
-        return F.when(F.array_contains("_names", name), F.get("_values", (F.array_position("_names", name) - 1).cast("int")))
-
-    rows = rows.select("path", "value", *[text(f.name).alias(f.name) for f in schema.fields],
-                       ((F.col("_n") == F.size("_names")) & ~F.col("_lacks")).alias("_whole"))
+            .select(*named, "value", *places, "_width", "_lacks", values.alias("_values"), n.alias("_n")))
+    rows = rows.select(*named, "value", *[F.get("_values", F.col(p)).alias(f.name) for p, f in zip(places, schema.fields)],
+                       ((F.col("_n") == F.col("_width")) & ~F.col("_lacks")).alias("_whole"))
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
     right = F.col("_whole")
     for name, value in typed.items():
         right = right & (F.col(name).isNull() | value.isNotNull())
-    return rows.select(*[v.alias(n) for n, v in typed.items()], F.when(~right, F.col("value")).alias(CORRUPT),
-                       F.col("path").alias("_path"))
+    return rows.select(*[v.alias(n) for n, v in typed.items()], F.when(~right, F.col("value")).alias(CORRUPT), *named)
 
 
 def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.StructType, fmt: str = "json",
@@ -205,21 +227,26 @@ def ingest_directory(spark: SparkSession, root: str | list[str], schema: T.Struc
     look = staged.rstrip("/") + "-look"   # tables (path, layout) of the files, and pieces of documents
     if fmt not in ("json", "csv", "parquet"):
         raise ValueError(f"unsupported input format: {fmt}")
+
+    def of_path(path: str) -> dict[str, Column]:
+        return {period: F.regexp_extract(path, date_pattern, 1), "source_file": file_stem(path)}
+
     if not roots:
         df = _nothing(spark, schema)
     elif fmt == "json" and multi_line is None:
-        df = _json_by_content(spark, roots, schema, suffix, f"{look}/json")
+        df = _json_by_content(spark, roots, schema, suffix, f"{look}/json", of_path("path"))
     elif fmt == "json":
         df = _with_path(_reader(spark, schema).option("recursiveFileLookup", True)
                         .option("pathGlobFilter", glob_any_case(suffix)).option("multiLine", multi_line).json(roots), schema)
     elif fmt == "csv":
-        df = _csv_by_header(spark, roots, schema, suffix, f"{look}/csv")
+        df = _csv_by_header(spark, roots, schema, suffix, f"{look}/csv", of_path("path"))
     else:
         read = (spark.read.schema(schema).option("recursiveFileLookup", True)
                 .option("pathGlobFilter", glob_any_case(suffix)).parquet(*roots))
         df = _with_path(read.withColumn(CORRUPT, F.lit(None).cast("string")), schema)
-    df = df.select(*[f.name for f in schema.fields], CORRUPT,
-                   F.regexp_extract("_path", date_pattern, 1).alias(period), file_stem("_path").alias("source_file"))
+    if "_path" in df.columns:
+        df = df.withColumns(of_path("_path"))
+    df = df.select(*[f.name for f in schema.fields], CORRUPT, period, "source_file")
     df.write.mode("overwrite").parquet(staged)
     remove_folder(spark, look)
     df = spark.read.schema(df.schema).parquet(staged)
