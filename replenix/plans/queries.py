@@ -588,16 +588,21 @@ def pipeline_freshness(v: Views) -> DataFrame:
 def scan_orders_json_split(v: Views) -> DataFrame:
     """S1 over one array file per period and store, indented as exports are, read in byte ranges."""
     path = scratch_path(v.spark, "array_files")
+    key, line = (F.substring_index("order_id", "-", at).cast("decimal(20,0)") for at in (1, -1))
+    feed = _orders_feed(v).select(F.col(P).cast("string").alias("date"), F.col("store_id").alias("store"), "order_id", "store_id",
+                                  "sku", "quantity", "timestamp", (key * F.lit(1 << 31).cast("decimal(10,0)") + line).alias("place"))
+    heads = scratch_path(v.spark, "array_heads")   # a row per file, found by numbers alone: nothing is sorted for it
+    feed.groupBy("date", "store").agg(F.min("place").alias("first")).write.parquet(heads)
+    first = v.spark.read.parquet(heads)
+    at = F.when(F.col("place") == F.col("first"), 1).otherwise(2).alias("at")
+    rows = feed.join(F.broadcast(first), ["date", "store"]).select(at, *feed.drop("place").columns)
+    for at in (0, 3):
+        rows = rows.unionByName(first.select(F.lit(at).alias("at"), "date", "store"), allowMissingColumns=True)
+    # columns are dealt and sorted, and become text behind it; a task has few files to write
     one = F.to_json(F.struct("order_id", "store_id", "sku", "quantity", "timestamp"), {"pretty": "true"})
-    feed = _orders_feed(v).select(F.col(P).cast("string").alias("date"), F.col("store_id").alias("store"), "order_id", one.alias("one"))
-    first = feed.groupBy("date", "store").agg(F.min("order_id").alias("first"))
-    records = feed.join(first, ["date", "store"]).select("date", "store", F.when(F.col("order_id") == F.col("first"), 1).otherwise(2).alias("at"),
-                                                         F.when(F.col("order_id") == F.col("first"), F.col("one"))
-                                                         .otherwise(F.concat(F.lit(","), F.col("one"))).alias("value"))
-    for at, value in ((0, "["), (3, "]")):
-        records = records.unionByName(first.select("date", "store", F.lit(at).alias("at"), F.lit(value).alias("value")))
-    (records.repartition("date", "store").sortWithinPartitions("date", "store", "at").select("date", "store", "value")
-     .write.partitionBy("date", "store").text(path))
+    value = F.when(F.col("at") == 0, "[").when(F.col("at") == 3, "]").when(F.col("at") == 1, one).otherwise(F.concat(F.lit(","), one))
+    (rows.repartition(max(4 * first.count(), 1), "date", "store").sortWithinPartitions("date", "store", "at")
+     .select("date", "store", value.alias("value")).write.partitionBy("date", "store").text(path))
     found = json_split.json_records(v.spark, path).withColumn("date", F.regexp_extract("path", r"/date=(\d+)/", 1)).drop("path")
     return _feed_result(json_split.parsed(found, schemas.ORDERS), "date")
 

@@ -8,7 +8,9 @@ gives every range its true beginning, and so every piece its own.  A record ends
 leads back to the depth of the records: one in a file that begins with ``[``, none otherwise.
 
 Pieces of one record lie side by side; records within a range are put together there, those that a range end cuts in
-one small aggregate.
+one small aggregate.  The text is written once, as read, and dealt by ranges once; all that is found out about the
+ranges before comes from numbers beside it.  A range has a bounded number of pieces, and tasks as many as their number
+and their text ask for, so no task sorts more when the files grow.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from replenix.session import scratch_path
 CORRUPT = "_corrupt_record"
 _BLANK = r"[\s\uFEFF]"
 _STRINGS = r'(?s)"[^"]*("|$)'
+RANGE_BITS = 14         # a range has 2 ** RANGE_BITS pieces at most
+TASK_PIECES = 1 << 19   # pieces, and bytes of text, that a task sorts, about
+TASK_BYTES = 32 << 20
 
 
 def _earlier(partition: list[str], order: str):
@@ -33,24 +38,30 @@ def _count(text, signs: str) -> Column:
 
 
 def _pieces(spark: SparkSession, roots: list[str], glob: str | None, only: DataFrame | None) -> DataFrame:
-    """What lies between the ``}`` of the files, in byte ranges (``block``); ``id`` orders the pieces of a range.
+    """What lies between the ``}`` of the files, in ranges (``block``: byte range and part of it); ``id`` orders the pieces
+    of a range.
 
-    Of every piece: the parity of its quotes, and the change of depth when it begins outside (d0) or inside (d1) a
-    string, without the bracket that ends it."""
+    Of every piece: its first sign, the parity of its quotes, and the change of depth when it begins outside (d0) or
+    inside (d1) a string, without the bracket that ends it.  What is outside in one case is inside in the other."""
     read = spark.read.option("recursiveFileLookup", True).option("lineSep", "}")
     text = (read.option("pathGlobFilter", glob) if glob else read).text(roots)
     file = F.col("_metadata")
-    pieces = text.select(file.file_path.alias("path"), file.file_block_start.alias("block"), file.file_size.alias("size"),
+    pieces = text.select(file.file_path.alias("path"), file.file_block_start.alias("start"), file.file_size.alias("size"),
                          F.monotonically_increasing_id().alias("id"), "value")
     if only is not None:
         pieces = pieces.join(only.select("path"), "path", "left_semi")
-    plain = F.regexp_replace("value", r"(?s)\\(.|$)", "")      # escaped signs neither open nor close anything
-    outside = F.regexp_replace(plain, _STRINGS, "")
-    inside = F.regexp_replace(F.regexp_replace(plain, r'(?s)^[^"]*("|$)', ""), _STRINGS, "")
+    # escaped signs neither open nor close anything
+    plain = F.when(F.col("value").contains("\\"), F.regexp_replace("value", r"(?s)\\(.|$)", "")).otherwise(F.col("value"))
+    pieces = pieces.withColumn("plain", plain).withColumn("outside", F.regexp_replace("plain", _STRINGS, ""))
+    sign = F.regexp_extract("value", rf"(?s)^{_BLANK}*(.)", 1)
     return pieces.select(
-        "path", "block", "size", "id", "value", F.octet_length("value").cast("long").alias("octets"),
-        (_count(plain, '"') % 2).alias("quotes"),
-        *[(_count(t, "{[") - _count(t, "]")).alias(n) for t, n in ((outside, "d0"), (inside, "d1"))])
+        "path", F.struct("start", F.shiftright("id", RANGE_BITS).alias("part")).alias("block"), "size", "id", "value",
+        F.octet_length("value").cast("long").alias("octets"), F.nullif(sign, F.lit("")).alias("sign"),
+        (_count(F.col("plain"), '"') % 2).alias("quotes"), _depth("outside").alias("d0"), (_depth("plain") - _depth("outside")).alias("d1"))
+
+
+def _depth(text: str) -> Column:
+    return _count(F.col(text), "{[") - _count(F.col(text), "]")
 
 
 def _inside(entry, *toggles: str) -> Column:
@@ -67,18 +78,16 @@ def _summed(pieces: DataFrame) -> DataFrame:
 
     up_to = Window.partitionBy("path", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = pieces.withColumn("before", F.coalesce(F.sum("quotes").over(_earlier(["path", "block"], "id")), F.lit(0)) % 2)
-    return before.select("path", "block", "size", "id", "value", "octets", "quotes", "before",
-                         F.sum(change(0)).over(up_to).alias("depth0"), F.sum(change(1)).over(up_to).alias("depth1"))
+    return before.select(*pieces.columns, "before", F.sum(change(0)).over(up_to).alias("depth0"), F.sum(change(1)).over(up_to).alias("depth1"))
 
 
 def _ranges(summed: DataFrame) -> DataFrame:
     """Per range: whether it begins inside a string, at which depth, the depth of its file's records, and the file's
     last piece, if no bracket ends it."""
-    sign = F.regexp_extract("value", rf"(?s)^{_BLANK}*(.)", 1)
     ranges = summed.groupBy("path", "block").agg(
         F.max("size").alias("size"), (F.sum("octets") + F.count("*")).alias("octets"), (F.sum("quotes") % 2).alias("quotes"),
         F.max_by("depth0", "id").alias("total0"), F.max_by("depth1", "id").alias("total1"),
-        F.min_by(F.nullif(sign, F.lit("")), "id").alias("sign"), F.max("id").alias("last"))
+        F.min_by("sign", "id").alias("sign"), F.max("id").alias("last"))
     file = Window.partitionBy("path")
     earlier = _earlier(["path"], "block")
     whole = file.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -93,13 +102,12 @@ def _ranges(summed: DataFrame) -> DataFrame:
 
 
 def _cut(summed: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The pieces with their closing bracket (``text``); ``cut`` is 1 where a record ends."""
+    """Adds ``last``, whether no bracket follows the piece, and ``cut``, 1 where a record ends."""
     joined = summed.join(ranges, ["path", "block"])
     last = F.coalesce(F.col("id") == F.col("open"), F.lit(False))
     depth = F.col("depth") + F.when(F.col("inside") == 0, F.col("depth0")).otherwise(F.col("depth1"))
     ends = ~last & (_inside(F.col("inside"), "before", "quotes") == 0) & (depth == F.col("base"))
-    return joined.select("path", "block", "id", F.when(last, F.col("value")).otherwise(F.concat("value", F.lit("}"))).alias("text"),
-                         ends.cast("int").alias("cut"))
+    return joined.withColumns({"last": last, "cut": ends.cast("int")})
 
 
 def _put_together(order: str) -> Column:
@@ -107,7 +115,7 @@ def _put_together(order: str) -> Column:
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -120,19 +128,28 @@ def json_records(spark: SparkSession, roots: str | list[str], glob: str | None =
     staged below ``staging`` (default: a new folder of the shared scratch space).
     """
     staging = staging or scratch_path(spark, "json-pieces")
-    summed = _staged(_summed(_pieces(spark, [roots] if isinstance(roots, str) else list(roots), glob, only)), f"{staging}/pieces")
-    cut = _cut(summed, _staged(_ranges(summed), f"{staging}/ranges"))
-    cuts = cut.groupBy("path", "block").agg(F.sum("cut").alias("cuts"))
+    pieces = _staged(_pieces(spark, [roots] if isinstance(roots, str) else list(roots), glob, only), f"{staging}/pieces")
+    size = pieces.agg(F.count("*").alias("n"), F.coalesce(F.sum("octets"), F.lit(0)).alias("octets")).first()
+    tasks = 1 + max(size.n // TASK_PIECES, size.octets // TASK_BYTES)
+
+    def dealt(*columns: str) -> DataFrame:
+        return pieces.select("path", "block", "id", "quotes", "d0", "d1", *columns).repartition(tasks, "path", "block")
+
+    ranges = _staged(_ranges(_summed(dealt("size", "octets", "sign"))), f"{staging}/ranges")
+    cuts = _cut(_summed(dealt()), ranges).groupBy("path", "block").agg(F.sum("cut").alias("cuts"))
     # the range whose last record goes on in this one
     chain = F.last(F.when(F.col("cuts") > 0, F.col("block")), ignorenulls=True).over(_earlier(["path"], "block"))
-    cuts = _staged(cuts.withColumn("chain", F.coalesce(chain, F.lit(-1))), f"{staging}/cuts")
-
-    numbered = cut.withColumn("k", F.coalesce(F.sum("cut").over(_earlier(["path", "block"], "id")), F.lit(0)))
-    runs = numbered.groupBy("path", "block", "k").agg(_put_together("id")).join(cuts, ["path", "block"])
-    runs = _staged(runs, f"{staging}/runs")
-    whole = runs.where("k > 0 and k < cuts").select("path", "text")
-    parts = runs.where("k = 0 or k = cuts").withColumn(
-        "chain", F.when(F.col("k") > 0, F.col("block")).otherwise(F.col("chain")))
+    ranges = _staged(ranges.join(cuts.withColumn("chain", chain), ["path", "block"]), f"{staging}/cuts")
+
+    text = F.when(F.col("last"), F.col("value")).otherwise(F.concat("value", F.lit("}")))
+    k = F.coalesce(F.sum("cut").over(_earlier(["path", "block"], "id")), F.lit(0))
+    numbered = _cut(_summed(dealt("value")), ranges).select("path", "block", "id", text.alias("text"), "cuts", "chain", k.alias("k"))
+
+    def runs(those: str) -> DataFrame:
+        return numbered.where(those).groupBy("path", "block", "k", "chain").agg(_put_together("id"))
+
+    whole = runs("k > 0 and k < cuts").select("path", "text")
+    parts = runs("k = 0 or k = cuts").withColumn("chain", F.when(F.col("k") > 0, F.col("block")).otherwise(F.col("chain")))
     record = F.regexp_replace("text", rf"^({_BLANK}|[,\[\]])+", "")
     return (whole.union(parts.groupBy("path", "chain").agg(_put_together("block")).select("path", "text"))
             .select("path", record.alias("record")).where(F.length("record") > 0))

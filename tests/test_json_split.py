@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -117,3 +118,21 @@ def test_thousands_of_files_need_no_list(spark, tmp_dir, monkeypatch):
     assert rows.select("order_id").distinct().count() == rows.count() == 5000 and rejects.isEmpty()
     assert stock.where("available_stock = 5 and reserved_stock = 1 and warehouse = 'W'").count() == stock.count() == 300
     assert stock_rejects.count() == 150
+
+
+def test_pieces_of_a_task_stay_bounded(spark, ranges_of, tmp_dir, monkeypatch):
+    """Ranges of a few pieces and many tasks: records that ranges cut come out whole, and a task sorts a bounded number."""
+    monkeypatch.setattr(json_split, "RANGE_BITS", 2)
+    monkeypatch.setattr(json_split, "TASK_PIECES", 100)
+    for name, n in (("a", 700), ("b", 3), ("c", 40)):
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            json.dump([{"id": i, "in": {"x": {"y": "}{]"}}, "end": [1, {"z": 2}]} for i in range(n)], f, indent=1)
+    ranges_of(8000)
+    records = json_split.json_records(spark, tmp_dir, "*.json")
+    found = {}
+    for r in records.collect():
+        found.setdefault(os.path.basename(r.path)[0], []).append(json.loads(r.record)["id"])
+    assert {k: sorted(v) for k, v in found.items()} == {"a": list(range(700)), "b": list(range(3)), "c": list(range(40))}
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    tasks = {int(n) for n in re.findall(r"hashpartitioning\(path#\d+, block#\d+, (\d+)\), REPARTITION_BY_NUM", plan)}
+    assert len(tasks) == 1 and 25 < tasks.pop() < 50   # five pieces a record, 100 a task
