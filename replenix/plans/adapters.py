@@ -17,6 +17,7 @@ STORE_COUNT = 7            # store id = customer % 7  ->  STORE_0 … STORE_6
 WAREHOUSES = (0, 1)        # WH_1 only for even SKUs
 POS_YEAR = 1997            # the single period of the filtered scan
 PARTS_PER_TASK = 50_000    # parts whose stock rows one task makes
+LINES_PER_TASK = 1_000_000   # order lines that one task joins with their orders
 
 
 _TABLES: dict = {}
@@ -50,14 +51,23 @@ def pos(spark: SparkSession, sf_dir: str, with_store: bool = True) -> DataFrame:
         F.year("l_shipdate").cast("int").alias(PERIOD),
     )
     orders = table(spark, sf_dir, "orders")
+    # a task sorts its lines and then adds them up: as many tasks as the lines (counted in the file footers) ask for, where
+    # the session's number would give it more
+    tasks = -(-li.count() // LINES_PER_TASK)
+    many = tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def by_order(df: DataFrame) -> DataFrame:
+        return df.repartition(tasks, "_ok") if many else df
+
+    lines = by_order(lines)
     if with_store:
-        o = orders.select(
+        o = by_order(orders.select(
             F.col("o_orderkey").alias("_ok"),
-            F.concat(F.lit("STORE_"), (F.col("o_custkey") % STORE_COUNT).cast("string")).alias("store_id"))
+            F.concat(F.lit("STORE_"), (F.col("o_custkey") % STORE_COUNT).cast("string")).alias("store_id")))
         out = lines.join(o, "_ok")
         cols = ["order_id", "store_id", "sku", "quantity", "order_ts", PERIOD]
     else:
-        out = lines.join(orders.select(F.col("o_orderkey").alias("_ok")), "_ok", "left_semi")
+        out = lines.join(by_order(orders.select(F.col("o_orderkey").alias("_ok"))), "_ok", "left_semi")
         cols = ["order_id", "sku", "quantity", "order_ts", PERIOD]
     return out.select(*cols)
 

@@ -26,3 +26,15 @@ def test_clustered_files_grow_in_number(spark, tmp_dir):
     layout.write_clustered(rows, f"{tmp_dir}/t", ["sku", "day"], files=2, file_rows=1000)
     assert sum(n.startswith("part-") for n in os.listdir(f"{tmp_dir}/t")) == 9
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/t").collect())) == [(i, i % 7) for i in range(9000)]
+
+
+def test_order_lines_of_a_large_feed_are_dealt(spark, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    few = {w: adapters.pos(spark, sf, w).drop("order_ts") for w in (True, False)}
+    rows = {w: sorted(map(tuple, df.collect())) for w, df in few.items()}
+    monkeypatch.setattr(adapters, "LINES_PER_TASK", 5000)
+    for with_store, expected in rows.items():
+        lines = adapters.pos(spark, sf, with_store).drop("order_ts")
+        assert sorted(map(tuple, lines.collect())) == expected
+        per_task = [r.n for r in lines.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+        assert len(per_task) == 12 and max(per_task) < 1.3 * 5000
