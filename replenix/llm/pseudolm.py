@@ -136,6 +136,17 @@ def vocabulary(docs: DataFrame, text: str = "text", training: Training = Trainin
     return Vocabulary(top, counts, [tuple(totals.get(e, (0, 0))) for e in range(ENDINGS)], sorted(listed), tokens)
 
 
+def row_maxima(values: np.ndarray) -> np.ndarray:
+    """The largest value of every row, as a column: halves are compared whole, as rows are too short to go through singly."""
+    while values.shape[1] > 1:
+        half = values.shape[1] // 2
+        largest = np.maximum(values[:, :half], values[:, half:2 * half])
+        if values.shape[1] % 2:
+            np.maximum(largest[:, :1], values[:, -1:], out=largest[:, :1])
+        values = largest
+    return values
+
+
 class WindowNet:
     """Tables per side position (classes -> hidden), one tanh layer, softmax over groups and over the classes in each."""
 
@@ -163,9 +174,9 @@ class WindowNet:
         return self
 
     def _hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.hidden_bias + self.tables[0][context[:, 0]]
+        total = self.hidden_bias + np.take(self.tables[0], context[:, 0], axis=0)
         for k in range(1, 2 * SIDE):
-            total += self.tables[k][context[:, k]]
+            total += np.take(self.tables[k], context[:, k], axis=0)
         return np.tanh(total, out=total)
 
     def _softmax(self, context: np.ndarray, target: np.ndarray):
@@ -182,7 +193,7 @@ class WindowNet:
             within[run] += self.member_bias[g]
         levels = []
         for logits, chosen in ((hidden @ self.group + self.group_bias, groups), (within, members)):
-            logits -= logits.max(axis=1, keepdims=True)
+            logits -= row_maxima(logits)
             mine = logits[np.arange(len(own)), chosen].astype(np.float64)
             np.exp(logits, out=logits)
             levels.append((logits, logits.sum(axis=1), chosen, mine))
@@ -228,8 +239,9 @@ class WindowNet:
             part = windows[i:i + training.batch]
             for p, rows, g in self.gradients(part[:, others], part[:, SIDE])[1]:
                 s = of[id(p)]
-                s[rows] += g * g
-                p[rows] -= (training.rate * g / (np.sqrt(s[rows]) + 1e-6)).astype(p.dtype)
+                squares = s[rows] + g * g
+                s[rows] = squares
+                p[rows] -= (training.rate * g / (np.sqrt(squares) + 1e-6)).astype(p.dtype)
 
 
 def contexts(padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

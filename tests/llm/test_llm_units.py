@@ -534,3 +534,11 @@ def test_candidates_grow_with_the_classes(spark, n):
     pairs, clusters = forest._pairs(heads, shape)
     assert pairs.count() <= 5 * n
     assert {r.cluster for r in clusters.collect()} == {0} and clusters.count() == n
+
+
+def test_row_maxima_of_any_width():
+    rng = np.random.default_rng(5)
+    for width in (1, 2, 3, 5, 7, 24, 31, 32, 33):
+        values = rng.normal(size=(50, width)).astype("f4")
+        assert (pseudolm.row_maxima(values) == values.max(axis=1, keepdims=True)).all()
+    assert pseudolm.row_maxima(np.zeros((0, 32), dtype="f4")).shape == (0, 1)
