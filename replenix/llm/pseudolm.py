@@ -24,15 +24,16 @@ import hashlib
 import math
 import zlib
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain, product, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replenix.llm.common import SPACE_RE, BoundedCache, ship, stored, texts
+from replenix.llm.common import ship, stored
 
 SIDE = 2
 ENDINGS = 64
@@ -40,7 +41,8 @@ MEMBERS = 32
 GROUPS = 32
 CLASSES = GROUPS * MEMBERS
 WORDS = CLASSES - ENDINGS - 1     # class 0 is the padding beyond a text's ends
-_CACHE = 300_000
+COUNTED = 1 << 25     # bytes of words that a task counts at once
+SAFE = 60.0           # logits below need no largest one taken off: their exponentials and sums are single-precision numbers
 
 
 @dataclass(frozen=True)
@@ -67,11 +69,11 @@ class Vocabulary:
         self.tokens = tokens
         self.all = [math.log(max(n + v, 1)) for n, v in self.totals]
         self.unseen = [math.log(v / (n + v)) if v else 0.0 for n, v in self.totals]
-        self.cache = self.places = None
+        self.places = None
         self.listed = {w.encode(): self.within(w.encode(), n) for w, n in listed} | dict.fromkeys(self.classes, 0.0)
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": None, "places": None, "counts": None}
+        return self.__dict__ | {"places": None, "counts": None}
 
     def _class(self, word: bytes) -> int:
         return self.classes.get(word) or 1 + zlib.crc32(word[-2:]) % ENDINGS
@@ -83,21 +85,21 @@ class Vocabulary:
         e = zlib.crc32(word[-2:]) % ENDINGS
         return math.log(n) - self.all[e] if n else self.unseen[e] - (len(word) + 1) * math.log(257)
 
-    def looked_up(self, texts_: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """Classes of all words of the texts, one after the other, log P(word | class) of the listed ones (0 for the
-        others), and the places of the others with these words."""
+    def looked_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        """Where the words of every text begin, classes of all words, one after the other, log P(word | class) of the
+        listed ones (0 for the others), and the places of the others with these words.  Different words are looked up once."""
         if self.places is None:
             self.places = dict(zip(self.listed, range(len(self.listed))))
             self.values = np.array([*self.listed.values(), 0.0])
             self.own = np.array([*map(self._class, self.listed), 0], dtype=np.uint16)
-            self.cache = BoundedCache(self._class, _CACHE)
-        edges = np.cumsum([0, *map(len, texts_)])
-        at = np.fromiter(map(self.places.get, chain.from_iterable(texts_), repeat(-1)), dtype=np.int64, count=int(edges[-1]))
-        classes_, others = self.own[at], np.flatnonzero(at < 0)
-        text_of = np.searchsorted(edges, others, side="right") - 1
-        words = [texts_[t][k] for t, k in zip(text_of.tolist(), (others - edges[text_of]).tolist())]
-        classes_[others] = np.fromiter(map(self.cache.__getitem__, words), dtype=np.uint16, count=len(words))
-        return classes_, self.values[at], others, words
+        edges, words = split_words(texts)
+        words = words.dictionary_encode()
+        which, different = words.indices.to_numpy(zero_copy_only=False), words.dictionary
+        as_bytes = different.cast(pa.large_binary() if pa.types.is_large_string(different.type) else pa.binary())
+        at = np.fromiter(map(self.places.get, as_bytes.to_numpy(zero_copy_only=False), repeat(-1)), dtype=np.int64, count=len(different))
+        classes_ = np.where(at < 0, by_ending(as_bytes), self.own[at])   # all words with a class of their own are listed
+        others = np.flatnonzero((at < 0)[which])
+        return edges, classes_[which], self.values[at][which], others, different.take(pa.array(which[others]))
 
     def joined(self, rare: DataFrame) -> DataFrame:
         """``rare`` (w, ...) with ``within``, from the table of counts."""
@@ -108,7 +110,52 @@ class Vocabulary:
 
     def padded(self, text: bytes) -> np.ndarray:
         """Classes of all words with ``SIDE`` classes of padding around them."""
-        return np.pad(self.looked_up([text.split()])[0], SIDE)
+        return np.pad(self.looked_up(pa.array([text.decode()]))[1], SIDE)
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where the words of every text (null: none) begin, and all words, one after the other."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    edges, words = lists.offsets.to_numpy().astype(np.int64), lists.values
+    there = pc.not_equal(words, "")     # white space at an end of a text leaves an empty piece
+    edges = np.r_[0, np.cumsum(there.to_numpy(zero_copy_only=False))][edges]
+    return edges, words.filter(there)
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """w and n of all words of all documents: counted by every task some megabytes at a time, then added up."""
+    def counted(batches):
+        held, size = [], 0
+        for batch in batches:
+            words = split_words(batch.column(0))[1]
+            held, size = [*held, words], size + words.nbytes
+            if size >= COUNTED:
+                yield part(held)
+                held, size = [], 0
+        if held:
+            yield part(held)
+
+    def part(held):
+        found = pa.chunked_array(held).value_counts()
+        return pa.record_batch([found.field("values"), found.field("counts")], names=["w", "n"])
+
+    ship(docs.sparkSession)
+    parts = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(counted, "w string, n long")
+    return parts.groupBy("w").agg(F.sum("n").alias("n"))
+
+
+_ENDS = np.array([1 + zlib.crc32(bytes(e)) % ENDINGS for e in chain(product(range(256), repeat=2), product(range(256)))],
+                 dtype=np.uint16)   # classes of all endings of two bytes, then of one
+
+
+def by_ending(words: pa.Array) -> np.ndarray:
+    """Class by ending of every word, none of them empty."""
+    _, offsets, data = words.buffers()
+    wide = "i8" if pa.types.is_large_binary(words.type) else "i4"
+    edges = np.frombuffer(offsets, dtype=wide)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(data or b"", dtype=np.uint8)
+    last = data[edges[1:] - 1].astype(np.int64)
+    return _ENDS[np.where(np.diff(edges) < 2, (1 << 16) + last, data[edges[1:] - 2].astype(np.int64) * 256 + last)]
 
 
 def ending(word: str) -> Column:
@@ -120,8 +167,7 @@ def ending(word: str) -> Column:
 
 def vocabulary(docs: DataFrame, text: str = "text", training: Training = Training()) -> Vocabulary:
     """Counts of all words of all documents; the most frequent ones (ties by code point) have their own class."""
-    words = docs.select(F.explode(F.split(F.col(f"`{text}`"), SPACE_RE)).alias("w")).where("w <> ''")
-    counts = stored(words.groupBy("w").agg(F.count("*").alias("n")).withColumn("ending", ending("w")), "word-counts")
+    counts = stored(word_counts(docs, text).withColumn("ending", ending("w")), "word-counts")
     top = counts.where(F.col("n") >= training.least).orderBy(F.desc("n"), "w").limit(WORDS)   # a bounded list
     top = [r["w"] for r in top.collect()]
     sums = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
@@ -179,24 +225,35 @@ class WindowNet:
             total += np.take(self.tables[k], context[:, k], axis=0)
         return np.tanh(total, out=total)
 
+    def _levels(self) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Weights of both levels with their biases as last row, and whether any logit may be beyond ``SAFE``."""
+        outer, inner = np.vstack([self.group, self.group_bias]), np.concatenate([self.member, self.member_bias[:, None]], axis=1)
+        largest = max(np.abs(outer).sum(axis=0).max(), np.abs(inner).sum(axis=1).max())   # the hidden layer is within 1
+        return outer, inner, not largest < SAFE
+
     def _softmax(self, context: np.ndarray, target: np.ndarray):
-        """Tokens in order of their groups (``order``), their hidden layer, and of both levels the exponentials of the
-        logits, their sums and the logits of the targets; ``runs`` are the stretches of equal groups."""
+        """Tokens in order of their groups (``order``), their hidden layer with a last column of ones, and of both levels
+        the exponentials of the logits, their sums, the places of the targets and their logits; ``runs`` are the
+        stretches of equal groups."""
+        outer, inner, large = self._levels()
         order = np.argsort(target // MEMBERS, kind="stable")
-        hidden, own = self._hidden(context[order]), target[order].astype(np.int64)
+        own = np.take(target, order).astype(np.int64)
+        hidden = np.ones((len(own), outer.shape[0]), dtype=outer.dtype)
+        hidden[:, :-1] = self._hidden(np.take(context, order, axis=0))
         groups, members = own // MEMBERS, own % MEMBERS
         edges = np.searchsorted(groups, np.arange(GROUPS + 1))
         runs = [(g, slice(x, y)) for g, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if x < y]
         within = np.empty((len(own), MEMBERS), dtype=hidden.dtype)
         for g, run in runs:
-            np.matmul(hidden[run], self.member[g], out=within[run])
-            within[run] += self.member_bias[g]
+            np.matmul(hidden[run], inner[g], out=within[run])
         levels = []
-        for logits, chosen in ((hidden @ self.group + self.group_bias, groups), (within, members)):
-            logits -= row_maxima(logits)
-            mine = logits[np.arange(len(own)), chosen].astype(np.float64)
+        for logits, chosen in ((hidden @ outer, groups), (within, members)):
+            if large:
+                logits -= row_maxima(logits)
+            places = chosen + np.arange(0, logits.size, logits.shape[1])
+            mine = np.take(logits, places).astype(np.float64)
             np.exp(logits, out=logits)
-            levels.append((logits, logits.sum(axis=1), chosen, mine))
+            levels.append((logits, logits @ np.ones(logits.shape[1], dtype=logits.dtype), places, mine))
         return order, hidden, levels, runs
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -211,24 +268,31 @@ class WindowNet:
         n = len(target)
         order, hidden, levels, runs = self._softmax(context, target)
         loss = -float(sum(mine - np.log(total) for _, total, _, mine in levels).mean())
-        for p, total, chosen, _ in levels:
-            p /= total[:, None]
-            p[np.arange(n), chosen] -= 1
-            p /= n
+        for p, total, places, _ in levels:
+            p *= (1 / (total * n))[:, None]
+            p.reshape(-1)[places] -= p.dtype.type(1 / n)
         outer, inner = levels[0][0], levels[1][0]
-        below = outer @ self.group.T
-        changes = [(self.group, ..., hidden.T @ outer), (self.group_bias, ..., outer.sum(axis=0))]
+        ones = np.ones(n, dtype=hidden.dtype)
+        by_group = hidden.T @ outer      # the last row is the bias's
+        by_member = np.zeros((GROUPS, *by_group.shape[:1], MEMBERS), dtype=hidden.dtype)
+        below = np.empty((n, self.group.shape[0]), dtype=hidden.dtype)
         for g, run in runs:
-            changes += [(self.member, g, hidden[run].T @ inner[run]), (self.member_bias, g, inner[run].sum(axis=0))]
-            below[run] += inner[run] @ self.member[g].T
-        below *= 1 - hidden * hidden
-        changes.append((self.hidden_bias, ..., below.sum(axis=0)))
-        context = context[order]
-        for k in range(2 * SIDE):
-            by_class = np.argsort(context[:, k], kind="stable")   # sums per class over runs of equal classes
-            own = context[by_class, k]
-            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            changes.append((self.tables, (k, own[starts].astype(np.int64)), np.add.reduceat(below[by_class], starts, axis=0)))
+            np.matmul(hidden[run].T, inner[run], out=by_member[g])
+            np.matmul(inner[run], self.member[g].T, out=below[run])
+        below += outer @ self.group.T
+        hidden = np.ascontiguousarray(hidden[:, :-1])
+        hidden *= hidden
+        below *= np.subtract(1, hidden, out=hidden)
+        changes = [(self.group, ..., by_group[:-1]), (self.group_bias, ..., by_group[-1]),
+                   (self.member, ..., by_member[:, :-1]), (self.member_bias, ..., by_member[:, -1]),
+                   (self.hidden_bias, ..., ones @ below)]
+        # rows of the tables, by side and class; sums over runs of equal ones
+        rows = (np.take(context, order, axis=0).T + np.arange(0, 2 * SIDE * CLASSES, CLASSES, dtype=np.uint16)[:, None]).ravel()
+        by_row = np.argsort(rows, kind="stable")
+        own = rows[by_row]
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        sums = np.add.reduceat(np.take(below, np.tile(np.arange(n), 2 * SIDE)[by_row], axis=0), starts, axis=0)
+        changes.append((self.tables, np.divmod(own[starts].astype(np.int64), CLASSES), sums))
         return loss, changes
 
     def train(self, windows: np.ndarray, training: Training, sums: list[np.ndarray]) -> None:
@@ -263,20 +327,18 @@ def encoded(docs: DataFrame, words: Vocabulary, key: str = "doc_id", text: str =
     def look_up(batches):
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            split = [t.split() for t in texts(batch)]
-            edges = np.cumsum([0, *map(len, split)])
-            classes_, within, others, words_ = shared.value.looked_up(split)
+            edges, classes_, within, others, words_ = shared.value.looked_up(batch.column(1))
+            rows = len(edges) - 1
             sums = np.r_[0, np.cumsum(within)][edges]
             ends = 2 * (edges + 2 * SIDE * np.arange(len(edges)))     # two bytes a class, padding around every text
             padded = np.zeros(ends[-1] // 2, dtype=np.uint16)
-            padded[np.arange(len(classes_)) + np.repeat(2 * SIDE * np.arange(len(split)) + SIDE, np.diff(edges))] = classes_
-            padded = pa.BinaryArray.from_buffers(pa.binary(), len(split), [None, pa.py_buffer(ends.astype("i4")), pa.py_buffer(padded)])
-            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(others, edges).astype("i4")),
-                                            pa.array(words_, pa.binary()).cast(pa.string()))
-            yield pa.record_batch([batch.column(0), pa.array(row + np.arange(len(split))), pa.array(np.diff(edges)),
+            padded[np.arange(len(classes_)) + np.repeat(2 * SIDE * np.arange(rows) + SIDE, np.diff(edges))] = classes_
+            padded = pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends.astype("i4")), pa.py_buffer(padded)])
+            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(others, edges).astype("i4")), words_)
+            yield pa.record_batch([batch.column(0), pa.array(row + np.arange(rows)), pa.array(np.diff(edges)),
                                    padded, pa.array(np.diff(sums)), rare],
                                   names=["k", "row", "n_tokens", "padded", "within", "rare"])
-            row += len(split)
+            row += rows
 
     return stored(docs.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{text}`").alias("text"))
                   .mapInArrow(look_up, _ENCODED), "classes")

@@ -1,5 +1,6 @@
 """Methods of the training-data operators against plain computations."""
 
+import collections
 import itertools
 import random
 import re
@@ -7,6 +8,7 @@ import string
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -542,3 +544,71 @@ def test_row_maxima_of_any_width():
         values = rng.normal(size=(50, width)).astype("f4")
         assert (pseudolm.row_maxima(values) == values.max(axis=1, keepdims=True)).all()
     assert pseudolm.row_maxima(np.zeros((0, 32), dtype="f4")).shape == (0, 1)
+
+
+def test_different_words_of_texts_are_looked_up_once():
+    class Counted(dict):
+        calls = 0
+
+        def get(self, *args):
+            Counted.calls += 1
+            return super().get(*args)
+
+    words = pseudolm.Vocabulary(["a", "the"], None, [(5, 2)] * pseudolm.ENDINGS, [("said", 3)], 100)
+    words.looked_up(pa.array(["x"]))
+    words.places = Counted(words.places)
+    texts = [" the a\n" * 500, None, "", " \t\x0b", "said qz\x1cé the", "x"]
+    for array in (pa.array(texts), pa.array(["cut", *texts])[1:], pa.array(texts, pa.large_string())):
+        Counted.calls = 0
+        edges, classes_, within, others, rare = words.looked_up(array)
+        assert Counted.calls == 5
+        plain = [w for t in texts for w in brute.words(t)]
+        assert edges.tolist() == [0, 1000, 1000, 1000, 1000, 1003, 1004]
+        assert classes_.tolist() == [words._class(w.encode()) for w in plain]
+        assert within.tolist() == [words.within(b"said", 3) if w == "said" else 0.0 for w in plain]
+        assert others.tolist() == [1001, 1003] and rare.to_pylist() == ["qz\x1cé", "x"]
+
+
+@settings(max_examples=50, deadline=None)
+@given(texts=st.lists(st.none() | SOME_TEXT, max_size=6))
+def test_words_split_in_arrow_are_those_of_the_texts(texts):
+    edges, words = pseudolm.split_words(pa.array(texts, pa.string()))
+    plain = [brute.words(t) for t in texts]
+    assert words.to_pylist() == [w for t in plain for w in t] and np.diff(edges).tolist() == [len(t) for t in plain]
+    classes_ = pseudolm.by_ending(words.cast(pa.binary())).tolist()
+    assert classes_ == [pseudolm.Vocabulary([])._class(w.encode()) for t in plain for w in t]
+
+
+def test_word_counts_are_those_of_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(pseudolm, "COUNTED", 1000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    texts = [None, "", "  ", "again again", " \x0bagain\t"]
+    docs = docs.union(spark.createDataFrame([(t,) for t in texts], "text string"))
+    plain = collections.Counter(w for r in docs.collect() for w in brute.words(r.text))
+    found = pseudolm.word_counts(docs)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()   # words do not become rows one by one
+    rows = found.collect()
+    assert len(rows) == len(plain) and {r.w: r.n for r in rows} == plain
+
+
+def test_logits_of_any_size():
+    """Small logits need no largest one taken off; large ones do: both give the plain probabilities and gradients."""
+    rng = np.random.default_rng(5)
+    context = rng.integers(0, pseudolm.CLASSES, (300, 2 * pseudolm.SIDE)).astype(np.uint16)
+    target = rng.integers(1, pseudolm.CLASSES, 300).astype(np.uint16)
+    for factor, large in ((1, False), (1000, True)):
+        net = pseudolm.WindowNet(pseudolm.Training())
+        net.group *= factor
+        net.member *= factor
+        assert net._levels()[2] == large
+        hidden = np.tanh(net.hidden_bias + sum(net.tables[k][context[:, k]] for k in range(2 * pseudolm.SIDE))).astype("f8")
+        total = 0
+        for k, (g, m) in enumerate(zip(*np.divmod(target.astype(int), pseudolm.MEMBERS))):
+            for weights, at in ((net.group, g), (net.member[g], m)):
+                logits = hidden[k] @ weights.astype("f8")
+                own = logits[at] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+                total += own
+        each = net.log_probabilities(context, target)
+        assert np.isfinite(each).all() and each.sum() == pytest.approx(total, rel=1e-5)
+        loss, changes = net.gradients(context, target)
+        assert loss == pytest.approx(-total / 300, rel=1e-5) and all(np.isfinite(g).all() for _, _, g in changes)
