@@ -17,7 +17,8 @@ STORE_COUNT = 7            # store id = customer % 7  ->  STORE_0 … STORE_6
 WAREHOUSES = (0, 1)        # WH_1 only for even SKUs
 POS_YEAR = 1997            # the single period of the filtered scan
 PARTS_PER_TASK = 50_000    # parts whose stock rows one task makes
-LINES_PER_TASK = 1_000_000   # order lines that one task joins with their orders
+LINES_PER_TASK = 500_000     # order lines that one task joins with their orders, or sorts by part
+SUPPLIER_SHARES = 4        # tasks that the lines of one part may be in
 
 
 _TABLES: dict = {}
@@ -96,6 +97,15 @@ def dealt(parts: DataFrame) -> DataFrame:
     return parts.repartition(tasks, "p_partkey") if tasks > 1 else parts
 
 
+def dealt_lines(lines: DataFrame) -> DataFrame:
+    """The order lines by part in as many tasks as their number asks for, a part's suppliers in a few of them: the choice
+    of a supplier compares structs, so Spark sorts all lines of a task first, and a task that reads a file's share would
+    sort all of that.  The count comes from the file footers."""
+    tasks = -(-lines.count() // LINES_PER_TASK)
+    share = F.pmod("l_suppkey", F.lit(SUPPLIER_SHARES))
+    return lines.repartition(tasks, F.col("l_partkey"), share) if tasks > 1 else lines
+
+
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock snapshot rows: sku, exec_year, warehouse, available_stock, reserved_stock.
 
@@ -144,8 +154,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sku x supplier price list: unit_cost DECIMAL(10,2), priority (NULL for some, many ties)."""
-    li = table(spark, sf_dir, "lineitem")
-    pairs = li.select(F.col("l_partkey").alias("sku"), F.col("l_suppkey").alias("supplier_id")).distinct()
+    pairs = (dealt_lines(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"))
+             .select(F.col("l_partkey").alias("sku"), F.col("l_suppkey").alias("supplier_id")).distinct())
     cents = 50 + (F.col("sku") * 7 + F.col("supplier_id") * 13) % 400
     return pairs.select(
         "sku", "supplier_id",
@@ -164,7 +174,7 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def expected_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every SKU the business expects to see (the whole part catalogue)."""
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku"))
+    return dealt(table(spark, sf_dir, "part")).select(F.col("p_partkey").alias("sku"))
 
 
 def expected_stores() -> list[str]:
